@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewater.llm import exact_dedup, mixing, token_counts, toxicity
+from tidewater.llm import exact_dedup, mixing, near_dedup, token_counts, toxicity
 from tidewater.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -40,6 +44,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op5_near_dedup": op5_near_dedup,
     "op6_source_mix": op6_source_mix,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_toxicity": op10_toxicity,
