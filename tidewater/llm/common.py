@@ -13,15 +13,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder that spark.checkpoint.dir names.
-
-    Only where the session has no such setting (a test on one machine) is a temporary folder used.
-    """
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that spark.checkpoint.dir names; a temporary one only where the session has no such setting, as in a test on one machine."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewater-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -35,3 +37,8 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """A string column as bytes; null counts as empty."""
     return [b or b"" for b in batch.column(column).cast(pa.large_binary()).to_pylist()]
+
+
+def lowered(data: bytes) -> bytes:
+    """UTF-8 text in lower case, beyond ASCII too."""
+    return data.lower() if data.isascii() else data.decode().lower().encode()

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewater.llm import exact_dedup, mixing, near_dedup, token_counts, toxicity
-from tidewater.llm.common import table
+from tidewater.llm import decontamination, exact_dedup, html_text, mixing, near_dedup, preferences, quality, secrets, token_counts, toxicity
+from tidewater.llm.common import checkpointed, table
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -14,10 +14,29 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of all documents; the forest learns from findings that a rule labels, as no table holds labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.with_features(checkpointed(secrets.candidates(docs)), secrets.dictionary_of(docs))
+    model = secrets.fit(secrets.rule_labels(found))
+    return secrets.scan(found, model).select(F.col("id").alias("doc_id"), "word_no", F.sha2("candidate", 256).alias("candidate_sha256"), F.length("candidate").cast("long").alias("n_chars"), "probability", "secret")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op4_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation of even number is preferred to the next one."""
+    rows = table(spark, sf_dir, "conversations")
+    pair = F.floor(F.col("conv_id") / 2)
+    return preferences.preference_pairs(*(preferences.turns(rows.where(F.pmod("conv_id", F.lit(2)) == k), pair) for k in (0, 1)))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
@@ -26,10 +45,23 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 for low quality, 1 for good but toxic, 2 for good; a document is kept if a grade of 1 or more is likelier."""
+    docs = table(spark, sf_dir, "documents")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    model = quality.fit(docs, learnable(table(spark, sf_dir, "labels")).select("doc_id", grade.alias("grade")))
+    return quality.grade_documents(docs, model, select_from=1)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("__row")
 
 
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.transform("items", lambda i: i["item"]).alias("item_ids"), F.coalesce(F.array_max("items.words"), F.lit(0.0)).alias("words"), "contaminated")
+
+
 def learnable(labels: DataFrame) -> DataFrame:
     """Labels that one may learn from: those of rows whose id's remainder is not 0."""
     return labels.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0)
@@ -43,14 +75,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
+    "op2_secret_scan": op2_secret_scan,
     "op3_token_counts": op3_token_counts,
+    "op4_preference_pairs": op4_preference_pairs,
     "op5_near_dedup": op5_near_dedup,
     "op6_source_mix": op6_source_mix,
+    "op7_quality": op7_quality,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_toxicity": op10_toxicity,
 }
 
 ORACLES = {
+    "op4_preference_pairs": r"""
+        with t as (select distinct conv_id // 2 as pair_id, conv_id % 2 as side, conv_id as conv, coalesce(turn, 4611686018427387904)::bigint as turn, coalesce(role, 'user') as role, coalesce(text, '') as text
+            from conversations where conv_id is not null),
+        m as (select pair_id, turn, string_agg(role || chr(1) || text, chr(2) order by role, text) filter (where side = 0) as a, string_agg(role || chr(1) || text, chr(2) order by role, text) filter (where side = 1) as b
+            from t group by pair_id, turn),
+        f as (select pair_id, min(turn) as first from m where a is distinct from b group by pair_id),
+        p as (select t.*, first is null or turn < first as prompt, '<|' || role || '|>' || chr(10) || text || chr(10) as body from t left join f using (pair_id)),
+        k as (select *, case when role = 'assistant' then '1:' else '0:' end || length(body) as mask from p)
+        select pair_id, min(conv) filter (where side = 0) as chosen_id, min(conv) filter (where side = 1) as rejected_id,
+            count(*) filter (where prompt and side = 0) as n_prompt,
+            coalesce(string_agg(body, '' order by turn, role, text) filter (where prompt and side = 0), '') as prompt,
+            coalesce(string_agg(body, '' order by turn, role, text) filter (where not prompt and side = 0), '') as chosen,
+            coalesce(string_agg(body, '' order by turn, role, text) filter (where not prompt and side = 1), '') as rejected,
+            coalesce(string_agg(mask, ',' order by turn, role, text) filter (where not prompt and side = 0), '') as chosen_mask,
+            coalesce(string_agg(mask, ',' order by turn, role, text) filter (where not prompt and side = 1), '') as rejected_mask
+        from k group by pair_id""",
     "op6_source_mix": r"""
         with d as (
             select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size, coalesce(length(text), 0) as chars

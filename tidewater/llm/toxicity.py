@@ -1,6 +1,6 @@
 """Toxicity by compression distance: two zstandard dictionaries, one of toxic and one of ordinary text.
 
-A window is one word with the space before it, its ASCII letters in lower case. It is compressed once with each
+A window is one word with the space before it, in lower case. It is compressed once with each
 dictionary. Zstandard pays a fixed price for a block and a match, which would hide the gain on so short a window;
 so each byte stands twice and a lead that both dictionaries hold comes before it. The gain of a window is its
 length under the ordinary dictionary less that under the toxic one. A text's evidence is how many of its windows
@@ -21,7 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import slices, utf8
+from tidewater.llm.common import lowered, slices, utf8
 
 LEAD = bytes(range(1, 25))
 LEVEL = 19
@@ -30,7 +30,7 @@ MEMO = 400_000
 
 
 def windows(data: bytes) -> list[bytes]:
-    return data.lower().split()
+    return lowered(data).split()
 
 
 def wide(data: bytes) -> bytes:
