@@ -1,6 +1,6 @@
 """Toxicity by compression distance: two zstandard dictionaries, one of toxic and one of ordinary text.
 
-A window is one word with the space before it, in lower case. It is compressed once with each
+A window is one word with the space before it, in lower case and without ASCII punctuation at its ends. It is compressed once with each
 dictionary. Zstandard pays a fixed price for a block and a match, which would hide the gain on so short a window;
 so each byte stands twice and a lead that both dictionaries hold comes before it. The gain of a window is its
 length under the ordinary dictionary less that under the toxic one. A text's evidence is how many of its windows
@@ -13,6 +13,7 @@ get the score of no evidence. Labels with a null id or label are not used. Witho
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,11 +27,12 @@ from tidewater.llm.common import lowered, slices, utf8
 LEAD = bytes(range(1, 25))
 LEVEL = 19
 STEPS = range(2, 9)
-MEMO = 400_000
+MEMO = 800_000
+EDGES = string.punctuation.encode()
 
 
 def windows(data: bytes) -> list[bytes]:
-    return lowered(data).split()
+    return [own for w in lowered(data).split() if (own := w.strip(EDGES))]
 
 
 def wide(data: bytes) -> bytes:
