@@ -9,7 +9,7 @@ distance (SIFT at most) and then on their full sets.
 
 Only components are asked for, so a bucket of many texts never gives all its pairs. First each member is tested
 against the bucket's least member. Buckets that hold several components then test the members outside the largest
-one against a member of it drawn for that bucket, and last against all members of other components, which leaves
+one against a member of it drawn for that bucket (only where many pairs are left), and last against all members of other components, which leaves
 no pair untested that could still join two components.
 
 Equal sets collapse to the least id first. Null and blank texts have empty sets, are linked with nothing and are
@@ -32,6 +32,8 @@ CHUNKS, WIDE = 12, 5
 SYMBOLS = CHUNKS * WIDE
 #: Five standard deviations over the mean distance of pairs at similarity 0.8.
 SIFT = 28
+#: Ids of texts to read again are broadcast up to this number, 8 bytes each; beyond it both sides are shuffled.
+BROADCAST_IDS = 200_000
 DRAWN = np.random.default_rng(60)
 SLOPES = DRAWN.integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = DRAWN.integers(0, 2**63, SYMBOLS, dtype=np.uint64)
@@ -112,7 +114,9 @@ def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, per
     likely = pairs.join(a, "a").join(b, "b").where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (distance <= SIFT))
     likely = checkpointed(likely.select("a", "b"))
     needed = likely.select(F.col("a").alias("__id")).union(likely.select(F.col("b").alias("__id"))).distinct()
-    own = checkpointed(_sets(docs.join(needed, "__id", "left_semi"), shingle).dropDuplicates(["__id"]))
+    if needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        needed = F.broadcast(needed)
+    own = checkpointed(_sets(docs.join(needed, "__id", "left_semi"), shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
@@ -126,27 +130,24 @@ def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, per
 
     kind = reps.schema["rep"].dataType.simpleString()
     full = likely.join(own.select(F.col("__id").alias("b"), F.col("own").alias("own_b")), "b").join(own.select(F.col("__id").alias("a"), F.col("own").alias("own_a")), "a")
-    return checkpointed(full.select("a", "b", "own_a", "own_b").mapInArrow(run, f"a {kind}, b {kind}"))
+    return checkpointed(full.select("a", "b", "own_a", "own_b").mapInArrow(run, f"a {kind}, b {kind}").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """From edges (a, b): (id, component), the least id that each node reaches, by large-star and small-star rounds."""
-    low, high = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    held = checkpointed(edges.where("a <> b").select(low, high).distinct())
-    mark = None
+    """From edges (a, b): (id, component), the least id that each node reaches; large star and small star until all are stars."""
+    held = checkpointed(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     while True:
+        roles = held.select(F.col("a").alias("id"), F.lit(0).alias("leaf")).union(held.select(F.col("b").alias("id"), F.lit(1).alias("leaf")))
+        if roles.groupBy("id").agg(F.sum("leaf").alias("leaf"), F.min("leaf").alias("least")).where("leaf > 1 or (leaf = 1 and least = 0)").isEmpty():
+            return held.select(F.col("b").alias("id"), F.col("a").alias("component"))
         # large star: each node points its larger neighbours at the least node around it
         ways = held.unionByName(held.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = checkpointed(ways.groupBy("a").agg(F.least("a", F.min("b")).alias("m")))
-        held = checkpointed(ways.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").distinct())
+        least = ways.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+        large = ways.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").distinct()
         # small star: each node points its smaller neighbours and itself at the least of them
-        least = checkpointed(held.groupBy("b").agg(F.min("a").alias("m")))
-        joined = held.join(least, "b")
-        held = checkpointed(joined.where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b")).union(least.select(F.col("m").alias("a"), "b")).distinct())
-        now = held.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark:
-            return held.select(F.col("b").alias("id"), F.col("a").alias("component"))
-        mark = now
+        least = large.groupBy("b").agg(F.min("a").alias("m"))
+        small = large.join(least, "b").where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b")).union(least.select(F.col("m").alias("a"), "b"))
+        held = checkpointed(small.distinct())
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -163,26 +164,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     members = checkpointed(held.join(hubs, "key"))
     links = found(members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")))
 
-    def mixed_buckets(links: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Components so far, the members of buckets of several components, and those outside the largest."""
-        groups = checkpointed(components(links))
+    def mixed_buckets(groups: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+        """Members of buckets of several components, those outside the largest one, and how many pairs are left untested there."""
         placed = members.where("members > 2").select("key", "rep").join(groups, F.col("rep") == F.col("id"), "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
         placed = checkpointed(placed)
         sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
-        largest = sizes.groupBy("key").agg(F.count("*").alias("components"), F.max(F.struct("size", "component")).alias("top")).where("components > 1").select("key", F.col("top.component").alias("top"))
-        largest = checkpointed(largest)
-        placed = checkpointed(placed.join(largest, "key"))
-        return groups, placed, placed.where("component <> top")
-
-    _, placed, outside = mixed_buckets(links)
-    drawn = checkpointed(placed.where("component = top").groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep").alias("draw"), "rep")).alias("d")).select("key", F.col("d.rep").alias("a")))
-    links = checkpointed(links.unionByName(found(outside.select("key", F.col("rep").alias("b")).join(drawn, "key").select("a", "b"))))
-    _, placed, outside = mixed_buckets(links)
-    left = outside.select("key", F.col("rep").alias("a"), F.col("component").alias("c_a"))
-    right = placed.select("key", F.col("rep").alias("b"), F.col("component").alias("c_b"))
-    rest = left.join(right, "key").where("c_a <> c_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = checkpointed(links.unionByName(found(rest)))
-    groups = checkpointed(components(links))
+        largest = sizes.groupBy("key").agg(F.count("*").alias("components"), F.sum("size").alias("all"), F.max(F.struct("size", "component")).alias("top")).where("components > 1")
+        largest = checkpointed(largest.select("key", F.col("top.component").alias("top"), ((F.col("all") - F.col("top.size")) * F.col("all")).alias("pairs")))
+        placed = placed.join(largest.select("key", "top"), "key")
+        return placed, placed.where("component <> top"), largest.agg(F.sum("pairs")).first()[0] or 0
+
+    groups = components(links)
+    placed, outside, pairs = mixed_buckets(groups)
+    if pairs > 1_000_000:
+        drawn = placed.where("component = top").groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep").alias("draw"), "rep")).alias("d")).select("key", F.col("d.rep").alias("a"))
+        links = groups.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(found(outside.select("key", F.col("rep").alias("b")).join(checkpointed(drawn), "key").select("a", "b")))
+        groups = components(links)
+        placed, outside, pairs = mixed_buckets(groups)
+    if pairs:
+        left = outside.select("key", F.col("rep").alias("a"), F.col("component").alias("c_a"))
+        right = placed.select("key", F.col("rep").alias("b"), F.col("component").alias("c_b"))
+        rest = left.join(right, "key").where("c_a <> c_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        groups = components(groups.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(found(rest)))
     final = checkpointed(least.join(groups, F.col("rep") == F.col("id"), "left").select("same", F.coalesce("component", "rep").alias("component_id")))
     out = rows.select("__id", "n", "same").join(final, "same", "left")
     component = F.when(F.col("__id").isNull(), None).when(F.col("n") == 0, F.col("__id")).otherwise(F.col("component_id"))
