@@ -3,9 +3,9 @@
 Words are lower-cased, stripped of ASCII punctuation and hashed to ``2**15`` terms. Inverse document frequencies are
 counted over all documents. The index is the matrix of the benchmark items' TF-IDF rows, brought to ``rank``
 dimensions by a randomised SVD: its products with the matrix run in Spark tasks, which send sums per term; only
-matrices bounded by terms x rank reach the driver. Every document is read as passages of 32 words, 16 apart. A passage
-that holds three informative benchmark words is projected, and an item is a candidate where the cosine is ``cosine``
-or more (against the passage's whole TF-IDF norm, so that unknown words count). The candidate is checked on the words:
+matrices bounded by terms x rank reach the driver. Every document is read as passages of 32 words, 16 apart. Each passage
+is projected, and an item is a candidate where the cosine is ``cosine`` or more (against the passage's whole TF-IDF
+norm, so that unknown words count). The candidate is checked on the words:
 the longest common subsequence of the item and the passage with an item's length around it must hold ``sure`` of the
 item's words, or ``likely`` of them and as much of its answer, its last six words.
 
@@ -29,6 +29,8 @@ from tidewater.llm.common import lowered, slices, utf8
 TERMS = 1 << 15
 STRIDE = 16
 ANSWER = 6
+#: Blocks of STRIDE words that are scored together.
+PART = 256
 PUNCTUATION = string.punctuation.encode()
 
 
@@ -89,10 +91,10 @@ def randomised_svd(rows: DataFrame, rank: int, seed: int = 9) -> tuple[np.ndarra
             yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["term", "sums"])
 
         def add(frame):
-            total = np.sum([np.frombuffer(b, np.float64) for b in frame["sums"]], axis=0)
-            return frame.iloc[:1].assign(sums=[total.tobytes()])
+            total = frame.groupby("term")["sums"].agg(lambda own: np.sum([np.frombuffer(b, np.float64) for b in own], axis=0).tobytes())
+            return total.reset_index()
 
-        return rows.mapInArrow(run, "term int, sums binary").groupBy("term").applyInPandas(add, "term int, sums binary")
+        return rows.mapInArrow(run, "term int, sums binary").groupBy(F.col("term") % 64).applyInPandas(add, "term int, sums binary")
 
     found = products(lambda: np.random.default_rng(seed).standard_normal((TERMS, wide))).toPandas().sort_values("term")  # at most TERMS rows
     used = found["term"].to_numpy(int)
@@ -115,18 +117,21 @@ def randomised_svd(rows: DataFrame, rank: int, seed: int = 9) -> tuple[np.ndarra
     return used, q @ turns[:, best]
 
 
-def common_subsequence(item: list[int], text: list[int]) -> int:
-    """Length of the longest common subsequence; a bit for each word of the item."""
+def word_bits(item: list[int]) -> dict[int, int]:
+    """For each word of an item, a bit for each place where it stands."""
     where: dict[int, int] = {}
     for k, t in enumerate(item):
         where[t] = where.get(t, 0) | 1 << k
-    full = (1 << len(item)) - 1
-    row = full
-    for t in text:
-        if hit := where.get(t):
-            both = row & hit
-            row = ((row + both) | (row - both)) & full
-    return len(item) - row.bit_count()
+    return where
+
+
+def common_subsequence(where: dict[int, int], size: int, text: list[int]) -> int:
+    """Length of the longest common subsequence of an item, given by its word bits, and a text."""
+    row = full = (1 << size) - 1
+    for hit in filter(None, map(where.get, text)):
+        both = row & hit
+        row = ((row + both) | (row - both)) & full
+    return size - row.bit_count()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float = 0.3, sure: float = 0.8, likely: float = 0.6, least: int = 5, block: int = 20_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -153,21 +158,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float
         basis = np.zeros((TERMS, vectors.shape[1]), np.float32)
         basis[used] = vectors
         latent = np.array([np.array(w, np.float32) @ basis[t] for t, w in rows], np.float32).reshape(len(rows), vectors.shape[1])
-        informative = np.zeros(TERMS, bool)
-        for t, _ in rows:
-            t = np.array(t)
-            informative[t[idf[t] >= 1.0] if (idf[t] >= 1.0).sum() >= least else t] = True
-        shared = spark.sparkContext.broadcast((basis[used] * idf[used, None], used, idf, latent, informative, [(i, t.tolist()) for i, t in part]))
+        scaled = basis[used] * idf[used, None]
+        few = len(rows) <= rank
+        shared = spark.sparkContext.broadcast((scaled @ latent.T if few else scaled, used, idf, None if few else latent, [(i, t.tolist(), word_bits(t.tolist()), word_bits(t.tolist()[-ANSWER:])) for i, t in part]))  # terms in use x rank
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            scaled, own, weight, index, telling, wanted = shared.value
+            rows, own, weight, index, wanted = shared.value
             place = np.full(TERMS, -1, np.int32)
             place[own] = np.arange(len(own))
             vocabulary = Vocabulary()
             for batch in slices(batches):
                 hits = []
                 for text in utf8(batch, "__text"):
-                    hits.append(search(vocabulary.terms(text), scaled, place, weight, index, telling, wanted, cosine, sure, likely))
+                    hits.append(search(vocabulary.terms(text), rows, place, weight, index, wanted, cosine, sure, likely))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:1], pa.array(hits, pa.list_(pa.struct([("item", pa.int64() if item_kind.typeName() in ("long", "integer") else pa.string()), ("cosine", pa.float64()), ("words", pa.float64()), ("answer", pa.float64())])))], ["__id", "items"])
 
         kind = found if item_kind.typeName() in ("long", "string") else found.replace(item_kind.simpleString(), "bigint", 1)
@@ -181,43 +184,49 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float
     return out.select(F.col("__id").alias(id_col), "items", (F.size("items") > 0).alias("contaminated"))
 
 
-def search(terms: np.ndarray, scaled: np.ndarray, place: np.ndarray, weight: np.ndarray, index: np.ndarray, telling: np.ndarray, wanted: list, cosine: float, sure: float, likely: float) -> list[dict]:
-    """Items that a text holds; all its passages are looked at."""
-    n = len(terms)
-    if n == 0 or not len(index):
-        return []
-    starts = np.arange(0, max(1, n - STRIDE), STRIDE)
-    ends = np.minimum(starts + 2 * STRIDE, n)
-    told = np.concatenate([[0], np.cumsum(telling[terms])])
-    near = np.flatnonzero(told[ends] - told[starts] >= 3)
-    if not len(near):
+def search(terms: np.ndarray, table: np.ndarray, place: np.ndarray, weight: np.ndarray, index: np.ndarray | None, wanted: list, cosine: float, sure: float, likely: float) -> list[dict]:
+    """Items that a text holds; all its passages are looked at, some thousand words at a time.
+
+    ``table`` has the latent rows of the terms in use, or, if ``index`` is None, their products with all items.
+    """
+    best: dict[int, dict] = {}
+    if len(terms) == 0 or not wanted:
         return []
-    norms = np.concatenate([[0.0], np.cumsum(weight[terms].astype(np.float64) ** 2)])
     places = place[terms]
-    best: dict[int, dict] = {}
-    tried: set[tuple[int, int]] = set()
-    listed = None
-    for k in near:
-        at = places[starts[k] : ends[k]]
-        score = (index @ scaled[at[at >= 0]].sum(axis=0)) / np.sqrt(norms[ends[k]] - norms[starts[k]])
-        for j in np.flatnonzero(score >= cosine).tolist():
-            if listed is None:
-                listed = terms.tolist()
-            item, own = wanted[j]
-            reach = len(own)
-            region = listed[max(0, starts[k] - reach) : ends[k] + reach]
-            if (j, k - 1) in tried and j in best:
-                tried.add((j, k))
-                best[j]["cosine"] = max(best[j]["cosine"], float(score[j]))
+    blocks = -(-len(terms) // STRIDE)
+    squares = weight[terms].astype(np.float64) ** 2
+    for first in range(0, blocks, PART):
+        low, high = first * STRIDE, min(len(terms), (first + PART + 1) * STRIDE)
+        used = np.flatnonzero(places[low:high] >= 0)
+        if not len(used):
+            continue
+        n = -(-(high - low) // STRIDE)
+        edges = np.searchsorted(used, np.arange(n) * STRIDE)
+        held = edges < np.append(edges[1:], len(used))
+        sums = np.zeros((n, table.shape[1]), np.float32)
+        sums[held] = np.add.reduceat(table[places[low:high][used]], edges[held], axis=0)
+        norms = np.add.reduceat(squares[low:high], np.arange(n) * STRIDE)
+        if n > 1:
+            sums, norms = sums[:-1] + sums[1:], norms[:-1] + norms[1:]
+        scores = (sums if index is None else sums @ index.T) / np.sqrt(norms)[:, None]
+        last: dict[int, int] = {}
+        for k, j in np.argwhere(scores >= cosine).tolist():
+            item, own, bits, answer = wanted[j]
+            size = len(own)
+            if last.get(j) == k - 1 or (j in best and best[j]["words"] == 1.0):  # what was looked at around the passage before holds this one too
+                if j in best:
+                    best[j]["cosine"] = max(best[j]["cosine"], float(scores[k, j]))
                 continue
-            tried.add((j, k))
-            share = common_subsequence(own, region) / reach
+            last[j] = k
+            start = low + k * STRIDE
+            region = terms[max(0, start - size) : start + 3 * STRIDE + size].tolist()
+            share = common_subsequence(bits, size, region) / size
             if share < likely:
                 continue
-            end = common_subsequence(own[-ANSWER:], region) / len(own[-ANSWER:])
-            if share >= sure or end >= likely:
-                if j not in best or best[j]["words"] < share:
-                    best[j] = {"item": item, "cosine": max(float(score[j]), best.get(j, {}).get("cosine", 0.0)), "words": share, "answer": end}
+            tail = min(ANSWER, size)
+            end = common_subsequence(answer, tail, region) / tail
+            if (share >= sure or end >= likely) and (j not in best or best[j]["words"] < share):
+                best[j] = {"item": item, "cosine": max(float(scores[k, j]), best.get(j, {}).get("cosine", 0.0)), "words": share, "answer": end}
     return [best[j] for j in sorted(best)]
 
 
