@@ -1,3 +1,128 @@
-from tidewater.plans.registry import Registry
+"""Queries that run the streaming jobs over all there is, once, and read what they wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidewater.operators import cdc, serving
+from tidewater.plans import dlq, metrics, roles
+from tidewater.plans.queries_batch import ENVELOPE, LETTERS, STATES, STORM, TX, VALUE, _flat_storm, cumulated
+from tidewater.plans.registry import Registry, doubles
+from tidewater.plans.scratch import folder, run_once
+from tidewater.sources.streams import file_stream
+from tidewater.streaming import fraud as fraud_streams, metrics as metric_streams, sinks
+
 R = Registry()
 QUERIES, ORACLES = R.queries, R.sql
+
+#: Windows that the watermark, five seconds behind the newest row, has closed.
+CLOSED = "window_end <= (select max(event_time) - interval 5 second from tx where op = 'c')"
+
+
+def stream_of(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir}/{name}.parquet"
+    return file_stream(spark, f"{path[:-1]}[{path[-1]}]", spark.read.parquet(path).schema)  # a pattern, as a stream takes no single file by name
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roles.as_transactions(stream_of(spark, sf_dir, "events")).withWatermark("event_time", "5 seconds")
+
+
+@R.add(f"with {TX}, w as (select date_trunc('minute', event_time) as window_start, date_trunc('minute', event_time) + interval 1 minute as window_end, transaction_type as tx_type, count(*) as tx_count, {VALUE} as total_amount from tx where op = 'c' group by all) select * from w where {CLOSED}")
+def stream_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doubles(run_once(metric_streams.tumbling_metric(transactions(spark, sf_dir), metrics.TIMESERIES), "timeseries"))
+
+
+@R.add(f"with {TX}, w as ({cumulated('transaction_type', f'count(*) as tx_count, {VALUE} as total_value, {STATES}').replace('select window_start, window_end, transaction_type,', 'select window_start, window_end, transaction_type as tx_type,')}) select * from w where {CLOSED}")
+def stream_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doubles(run_once(metric_streams.cumulative_metric(transactions(spark, sf_dir), metrics.BREAKDOWN), "breakdown"))
+
+
+@R.add(f"with {TX}, w as ({cumulated('', f'count(*) as total_count, {VALUE} as total_value, {STATES}, cast(count(*) filter (where status = chr(99) || chr(111) || chr(109) || chr(112) || chr(108) || chr(101) || chr(116) || chr(101) || chr(100)) * 100.0 / nullif(count(*), 0) as decimal(5,2))::double as success_rate, count(distinct account_id) as active_users')}) select * from w where {CLOSED}")
+def stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doubles(run_once(metric_streams.cumulative_metric(transactions(spark, sf_dir), metrics.KPI), "kpi"))
+
+
+@R.add(f"with {TX}, v as (select 'VELOCITY_FRAUD' as alert_type, 'MEDIUM' as severity, account_id, count(*) as tx_count, 2::bigint as threshold, date_trunc('hour', event_time) as s from tx group by account_id, s having count(*) > 2) select alert_type, severity, account_id, tx_count, threshold, epoch_ms(s) as window_start_ms, epoch_ms(s) + 3600000 as window_end_ms from v where s + interval 1 hour <= (select max(event_time) - interval 5 second from tx)")
+def stream_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_once(fraud_streams.velocity(transactions(spark, sf_dir), "1 HOUR", 2), "velocity")
+
+
+@R.add(STORM)
+def stream_failure_storm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat_storm(run_once(fraud_streams.failure_storm(transactions(spark, sf_dir), 4320, 4), "storm"))
+
+
+@R.add("""with recursive a as (select user_id as account_id, case when event_id % 3 = 0 then 'LARGE_AMOUNT' when event_id % 3 = 1 then 'VELOCITY_FRAUD' else 'OTHER' end as alert_type, case when event_id % 2 = 0 then '' else 'LOW' end as severity, epoch_us(ts) // 1000 as at_ms, event_id from events),
+    s as (select *, case when severity <> '' then severity when alert_type = 'LARGE_AMOUNT' then 'HIGH' when alert_type = 'VELOCITY_FRAUD' then 'MEDIUM' else 'LOW' end as sev from a),
+    o as (select *, row_number() over (partition by account_id order by at_ms, alert_type) as k from s where sev <> 'LOW'),
+    fold as (select *, at_ms as sent, 'EMAIL_SENT' as action from o where k = 1
+        union all select o.*, case when o.at_ms - f.sent >= 86400000 then o.at_ms else f.sent end, case when o.at_ms - f.sent >= 86400000 then 'EMAIL_SENT' else 'EMAIL_THROTTLED' end from fold f join o on o.account_id = f.account_id and o.k = f.k + 1)
+    select event_id, account_id, sev as severity, action from fold union all select event_id, account_id, sev, 'LOGGED_ONLY' from s where sev = 'LOW'""")
+def stream_alert_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("event_id") % 3 == 0, "LARGE_AMOUNT").when(F.col("event_id") % 3 == 1, "VELOCITY_FRAUD").otherwise("OTHER")
+    alerts = stream_of(spark, sf_dir, "events").select(F.col("user_id").alias("account_id"), kind.alias("alert_type"), F.when(F.col("event_id") % 2 == 0, "").otherwise("LOW").alias("severity"), F.unix_millis(F.col("ts").cast("timestamp")).alias("at_ms"), "event_id")
+    return run_once(fraud_streams.route(alerts, 86400), "routing").select("event_id", "account_id", "severity", "action")
+
+
+@R.add(f"with {LETTERS} select dlq_offset, category, original_offset, message_key from d")
+def stream_dlq_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = lambda k, v: F.struct(F.lit(dlq.PREFIX + k).alias("key"), v.cast("binary").alias("value"))
+    n = F.col("event_id")
+    from tidewater.functions.scalars import cycled
+
+    headers = F.array(h("offset", F.when(n % 5 == 0, "x").otherwise(n.cast("string"))), h("exception.class.name", cycled(roles.ERRORS, n)))
+    records = stream_of(spark, sf_dir, "events").where("event_type = 'error'").select(F.lit("dlq.sink-a").alias("topic"), F.lit(0).alias("partition"), n.alias("offset"), F.col("user_id").cast("string").cast("binary").alias("key"), F.col("props").cast("binary").alias("value"), F.when(n % 4 != 0, headers).alias("headers"))
+    return run_once(dlq.dlq_events(records), "dlq").select("dlq_offset", "category", "original_offset", "message_key")
+
+
+@R.add("select strftime(ts, '%Y')::int as year, strftime(ts, '%m')::int as month, strftime(ts, '%d')::int as day, strftime(ts, '%H')::int as hour, count(*) as n, sum(event_id)::bigint as ids from events group by all")
+def stream_bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = folder(spark, "bronze")
+    rows = stream_of(spark, sf_dir, "events").withColumn("event_time", F.col("ts").cast("timestamp"))
+    sinks.land(rows, f"{where}/rows", f"{where}/checkpoint", once=True).awaitTermination()
+    landed = spark.read.parquet(f"{where}/rows")
+    return landed.groupBy(*[F.col(c).cast("int").alias(c) for c in ("year", "month", "day", "hour")]).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+@R.add(f"with {ENVELOPE}, r as (select *, row_number() over (partition by account_id order by ts_ms desc, (op = 'd')::int desc) as rn from e) select account_id, account_type, balance from r where rn = 1 and op <> 'd'")
+def stream_current_state_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change stream of accounts, upserted by key; two runs of the same changes leave the same table."""
+    where = folder(spark, "mirror")
+    row = F.struct(F.col("o_custkey").alias("account_id"), F.col("o_orderpriority").alias("account_type"), F.col("o_totalprice").cast("decimal(19,4)").cast("string").alias("balance"))
+    op = F.when(F.col("o_orderkey") % 9 == 0, "d").when(F.col("o_orderkey") % 3 == 0, "u").otherwise("c")
+    changes = stream_of(spark, sf_dir, "orders").select(op.alias("op"), (F.unix_millis(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey")).alias("ts_ms"), F.when(F.col("o_orderkey") % 3 == 0, row).alias("before"), F.when(F.col("o_orderkey") % 9 != 0, row).alias("after"))
+    for run in (1, 2):
+        sinks.each_batch(cdc.unwrap(changes, ["account_id"], "none"), sinks.mirror(f"{where}/rows", ["account_id"]), f"{where}/checkpoint{run}", once=True).awaitTermination()
+    return spark.read.parquet(f"{where}/rows").drop("bucket")
+
+
+@R.add("select event_id % 7 = 0 as bad, count(*) as n from events group by 1")
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = folder(spark, "quarantine")
+    rows = roles.as_transactions(stream_of(spark, sf_dir, "events")).select("transaction_id", F.when(F.col("transaction_id") % 7 == 0, "abc").otherwise(F.col("amount")).alias("amount"))
+    sinks.each_batch(rows, sinks.quarantined({"amount": "decimal(19,4)"}, f"{where}/good", f"{where}/bad", "sink-a", "bank.transactions"), f"{where}/checkpoint", once=True).awaitTermination()
+    count = lambda name, bad: spark.read.parquet(f"{where}/{name}").agg(F.count("*").alias("n")).select(F.lit(bad).alias("bad"), "n")
+    return count("good", False).union(count("bad", True))
+
+
+@R.add(f"with {TX}, w as (select date_trunc('minute', event_time) as window_start, transaction_type as tx_type, count(*) as tx_count, date_trunc('minute', event_time) + interval 1 minute as window_end from tx where op = 'c' group by all) select window_start, tx_type, tx_count from w where {CLOSED}")
+def stream_served_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metric ingested twice, as a replay does; the read keeps one version of each key."""
+    where = folder(spark, "served")
+    for run in (1, 2):
+        stream = metric_streams.tumbling_metric(transactions(spark, sf_dir), metrics.TIMESERIES)
+        sinks.each_batch(stream, sinks.serve(f"{where}/rows", "window_start"), f"{where}/checkpoint{run}", once=True).awaitTermination()
+    return serving.last_version(spark.read.parquet(f"{where}/rows"), serving.KEYS["timeseries"]).select("window_start", "tx_type", "tx_count")
+
+
+@R.add("select o_custkey as account_id, count(*) as n from orders where o_orderstatus = 'F' group by 1")
+def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions of a table; the second, as of its time, after a rollback to the first."""
+    where = folder(spark, "snapshots")
+    accounts = roles.accounts(spark, sf_dir)
+    held = serving.Snapshots(spark, where)
+    held.commit(accounts.where("account_status = 'O'"), at="2024-01-01")
+    held.commit(accounts.where("account_status = 'F'"), at="2024-01-02")
+    held.rollback(1, at="2024-01-03")
+    return held.read(as_of="2024-01-02 12:00:00").groupBy(F.col("customer_id").alias("account_id")).agg(F.count("*").alias("n"))
