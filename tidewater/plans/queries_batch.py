@@ -54,7 +54,7 @@ def metric_custom_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BRONZE = """t as (select l_orderkey * 10 + l_linenumber as transaction_id, l_orderkey as account_id, l_returnflag as transaction_type, cast(cast(l_extendedprice as decimal(19,4)) as varchar) as amount, 'USD' as currency,
-    case when l_linestatus = 'F' then 'failed' else 'completed' end as status, case when l_linenumber <> 7 then l_shipdate end as posted_at from lineitem),
+    case when l_linestatus = 'F' then 'failed' else 'completed' end as status, l_shipdate as posted_at from lineitem),
     silver as (select t.transaction_id, t.transaction_type, t.amount, t.currency, t.status, t.posted_at, o.o_orderkey as account_id, o.o_orderpriority as account_type, 'AC' || lpad(o.o_orderkey::varchar, 10, '0') as account_number,
     c.c_custkey as customer_id, c.c_name as customer_name, n.n_name as country_code, c.c_mktsegment as kyc_status, (c.c_custkey * 7 % 101)::int as risk_score, year(t.posted_at)::int as year, month(t.posted_at)::int as month, day(t.posted_at)::int as day
     from t join orders o on t.account_id = o.o_orderkey join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey)"""

@@ -42,7 +42,7 @@ def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("l_linestatus") == "F", "failed").otherwise("completed")
     return table(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("transaction_id"), F.col("l_orderkey").alias("account_id"), F.col("l_returnflag").alias("transaction_type"), F.col("l_extendedprice").cast(MONEY).cast("string").alias("amount"),
-        F.lit("USD").alias("currency"), status.alias("status"), F.when(F.col("l_linenumber") != 7, F.col("l_shipdate")).alias("posted_at"),
+        F.lit("USD").alias("currency"), status.alias("status"), F.col("l_shipdate").alias("posted_at"),
     )
 
 
