@@ -75,7 +75,7 @@ def test_components_of_chains_and_stars(spark):
 def test_keys_meet_within_the_guaranteed_distance():
     rng = np.random.default_rng(0)
     for _ in range(200):
-        a = rng.integers(0, 2**16, near_dedup.SYMBOLS, dtype=np.uint64)
+        a = rng.integers(0, 2**16, near_dedup.SKETCH, dtype=np.uint64)
         b = a.copy()
         at = rng.choice(near_dedup.SYMBOLS, 2 * near_dedup.CHUNKS - 1, replace=False)
         b[at] = rng.integers(0, 2**16, len(at), dtype=np.uint64)

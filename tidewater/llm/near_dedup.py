@@ -4,8 +4,8 @@ A text's set holds the hashes of its distinct ``shingle``-word shingles (ASCII l
 words, the whole sequence is one). Its signature is 60 symbols of 16 bits, one for each MinHash. Two signatures at
 distance d differ in d symbols. They are split into 12 chunks of 5 symbols and each chunk may hold one error, which
 is enumerated as 5 keys that each leave one symbol out. By the pigeonhole principle every pair at distance 23 or
-less meets in some key; of pairs at similarity 0.8 all but one in ten million do. Pairs that meet are tested on the
-distance (SIFT at most) and then on their full sets.
+less meets in some key; of pairs at similarity 0.8 all but one in ten million do. Pairs that meet are tested on a longer
+sketch (AGREE of 192 symbols equal, which all but one in a million pairs at 0.8 reach) and then on their full sets.
 
 Only components are asked for, so a bucket of many texts never gives all its pairs. First each member is tested
 against the bucket's least member. Buckets that hold several components then test the members outside the largest
@@ -30,13 +30,15 @@ from tidewater.llm.common import checkpointed, slices, utf8
 
 CHUNKS, WIDE = 12, 5
 SYMBOLS = CHUNKS * WIDE
-#: Five standard deviations over the mean distance of pairs at similarity 0.8.
-SIFT = 28
+#: More MinHashes of 8 bits each, with the first 60 packed into words of 8, tell unlike pairs before their sets are read.
+SKETCH = 192
+#: Five standard deviations under the mean agreement of pairs at similarity 0.8, 153.6 of 192.
+AGREE = 126
 #: Ids of texts to read again are broadcast up to this number, 8 bytes each; beyond it both sides are shuffled.
 BROADCAST_IDS = 200_000
 DRAWN = np.random.default_rng(60)
-SLOPES = DRAWN.integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-SHIFTS = DRAWN.integers(0, 2**63, SYMBOLS, dtype=np.uint64)
+SLOPES = DRAWN.integers(0, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+SHIFTS = DRAWN.integers(0, 2**63, SKETCH, dtype=np.uint64)
 PLACES = DRAWN.integers(0, 2**63, (CHUNKS, WIDE), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LEFT_OUT = DRAWN.integers(0, 2**63, (CHUNKS, WIDE), dtype=np.uint64)
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -63,15 +65,36 @@ def shingle_set(data: bytes, shingle: int) -> np.ndarray:
 
 
 def signature(own: np.ndarray) -> np.ndarray:
-    least = np.full(SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
+    least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(own), 2048):
         least = np.minimum(least, (SLOPES[:, None] * own[None, at : at + 2048] + SHIFTS[:, None]).min(axis=1))
     return mixed(least) >> np.uint64(48)
 
 
+def packed(symbols: np.ndarray) -> np.ndarray:
+    """The low bytes of all symbols, 8 to a word."""
+    return symbols.astype(np.uint8).view(np.int64)
+
+
+def agreement(a: str, b: str):
+    """Column: how many bytes of two packed sketches are equal; bit operations only."""
+    different = F.lit(0)
+    for k in range(SKETCH // 8):
+        x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
+        for shift in (4, 2, 1):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
+        different = different + F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    return F.lit(SKETCH) - different
+
+
+def alike(percent: int):
+    """Column over n_a, n_b, s_a and s_b: what sizes and sketches do not rule out."""
+    return (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (agreement("s_a", "s_b") >= AGREE)
+
+
 def chunk_keys(symbols: np.ndarray) -> np.ndarray:
     """The keys of all chunks: each chunk's symbols but one."""
-    parts = symbols.reshape(CHUNKS, WIDE) * PLACES
+    parts = symbols[:SYMBOLS].reshape(CHUNKS, WIDE) * PLACES
     parts = mixed(parts)
     return mixed(parts.sum(axis=1, keepdims=True) - parts + LEFT_OUT).reshape(-1).view(np.int64)
 
@@ -88,7 +111,7 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def signed(docs: DataFrame, shingle: int) -> DataFrame:
-    """From (__id, __text): id, ``n`` (set size), ``same`` (a digest of the set), ``symbols`` and ``keys``."""
+    """From (__id, __text): id, ``n`` (set size), ``same`` (a digest of the set), ``symbols`` (the packed sketch) and ``keys``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
@@ -98,20 +121,19 @@ def signed(docs: DataFrame, shingle: int) -> DataFrame:
                 sizes.append(len(own))
                 same.append(xxhash.xxh3_128_digest(own.tobytes()))
                 held = signature(own) if len(own) else None
-                symbols.append(None if held is None else held.astype(np.int32))
+                symbols.append(None if held is None else packed(held))
                 keys.append(None if held is None else chunk_keys(held))
-            columns = [pa.array(sizes, pa.int64()), pa.array(same, pa.binary()), pa.array(symbols, pa.list_(pa.int32())), pa.array(keys, pa.list_(pa.int64()))]
+            columns = [pa.array(sizes, pa.int64()), pa.array(same, pa.binary()), pa.array(symbols, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([batch.column("__id"), *columns], ["__id", "n", "same", "symbols", "keys"])
 
-    return docs.mapInArrow(run, f"__id {docs.schema['__id'].dataType.simpleString()}, n long, same binary, symbols array<int>, keys array<long>")
+    return docs.mapInArrow(run, f"__id {docs.schema['__id'].dataType.simpleString()}, n long, same binary, symbols array<long>, keys array<long>")
 
 
 def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b) of representatives, those whose sets are alike: first by size and distance, then in full."""
+    """Of the pairs (a, b) of representatives, those whose sets are alike: first by size and sketch, then in full."""
     a = reps.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("symbols").alias("s_a"))
     b = reps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("symbols").alias("s_b"))
-    distance = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.when(x == y, 0).otherwise(1)), F.lit(0), lambda t, x: t + x)
-    likely = pairs.join(a, "a").join(b, "b").where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (distance <= SIFT))
+    likely = pairs.join(a, "a").join(b, "b").where(alike(percent))
     likely = checkpointed(likely.select("a", "b"))
     needed = likely.select(F.col("a").alias("__id")).union(likely.select(F.col("b").alias("__id"))).distinct()
     if needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
@@ -182,9 +204,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         groups = components(links)
         placed, outside, pairs = mixed_buckets(groups)
     if pairs:
-        left = outside.select("key", F.col("rep").alias("a"), F.col("component").alias("c_a"))
-        right = placed.select("key", F.col("rep").alias("b"), F.col("component").alias("c_b"))
-        rest = left.join(right, "key").where("c_a <> c_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        known = reps.select("rep", "n", "symbols")
+        left = outside.join(known, "rep").select("key", F.col("rep").alias("a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), F.col("symbols").alias("s_a"))
+        right = placed.join(known, "rep").select("key", F.col("rep").alias("b"), F.col("component").alias("c_b"), F.col("n").alias("n_b"), F.col("symbols").alias("s_b"))
+        # all of it is part of the join's condition, so that only pairs that may be alike become rows
+        rest = left.join(right.withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & (F.col("c_a") != F.col("c_b")) & alike(percent))
+        rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         groups = components(groups.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(found(rest)))
     final = checkpointed(least.join(groups, F.col("rep") == F.col("id"), "left").select("same", F.coalesce("component", "rep").alias("component_id")))
     out = rows.select("__id", "n", "same").join(final, "same", "left")
