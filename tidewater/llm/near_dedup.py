@@ -172,8 +172,8 @@ def components(edges: DataFrame) -> DataFrame:
         held = checkpointed(small.distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of the input: id, ``n_shingles``, ``component_id`` and ``kept``."""
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", many: int = 1_000_000) -> DataFrame:
+    """Per row of the input: id, ``n_shingles``, ``component_id`` and ``kept``. ``many`` untested pairs call for drawn tests first."""
     narrow = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     rows = checkpointed(signed(narrow, shingle))
     known = rows.where("n > 0 and __id is not null")
@@ -198,7 +198,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
 
     groups = components(links)
     placed, outside, pairs = mixed_buckets(groups)
-    if pairs > 1_000_000:
+    if pairs > many:
         drawn = placed.where("component = top").groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep").alias("draw"), "rep")).alias("d")).select("key", F.col("d.rep").alias("a"))
         links = groups.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(found(outside.select("key", F.col("rep").alias("b")).join(checkpointed(drawn), "key").select("a", "b")))
         groups = components(links)

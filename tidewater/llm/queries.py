@@ -104,6 +104,16 @@ ORACLES = {
             coalesce(string_agg(mask, ',' order by turn, role, text) filter (where not prompt and side = 0), '') as chosen_mask,
             coalesce(string_agg(mask, ',' order by turn, role, text) filter (where not prompt and side = 1), '') as rejected_mask
         from k group by pair_id""",
+    "op5_near_dedup": r"""
+        with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') as ws from documents),
+        s as (select doc_id, unnest(case when len(ws) >= 4 then list_distinct(list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' '))) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as sh from w),
+        n as (select doc_id, count(*) as n from s group by doc_id),
+        p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id group by all),
+        l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+        e as (select a as x, b as y from l union all select b, a from l),
+        r(id, seen) as (select doc_id, doc_id from documents union select r.id, e.y from r join e on e.x = r.seen),
+        m as (select id, min(seen) as component_id from r group by id)
+        select d.doc_id, coalesce(n.n, 0) as n_shingles, m.component_id, d.doc_id = m.component_id as kept from documents d join m on m.id = d.doc_id left join n on n.doc_id = d.doc_id""",
     "op6_source_mix": r"""
         with d as (
             select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size, coalesce(length(text), 0) as chars
