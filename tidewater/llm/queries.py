@@ -105,8 +105,8 @@ ORACLES = {
             coalesce(string_agg(mask, ',' order by turn, role, text) filter (where not prompt and side = 1), '') as rejected_mask
         from k group by pair_id""",
     "op5_near_dedup": r"""
-        with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') as ws from documents),
-        s as (select doc_id, unnest(case when len(ws) >= 4 then list_distinct(list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' '))) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as sh from w),
+        with recursive w as (select doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] as ws from documents),
+        s as (select doc_id, unnest(case when len(ws) >= 4 then list_distinct([array_to_string(ws[i:i + 3], ' ') for i in range(1, len(ws) - 2)]) when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as sh from w),
         n as (select doc_id, count(*) as n from s group by doc_id),
         p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id group by all),
         l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
