@@ -24,11 +24,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import lowered, slices, utf8
+from tidewater.llm.common import checkpointed, lowered, slices, utf8
 
 TERMS = 1 << 15
 STRIDE = 16
 ANSWER = 6
+#: Inverse document frequency under which a term is in half of all texts.
+COMMON = 0.7
 #: Blocks of STRIDE words that are scored together.
 PART = 256
 PUNCTUATION = string.punctuation.encode()
@@ -48,20 +50,32 @@ class Vocabulary(dict):
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
-def document_frequencies(docs: DataFrame, text_col: str) -> tuple[int, np.ndarray]:
+def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row: ``__id`` and ``terms``, the text's terms in order, two bytes each; texts are cut into words once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Vocabulary()
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array([known.terms(t).astype(np.uint16).tobytes() for t in utf8(batch, "__text")], pa.binary())], ["__id", "terms"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, f"__id {kind}, terms binary")
+
+
+def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
     """Rows of the table and, for each term, the rows that hold it; over all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, rows = Vocabulary(), np.zeros(TERMS + 1, np.int64), 0
+        held, n = np.zeros(TERMS + 1, np.int64), 0
         for batch in slices(batches):
-            for text in utf8(batch, "__text"):
-                held[np.unique(known.terms(text))] += 1
-                rows += 1
-        held[TERMS] = rows
+            for terms in batch.column("terms").to_pylist():
+                held[np.unique(np.frombuffer(terms, np.uint16))] += 1
+                n += 1
+        held[TERMS] = n
         used = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(held[used], pa.int64())], ["term", "n"])
 
-    counted = docs.select(F.col(text_col).alias("__text")).mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()  # at most TERMS + 1 rows
+    counted = rows.select("terms").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()  # at most TERMS + 1 rows
     out = np.zeros(TERMS + 1, np.int64)
     out[counted["term"].to_numpy(int)] = counted["n"].to_numpy(np.int64)
     return int(out[TERMS]), out[:TERMS]
@@ -140,7 +154,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float
     known = Vocabulary()
     items = [(r[0], known.terms((r[1] or "").encode())) for r in benchmark.select(item_col, item_text_col).where(F.col(item_col).isNotNull()).toLocalIterator()]
     items = [(i, t) for i, t in items if len(t) >= least]
-    n, held = document_frequencies(docs, text_col)
+    texts = checkpointed(hashed(docs, id_col, text_col))
+    n, held = document_frequencies(texts)
     idf = np.maximum(np.log((n + 1) / (held + 1)), 0.05).astype(np.float32)
     item_kind = benchmark.schema[item_col].dataType
     found = f"array<struct<item:{item_kind.simpleString()},cosine:double,words:double,answer:double>>"
@@ -158,6 +173,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float
         basis = np.zeros((TERMS, vectors.shape[1]), np.float32)
         basis[used] = vectors
         latent = np.array([np.array(w, np.float32) @ basis[t] for t, w in rows], np.float32).reshape(len(rows), vectors.shape[1])
+        # terms of half of all texts tell little and cost most; an item of few others keeps them
+        told = np.zeros(TERMS, bool)
+        for t, _ in rows:
+            own = np.array(t)
+            told[own if (idf[own] >= COMMON).sum() < least else own[idf[own] >= COMMON]] = True
+        used = used[told[used]]
         scaled = basis[used] * idf[used, None]
         few = len(rows) <= rank
         shared = spark.sparkContext.broadcast((scaled @ latent.T if few else scaled, used, idf, None if few else latent, [(i, t.tolist(), word_bits(t.tolist()), word_bits(t.tolist()[-ANSWER:])) for i, t in part]))  # terms in use x rank
@@ -166,15 +187,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float
             rows, own, weight, index, wanted = shared.value
             place = np.full(TERMS, -1, np.int32)
             place[own] = np.arange(len(own))
-            vocabulary = Vocabulary()
             for batch in slices(batches):
                 hits = []
-                for text in utf8(batch, "__text"):
-                    hits.append(search(vocabulary.terms(text), rows, place, weight, index, wanted, cosine, sure, likely))
+                for held in batch.column("terms").to_pylist():
+                    hits.append(search(np.frombuffer(held, np.uint16), rows, place, weight, index, wanted, cosine, sure, likely))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:1], pa.array(hits, pa.list_(pa.struct([("item", pa.int64() if item_kind.typeName() in ("long", "integer") else pa.string()), ("cosine", pa.float64()), ("words", pa.float64()), ("answer", pa.float64())])))], ["__id", "items"])
 
         kind = found if item_kind.typeName() in ("long", "string") else found.replace(item_kind.simpleString(), "bigint", 1)
-        texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
         if out is None:
             out = texts.mapInArrow(run, f"__id {id_kind}, items {kind}")
         else:
