@@ -104,6 +104,31 @@ def test_leaks(spark):
     assert blocks.where("contaminated").count() == 60 and blocks.count() == docs.where("doc_id <> 302").count()
 
 
+def test_leaks_of_a_large_benchmark_equal_brute_force(spark):
+    rng = random.Random(11)
+    words = ["".join(rng.choice(["th", "er", "on", "ba", "mi", "so"]) for _ in range(rng.randrange(2, 6))) for _ in range(3000)]
+    said = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [said(rng.randrange(15, 60)) for _ in range(1200)]
+    texts = [said(rng.randrange(40, 200)) for _ in range(90)]
+    for i in range(60):  # verbatim, and without every ninth word
+        item = items[i * 20]
+        texts[i][30:30] = item if i % 2 else [w for n, w in enumerate(item) if n % 9]
+    texts += [items[7], items[8]]
+    terms = decontamination.Vocabulary()
+    own = [terms.terms(" ".join(t).encode()).tolist() for t in texts]
+    truth = set()
+    for j, item in enumerate(items):
+        t = terms.terms(" ".join(item).encode()).tolist()
+        bits = decontamination.word_bits(t)
+        truth |= {(i, j) for i, text in enumerate(own) if decontamination.common_subsequence(bits, len(t), text) >= 0.8 * len(t)}
+    assert len(truth) == 62
+    docs = table(spark, [(i, " ".join(t), "s") for i, t in enumerate(texts)])
+    bench = spark.createDataFrame([(j, " ".join(t)) for j, t in enumerate(items)], "item_id long, text string")
+    for settings in ({}, {"held": 0.0, "rank": 1300}, {"held": 2.0}):  # as it comes, all latent, all by terms
+        got = {(r.doc_id, x.item) for r in decontamination.leaks(docs, bench, **settings).collect() for x in r["items"]}
+        assert got == truth, settings
+
+
 def test_svd_equals_numpy(spark):
     rng = np.random.default_rng(1)
     dense = np.zeros((40, 60))

@@ -5,7 +5,10 @@ counted over all documents. The index is the matrix of the benchmark items' TF-I
 dimensions by a randomised SVD: its products with the matrix run in Spark tasks, which send sums per term; only
 matrices bounded by terms x rank reach the driver. Every document is read as passages of 32 words, 16 apart. Each passage
 is projected, and an item is a candidate where the cosine is ``cosine`` or more (against the passage's whole TF-IDF
-norm, so that unknown words count). The candidate is checked on the words:
+norm, so that unknown words count). ``rank`` dimensions hold a benchmark of so many items in full and ever less of a larger one:
+an item of whose squared length they hold less than ``held`` is searched by its terms' lists of items instead, which give
+the cosine itself. For the others, what the dimensions dropped could add to the cosine is taken off the limit, so no
+passage over it is lost. The candidate is checked on the words:
 the longest common subsequence of the item and the passage with an item's length around it must hold ``sure`` of the
 item's words, or ``likely`` of them and as much of its answer, its last six words.
 
@@ -148,15 +151,15 @@ def common_subsequence(where: dict[int, int], size: int, text: list[int]) -> int
     return size - row.bit_count()
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float = 0.3, sure: float = 0.8, likely: float = 0.6, least: int = 5, block: int = 20_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float = 0.3, sure: float = 0.8, likely: float = 0.6, least: int = 5, block: int = 20_000, held: float = 0.99, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Per row of the documents: id, ``items`` (item, best cosine, share of its words, share of its answer) and ``contaminated``."""
     spark = docs.sparkSession
     known = Vocabulary()
     items = [(r[0], known.terms((r[1] or "").encode())) for r in benchmark.select(item_col, item_text_col).where(F.col(item_col).isNotNull()).toLocalIterator()]
     items = [(i, t) for i, t in items if len(t) >= least]
     texts = checkpointed(hashed(docs, id_col, text_col))
-    n, held = document_frequencies(texts)
-    idf = np.maximum(np.log((n + 1) / (held + 1)), 0.05).astype(np.float32)
+    n, df = document_frequencies(texts)
+    idf = np.maximum(np.log((n + 1) / (df + 1)), 0.05).astype(np.float32)
     item_kind = benchmark.schema[item_col].dataType
     found = f"array<struct<item:{item_kind.simpleString()},cosine:double,words:double,answer:double>>"
     id_kind = docs.schema[id_col].dataType.simpleString()
@@ -178,19 +181,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float
         for t, _ in rows:
             own = np.array(t)
             told[own if (idf[own] >= COMMON).sum() < least else own[idf[own] >= COMMON]] = True
-        used = used[told[used]]
+        kept = (latent.astype(np.float64) ** 2).sum(axis=1)  # of 1, the squared length of an item
+        order = np.argsort(kept < held, kind="stable")  # first the items that the dimensions hold, then those searched by terms
+        index, lists = latent[kept >= held], term_lists([rows[j] for j in order[len(rows) - int((kept < held).sum()) :]], told, idf)
+        limits = np.append(cosine - np.sqrt(np.maximum(1 - kept[kept >= held], 0)), np.full(int((kept < held).sum()), cosine))
+        used = used[told[used]] if len(index) else used[:0]
         scaled = basis[used] * idf[used, None]
-        few = len(rows) <= rank
-        shared = spark.sparkContext.broadcast((scaled @ latent.T if few else scaled, used, idf, None if few else latent, [(i, t.tolist(), word_bits(t.tolist()), word_bits(t.tolist()[-ANSWER:])) for i, t in part]))  # terms in use x rank
+        few = len(index) <= rank
+        shared = spark.sparkContext.broadcast((scaled @ index.T if few else scaled, used, idf, None if few else index, lists, limits, [(i, t.tolist(), word_bits(t.tolist()), word_bits(t.tolist()[-ANSWER:])) for i, t in (part[j] for j in order)]))  # terms in use x rank
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rows, own, weight, index, wanted = shared.value
+            rows, own, weight, index, lists, limits, wanted = shared.value
             place = np.full(TERMS, -1, np.int32)
             place[own] = np.arange(len(own))
             for batch in slices(batches):
                 hits = []
-                for held in batch.column("terms").to_pylist():
-                    hits.append(search(np.frombuffer(held, np.uint16), rows, place, weight, index, wanted, cosine, sure, likely))
+                for terms in batch.column("terms").to_pylist():
+                    hits.append(search(np.frombuffer(terms, np.uint16), rows, place, weight, index, lists, limits, wanted, sure, likely))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:1], pa.array(hits, pa.list_(pa.struct([("item", pa.int64() if item_kind.typeName() in ("long", "integer") else pa.string()), ("cosine", pa.float64()), ("words", pa.float64()), ("answer", pa.float64())])))], ["__id", "items"])
 
         kind = found if item_kind.typeName() in ("long", "string") else found.replace(item_kind.simpleString(), "bigint", 1)
@@ -203,10 +210,46 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float
     return out.select(F.col("__id").alias(id_col), "items", (F.size("items") > 0).alias("contaminated"))
 
 
-def search(terms: np.ndarray, table: np.ndarray, place: np.ndarray, weight: np.ndarray, index: np.ndarray | None, wanted: list, cosine: float, sure: float, likely: float) -> list[dict]:
+def term_lists(rows: list[tuple[list[int], list[float]]], told: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """For each term, where its items' numbers and weights begin, those numbers and weights, and how many items there are."""
+    terms = np.array([t for own, _ in rows for t in own], int)
+    values = np.array([w for _, own in rows for w in own], np.float64) * idf[terms]
+    numbers = np.repeat(np.arange(len(rows)), [len(own) for own, _ in rows])
+    order = np.flatnonzero(told[terms])
+    order = order[np.argsort(terms[order], kind="stable")]
+    return np.searchsorted(terms[order], np.arange(TERMS + 1)), numbers[order], values[order], len(rows)
+
+
+def listed(terms: np.ndarray, norms: np.ndarray, lists: tuple, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passages, items and cosines of the pairs over the items' limits, in order; the items are those of ``term_lists``."""
+    starts, numbers, values, many = lists
+    sizes = starts[terms.astype(int) + 1] - starts[terms]
+    ends = np.cumsum(sizes)
+    if not len(ends) or not ends[-1]:
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    at = np.arange(ends[-1]) + np.repeat(starts[terms] - (ends - sizes), sizes)
+    block = np.repeat(np.arange(len(terms)) // STRIDE, sizes)
+    # a block of words is the first half of its passage and the second of the one before
+    keys = np.concatenate([block * many + numbers[at], (block - 1) * many + numbers[at]])
+    inside = (keys >= 0) & (keys < len(norms) * many)
+    keys, added = keys[inside], np.tile(values[at], 2)[inside]
+    if len(norms) * many <= 8 * len(keys):
+        sums = np.bincount(keys, added, len(norms) * many)
+        keys = np.flatnonzero(sums)
+        sums = sums[keys]
+    else:
+        keys, own = np.unique(keys, return_inverse=True)
+        sums = np.bincount(own, added)
+    scores = sums / np.sqrt(norms[keys // many])
+    over = scores >= limits[keys % many]
+    return keys[over] // many, keys[over] % many, scores[over]
+
+
+def search(terms: np.ndarray, table: np.ndarray, place: np.ndarray, weight: np.ndarray, index: np.ndarray | None, lists: tuple, limits: np.ndarray, wanted: list, sure: float, likely: float) -> list[dict]:
     """Items that a text holds; all its passages are looked at, some thousand words at a time.
 
-    ``table`` has the latent rows of the terms in use, or, if ``index`` is None, their products with all items.
+    ``table`` has the latent rows of the terms in use, or, if ``index`` is None, their products with the first items;
+    ``lists`` has the other items, by term.
     """
     best: dict[int, dict] = {}
     if len(terms) == 0 or not wanted:
@@ -217,24 +260,34 @@ def search(terms: np.ndarray, table: np.ndarray, place: np.ndarray, weight: np.n
     for first in range(0, blocks, PART):
         low, high = first * STRIDE, min(len(terms), (first + PART + 1) * STRIDE)
         used = np.flatnonzero(places[low:high] >= 0)
-        if not len(used):
+        if not len(used) and not lists[3]:
             continue
         n = -(-(high - low) // STRIDE)
-        edges = np.searchsorted(used, np.arange(n) * STRIDE)
-        held = edges < np.append(edges[1:], len(used))
-        sums = np.zeros((n, table.shape[1]), np.float32)
-        sums[held] = np.add.reduceat(table[places[low:high][used]], edges[held], axis=0)
         norms = np.add.reduceat(squares[low:high], np.arange(n) * STRIDE)
         if n > 1:
-            sums, norms = sums[:-1] + sums[1:], norms[:-1] + norms[1:]
-        scores = (sums if index is None else sums @ index.T) / np.sqrt(norms)[:, None]
+            norms = norms[:-1] + norms[1:]
+        found: list[tuple[int, int, float]] = []
+        if len(used):
+            edges = np.searchsorted(used, np.arange(n) * STRIDE)
+            held = edges < np.append(edges[1:], len(used))
+            sums = np.zeros((n, table.shape[1]), np.float32)
+            sums[held] = np.add.reduceat(table[places[low:high][used]], edges[held], axis=0)
+            if n > 1:
+                sums = sums[:-1] + sums[1:]
+            scores = (sums if index is None else sums @ index.T) / np.sqrt(norms)[:, None]
+            over = np.nonzero(scores >= limits[: scores.shape[1]])
+            found += zip(*(a.tolist() for a in over), scores[over].tolist(), strict=True)
+        if lists[3]:
+            first_listed = len(wanted) - lists[3]
+            k, j, scored = listed(terms[low:high], norms, lists, limits[first_listed:])
+            found += zip(k.tolist(), (j + first_listed).tolist(), scored.tolist(), strict=True)
         last: dict[int, int] = {}
-        for k, j in np.argwhere(scores >= cosine).tolist():
+        for k, j, score in found:
             item, own, bits, answer = wanted[j]
             size = len(own)
             if last.get(j) == k - 1 or (j in best and best[j]["words"] == 1.0):  # what was looked at around the passage before holds this one too
                 if j in best:
-                    best[j]["cosine"] = max(best[j]["cosine"], float(scores[k, j]))
+                    best[j]["cosine"] = max(best[j]["cosine"], score)
                 continue
             last[j] = k
             start = low + k * STRIDE
@@ -245,7 +298,7 @@ def search(terms: np.ndarray, table: np.ndarray, place: np.ndarray, weight: np.n
             tail = min(ANSWER, size)
             end = common_subsequence(answer, tail, region) / tail
             if (share >= sure or end >= likely) and (j not in best or best[j]["words"] < share):
-                best[j] = {"item": item, "cosine": max(float(scores[k, j]), best.get(j, {}).get("cosine", 0.0)), "words": share, "answer": end}
+                best[j] = {"item": item, "cosine": max(score, best.get(j, {}).get("cosine", 0.0)), "words": share, "answer": end}
     return [best[j] for j in sorted(best)]
 
 
