@@ -153,6 +153,21 @@ def test_secret_scan(spark):
     assert secrets.scan(none, secrets.fit(secrets.rule_labels(none))).count() == 0
 
 
+def test_all_runs_of_a_word_are_candidates(spark):
+    one, two = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
+    texts = [f'aws_secret_access_key="{one}"', f'{{"service_account_key":"{one}","n":1}}', f"https://internal.example.org?token={two}", f'a{{"token":"{one}","id":"{two}"}}', f"{one}|{one}", "no_digits_in_this_run:1"]
+    df = spark.createDataFrame([(i, f"see {t} here", "s", "k") for i, t in enumerate(texts)], DOCS)
+    rows = secrets.candidates(df)
+    got = sorted((r.id, r.run_no, r.candidate) for r in rows.collect())
+    assert got == [(0, 1, one), (1, 1, one), (2, 1, f"token={two}"), (3, 0, one), (3, 1, two), (4, 0, one), (4, 1, one)]
+    marked = {(r.id, r.run_no): (r.label, r.f_named, r.f_assigned) for r in secrets.rule_labels(secrets.with_features(rows, [])).collect()}
+    assert marked[0, 1][1:] == marked[3, 0][1:] == (1.0, 1.0)
+    assert marked[2, 1] == (1.0, 1.0, 1.0) and marked[3, 1][:2] == (0.0, 0.0)  # the other secret's name is not its own
+    minified = spark.createDataFrame([(1, ",".join(f'"k{i}":"{hashlib.sha1(str(i).encode()).hexdigest()}"' for i in range(3000)), "s", "k")], DOCS)
+    many = secrets.candidates(minified)
+    assert many.count() == 3000 and many.agg(F.max(F.length("word"))).first()[0] < 120
+
+
 # --- preferences
 
 

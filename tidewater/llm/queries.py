@@ -23,7 +23,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secrets.with_features(checkpointed(secrets.candidates(docs)), secrets.dictionary_of(docs))
     model = secrets.fit(secrets.rule_labels(found))
-    return secrets.scan(found, model).select(F.col("id").alias("doc_id"), "word_no", F.sha2("candidate", 256).alias("candidate_sha256"), F.length("candidate").cast("long").alias("n_chars"), "probability", "secret")
+    return secrets.scan(found, model).select(F.col("id").alias("doc_id"), "word_no", "run_no", F.sha2("candidate", 256).alias("candidate_sha256"), F.length("candidate").cast("long").alias("n_chars"), "probability", "secret")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
