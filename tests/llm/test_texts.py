@@ -168,6 +168,12 @@ def test_all_runs_of_a_word_are_candidates(spark):
     assert many.count() == 3000 and many.agg(F.max(F.length("word"))).first()[0] < 120
 
 
+def test_dictionary_counts_all_texts(spark):
+    words = [a + b for a in ("ban", "ter", "oli", "mak") for b in ("abcdefghij" * 2)[:10]]
+    rows = [(i, f"common {words[i % 50] if i % 50 < 40 and i < 250 else ''}", "s", "k") for i in range(3000)]
+    assert set(secrets.dictionary_of(spark.createDataFrame(rows, DOCS))) == {"common", *words}
+
+
 # --- preferences
 
 

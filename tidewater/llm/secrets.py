@@ -85,12 +85,10 @@ def rule_labels(found: DataFrame) -> DataFrame:
     return found.withColumn("label", (named & mixed).cast("double"))
 
 
-def dictionary_of(docs: DataFrame, docs_most: int = 2000, least: int = 5, size: int = 1500, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
-    """Words of three letters or more in ``least`` or more of at most ``docs_most`` documents of least hash; at most ``size``."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    chosen = texts.select("id").orderBy(F.xxhash64("id"), "id").limit(docs_most)  # ids are compared, so no text moves but those of the sample
-    some = texts.join(F.broadcast(chosen.distinct()), "id")
-    words = some.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0)))).alias("word"))
+def dictionary_of(docs: DataFrame, least: int = 5, size: int = 1500, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
+    """The words of three letters or more that most documents hold, ``least`` at least; at most ``size``. All texts are counted."""
+    texts = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_col), F.lit("[a-z]{3,}"), F.lit(0)))).alias("word"))
     return [r.word for r in words.groupBy("word").count().where(F.col("count") >= least).orderBy(F.desc("count"), "word").limit(size).collect()]
 
 
