@@ -40,6 +40,23 @@ def test_repeats_across_a_host_are_boilerplate_and_unique_runs_stay(spark):
     assert set(copies.values()) == {"one page that stands here under many numbers"}
 
 
+def test_repeats_decide_beside_articles_and_within_main(spark):
+    teaser = "<article><p>read our other story</p></article>"
+    text = lambda i: " ".join(f"w{i}x{k}" for k in range(40))
+    shared = "<div>all rights are kept by the owner of this site</div>"
+    beside = [(i, f"http://a/{i}", f"<body><div>{text(i)}</div>{shared}{teaser}</body>") for i in range(5)]
+    within = [(10 + i, f"http://b/{i}", f"<main><div>{text(i)}</div>{shared}</main>") for i in range(5)]
+    named = [(20 + i, f"http://c/{i}", f"<div class=content><p>{text(i)}</p>{shared}</div>") for i in range(5)]
+    quoted = [(30 + i, f"http://d/{i}", f"<main><article><p>{text(i)}</p>{shared}</article></main><div>one more word {i}</div>") for i in range(5)]
+    copied = [(40 + i, f"http://e/{i}", f"<main><p>one page that stands here under many numbers</p></main><nav>{i}</nav>") for i in range(5)]
+    got = page_texts(spark, beside + within + named + quoted + copied)
+    for i in range(5):
+        assert got[i].split("\n") == [text(i), "read our other story"]
+        assert got[10 + i] == got[20 + i] == text(i)
+        assert got[30 + i].split("\n") == [text(i), "all rights are kept by the owner of this site"]
+        assert got[40 + i] == "one page that stands here under many numbers"
+
+
 def test_suffix_prefixes_are_the_long_repeats():
     rng = random.Random(4)
     words = [[rng.choice("abc") for _ in range(60)] for _ in range(3)]

@@ -1,17 +1,18 @@
 """Main text of web pages: markup first, then repeats across the pages of a host.
 
-A page is read once into blocks. Markup puts each block in a zone: the article (``<main>``, ``<article>``, a
-container named as content), chrome (menus, headers, footers, sidebars, notices, adverts, forms, comments), or
-undecided. Article blocks stay and chrome goes.
+A page is read once into blocks. Markup puts each block in a zone: the article (``<article>`` or a container named so),
+the body (``<main>`` or a container named as content, outside an article), chrome (menus, headers, footers, sidebars,
+notices, adverts, forms, comments), or undecided. Article blocks stay and chrome goes.
 
-Undecided blocks are judged by the host's suffix array. The words of a page's blocks outside the article are its
+Body and undecided blocks are judged by the host's suffix array. The words of a page's blocks outside the article are its
 token stream. In the suffix array of all streams of a host, suffixes that share their first ``least_words`` words
 stand next to each other; such a run of the array is a substring repeated across pages, and every longer repeat is
 covered by its runs. So the array is cut at depth ``least_words``: suffixes are shuffled by (host, hash of that
 prefix), and each run is counted where it lies, with partial counts first, so a host may hold any share of the pages.
 Streams that are equal throughout count once, so copies of one page don't mark each other. A block of which at least
 half the words lie in runs of ``least_pages`` or more distinct streams is boilerplate; the others, the unique runs, are
-kept, if the page has no article or they are its headline.
+kept in the body. Undecided ones are kept if they are the headline or together hold more words than the article and what
+is kept of the body, which then are a teaser or a box. A body of repeats only, in a page of nothing else, stays.
 
 Null html gives an empty text. A truncated page is read as far as it goes. Repeated rows each give a row. A null url
 counts as a host of its own. Columns of other names are ignored. Empty tables give empty results.
@@ -48,7 +49,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-MAIN, UNDECIDED, CHROME, HEADLINE = 0, 1, 2, 3
+MAIN, UNDECIDED, CHROME, HEADLINE, BODY = 0, 1, 2, 3, 4
+JUDGED = {UNDECIDED, HEADLINE, BODY}
 
 
 def _zone(tag: str, attributes: str, above: int, in_article: bool) -> tuple[int, bool]:
@@ -67,10 +69,14 @@ def _zone(tag: str, attributes: str, above: int, in_article: bool) -> tuple[int,
                 return CHROME, in_article
         elif tag not in ("html", "body") and (parts & CHROME_NAMES or (parts & HEAD_NAMES and not in_article)):
             return CHROME, in_article
-        if tag in ("div", "section", "td") and (role in ("main", "article") or ARTICLE_NAMES & {n.lower() for n in names}):
-            return MAIN, True
-    if tag in ("article", "main"):
+        found = ARTICLE_NAMES & {n.lower() for n in names}
+        if tag in ("div", "section", "td") and (role in ("main", "article") or found):
+            real = above == MAIN or role == "article" or any(n.startswith("article") for n in found)
+            return MAIN if real else BODY, True
+    if tag == "article":
         return MAIN, True
+    if tag == "main":
+        return MAIN if above == MAIN else BODY, True
     return above, in_article
 
 
@@ -166,7 +172,7 @@ def suffix_runs(pages: DataFrame, least_words: int, least_pages: int, url_col: s
                 found = blocks(page or "")
                 words = stream(found)
                 if len(words) >= least_words:
-                    rows[host_of(url), xxhash.xxh3_128_hexdigest(" ".join(words))] = (any(z in (UNDECIDED, HEADLINE) for z, _ in found), sorted(set(prefixes(words, least_words))))
+                    rows[host_of(url), xxhash.xxh3_128_hexdigest(" ".join(words))] = (any(z in JUDGED for z, _ in found), sorted(set(prefixes(words, least_words))))
             columns = [[k[0] for k in rows], [k[1] for k in rows], [v[0] for v in rows.values()], [v[1] for v in rows.values()]]
             kinds = [pa.string(), pa.string(), pa.bool_(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "print", "asked", "prefixes"])
@@ -187,7 +193,7 @@ def main_text(pages: DataFrame, least_words: int = 6, least_pages: int = 3, id_c
             hosts, prints, texts, open_ = [], [], [], []
             for url, page in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 found = blocks(page or "")
-                asked = any(z in (UNDECIDED, HEADLINE) for z, _ in found)
+                asked = any(z in JUDGED for z, _ in found)
                 hosts.append(host_of(url) if asked else None)
                 prints.append(xxhash.xxh3_128_hexdigest(" ".join(stream(found))) if asked else None)
                 texts.append("\n".join(t for z, t in found if z == MAIN))
@@ -210,21 +216,21 @@ def main_text(pages: DataFrame, least_words: int = 6, least_pages: int = 3, id_c
 
 
 def chosen(found: list[dict], repeated: set[int], depth: int) -> str:
-    """Text of a page with undecided blocks: its article and the unique runs."""
+    """Text of a page with blocks to judge: its article and the unique runs."""
     words = stream([(b["zone"], b["text"]) for b in found])
     covered = bytearray(len(words))
     for k, prefix in enumerate(prefixes(words, depth)):
         if prefix in repeated:
             covered[k : k + depth] = b"\1" * depth
-    has_article = any(b["zone"] == MAIN for b in found)
-    kept, at = [], 0
+    at, size, unique = 0, [], []
     for b in found:
-        if b["zone"] == MAIN:
-            kept.append(b["text"])
-            continue
         n = len(b["text"].split(" "))
-        unique = 2 * sum(covered[at : at + n]) < n
-        at += n
-        if unique and (b["zone"] == HEADLINE or b["zone"] == UNDECIDED and not has_article):
-            kept.append(b["text"])
-    return "\n".join(kept)
+        size.append(n)
+        unique.append(b["zone"] == MAIN or 2 * sum(covered[at : at + n]) < n)
+        at += n if b["zone"] != MAIN else 0
+    told = lambda *zones: sum(n for b, n, own in zip(found, size, unique, strict=True) if own and b["zone"] in zones)
+    kept = {MAIN, BODY, HEADLINE}
+    if told(UNDECIDED) > told(MAIN, BODY):
+        kept.add(UNDECIDED)
+    whole = not told(MAIN, BODY, UNDECIDED)  # nothing but repeats: the body is what markup calls the text
+    return "\n".join(b["text"] for b, own in zip(found, unique, strict=True) if b["zone"] in kept and own or whole and b["zone"] == BODY)
