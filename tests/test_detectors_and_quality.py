@@ -1,3 +1,5 @@
+import collections
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -56,6 +58,21 @@ def test_cooldown_and_severity(spark):
     assert {r.alert_type: r.severity for r in alerts.with_severity(none).collect()} == {"VELOCITY_FRAUD": "MEDIUM", "LARGE_AMOUNT": "HIGH", "FOO": "LOW", "FAILED_STORM": "HIGH"}
 
 
+def test_cooldown_of_one_large_account_is_folded_by_sessions(spark):
+    rng = random.Random(5)
+    rows = [(1 if rng.random() < 0.8 else rng.randrange(2, 5), rng.choice(["A", "B"]), "HIGH", rng.randrange(4000) * 1000) for _ in range(1500)]
+    want, last = collections.Counter(), {}
+    for account, at, kind in sorted({(a, t, k) for a, k, _, t in rows}):
+        if account not in last or at - last[account] >= 7000:
+            last[account] = at
+            want[account, at, kind] = 1
+    df = spark.createDataFrame(rows, "account_id long, alert_type string, severity string, at_ms long")
+    routed = alerts.route(df, 7)
+    got = {(r.account_id, r.at_ms, r.alert_type) for r in routed.where("action = 'EMAIL_SENT'").collect()}
+    assert got == set(want) and routed.count() == len(rows)
+    assert "collect_set" not in routed._jdf.queryExecution().toString()
+
+
 def test_alert_json_leaves_out_what_is_missing(spark):
     text = fraud.alert_json(fraud.all_alerts(tx(spark, [T0] * 6))).first().value
     assert '"alert_type":"VELOCITY_FRAUD"' in text and "recent_failures" not in text

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 # fixed values: severity of an alert type that comes without one, and the severities that notify
 SEVERITY = {"VELOCITY_FRAUD": "MEDIUM", "FAILED_STORM": "MEDIUM", "LARGE_AMOUNT": "HIGH"}
@@ -22,20 +25,39 @@ def describe(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("description", F.format_string("%s: account %s, %s transactions", "alert_type", F.col("account_id").cast("string"), F.coalesce(count.cast("string"), F.lit("N/A"))))
 
 
+def fold(cooldown_s: int):
+    """For mapInArrow over rows in order of account, session, time: (account_id, at, kind) of the alerts that are sent; holds one sent time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, last = None, 0
+        for batch in batches:
+            sent = []
+            for account, session, at in zip(*(batch.column(c).to_pylist() for c in ("account_id", "session", "at")), strict=True):
+                due = (account, session) != now or at - last >= cooldown_s * 1000
+                now, last = (account, session), at if due else last
+                sent.append(due)
+            yield batch.filter(pa.array(sent, pa.bool_())).select(["account_id", "at", "kind"])
+
+    return run
+
+
 def route(alerts: DataFrame, cooldown_s: int = COOLDOWN_S, at: str = "at_ms") -> DataFrame:
     """Add ``action``: LOGGED_ONLY, EMAIL_SENT, or EMAIL_THROTTLED within the cooldown after the account's last sent alert.
 
-    Which alerts are sent depends on the last one sent, which no window frame tells. The times of the alerts that
-    notify are folded per account, in order, inside the JVM; the fold keeps the sent times only. Alerts of one time and account
-    share a place in the order: the first by type is sent.
+    Which alerts are sent depends on the last one sent, which no window frame tells. An alert that comes a cooldown or more
+    after the one before it is always sent, so an account falls into sessions that are folded apart, each as a stream of
+    sorted rows that holds one sent time. Alerts of one time and account share a place in the order: the first by type is sent.
     """
     rows = with_severity(alerts)
     notifying = F.col("severity").isin(NOTIFIES)
-    order = F.struct(F.col(at).alias("at"), F.col("alert_type").alias("kind"))
-    places = rows.where(notifying).groupBy("account_id").agg(F.sort_array(F.collect_set(order)).alias("places"))
-    begin = F.array().cast("array<struct<at:bigint,kind:string>>")
-    due = lambda sent, p: (F.size(sent) == 0) | (p["at"] - F.element_at(sent, -1)["at"] >= cooldown_s * 1000)
-    sent = places.select("account_id", F.aggregate("places", begin, lambda sent, p: F.when(due(F.coalesce(sent, begin), p), F.array_append(sent, F.struct(p["at"].cast("bigint").alias("at"), p["kind"].alias("kind")))).otherwise(sent)).alias("sent"))
-    joined = rows.join(sent, "account_id", "left")
-    action = F.when(~notifying, "LOGGED_ONLY").when(F.array_contains("sent", F.struct(F.col(at).cast("bigint").alias("at"), F.col("alert_type").alias("kind"))), "EMAIL_SENT").otherwise("EMAIL_THROTTLED")
-    return joined.withColumn("action", action).drop("sent")
+    places = rows.where(notifying & F.col("account_id").isNotNull() & F.col(at).isNotNull()).groupBy("account_id", F.col(at).cast("bigint").alias("at")).agg(F.min("alert_type").alias("kind"))
+    order = W.partitionBy("account_id").orderBy("at")
+    begins = F.when(F.coalesce(F.col("at") - F.lag("at").over(order) >= cooldown_s * 1000, F.lit(True)), F.col("at"))
+    sessions = places.withColumn("session", F.max(begins).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    sorted_ = sessions.repartition("account_id", "session").sortWithinPartitions("account_id", "session", "at")
+    kinds = {f.name: f.dataType.simpleString() for f in places.schema.fields}
+    sent = sorted_.mapInArrow(fold(cooldown_s), ", ".join(f"{k} {v}" for k, v in kinds.items()))
+    sent = sent.select(F.col("account_id").alias("__account"), F.col("at").alias("__at"), F.col("kind").alias("__kind"))
+    joined = rows.join(sent, (F.col("account_id") == F.col("__account")) & (F.col(at).cast("bigint") == F.col("__at")) & F.col("alert_type").eqNullSafe(F.col("__kind")), "left")
+    action = F.when(~notifying, "LOGGED_ONLY").when(F.col("__at").isNotNull(), "EMAIL_SENT").otherwise("EMAIL_THROTTLED")
+    return joined.withColumn("action", action).drop("__account", "__at", "__kind")
