@@ -34,6 +34,15 @@ def test_storm_repeats_on_every_further_failure(spark):
     assert [x.tx_id for x in got[0].recent_failures] == list(range(15))
 
 
+def test_storm_of_one_large_account_needs_no_join(spark):
+    rng = random.Random(2)
+    times = sorted(rng.randrange(3000) for _ in range(400))
+    got = fraud.failure_storm(tx(spark, [T0 + timedelta(seconds=t) for t in times]), least=6)
+    assert "Join" not in got._jdf.queryExecution().analyzed().toString()
+    want = {k: list(range(k - 5, k + 1)) for k in range(5, 400) if times[k] - times[k - 5] <= 300}
+    assert {r.recent_failures[-1].tx_id: [x.tx_id for x in r.recent_failures] for r in got.collect()} == want
+
+
 def test_storm_window_is_closed_at_five_minutes(spark):
     times = [T0] * 14 + [T0 + timedelta(minutes=5)]
     assert fraud.failure_storm(tx(spark, times)).count() == 1

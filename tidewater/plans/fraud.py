@@ -26,13 +26,9 @@ def failure_storm(rows: DataFrame, minutes: int = 5, least: int = 15) -> DataFra
     trailing = order.rangeBetween(-minutes * 60_000, 0)
     peers = W.partitionBy("account_id", "ts_ms")
     later = F.count("*").over(peers) - F.row_number().over(peers.orderBy("tx_id"))
-    counted = failed.withColumn("failures", F.count("*").over(trailing) - later).where(F.col("failures") >= least).select("account_id", "ts_ms", "tx_id", "failures")
-    # only alerts gather their failures: each reads at most the trailing span of its account
-    near = F.expr(f"transform(sequence(0, 1), i -> (ts_ms div {minutes * 60_000}) - i)")
-    cells = counted.withColumn("cell", F.explode(near))
-    own = failed.select(F.col("account_id").alias("f_account"), F.col("ts_ms").alias("f_ms"), F.col("tx_id").alias("f_tx"), "amount", F.expr(f"ts_ms div {minutes * 60_000}").alias("f_cell"))
-    seen = cells.join(own, (F.col("account_id") == F.col("f_account")) & (F.col("cell") == F.col("f_cell")) & (F.col("f_ms") >= F.col("ts_ms") - minutes * 60_000) & ((F.col("f_ms") < F.col("ts_ms")) | ((F.col("f_ms") == F.col("ts_ms")) & (F.col("f_tx") <= F.col("tx_id")))))
-    recent = seen.groupBy("account_id", "ts_ms", "tx_id", "failures").agg(F.slice(F.sort_array(F.collect_list(F.struct(F.col("f_ms").alias("ts_ms"), F.col("f_tx").alias("tx_id"), "amount"))), -least, least).alias("recent_failures"))
+    last = W.partitionBy("account_id").orderBy("ts_ms", "tx_id").rowsBetween(1 - least, 0)  # at least so many are in the span, so these are
+    counted = failed.where("account_id is not null and ts_ms is not null").withColumn("failures", F.count("*").over(trailing) - later)
+    recent = counted.withColumn("recent_failures", F.collect_list(F.struct("ts_ms", "tx_id", "amount")).over(last)).where(F.col("failures") >= least)
     return recent.select(
         F.lit("FAILED_STORM").alias("alert_type"), F.lit("HIGH").alias("severity"), "account_id", F.col("failures").alias("failure_count_window"), F.lit(least).cast("long").alias("threshold"), F.lit(minutes).cast("long").alias("window_minutes"), F.col("ts_ms").alias("detected_at_ms"), "recent_failures"
     )
