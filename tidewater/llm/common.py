@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,10 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that spark.checkpoint.dir names; a temporary one only where the session has no such setting, as in a test on one machine."""
+    """The shared folder that spark.checkpoint.dir names; a temporary one only in a session of one machine without that setting."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewater-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidewater-"))
     return context.getCheckpointDir()
 
 
@@ -42,3 +46,14 @@ def utf8(batch: pa.RecordBatch, column: str) -> list[bytes]:
 def lowered(data: bytes) -> bytes:
     """UTF-8 text in lower case, beyond ASCII too."""
     return data.lower() if data.isascii() else data.decode().lower().encode()
+
+
+def lookup(rows: DataFrame, values: DataFrame, key: str, uses: str) -> DataFrame:
+    """``rows`` with the columns of ``values``, which has each ``key`` once and in ``uses`` how many rows hold it.
+
+    Keys of more than a thousandth of all rows, so under a thousand of them, are broadcast, as a shuffle would send each to one task.
+    """
+    total = values.agg(F.sum(uses)).first()[0] or 0
+    hot = F.broadcast(values.where(F.col(uses) > total / 1000 + 100))
+    cold = rows.join(hot.select(key), key, "left_anti").join(values, key, "left")
+    return rows.join(hot, key).select(*cold.columns).unionByName(cold)

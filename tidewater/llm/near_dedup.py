@@ -7,18 +7,25 @@ is enumerated as 5 keys that each leave one symbol out. By the pigeonhole princi
 less meets in some key; of pairs at similarity 0.8 all but one in ten million do. Pairs that meet are tested on a longer
 sketch (AGREE of 192 symbols equal, which all but one in a million pairs at 0.8 reach) and then on their full sets.
 
-Only components are asked for, so a bucket of many texts never gives all its pairs. First each member is tested
-against the bucket's least member. Buckets that hold several components then test the members outside the largest
-one against a member of it drawn for that bucket (only where many pairs are left), and last against all members of other components, which leaves
-no pair untested that could still join two components.
-
-Equal sets collapse to the least id first. Null and blank texts have empty sets, are linked with nothing and are
-their own component. Rows of one id are linked through their own texts only. A null id gives a null component and
-is kept. Empty tables give empty results.
+Only components are asked for, so a bucket never gives all its pairs. First each member is tested against the bucket's
+least member. Buckets that still hold several components are open: members outside the largest one could join it or each
+other. Members of open buckets of at most ``few`` are tested against all of other components. Larger open
+buckets are split first: two sets with the asked share of common shingles share one of their rarest shingles
+(so many that the others are too few to reach it), so members meet again only at such a shingle, or, if their sets
+have more than ``LONG`` shingles, at their chunks' keys. There, too, the least member comes first, then members drawn from the
+largest component, and last all pairs that could still join two components. These are looked at in tiles, block of
+members against block, so a group of any size is spread over tasks; a task compares sketches and gives out only the
+likely pairs, each at the least key that its two members share. No pair that could join two components goes untested.
+
+Equal sets are one node. Null and blank texts have empty sets, are linked with nothing and are
+their own component. Rows of one id are linked through their own texts only, and an id that stands before two texts
+links neither to the other. A null id is linked with nothing, gives a null component and is kept. Repeated rows share their
+fate. Long texts are read whole, one at a time. Columns of other names are not read. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import checkpointed, slices, utf8
+from tidewater.llm.common import checkpointed, lookup, slices, utf8
 
 CHUNKS, WIDE = 12, 5
 SYMBOLS = CHUNKS * WIDE
@@ -34,11 +41,21 @@ SYMBOLS = CHUNKS * WIDE
 SKETCH = 192
 #: Five standard deviations under the mean agreement of pairs at similarity 0.8, 153.6 of 192.
 AGREE = 126
-#: Ids of texts to read again are broadcast up to this number, 8 bytes each; beyond it both sides are shuffled.
+#: Ids of texts to read again are broadcast up to this number, some 30 bytes each; beyond it both sides are shuffled.
 BROADCAST_IDS = 200_000
+#: Members outside a group's largest component that make a block (it meets blocks of eight times as many), and members drawn from it.
+BLOCK, DRAWS = 512, 4
+#: Bytes of all sets that a block of a tile may hold, about.
+TILE = 32 << 20
+#: Symbols of the sketches in crowded buckets, where most pairs are near the limit.
+WIDER = 640
+#: Sets of more shingles than this meet at chunk keys, of which there are few; those from four fifths of it to five fourths do both.
+LONG = 1000
 DRAWN = np.random.default_rng(60)
 SLOPES = DRAWN.integers(0, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = DRAWN.integers(0, 2**63, SKETCH, dtype=np.uint64)
+MORE_SLOPES = DRAWN.integers(0, 2**63, WIDER, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+MORE_SHIFTS = DRAWN.integers(0, 2**63, WIDER, dtype=np.uint64)
 PLACES = DRAWN.integers(0, 2**63, (CHUNKS, WIDE), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LEFT_OUT = DRAWN.integers(0, 2**63, (CHUNKS, WIDE), dtype=np.uint64)
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -64,10 +81,10 @@ def shingle_set(data: bytes, shingle: int) -> np.ndarray:
     return np.unique(mixed(out))
 
 
-def signature(own: np.ndarray) -> np.ndarray:
-    least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
+def signature(own: np.ndarray, slopes: np.ndarray = SLOPES, shifts: np.ndarray = SHIFTS) -> np.ndarray:
+    least = np.full(len(slopes), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(own), 2048):
-        least = np.minimum(least, (SLOPES[:, None] * own[None, at : at + 2048] + SHIFTS[:, None]).min(axis=1))
+        least = np.minimum(least, (slopes[:, None] * own[None, at : at + 2048] + shifts[:, None]).min(axis=1))
     return mixed(least) >> np.uint64(48)
 
 
@@ -100,18 +117,18 @@ def chunk_keys(symbols: np.ndarray) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """From (__id, __text): ``__id`` and ``own``, the set as bytes."""
+    """From (__id, __text): ``same`` (the digest of the set) and ``own``, the set as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             own = [shingle_set(t, shingle).tobytes() for t in utf8(batch, "__text")]
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array(own, pa.binary())], ["__id", "own"])
+            yield pa.RecordBatch.from_arrays([pa.array(map(xxhash.xxh3_128_digest, own), pa.binary()), pa.array(own, pa.binary())], ["same", "own"])
 
-    return docs.mapInArrow(run, f"__id {docs.schema['__id'].dataType.simpleString()}, own binary")
+    return docs.select("__text").mapInArrow(run, "same binary, own binary")
 
 
 def signed(docs: DataFrame, shingle: int) -> DataFrame:
-    """From (__id, __text): id, ``n`` (set size), ``same`` (a digest of the set), ``symbols`` (the packed sketch) and ``keys``."""
+    """From (__id, __mark, __text): id, mark, ``n`` (set size), ``same`` (a digest of the set), ``symbols`` (the packed sketch) and ``keys``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
@@ -124,35 +141,78 @@ def signed(docs: DataFrame, shingle: int) -> DataFrame:
                 symbols.append(None if held is None else packed(held))
                 keys.append(None if held is None else chunk_keys(held))
             columns = [pa.array(sizes, pa.int64()), pa.array(same, pa.binary()), pa.array(symbols, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), *columns], ["__id", "n", "same", "symbols", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__mark"), *columns], ["__id", "__mark", "n", "same", "symbols", "keys"])
 
-    return docs.mapInArrow(run, f"__id {docs.schema['__id'].dataType.simpleString()}, n long, same binary, symbols array<long>, keys array<long>")
+    return docs.mapInArrow(run, f"__id {docs.schema['__id'].dataType.simpleString()}, __mark long, n long, same binary, symbols array<long>, keys array<long>")
+
+
+def sets_of(nodes: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, own) of the nodes named; their texts are read again by id and told apart by the digest of their sets."""
+    needed = checkpointed(nodes.select("node").distinct().join(reps.select("node", "rep", "same"), "node"))
+    few = needed.count() <= BROADCAST_IDS
+    ids = needed.select(F.col("rep").alias("__id")).distinct()
+    own = _sets(docs.join(F.broadcast(ids) if few else ids, "__id", "left_semi"), shingle)
+    return checkpointed(own.join(F.broadcast(needed) if few else needed, "same").select("node", "own").dropDuplicates(["node"]))
+
+
+def likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes that sizes and sketches do not rule out."""
+    a = reps.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("symbols").alias("s_a"))
+    b = reps.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("symbols").alias("s_b"))
+    return pairs.join(a, "a").join(b, "b").where(alike(percent)).select("a", "b")
 
 
 def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Of the pairs (a, b) of representatives, those whose sets are alike: first by size and sketch, then in full."""
-    a = reps.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("symbols").alias("s_a"))
-    b = reps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("symbols").alias("s_b"))
-    likely = pairs.join(a, "a").join(b, "b").where(alike(percent))
-    likely = checkpointed(likely.select("a", "b"))
-    needed = likely.select(F.col("a").alias("__id")).union(likely.select(F.col("b").alias("__id"))).distinct()
-    if needed.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        needed = F.broadcast(needed)
-    own = checkpointed(_sets(docs.join(needed, "__id", "left_semi"), shingle))
+    """Of the pairs (a, b) of nodes, those whose full sets are alike.
+
+    Nodes are dealt into blocks by hash and pairs into tiles, so a set goes once to each tile that needs it, whatever the number of its pairs.
+    """
+    pairs = checkpointed(pairs)
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = sets_of(nodes, reps, docs, shingle)
+    total = sets.agg(F.sum(F.octet_length("own"))).first()[0] or 0
+    blocks = max(6, total // TILE + 1)
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    pairs = pairs.select(block("a").alias("at_a"), block("b").alias("at_b"), "a", "b")
+    uses = pairs.select("at_a", "at_b", F.col("a").alias("node")).union(pairs.select("at_a", "at_b", F.col("b").alias("node"))).distinct()
+    nothing = F.lit(None)
+    rows = pairs.select("at_a", "at_b", "a", "b", nothing.cast("binary").alias("own")).unionByName(uses.join(sets, "node").select("at_a", "at_b", F.col("node").alias("a"), nothing.cast("long").alias("b"), "own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 256):
-            left, right = (batch.column(c).to_pylist() for c in ("own_a", "own_b"))
-            fits = []
-            for x, y in zip(left, right, strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                fits.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+        for tile in runs(batches, ["at_a", "at_b"]):
+            a, b, own = (tile.column(c).to_pylist() for c in ("a", "b", "own"))
+            sets = {x: np.frombuffer(o, np.uint64) for x, y, o in zip(a, b, own, strict=True) if y is None}
+            found = []
+            for i, j in zip(a, b, strict=True):
+                if j is not None:
+                    x, y = sets[i], sets[j]
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    if 100 * both >= percent * (len(x) + len(y) - both):
+                        found.append((i, j))
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return checkpointed(rows.repartition("at_a", "at_b").sortWithinPartitions("at_a", "at_b").mapInArrow(run, "a long, b long"))
 
-    kind = reps.schema["rep"].dataType.simpleString()
-    full = likely.join(own.select(F.col("__id").alias("b"), F.col("own").alias("own_b")), "b").join(own.select(F.col("__id").alias("a"), F.col("own").alias("own_a")), "a")
-    return checkpointed(full.select("a", "b", "own_a", "own_b").mapInArrow(run, f"a {kind}, b {kind}").distinct())
+
+def split_buckets(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(key, node): each node's rarest shingles among the nodes, as many as one of them must be shared by any set alike; of long sets the chunk keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            own = [np.frombuffer(b, np.int64) for b in batch.column("own").to_pylist()]
+            own = [x if 80 * len(x) <= 100 * LONG else x[:0] for x in own]
+            nodes = np.repeat(batch.column("node").to_numpy(), [len(x) for x in own])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *own])), pa.array(nodes, pa.int64())], ["key", "node"])
+
+    every = checkpointed(sets.mapInArrow(run, "key long, node long"))
+    shared = every.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1")
+    ranked = every.join(shared, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("uses", "key"))).alias("held"))
+    ranked = ranked.join(reps.select("node", "n"), "node")
+    # shingles of one node only are the rarest of all and bring nobody together
+    room = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("held"))
+    short = ranked.where(room > 0).select("node", F.explode(F.slice("held", F.lit(1), room.cast("int"))).alias("h")).select(F.col("h.key").alias("key"), "node")
+    long_ = reps.where(100 * F.col("n") > 80 * LONG).join(sets.select("node"), "node", "left_semi")
+    return short.unionByName(long_.select(F.explode("keys").alias("key"), "node"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -172,52 +232,154 @@ def components(edges: DataFrame) -> DataFrame:
         held = checkpointed(small.distinct())
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", many: int = 1_000_000) -> DataFrame:
-    """Per row of the input: id, ``n_shingles``, ``component_id`` and ``kept``. ``many`` untested pairs call for drawn tests first."""
-    narrow = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    rows = checkpointed(signed(narrow, shingle))
-    known = rows.where("n > 0 and __id is not null")
-    least = checkpointed(known.groupBy("same").agg(F.min("__id").alias("rep")))
-    reps = checkpointed(known.join(least.withColumnRenamed("same", "least_same"), (F.col("__id") == F.col("rep")) & (F.col("same") == F.col("least_same"))).select("rep", "n", "symbols", "keys").dropDuplicates(["rep"]))
-    held = reps.select(F.explode("keys").alias("key"), "rep")
-    hubs = checkpointed(held.groupBy("key").agg(F.count("*").alias("members"), F.min("rep").alias("hub")).where("members > 1"))
-    texts = narrow.where(F.col("__id").isNotNull())
-    found = lambda pairs: linked(pairs.distinct(), reps, texts, shingle, percent)
+def to_hubs(held: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From (key, node): the members of keys of several nodes, and the pairs (a, b) of each with its key's least node."""
+    hubs = held.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("hub")).where("members > 1")
     members = checkpointed(held.join(hubs, "key"))
-    links = found(members.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")))
-
-    def mixed_buckets(groups: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-        """Members of buckets of several components, those outside the largest one, and how many pairs are left untested there."""
-        placed = members.where("members > 2").select("key", "rep").join(groups, F.col("rep") == F.col("id"), "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-        placed = checkpointed(placed)
-        sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
-        largest = sizes.groupBy("key").agg(F.count("*").alias("components"), F.sum("size").alias("all"), F.max(F.struct("size", "component")).alias("top")).where("components > 1")
-        largest = checkpointed(largest.select("key", F.col("top.component").alias("top"), ((F.col("all") - F.col("top.size")) * F.col("all")).alias("pairs")))
-        placed = placed.join(largest.select("key", "top"), "key")
-        return placed, placed.where("component <> top"), largest.agg(F.sum("pairs")).first()[0] or 0
-
-    groups = components(links)
-    placed, outside, pairs = mixed_buckets(groups)
-    if pairs > many:
-        drawn = placed.where("component = top").groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep").alias("draw"), "rep")).alias("d")).select("key", F.col("d.rep").alias("a"))
-        links = groups.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(found(outside.select("key", F.col("rep").alias("b")).join(checkpointed(drawn), "key").select("a", "b")))
-        groups = components(links)
-        placed, outside, pairs = mixed_buckets(groups)
-    if pairs:
-        known = reps.select("rep", "n", "symbols")
-        left = outside.join(known, "rep").select("key", F.col("rep").alias("a"), F.col("component").alias("c_a"), F.col("n").alias("n_a"), F.col("symbols").alias("s_a"))
-        right = placed.join(known, "rep").select("key", F.col("rep").alias("b"), F.col("component").alias("c_b"), F.col("n").alias("n_b"), F.col("symbols").alias("s_b"))
-        # all of it is part of the join's condition, so that only pairs that may be alike become rows
-        rest = left.join(right.withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & (F.col("c_a") != F.col("c_b")) & alike(percent))
-        rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        groups = components(groups.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(found(rest)))
-    final = checkpointed(least.join(groups, F.col("rep") == F.col("id"), "left").select("same", F.coalesce("component", "rep").alias("component_id")))
-    out = rows.select("__id", "n", "same").join(final, "same", "left")
-    component = F.when(F.col("__id").isNull(), None).when(F.col("n") == 0, F.col("__id")).otherwise(F.col("component_id"))
-    return out.select(F.col("__id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("__id"), F.lit(True)).alias("kept"))
+    return members, members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+
+
+def open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members, with their component, of keys of several components; ``top`` is the largest of these, ``outside`` the number of members not in it."""
+    placed = members.select("key", "node", "members").join(groups, F.col("node") == F.col("id"), "left").select("key", "node", "members", F.coalesce("component", "node").alias("component"))
+    placed = checkpointed(placed)
+    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("key").agg(F.count("*").alias("components"), F.sum("size").alias("all"), F.max(F.struct("size", "component")).alias("t")).where("components > 1")
+    return checkpointed(placed.join(largest.select("key", F.col("t.component").alias("top"), (F.col("all") - F.col("t.size")).alias("outside")), "key"))
+
+
+def to_draws(placed: DataFrame) -> DataFrame:
+    """Pairs of each member outside the largest component with ``DRAWS`` members of it, drawn for that key."""
+    order = F.struct(F.xxhash64("key", "node").alias("draw"), "node")
+    drawn = placed.where("component = top").groupBy("key").agg(*[F.min(F.when(F.pmod(F.xxhash64("node", F.lit(9)), F.lit(DRAWS)) == k, order)).alias(f"d{k}") for k in range(DRAWS)])
+    drawn = drawn.select("key", F.explode(F.filter(F.array(*[F.col(f"d{k}") for k in range(DRAWS)]), lambda d: d.isNotNull())).alias("d")).select("key", F.col("d.node").alias("a"))
+    return placed.where("component <> top").select("key", F.col("node").alias("b")).join(drawn, "key").select("a", "b").distinct()
+
+
+def wide_sketches(sets: DataFrame) -> DataFrame:
+    """(node, sketch): WIDER symbols, packed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            found = [packed(signature(np.frombuffer(b, np.uint64), MORE_SLOPES, MORE_SHIFTS)) for b in batch.column("own").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "sketch"])
+
+    return sets.mapInArrow(run, "node long, sketch array<long>")
+
+
+def across(placed: DataFrame, sketches: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members outside a key's largest component with all members of other components that size and sketch do not rule out."""
+    own = placed.join(placed.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("held")), "node").join(sketches, "node").join(reps.select("node", "n"), "node")
+    own = own.withColumn("blocks_a", F.ceil(F.col("outside") / BLOCK).cast("int")).withColumn("blocks_b", F.ceil(F.col("members") / (8 * BLOCK)).cast("int"))
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cells, columns = ["key", "at_a", "at_b"], ["node", "component", F.col("component") == F.col("top"), "n", "held", "sketch"]
+    columns[2] = columns[2].alias("in_top")
+    left = own.where("component <> top").select("key", block("blocks_a").alias("at_a"), every("blocks_b").alias("at_b"), F.lit(0).alias("side"), *columns)
+    right = own.select("key", every("blocks_a").alias("at_a"), block("blocks_b").alias("at_b"), F.lit(1).alias("side"), *columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in runs(batches, cells):
+            a, b = likely_pairs(cell, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return left.unionByName(right).repartition(*cells).sortWithinPartitions(*cells).mapInArrow(run, "a long, b long")
+
+
+def runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
+    """Stretches of equal values of sorted columns, each as one table."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        marks = np.column_stack([batch.column(c).to_numpy() for c in by])
+        edges = [0, *(np.flatnonzero((marks[1:] != marks[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
+        for at, end in itertools.pairwise(edges):
+            if held and tuple(marks[at]) != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(at, end - at))
+            last = tuple(marks[at])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def likely_pairs(cell: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a tile, the pairs of left and right members that may be alike and whose least shared key this is."""
+    cell = cell.combine_chunks()
+    side, node, component, n, top = (cell.column(c).to_numpy() for c in ("side", "node", "component", "n", "in_top"))
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    # of two members outside the largest component, the one with the lesser component is on the left
+    open_ = (component[left, None] < component[None, right]) | ((component[left, None] != component[None, right]) & top[None, right])
+    open_ &= 100 * np.minimum(n[left, None], n[None, right]) >= percent * np.maximum(n[left, None], n[None, right])
+    if not open_.any():
+        return node[:0], node[:0]
+    lists = cell.column("held").chunk(0)
+    keys, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+    owner = np.repeat(np.arange(len(side)), sizes)
+    lesser = keys < cell.column("key")[0].as_py()
+    if lesser.any():
+        own, place = np.unique(keys[lesser], return_inverse=True)
+        held = np.zeros((len(side), len(own)), np.float32)
+        held[owner[lesser], place] = 1
+        both = held[left].any(axis=0) & held[right].any(axis=0)
+        open_ &= held[left][:, both] @ held[right][:, both].T == 0
+    i, j = np.nonzero(open_)
+    i, j = left[i], right[j]
+    symbols = cell.column("sketch").chunk(0).flatten().to_numpy().view(np.uint8).reshape(len(side), -1)
+    total, share = symbols.shape[1], percent / 100
+    least = total * share - 5 * (total * share * (1 - share)) ** 0.5
+    fits = np.zeros(len(i), bool)
+    for at in range(0, len(i), 8192):
+        k = slice(at, at + 8192)
+        fits[k] = (symbols[i[k]] == symbols[j[k]]).sum(axis=1) >= least
+    return node[i[fits]], node[j[fits]]
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", few: int = 32) -> DataFrame:
+    """Per row of the input: id, ``n_shingles``, ``component_id`` and ``kept``."""
+    return classes(docs, shingle, percent, id_col, text_col, few).select(F.col("__id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
+def classes(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str, few: int = 32) -> DataFrame:
+    """Per row: ``__id``, ``__mark`` (a hash of the text), ``n``, ``component_id`` and ``kept``."""
+    texts = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__mark"), F.col(text_col).alias("__text"))
+    rows = checkpointed(signed(texts, shingle))
+    # equal sets have equal sketches, so any of them will do; the number of a node is fixed by the checkpoint
+    reps = rows.where("n > 0 and __id is not null").groupBy("same").agg(F.min("__id").alias("rep"), F.count("*").alias("copies"), *[F.any_value(c).alias(c) for c in ("n", "symbols", "keys")])
+    reps = checkpointed(reps.withColumn("node", F.monotonically_increasing_id()))
+    texts = texts.where(F.col("__id").isNotNull())
+    found = lambda pairs: linked(pairs, reps, texts, shingle, percent)
+    fit = lambda pairs: found(likely(pairs, reps, percent))
+    joined = lambda groups, links: components(links.unionByName(groups.select(F.col("component").alias("a"), F.col("id").alias("b"))))
+
+    members, pairs = to_hubs(reps.select(F.explode("keys").alias("key"), "node"))
+    groups = components(fit(pairs))
+    placed = open_members(members, groups)
+    crowded = checkpointed(placed.where(F.col("members") > few).select("node").distinct())
+    sketches = reps.select("node", F.col("symbols").alias("sketch"))
+    groups = joined(groups, found(across(placed.where(F.col("members") <= few), sketches, reps, percent)))
+    if not crowded.isEmpty():
+        sets = sets_of(crowded, reps, texts, shingle)
+        members, pairs = to_hubs(split_buckets(sets, reps, percent))
+        groups = joined(groups, fit(pairs))
+        groups = joined(groups, fit(to_draws(open_members(members, groups))))
+        groups = joined(groups, found(across(open_members(members, groups), checkpointed(wide_sketches(sets)), reps, percent)))
+
+    all_ = groups.select("id", "component").union(groups.select("component", "component").distinct())
+    named = all_.join(reps.select("node", "rep"), F.col("id") == F.col("node")).select("node", "component", "rep")
+    named = named.select("node", F.col("component")).join(named.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select("node", "component_id")
+    final = reps.select("same", "node", "rep", "copies").join(named, "node", "left").select("same", F.coalesce("component_id", "rep").alias("component_id"), "copies")
+    linkable = F.col("__id").isNotNull() & (F.col("n") > 0)
+    with_class = lookup(rows.where(linkable).select("__id", "__mark", "n", "same"), checkpointed(final), "same", "copies")
+    alone = rows.where(~linkable).select("__id", "__mark", "n", F.col("__id").alias("component_id"))
+    out = with_class.select("__id", "__mark", "n", "component_id").unionByName(alone)
+    return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("__id"), F.lit(True)))
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of the input that stay: the one of least id of each component, and all rows that are linked with nothing."""
-    dropped = near_duplicates(docs, shingle, percent, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__tw_id"))
-    return docs.join(dropped, F.col(id_col) == F.col("__tw_id"), "left_anti")
+    """The rows of the input that stay: the one of least id of each component, and all rows that are linked with nothing.
+
+    Rows are told apart by id and text.
+    """
+    dropped = classes(docs, shingle, percent, id_col, text_col).where(~F.col("kept")).select(F.col("__id").alias("__tw_id"), F.col("__mark").alias("__tw_mark"))
+    return docs.join(dropped, (F.col(id_col) == F.col("__tw_id")) & (F.xxhash64(text_col) == F.col("__tw_mark")), "left_anti")
