@@ -69,8 +69,9 @@ def test_near_copies_of_odd_tables(spark):
 
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (102, 101), (103, 102), (200, 201)]
-    got = {r.id: r.component for r in near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {**{i: 1 for i in range(2, 41)}, 101: 100, 102: 100, 103: 100, 201: 200}
+    for alone in (1000, 0):
+        got = {r.id: r.component for r in near_dedup.components(spark.createDataFrame(edges, "a long, b long"), alone).collect()}
+        assert got == {**{i: 1 for i in range(2, 41)}, 101: 100, 102: 100, 103: 100, 201: 200}
 
 
 def test_keys_meet_within_the_guaranteed_distance():

@@ -26,6 +26,7 @@ fate. Long texts are read whole, one at a time. Columns of other names are not r
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +52,8 @@ TILE = 32 << 20
 WIDER = 640
 #: Sets of more shingles than this meet at chunk keys, of which there are few; those from four fifths of it to five fourths do both.
 LONG = 1000
+#: Counters by which shingles in crowded buckets are put in order.
+SLOTS = 1 << 19
 DRAWN = np.random.default_rng(60)
 SLOPES = DRAWN.integers(0, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = DRAWN.integers(0, 2**63, SKETCH, dtype=np.uint64)
@@ -162,15 +165,14 @@ def likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(alike(percent)).select("a", "b")
 
 
-def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b) of nodes, those whose full sets are alike.
 
     Nodes are dealt into blocks by hash and pairs into tiles, so a set goes once to each tile that needs it, whatever the number of its pairs.
     """
     pairs = checkpointed(pairs)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = sets_of(nodes, reps, docs, shingle)
-    total = sets.agg(F.sum(F.octet_length("own"))).first()[0] or 0
+    total = nodes.join(sets, "node").agg(F.sum(F.octet_length("own"))).first()[0] or 0
     blocks = max(6, total // TILE + 1)
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
     pairs = pairs.select(block("a").alias("at_a"), block("b").alias("at_b"), "a", "b")
@@ -194,30 +196,76 @@ def linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int, per
     return checkpointed(rows.repartition("at_a", "at_b").sortWithinPartitions("at_a", "at_b").mapInArrow(run, "a long, b long"))
 
 
+def slot_counts(sets: DataFrame) -> np.ndarray:
+    """How many shingles of the sets fall into each of ``SLOTS`` counters; tasks send packed parts of the counters, which are added by part."""
+    part = SLOTS // 64
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for own in batch.column("own").to_pylist():
+                np.add.at(held, (np.frombuffer(own, np.uint64) % np.uint64(SLOTS)).astype(np.int64), 1)
+        used = [k for k in range(64) if held[k * part : (k + 1) * part].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([zlib.compress(held[k * part : (k + 1) * part].tobytes(), 1) for k in used], pa.binary())], ["part", "held"])
+
+    def add(frame):
+        total = np.sum([np.frombuffer(zlib.decompress(b), np.int64) for b in frame["held"]], axis=0)
+        return frame.head(1)[["part"]].assign(held=[zlib.compress(total.tobytes(), 1)])
+
+    out = np.zeros(SLOTS, np.int64)
+    for r in sets.select("own").mapInArrow(run, "part int, held binary").groupBy("part").applyInPandas(add, "part int, held binary").collect():  # at most 64 rows
+        out[r.part * part : (r.part + 1) * part] = np.frombuffer(zlib.decompress(r.held), np.int64)
+    return out
+
+
 def split_buckets(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(key, node): each node's rarest shingles among the nodes, as many as one of them must be shared by any set alike; of long sets the chunk keys."""
+    """(key, node): each node's rarest shingles among the nodes, as many as one of them must be shared by any set alike; of long sets the chunk keys.
+
+    Rarity is that of the shingle's counter, which only orders: any order is right if it is one for all.
+    """
+    uses = sets.sparkSession.sparkContext.broadcast(slot_counts(sets))  # 8 bytes x SLOTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
-            own = [np.frombuffer(b, np.int64) for b in batch.column("own").to_pylist()]
-            own = [x if 80 * len(x) <= 100 * LONG else x[:0] for x in own]
-            nodes = np.repeat(batch.column("node").to_numpy(), [len(x) for x in own])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *own])), pa.array(nodes, pa.int64())], ["key", "node"])
-
-    every = checkpointed(sets.mapInArrow(run, "key long, node long"))
-    shared = every.groupBy("key").agg(F.count("*").alias("uses")).where("uses > 1")
-    ranked = every.join(shared, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("uses", "key"))).alias("held"))
-    ranked = ranked.join(reps.select("node", "n"), "node")
-    # shingles of one node only are the rarest of all and bring nobody together
-    room = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("held"))
-    short = ranked.where(room > 0).select("node", F.explode(F.slice("held", F.lit(1), room.cast("int"))).alias("h")).select(F.col("h.key").alias("key"), "node")
+            found = []
+            for own in (np.frombuffer(b, np.uint64) for b in batch.column("own").to_pylist()):
+                room = len(own) + (-len(own) * percent) // 100 + 1 if 80 * len(own) <= 100 * LONG else 0
+                held = uses.value[(own % np.uint64(SLOTS)).astype(np.int64)]
+                first = np.lexsort((own, held))[:room]
+                found.append(own[first][held[first] > 1].view(np.int64))  # what one node holds brings nobody together
+            nodes = np.repeat(batch.column("node").to_numpy(), list(map(len, found)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *found])), pa.array(nodes, pa.int64())], ["key", "node"])
+
     long_ = reps.where(100 * F.col("n") > 80 * LONG).join(sets.select("node"), "node", "left_semi")
-    return short.unionByName(long_.select(F.explode("keys").alias("key"), "node"))
+    return checkpointed(sets.mapInArrow(run, "key long, node long").unionByName(long_.select(F.explode("keys").alias("key"), "node")))
+
 
+def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, component) of the edges (a, b) of one task."""
+    up: dict[int, int] = {}
 
-def components(edges: DataFrame) -> DataFrame:
-    """From edges (a, b): (id, component), the least id that each node reaches; large star and small star until all are stars."""
+    def top(x: int) -> int:
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = x = up[y]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            x, y = top(a), top(b)
+            up[max(x, y)] = min(x, y)
+    found = [(x, top(x)) for x in list(up)]
+    found = [f for f in found if f[0] != f[1]]
+    yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["id", "component"])
+
+
+def components(edges: DataFrame, alone: int = 200_000) -> DataFrame:
+    """From edges (a, b): (id, component), the least id that each node reaches; large star and small star until all are stars.
+
+    At most ``alone`` edges, some MB, are joined up in one task, which gives the same without the rounds.
+    """
     held = checkpointed(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if held.count() <= alone:
+        return checkpointed(held.coalesce(1).mapInArrow(forest, "id long, component long"))
     while True:
         roles = held.select(F.col("a").alias("id"), F.lit(0).alias("leaf")).union(held.select(F.col("b").alias("id"), F.lit(1).alias("leaf")))
         if roles.groupBy("id").agg(F.sum("leaf").alias("leaf"), F.min("leaf").alias("least")).where("leaf > 1 or (leaf = 1 and least = 0)").isEmpty():
@@ -348,22 +396,24 @@ def classes(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     reps = rows.where("n > 0 and __id is not null").groupBy("same").agg(F.min("__id").alias("rep"), F.count("*").alias("copies"), *[F.any_value(c).alias(c) for c in ("n", "symbols", "keys")])
     reps = checkpointed(reps.withColumn("node", F.monotonically_increasing_id()))
     texts = texts.where(F.col("__id").isNotNull())
-    found = lambda pairs: linked(pairs, reps, texts, shingle, percent)
-    fit = lambda pairs: found(likely(pairs, reps, percent))
-    joined = lambda groups, links: components(links.unionByName(groups.select(F.col("component").alias("a"), F.col("id").alias("b"))))
 
     members, pairs = to_hubs(reps.select(F.explode("keys").alias("key"), "node"))
+    # all sets that any test below needs, read once more
+    sets = sets_of(members.select("node"), reps, texts, shingle)
+    found = lambda pairs: linked(pairs, sets, percent)
+    fit = lambda pairs: found(likely(pairs, reps, percent))
+    joined = lambda groups, links: components(links.unionByName(groups.select(F.col("component").alias("a"), F.col("id").alias("b"))))
     groups = components(fit(pairs))
     placed = open_members(members, groups)
     crowded = checkpointed(placed.where(F.col("members") > few).select("node").distinct())
     sketches = reps.select("node", F.col("symbols").alias("sketch"))
     groups = joined(groups, found(across(placed.where(F.col("members") <= few), sketches, reps, percent)))
     if not crowded.isEmpty():
-        sets = sets_of(crowded, reps, texts, shingle)
-        members, pairs = to_hubs(split_buckets(sets, reps, percent))
+        own = checkpointed(sets.join(crowded, "node", "left_semi"))
+        members, pairs = to_hubs(split_buckets(own, reps, percent))
         groups = joined(groups, fit(pairs))
         groups = joined(groups, fit(to_draws(open_members(members, groups))))
-        groups = joined(groups, found(across(open_members(members, groups), checkpointed(wide_sketches(sets)), reps, percent)))
+        groups = joined(groups, found(across(open_members(members, groups), checkpointed(wide_sketches(own)), reps, percent)))
 
     all_ = groups.select("id", "component").union(groups.select("component", "component").distinct())
     named = all_.join(reps.select("node", "rep"), F.col("id") == F.col("node")).select("node", "component", "rep")
