@@ -1,6 +1,6 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Words are lower-cased, stripped of ASCII punctuation and hashed to ``2**15`` terms. Inverse document frequencies are
+Words are lower-cased, stripped of ASCII punctuation and hashed, to 64 bits for comparison and to ``2**15`` terms for retrieval. Inverse document frequencies are
 counted over all documents. The index is the matrix of the benchmark items' TF-IDF rows, brought to ``rank``
 dimensions by a randomised SVD: its products with the matrix run in Spark tasks, which send sums per term; only
 matrices bounded by terms x rank reach the driver. Every document is read as passages of 32 words, 16 apart. Each passage
@@ -12,13 +12,19 @@ passage over it is lost. The candidate is checked on the words:
 the longest common subsequence of the item and the passage with an item's length around it must hold ``sure`` of the
 item's words, or ``likely`` of them and as much of its answer, its last six words.
 
-Items of fewer than ``least`` words are too short to identify and match nothing. Null and empty texts match nothing.
-Repeated rows each give a row; items with equal text are each reported. Empty tables give empty results. Items are
-taken in blocks of ``block``, each against all documents, so a task's share of the index is bounded.
+Terms of half of all texts would cost most and tell least: what they could add to a cosine is bounded by the product of
+their norms, and they are added where that bound leaves a pair open, so the cosine is that of all terms.
+
+Items of fewer than ``least`` words match where a text holds their words in a row. Null and empty texts and items without words
+match nothing. Rows are told apart by id and text: repeated rows, and rows of one id or none, each give their own row. Items with
+equal text are each reported, items without id are not read. Long texts are read whole, some thousand words at a time. Columns
+of other names are not read. Empty tables give empty results. The items, at most ``most_bytes`` of text, are taken in blocks of ``block``,
+each against all documents, so a task's share of the index is bounded.
 """
 
 from __future__ import annotations
 
+import itertools
 import string
 from collections.abc import Iterator
 
@@ -32,7 +38,7 @@ from tidewater.llm.common import checkpointed, lowered, slices, utf8
 TERMS = 1 << 15
 STRIDE = 16
 ANSWER = 6
-#: Inverse document frequency under which a term is in half of all texts.
+#: Inverse document frequency under which a term is in half of all texts; such terms are added last.
 COMMON = 0.7
 #: Blocks of STRIDE words that are scored together.
 PART = 256
@@ -40,29 +46,37 @@ PUNCTUATION = string.punctuation.encode()
 
 
 class Vocabulary(dict):
-    """Term of a word; forgets when it grows large."""
+    """Hash of a word; forgets when it grows large and keeps no long ones."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        term = self[word] = xxhash.xxh3_64_intdigest(word) & (TERMS - 1)
-        return term
-
-    def terms(self, data: bytes) -> np.ndarray:
+        hashed = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            if len(self) > 500_000:
+                self.clear()
+            self[word] = hashed
+        return hashed
+
+    def words(self, data: bytes) -> np.ndarray:
         words = lowered(data).translate(None, PUNCTUATION).split()
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def terms_of(words: np.ndarray) -> np.ndarray:
+    return (words & np.uint64(TERMS - 1)).astype(np.int32)
 
 
 def hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row: ``__id`` and ``terms``, the text's terms in order, two bytes each; texts are cut into words once."""
+    """Per row: ``__row`` (a number of its own), ``__id``, ``__mark`` (a hash of the text) and ``words``, their hashes in order; texts are cut into words once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Vocabulary()
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array([known.terms(t).astype(np.uint16).tobytes() for t in utf8(batch, "__text")], pa.binary())], ["__id", "terms"])
+            words = pa.array([known.words(t).tobytes() for t in utf8(batch, "__text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], words], ["__row", "__id", "__mark", "words"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, f"__id {kind}, terms binary")
+    rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__mark"), F.col(text_col).alias("__text"))
+    return rows.mapInArrow(run, f"__row long, __id {kind}, __mark long, words binary")
 
 
 def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
@@ -71,14 +85,14 @@ def document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = np.zeros(TERMS + 1, np.int64), 0
         for batch in slices(batches):
-            for terms in batch.column("terms").to_pylist():
-                held[np.unique(np.frombuffer(terms, np.uint16))] += 1
+            for words in batch.column("words").to_pylist():
+                held[np.unique(terms_of(np.frombuffer(words, np.uint64)))] += 1
                 n += 1
         held[TERMS] = n
         used = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(held[used], pa.int64())], ["term", "n"])
 
-    counted = rows.select("terms").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()  # at most TERMS + 1 rows
+    counted = rows.select("words").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()  # at most TERMS + 1 rows
     out = np.zeros(TERMS + 1, np.int64)
     out[counted["term"].to_numpy(int)] = counted["n"].to_numpy(np.int64)
     return int(out[TERMS]), out[:TERMS]
@@ -151,24 +165,35 @@ def common_subsequence(where: dict[int, int], size: int, text: list[int]) -> int
     return size - row.bit_count()
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float = 0.3, sure: float = 0.8, likely: float = 0.6, least: int = 5, block: int = 20_000, held: float = 0.99, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     """Per row of the documents: id, ``items`` (item, best cosine, share of its words, share of its answer) and ``contaminated``."""
+    return found_items(docs, benchmark, id_col=id_col, **settings).select(F.col("__id").alias(id_col), "items", "contaminated")
+
+
+def found_items(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float = 0.3, sure: float = 0.8, likely: float = 0.6, least: int = 5, block: int = 20_000, held: float = 0.99, most_bytes: int = 1 << 28, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """Per row: ``__id``, ``__mark``, ``items`` and ``contaminated``."""
     spark = docs.sparkSession
     known = Vocabulary()
-    items = [(r[0], known.terms((r[1] or "").encode())) for r in benchmark.select(item_col, item_text_col).where(F.col(item_col).isNotNull()).toLocalIterator()]
-    items = [(i, t) for i, t in items if len(t) >= least]
+    given = benchmark.select(F.col(item_col), F.col(item_text_col)).where(F.col(item_col).isNotNull())
+    if (given.agg(F.sum(F.octet_length(item_text_col))).first()[0] or 0) > most_bytes:
+        raise ValueError(f"a benchmark of more than {most_bytes} bytes of text; split it")
+    items = [(r[0], known.words((r[1] or "").encode())) for r in given.toLocalIterator()]
+    short = [(i, w) for i, w in items if 0 < len(w) < least]
+    items = [(i, w) for i, w in items if len(w) >= least]
     texts = checkpointed(hashed(docs, id_col, text_col))
     n, df = document_frequencies(texts)
     idf = np.maximum(np.log((n + 1) / (df + 1)), 0.05).astype(np.float32)
     item_kind = benchmark.schema[item_col].dataType
     found = f"array<struct<item:{item_kind.simpleString()},cosine:double,words:double,answer:double>>"
     id_kind = docs.schema[id_col].dataType.simpleString()
+    kind = found if item_kind.typeName() in ("long", "string") else found.replace(item_kind.simpleString(), "bigint", 1)
+    arrow_item = pa.int64() if item_kind.typeName() in ("long", "integer") else pa.string()
     out = None
     for at in range(0, max(1, len(items)), block):
         part = items[at : at + block]
         rows = []
-        for _, terms in part:
-            own, counts = np.unique(terms, return_counts=True)
+        for _, words in part:
+            own, counts = np.unique(terms_of(words), return_counts=True)
             weights = counts * idf[own]
             rows.append(([int(t) for t in own], [float(w) for w in weights / np.linalg.norm(weights)]))
         matrix = spark.createDataFrame(rows, "terms array<int>, weights array<double>").repartition(max(1, len(rows) // 500))
@@ -176,11 +201,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float
         basis = np.zeros((TERMS, vectors.shape[1]), np.float32)
         basis[used] = vectors
         latent = np.array([np.array(w, np.float32) @ basis[t] for t, w in rows], np.float32).reshape(len(rows), vectors.shape[1])
-        # terms of half of all texts tell little and cost most; an item of few others keeps them
-        told = np.zeros(TERMS, bool)
-        for t, _ in rows:
-            own = np.array(t)
-            told[own if (idf[own] >= COMMON).sum() < least else own[idf[own] >= COMMON]] = True
+        told = idf >= COMMON
         kept = (latent.astype(np.float64) ** 2).sum(axis=1)  # of 1, the squared length of an item
         order = np.argsort(kept < held, kind="stable")  # first the items that the dimensions hold, then those searched by terms
         index, lists = latent[kept >= held], term_lists([rows[j] for j in order[len(rows) - int((kept < held).sum()) :]], told, idf)
@@ -188,26 +209,37 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float
         used = used[told[used]] if len(index) else used[:0]
         scaled = basis[used] * idf[used, None]
         few = len(index) <= rank
-        shared = spark.sparkContext.broadcast((scaled @ index.T if few else scaled, used, idf, None if few else index, lists, limits, [(i, t.tolist(), word_bits(t.tolist()), word_bits(t.tolist()[-ANSWER:])) for i, t in (part[j] for j in order)]))  # terms in use x rank
+        common = [{t: w * float(idf[t]) for t, w in zip(*rows[j], strict=True) if not told[t]} for j in order]
+        norms = np.array([sum((w / float(idf[t])) ** 2 for t, w in c.items()) ** 0.5 for c in common])
+        wanted = [(i, w.tolist(), word_bits(w.tolist()), word_bits(w.tolist()[-ANSWER:])) for i, w in (part[j] for j in order)]
+        shared = spark.sparkContext.broadcast((scaled @ index.T if few else scaled, used, idf, None if few else index, lists, limits, wanted, (common, norms), short if at == 0 else []))  # terms in use x rank
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rows, own, weight, index, lists, limits, wanted = shared.value
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            table, own, weight, index, lists, limits, wanted, common, short = shared.value
             place = np.full(TERMS, -1, np.int32)
             place[own] = np.arange(len(own))
             for batch in slices(batches):
                 hits = []
-                for terms in batch.column("terms").to_pylist():
-                    hits.append(search(np.frombuffer(terms, np.uint16), rows, place, weight, index, lists, limits, wanted, sure, likely))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:1], pa.array(hits, pa.list_(pa.struct([("item", pa.int64() if item_kind.typeName() in ("long", "integer") else pa.string()), ("cosine", pa.float64()), ("words", pa.float64()), ("answer", pa.float64())])))], ["__id", "items"])
-
-        kind = found if item_kind.typeName() in ("long", "string") else found.replace(item_kind.simpleString(), "bigint", 1)
-        if out is None:
-            out = texts.mapInArrow(run, f"__id {id_kind}, items {kind}")
-        else:
-            out = out.unionByName(texts.mapInArrow(run, f"__id {id_kind}, items {kind}"))
+                for words in batch.column("words").to_pylist():
+                    words = np.frombuffer(words, np.uint64)
+                    hits.append(search(words, table, place, weight, index, lists, limits, wanted, common, sure, likely) + in_a_row(words, short))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(hits, pa.list_(pa.struct([("item", arrow_item), ("cosine", pa.float64()), ("words", pa.float64()), ("answer", pa.float64())])))], ["__row", "__id", "__mark", "items"])
+
+        own = texts.mapInArrow(run, f"__row long, __id {id_kind}, __mark long, items {kind}")
+        out = own if out is None else out.unionByName(own)
     if len(items) > block:
-        out = out.groupBy("__id").agg(F.flatten(F.collect_list("items")).alias("items"))
-    return out.select(F.col("__id").alias(id_col), "items", (F.size("items") > 0).alias("contaminated"))
+        out = out.groupBy("__row").agg(F.any_value("__id").alias("__id"), F.any_value("__mark").alias("__mark"), F.flatten(F.collect_list("items")).alias("items"))
+    return out.select("__id", "__mark", "items", (F.size("items") > 0).alias("contaminated"))
+
+
+def in_a_row(words: np.ndarray, short: list) -> list[dict]:
+    """The short items whose words stand in a row in the text."""
+    found = []
+    for item, own in short:
+        at = np.flatnonzero(words[: len(words) - len(own) + 1] == own[0]) if len(words) >= len(own) else words[:0].astype(int)
+        if any((words[k : k + len(own)] == own).all() for k in at):
+            found.append({"item": item, "cosine": 1.0, "words": 1.0, "answer": 1.0})
+    return found
 
 
 def term_lists(rows: list[tuple[list[int], list[float]]], told: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -220,7 +252,7 @@ def term_lists(rows: list[tuple[list[int], list[float]]], told: np.ndarray, idf:
     return np.searchsorted(terms[order], np.arange(TERMS + 1)), numbers[order], values[order], len(rows)
 
 
-def listed(terms: np.ndarray, norms: np.ndarray, lists: tuple, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def listed(terms: np.ndarray, norms: np.ndarray, lists: tuple, limits: np.ndarray, room: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Passages, items and cosines of the pairs over the items' limits, in order; the items are those of ``term_lists``."""
     starts, numbers, values, many = lists
     sizes = starts[terms.astype(int) + 1] - starts[terms]
@@ -241,33 +273,40 @@ def listed(terms: np.ndarray, norms: np.ndarray, lists: tuple, limits: np.ndarra
         keys, own = np.unique(keys, return_inverse=True)
         sums = np.bincount(own, added)
     scores = sums / np.sqrt(norms[keys // many])
-    over = scores >= limits[keys % many]
+    over = scores >= limits[keys % many] - room[keys // many] * shares[keys % many]
     return keys[over] // many, keys[over] % many, scores[over]
 
 
-def search(terms: np.ndarray, table: np.ndarray, place: np.ndarray, weight: np.ndarray, index: np.ndarray | None, lists: tuple, limits: np.ndarray, wanted: list, sure: float, likely: float) -> list[dict]:
+def search(words: np.ndarray, table: np.ndarray, place: np.ndarray, weight: np.ndarray, index: np.ndarray | None, lists: tuple, limits: np.ndarray, wanted: list, common: tuple[list, np.ndarray], sure: float, likely: float) -> list[dict]:
     """Items that a text holds; all its passages are looked at, some thousand words at a time.
 
     ``table`` has the latent rows of the terms in use, or, if ``index`` is None, their products with the first items;
-    ``lists`` has the other items, by term.
+    ``lists`` has the other items, by term. Both leave out common terms, whose share ``common`` has, by item, with its norms.
     """
     best: dict[int, dict] = {}
-    if len(terms) == 0 or not wanted:
+    if len(words) == 0 or not wanted:
         return []
+    terms = terms_of(words)
+    plain = weight[terms] < COMMON
+    shares, shares_norm = common
+    widest = float(shares_norm.max())
     places = place[terms]
     blocks = -(-len(terms) // STRIDE)
     squares = weight[terms].astype(np.float64) ** 2
     for first in range(0, blocks, PART):
         low, high = first * STRIDE, min(len(terms), (first + PART + 1) * STRIDE)
         used = np.flatnonzero(places[low:high] >= 0)
-        if not len(used) and not lists[3]:
+        if not len(used) and not lists[3] and widest < limits.min():
             continue
         n = -(-(high - low) // STRIDE)
         norms = np.add.reduceat(squares[low:high], np.arange(n) * STRIDE)
+        rest = np.add.reduceat(np.where(plain[low:high], squares[low:high], 0.0), np.arange(n) * STRIDE)
         if n > 1:
-            norms = norms[:-1] + norms[1:]
+            norms, rest = norms[:-1] + norms[1:], rest[:-1] + rest[1:]
+        # what common terms could add at most, by Cauchy and Schwarz: this for each passage times the item's norm of them
+        room = np.sqrt(rest / norms)
         found: list[tuple[int, int, float]] = []
-        if len(used):
+        if index is not None or table.shape[1]:
             edges = np.searchsorted(used, np.arange(n) * STRIDE)
             held = edges < np.append(edges[1:], len(used))
             sums = np.zeros((n, table.shape[1]), np.float32)
@@ -275,14 +314,19 @@ def search(terms: np.ndarray, table: np.ndarray, place: np.ndarray, weight: np.n
             if n > 1:
                 sums = sums[:-1] + sums[1:]
             scores = (sums if index is None else sums @ index.T) / np.sqrt(norms)[:, None]
-            over = np.nonzero(scores >= limits[: scores.shape[1]])
+            over = np.nonzero(scores >= limits[: scores.shape[1]] - room[:, None] * shares_norm[: scores.shape[1]])
             found += zip(*(a.tolist() for a in over), scores[over].tolist(), strict=True)
         if lists[3]:
             first_listed = len(wanted) - lists[3]
-            k, j, scored = listed(terms[low:high], norms, lists, limits[first_listed:])
+            k, j, scored = listed(terms[low:high], norms, lists, limits[first_listed:], room, shares_norm[first_listed:])
             found += zip(k.tolist(), (j + first_listed).tolist(), scored.tolist(), strict=True)
         last: dict[int, int] = {}
         for k, j, score in found:
+            start = low + k * STRIDE
+            if shares[j]:
+                score += sum(map(shares[j].get, terms[start : min(high, start + 2 * STRIDE)].tolist(), itertools.repeat(0.0))) / norms[k] ** 0.5
+            if score < limits[j]:
+                continue
             item, own, bits, answer = wanted[j]
             size = len(own)
             if last.get(j) == k - 1 or (j in best and best[j]["words"] == 1.0):  # what was looked at around the passage before holds this one too
@@ -290,8 +334,7 @@ def search(terms: np.ndarray, table: np.ndarray, place: np.ndarray, weight: np.n
                     best[j]["cosine"] = max(best[j]["cosine"], score)
                 continue
             last[j] = k
-            start = low + k * STRIDE
-            region = terms[max(0, start - size) : start + 3 * STRIDE + size].tolist()
+            region = words[max(0, start - size) : start + 3 * STRIDE + size].tolist()
             share = common_subsequence(bits, size, region) / size
             if share < likely:
                 continue
@@ -302,7 +345,8 @@ def search(terms: np.ndarray, table: np.ndarray, place: np.ndarray, weight: np.n
     return [best[j] for j in sorted(best)]
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
-    """The rows that hold no item, with the input's columns."""
-    dropped = leaks(docs, benchmark, id_col=id_col, **settings).where("contaminated").select(F.col(id_col).alias("__tw_id"))
-    return docs.join(dropped, F.col(id_col) == F.col("__tw_id"), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """The rows that hold no item, with the input's columns; rows are told apart by id, which may be null, and text."""
+    found = found_items(docs, benchmark, id_col=id_col, text_col=text_col, **settings).where("contaminated")
+    dropped = found.select(F.col("__id").alias("__tw_id"), F.col("__mark").alias("__tw_mark"))
+    return docs.join(dropped, F.col(id_col).eqNullSafe(F.col("__tw_id")) & (F.xxhash64(text_col) == F.col("__tw_mark")), "left_anti")
