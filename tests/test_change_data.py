@@ -32,7 +32,15 @@ def test_upsert_equals_current_state_and_may_run_twice(spark, tmp_path):
     first, second = changes(spark, HISTORY[:2] + HISTORY[3:]), changes(spark, [HISTORY[2], ("c", 9, None, (4, "n"))])
     for batch in (first, second, second):
         serving.upsert(spark, path, cdc.unwrap(batch, ["k"], "none"), ["k"], buckets=2)
-    assert {(r.k, r.v) for r in spark.read.parquet(path).collect()} == {(2, "x"), (3, "s"), (4, "n")}
+    assert {(r.k, r.v) for r in serving.current_rows(spark, path).collect()} == {(2, "x"), (3, "s"), (4, "n")}
+
+
+def test_late_changes_undo_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for op, at, v in (("u", 200, "new"), ("u", 100, "old"), ("d", 300, None), ("u", 250, "late")):
+        batch = spark.createDataFrame([(1, v, op == "d", at)], "k long, v string, __tombstone boolean, ts_ms long")
+        serving.upsert(spark, path, batch, ["k"], buckets=2)
+        assert [r.v for r in serving.current_rows(spark, path).collect()] == ([] if at > 200 else ["new"])
 
 
 def test_newest_is_by_time_not_by_text(spark):

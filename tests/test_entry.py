@@ -25,7 +25,7 @@ def store():
 def names():
     from tidewater import catalog
 
-    return sorted(n for n in catalog.QUERIES if n not in ("metric_topn", "leaderboard_now", "stream_kpi", "stream_breakdown", "stream_bronze_landing"))
+    return sorted(catalog.QUERIES)
 
 
 @pytest.mark.parametrize("name", names())

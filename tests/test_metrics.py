@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -89,3 +90,21 @@ def test_stream_equals_batch_where_windows_closed(spark, tmp_path):
 
 def test_roles_read_the_tables(spark):
     assert roles.transactions(spark, "/root/testdata/sf0.001").where("op = 'r'").count() > 0
+
+
+def test_rank_orders_that_do_not_parse(spark):
+    assert len(metrics.sort_keys("n DESC, v, w asc")) == 3
+    with pytest.raises(ValueError):
+        metrics.sort_keys("sum(v) desc")
+
+
+def test_leaders_equal_the_rank_over_all_windows(spark):
+    rng = random.Random(4)
+    rows = [(1_704_067_200_000 + rng.randrange(3 * 86_400_000), rng.randrange(30), str(rng.randrange(0, 4))) for _ in range(800)]
+    for odd in ([], [(1_704_067_200_000, 1, "-5")]):  # with a negative amount, totals may fall
+        df = spark.createDataFrame(rows + odd, "ts_ms long, account_id long, amount string").selectExpr("*", "timestamp_millis(ts_ms) as event_time", "'c' as op")
+        spec = {**metrics.TOPN, "rank": {**metrics.TOPN["rank"], "keep": 3}}
+        assert (metrics.growing(spec, df) is None) == bool(odd)
+        plain = {**spec, "aggregations": [{k: v for k, v in a.items() if k != "kind"} for a in spec["aggregations"]]}
+        got, want = (sorted(tuple(map(str, r)) for r in metrics.metric(df, s).select("window_start", "window_end", "rank_num", "account_id", "tx_count", metrics.F.col("total_value").cast("double")).collect()) for s in (spec, plain))
+        assert got == want and got

@@ -29,33 +29,37 @@ def append_served(df: DataFrame, path: str, time_col: str, now: Column | None =
 
 
 def upsert(spark: SparkSession, path: str, changes: DataFrame, keys: list[str], buckets: int = 16) -> None:
-    """Apply changes (columns of the table, ``__tombstone``, ``ts_ms``) to a Parquet table cut in hash buckets.
+    """Apply changes (columns of the table, ``__tombstone``, ``ts_ms``) to a Parquet table cut in hash buckets; ``current_rows`` reads it.
 
+    The table keeps each key's last change with its time, also a delete, so a change that comes late never undoes a newer one.
     Only the buckets that hold a changed key are read and written again, each by one dynamic partition overwrite. With a
     table format, MERGE INTO does the same; this is for stores without one. New files are written beside the old ones first,
-    so a failed run leaves the table as it was.
+    and applying a batch again after a failed run gives the same table.
     """
-    own = [c for c in changes.columns if c not in ("__tombstone", "ts_ms", "op")]
-    rest = [c for c in changes.columns if c not in keys]
-    last = changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("ts_ms", "__tombstone")).alias("r")).select(*keys, "r.*")
+    columns = [*keys, *[c for c in changes.columns if c not in (*keys, "op")]]
+    newest = lambda df: df.groupBy(*keys).agg(F.max_by(F.struct(*columns[len(keys) :]), F.struct("ts_ms", "__tombstone")).alias("r")).select(*keys, "r.*")
+    last = newest(changes)
     last = last.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
     fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    new = last.where(~F.col("__tombstone")).select(*own, "bucket")
+    new = last.select(*columns, "bucket")
     if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
         touched = [r.bucket for r in last.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-        old = spark.read.parquet(path).where(F.col("bucket").isin(touched)).join(last.select(*keys), keys, "left_anti")
-        new = old.select(*own, "bucket").unionByName(new)
+        old = spark.read.parquet(path).where(F.col("bucket").isin(touched))
+        both = old.select(*columns).unionByName(new.select(*columns))
+        new = newest(both).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
         held = f"{path}.next-{time.time_ns()}"
         new.write.parquet(held)
-        empty = spark.createDataFrame([(b,) for b in touched], "bucket int").join(spark.read.parquet(held).select("bucket").distinct(), "bucket", "left_anti")
         spark.read.parquet(held).repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-        for r in empty.collect():
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/bucket={r.bucket}"), True)
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(held), True)
     else:
         new.repartition("bucket").write.partitionBy("bucket").parquet(path)
 
 
+def current_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a table that ``upsert`` keeps, without those deleted last."""
+    return spark.read.parquet(path).where(~F.col("__tombstone")).drop("__tombstone", "ts_ms", "bucket")
+
+
 class Snapshots:
     """Versions of a table as Parquet folders and a log of them; for stores without a table format.
 

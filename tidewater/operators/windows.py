@@ -11,7 +11,7 @@ SECONDS = {"SECOND": 1, "MINUTE": 60, "HOUR": 3600, "DAY": 86400}
 
 def seconds(text: str) -> int:
     """``"5 MINUTE"`` as seconds."""
-    m = re.fullmatch(r"\s*(\d+)\s+([A-Za-z]+?)S?\s*", text)
+    m = re.fullmatch(r"\s*(\d+)\s+([A-Za-z]+?)[sS]?\s*", text)
     if not m or m[2].upper() not in SECONDS:
         raise ValueError(f"not a span of time: {text!r}")
     return int(m[1]) * SECONDS[m[2].upper()]

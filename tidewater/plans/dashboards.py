@@ -63,8 +63,8 @@ def with_lookup(df: DataFrame, lookup: DataFrame, key: str, defaults: dict) -> D
     return df.join(lookup, key, "left").fillna(defaults)
 
 
-def catalog_tables(tables: DataFrame, cases: DataFrame) -> DataFrame:
-    """One row per table from nested records (fqn, name, domain, owners, tags, description, columns of name and tags), with its number of test cases."""
+def catalog_tables(tables: DataFrame, cases: DataFrame, now: Column | None = None) -> DataFrame:
+    """One row per table, as of ``now``, from nested records (fqn, name, domain, owners, tags, description, columns of name and tags), with its number of test cases."""
     n_tests = cases.groupBy(F.regexp_replace("case_fqn", r"\.[^.]*\.[^.]*$", "").alias("fqn")).agg(F.count("*").alias("n_tests"))
     flat = tables.select(
         "fqn",
@@ -72,18 +72,21 @@ def catalog_tables(tables: DataFrame, cases: DataFrame) -> DataFrame:
         F.col("name").alias("table_name"),
         F.coalesce("domain", F.lit("")).alias("domain"),
         tag_under(F.col("tags"), "Tier").alias("tier"),
+        tag_under(F.col("tags"), "Sensitivity").alias("sensitivity"),
         F.coalesce(F.get("owners", F.lit(0)), F.lit("")).alias("owner"),
         F.when(F.trim(F.coalesce("description", F.lit(""))) != "", 1).otherwise(0).alias("has_description"),
         F.size("columns").alias("n_columns"),
         F.size(F.filter("columns", lambda c: tag_under(c["tags"], "PII") != "")).alias("n_pii"),
     )
-    return with_lookup(flat, n_tests, "fqn", {"n_tests": 0})
+    return with_lookup(flat, n_tests, "fqn", {"n_tests": 0}).withColumn("snapshot_ts", F.current_timestamp() if now is None else now)
 
 
 def test_results(results: DataFrame, tables: DataFrame) -> DataFrame:
-    """Flat results (case_fqn, ts_ms, status) with the parts of the case's name and the domain of its table."""
+    """Flat results (case_fqn, case_name, definition, ts_ms, status, message) with the parts of the case's name and the domain of its table."""
     part = lambda n: F.get(F.split("case_fqn", r"\."), F.lit(n))
-    flat = results.select("case_fqn", F.timestamp_millis("ts_ms").alias("ts"), "status", part(2).alias("schema_name"), part(3).alias("table_name"), F.concat_ws(".", F.slice(F.split("case_fqn", r"\."), 1, 4)).alias("fqn"))
+    text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
+    column = F.when(F.size(F.split("case_fqn", r"\.")) > 5, part(4)).otherwise("").alias("column_name")
+    flat = results.select("case_fqn", "case_name", text("definition"), F.timestamp_millis("ts_ms").alias("ts"), "status", text("message"), column, part(2).alias("schema_name"), part(3).alias("table_name"), F.concat_ws(".", F.slice(F.split("case_fqn", r"\."), 1, 4)).alias("fqn"))
     return with_lookup(flat, tables.select("fqn", "domain"), "fqn", {"domain": ""})
 
 

@@ -24,7 +24,10 @@ def silver_enriched(transactions: DataFrame, accounts: DataFrame, customers: Dat
 
     No side is broadcast by hand: the optimizer does so where a side is measured small.
     """
-    current_accounts, current_customers = latest(accounts, ["account_id"], "updated_at", ["status"]), latest(customers, ["customer_id"], "updated_at", ["kyc_status"])
+    # only the columns that silver reads go through the shuffle
+    only = lambda df, *names: df.select(*names, *(c for c in ("updated_at", "__deleted") if c in df.columns))
+    current_accounts = latest(only(accounts, "account_id", "account_type", "account_number", "customer_id", "status"), ["account_id"], "updated_at", ["status"])
+    current_customers = latest(only(customers, "customer_id", "full_name", "country_code", "kyc_status", "risk_score"), ["customer_id"], "updated_at", ["kyc_status"])
     if drop_deleted:
         current_accounts, current_customers = without_deleted(current_accounts), without_deleted(current_customers)
     a = current_accounts.select("account_id", "account_type", "account_number", "customer_id")
@@ -68,7 +71,8 @@ def high_risk(silver: DataFrame, above: int = 60) -> DataFrame:
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
     """Parquet; rows of a partition folder are brought together first, so it gets few files."""
     if partition_by:
-        df.repartition(*partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+        # split where a folder has many rows, merged where it has few
+        df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode(mode).partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode(mode).parquet(path)
 

@@ -1,7 +1,7 @@
 """Windowed metrics from a declared spec.
 
 A spec is a dict: ``name``, ``filter`` (SQL text), ``window`` (``type`` tumble or cumulate, ``time_col``, ``size``,
-``step``), ``dimensions`` and ``aggregations`` (``as`` and ``expr``), and ``rank`` (``as``, ``order_by``, ``keep``). Columns come out
+``step``), ``dimensions`` and ``aggregations`` (``as`` and ``expr``), and ``rank`` (``as``, ``order_by``, ``keep``, and ``partition_by``, the window if it is left out). Columns come out
 as window_start, window_end, the rank, the dimensions, the aggregations.
 
 An aggregation's ``expr`` is SQL text. In cumulative windows, rows are first summed by pane and the sums run along the
@@ -12,11 +12,14 @@ count runs too: a value counts from the pane of the day in which it is first see
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewater.functions.scalars import MONEY
 from tidewater.operators import windows
 
+WINDOW = ["window_start", "window_end"]
 AMOUNT = f"cast(amount as {MONEY})"
 DAY = {"type": "cumulate", "time_col": "event_time", "step": "5 MINUTE", "size": "1 DAY"}
 
@@ -62,6 +65,8 @@ def metric(df: DataFrame, spec: dict, contract: list[str] | None = None) -> Data
     keys, win = [d["as"] for d in spec["dimensions"]], spec["window"]
     if win["type"] == "tumble":
         out = windows.tumbling(rows, win["time_col"], win["size"]).groupBy("window_start", "window_end", *keys).agg(*[settled(F.expr(a["expr"]), a.get("kind")).alias(a["as"]) for a in spec["aggregations"]])
+    elif win["type"] == "cumulate" and (grows := growing(spec, rows)) is not None:
+        return leaders(windows.panes(rows, win["time_col"], win["step"], win["size"]), keys, win, spec, grows).select(*names)
     elif win["type"] == "cumulate":
         out = cumulative(windows.panes(rows, win["time_col"], win["step"], win["size"]), keys, win, spec["aggregations"])
     else:
@@ -90,6 +95,41 @@ def cumulative(rows: DataFrame, keys: list[str], win: dict, aggregations: list[d
         parts[a["as"]] = F.lit(0)
     spine = windows.every_window(held.groupBy("window_start", *keys).agg(F.min("pane_end").alias("pane_end")), win["step"], win["size"])
     out = windows.running(joined_on(spine, held.withColumnRenamed("pane_end", "window_end"), ["window_start", "window_end", *keys]), keys, list(parts))
+    return settle(out, aggregations)
+
+
+def growing(spec: dict, rows: DataFrame) -> str | None:
+    """The aggregation by which a cumulative rank is ordered, largest first, if it can only grow along the day: a count, or a sum of which no part is negative."""
+    rank = spec.get("rank") or {}
+    found = re.fullmatch(r"\s*(\w+)\s+desc\s*", rank.get("order_by", ""), re.I)
+    by = next((a for a in spec["aggregations"] if found and a["as"] == found[1]), None)
+    if by is None or rank.get("partition_by", WINDOW) != WINDOW or not all(a.get("kind") in ("count", "sum", "count_if", "ratio") for a in spec["aggregations"]):
+        return None
+    if by["kind"] == "sum":
+        return None if rows.where(F.expr(by["of"]) < 0).limit(1).count() else by["as"]
+    return by["as"] if by["kind"] != "ratio" else None
+
+
+def leaders(rows: DataFrame, keys: list[str], win: dict, spec: dict, by: str) -> DataFrame:
+    """The first ``keep`` of each cumulative window, where the order can only grow.
+
+    Totals change only in panes with rows. A key that is not among the first of the keys that change in its pane is behind
+    as many keys whose totals never fall, so it can't lead before it changes again. So the candidates are the first of each pane, whatever the
+    number of keys, and only these stand in the windows up to their next change.
+    """
+    rank, ends = spec["rank"], F.col("window_start") + F.expr(f"interval {windows.seconds(win['size'])} seconds")
+    parts = {a["as"]: F.sum(F.expr(a["of"])) if a["kind"] == "sum" else F.count("*") if a["kind"] == "count" else F.count_if(F.expr(a["of"])) for a in spec["aggregations"]} | {"__rows": F.count("*")}
+    panes = rows.groupBy("window_start", F.col("pane_end").alias("window_end"), *keys).agg(*[v.alias(k) for k, v in parts.items()])
+    totals = settle(windows.running(panes, keys, list(parts)), spec["aggregations"])
+    first = [F.col(by).desc_nulls_last(), *keys]
+    told = totals.withColumn("__k", F.row_number().over(W.partitionBy(*WINDOW).orderBy(*first))).where(F.col("__k") <= rank["keep"]).drop("__k")
+    until = F.coalesce(F.lead("window_end").over(W.partitionBy("window_start", *keys).orderBy("window_end")) - F.expr(f"interval {windows.seconds(win['step'])} seconds"), ends)
+    spread = told.withColumn("__until", until).withColumn("__end", F.explode(F.sequence("window_end", "__until", F.expr(f"interval {windows.seconds(win['step'])} seconds")))).drop("window_end", "__until").withColumnRenamed("__end", "window_end")
+    return ranked(spread, rank, keys)
+
+
+def settle(out: DataFrame, aggregations: list[dict]) -> DataFrame:
+    """Running parts as the aggregations' values."""
     for a in aggregations:
         value = F.col(a["as"])
         if a["kind"] == "ratio":
@@ -98,6 +138,13 @@ def cumulative(rows: DataFrame, keys: list[str], win: dict, aggregations: list[d
     return out.drop("__rows")
 
 
+def last_day(rows: DataFrame, spec: dict) -> DataFrame:
+    """The rows of the newest span of the spec's windows; its start is one broadcast row."""
+    kept = rows.where(F.expr(spec["filter"])) if spec.get("filter") else rows
+    start = windows.floor_to(F.col(spec["window"]["time_col"]), windows.seconds(spec["window"]["size"]))
+    return kept.join(F.broadcast(kept.agg(F.max(start).alias("__last"))), start >= F.col("__last")).drop("__last")
+
+
 def joined_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Left join on keys of which null equals null."""
     r = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
@@ -108,9 +155,15 @@ def joined_on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(r, on, "left").drop(*[f"__r_{k}" for k in keys])
 
 
+def sort_keys(text: str) -> list[Column]:
+    """``"total_value DESC, account_id"`` as columns; what does not parse is an error."""
+    found = [re.fullmatch(r"\s*(\w+)(?:\s+(asc|desc))?\s*", part, re.I) for part in text.split(",")]
+    if not all(found):
+        raise ValueError(f"not an order: {text!r}")
+    return [F.col(m[1]).desc() if (m[2] or "").lower() == "desc" else F.col(m[1]).asc() for m in found]
+
+
 def ranked(df: DataFrame, rank: dict, keys: list[str]) -> DataFrame:
-    """Rank inside each window and keep the first; ties are settled by the dimensions, so reruns agree."""
-    column, _, way = rank["order_by"].strip().partition(" ")
-    first = F.col(column).desc() if way.strip().lower() == "desc" else F.col(column).asc()
-    over = W.partitionBy("window_start", "window_end").orderBy(first, *keys)
+    """Rank inside each window, or ``partition_by``, and keep the first; ties are settled by the dimensions, so reruns agree."""
+    over = W.partitionBy(*rank.get("partition_by", WINDOW)).orderBy(*sort_keys(rank["order_by"]), *keys)
     return df.withColumn(rank["as"], F.row_number().over(over).cast("long")).where(F.col(rank["as"]) <= rank["keep"])

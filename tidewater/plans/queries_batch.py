@@ -46,6 +46,13 @@ def metric_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(metrics.metric(roles.transactions(spark, sf_dir), metrics.TOPN))
 
 
+@R.add(f"with {TX}, w as (select date_trunc('day', event_time) as window_start, date_trunc('day', event_time) + interval 1 day as window_end, transaction_type as tx_type, account_id, count(*) as n, {VALUE} as v from tx group by all), r as (select *, row_number() over (partition by window_start, window_end, tx_type order by n desc, v desc, account_id) as place from w) select window_start, window_end, place, tx_type, account_id, n, v from r where place <= 3")
+def metric_rank_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three accounts of each day and type, by two keys."""
+    spec = {"name": "by_type", "window": {"type": "tumble", "time_col": "event_time", "size": "1 DAY"}, "dimensions": [{"as": "tx_type", "expr": "transaction_type"}, {"as": "account_id", "expr": "account_id"}], "aggregations": [metrics.counted("n"), metrics.summed("v")], "rank": {"as": "place", "partition_by": ["window_start", "window_end", "tx_type"], "order_by": "n DESC, v DESC", "keep": 3}}
+    return doubles(metrics.metric(roles.transactions(spark, sf_dir), spec))
+
+
 @R.add(f"with {TX} select time_bucket(interval 1 hour, event_time) as window_start, time_bucket(interval 1 hour, event_time) + interval 1 hour as window_end, count(*) as n, count(distinct account_id) as accounts, avg(cast(amount as double)) as mean_amount from tx where status = 'failed' group by all")
 def metric_custom_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user's own spec, in SQL text only."""
@@ -175,6 +182,19 @@ def alert_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.describe(alerts.route(_alerts(spark, sf_dir), 86400)).select("alert_type", "account_id", "at_ms", "action", "description")
 
 
+@R.add("""with recursive a as (select case when event_id % 11 = 0 then null else user_id end as account_id, case when event_id % 3 = 0 then 'VELOCITY_ATTACK' else 'VELOCITY_FRAUD' end as alert_type, epoch_us(ts) // 1000 as at_ms from events),
+    b as (select *, 1 as copy from a union all select *, 2 as copy from a where at_ms % 2 = 0),
+    o as (select *, coalesce(account_id::varchar, '') as key, row_number() over (partition by coalesce(account_id::varchar, '') order by at_ms, alert_type, copy) as k from b),
+    fold as (select *, at_ms as sent, 'EMAIL_SENT' as action from o where k = 1
+        union all select o.*, case when o.at_ms - f.sent >= 86400000 then o.at_ms else f.sent end, case when o.at_ms - f.sent >= 86400000 then 'EMAIL_SENT' else 'EMAIL_THROTTLED' end from fold f join o on o.key = f.key and o.k = f.k + 1)
+    select key as account, alert_type, case when alert_type = 'VELOCITY_ATTACK' then 'HIGH' else 'MEDIUM' end as severity, at_ms, action, count(*) as n from fold group by all""")
+def alert_routing_odd_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts without an account, without a severity, and twice."""
+    once = roles.table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 11 != 0, F.col("user_id")).alias("account_id"), F.when(F.col("event_id") % 3 == 0, "VELOCITY_ATTACK").otherwise("VELOCITY_FRAUD").alias("alert_type"), F.lit("").alias("severity"), F.unix_millis(F.col("ts").cast("timestamp")).alias("at_ms"))
+    routed = alerts.route(once.unionAll(once.where("at_ms % 2 = 0")), 86400)
+    return routed.groupBy(alerts.account_key().alias("account"), "alert_type", "severity", "at_ms", "action").agg(F.count("*").alias("n"))
+
+
 @R.add(f"with {ALERTS} select alert_type, count(*) as n from alerts group by 1")
 def alert_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerts(spark, sf_dir).groupBy("alert_type").agg(F.count("*").alias("n"))

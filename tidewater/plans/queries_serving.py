@@ -167,7 +167,7 @@ def federated_key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @R.add(f"with {TX}, d as (select date_trunc('day', max(event_time)) as day from tx where op = 'c') select (select count(*) from tx where status = 'completed') as n_store, (select count(*) from tx, d where op = 'c' and status = 'completed' and date_trunc('day', event_time) = day) as n_metric")
 def reconcile_store_and_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = roles.transactions(spark, sf_dir)
-    metric = dashboards.in_last_window(metrics.metric(rows, metrics.BREAKDOWN))
+    metric = dashboards.in_last_window(metrics.metric(metrics.last_day(rows, metrics.BREAKDOWN), metrics.BREAKDOWN))
     return dashboards.side_by_side(rows.where("status = 'completed'").agg(F.count("*").alias("n_store")), metric.agg(F.sum("success_count").alias("n_metric")))
 
 
@@ -178,7 +178,7 @@ def reconcile_store_and_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.add(f"with {TX}, d as (select date_trunc('day', max(event_time)) as day from tx where op = 'c'), a as (select day as window_start, day + interval 1 day as window_end, account_id, count(*) as tx_count, cast(sum(cast(amount as decimal(19,4))) as decimal(19,4)) as v from tx, d where op = 'c' and date_trunc('day', event_time) = day group by all), r as (select *, row_number() over (order by v desc, account_id) as rank_num from a) select window_start, window_end, rank_num, account_id, tx_count, v::double as total_value from r where rank_num <= 10")
 def leaderboard_now(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return doubles(dashboards.in_last_window(metrics.metric(roles.transactions(spark, sf_dir), metrics.TOPN)).orderBy("rank_num"))
+    return doubles(dashboards.in_last_window(metrics.metric(metrics.last_day(roles.transactions(spark, sf_dir), metrics.TOPN), metrics.TOPN)).orderBy("rank_num"))
 
 
 @R.add(f"with {TX} select date_trunc('minute', event_time) as window_start, transaction_type as tx_type, count(*) as tx_count from tx where op = 'c' and event_time between timestamp '2024-01-05' and timestamp '2024-01-07' group by all order by 1, 2")
@@ -234,7 +234,7 @@ def json_sink_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CATALOG = """s as (select 'bdp.bank.' || lower(r_name) || '.t' || s_suppkey as fqn, 't' || s_suppkey as table_name, lower(r_name) as schema_name, s_suppkey as k, n_nationkey as nk from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
     cases as (select s.fqn || '.c' || (p_partkey % 3) || '.case' || p_partkey as case_fqn, s.fqn, p_partkey as pk from part join s on s.k = p_partkey % (select count(*) from supplier) where p_partkey % 4 <> 0),
-    cat as (select fqn, schema_name, table_name, case when k % 5 = 0 then '' else 'dom' || (k % 3) end as domain, case when k % 2 = 0 then 'Tier' || (k % 4) else '' end as tier, case when k % 3 = 0 then '' else 'owner' || (k % 7) end as owner,
+    cat as (select fqn, schema_name, table_name, case when k % 5 = 0 then '' else 'dom' || (k % 3) end as domain, case when k % 2 = 0 then 'Tier' || (k % 4) else '' end as tier, case when k % 7 = 0 then 'High' else '' end as sensitivity, timestamp '2024-02-01' as snapshot_ts, case when k % 3 = 0 then '' else 'owner' || (k % 7) end as owner,
         case when k % 6 = 0 then 0 else 1 end as has_description, (k % 4 + 1)::int as n_columns, (select count(*) from generate_series(0, (k % 4)::bigint) g(i) where (k + i) % 3 = 0)::int as n_pii, coalesce((select count(*) from cases c where c.fqn = s.fqn), 0) as n_tests from s)"""
 
 
@@ -246,7 +246,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = F.transform(F.sequence(F.lit(0).cast("long"), k % 4), lambda i: F.struct(F.concat(F.lit("c"), i.cast("string")).alias("name"), F.when((k + i) % 3 == 0, F.array(F.lit("PII.Sensitive"))).otherwise(F.array(F.lit("Other.x"))).alias("tags")))
     return rows.select(
         F.concat(F.lit("bdp.bank."), F.lower("r_name"), F.lit(".t"), k.cast("string")).alias("fqn"), F.concat(F.lit("t"), k.cast("string")).alias("name"), F.when(k % 5 != 0, F.concat(F.lit("dom"), (k % 3).cast("string"))).alias("domain"),
-        F.when(k % 2 == 0, F.array(F.lit("Zone.a"), F.concat(F.lit("Tier.Tier"), (k % 4).cast("string")))).otherwise(F.array(F.lit("Zone.b"))).alias("tags"), F.when(k % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("owner"), (k % 7).cast("string")))).alias("owners"),
+        F.concat(F.when(k % 2 == 0, F.array(F.lit("Zone.a"), F.concat(F.lit("Tier.Tier"), (k % 4).cast("string")))).otherwise(F.array(F.lit("Zone.b"))), F.when(k % 7 == 0, F.array(F.lit("Sensitivity.High"))).otherwise(F.array().cast("array<string>"))).alias("tags"), F.when(k % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("owner"), (k % 7).cast("string")))).alias("owners"),
         F.when(k % 6 == 0, "  ").otherwise("text").alias("description"), columns.alias("columns"), k.alias("k"),
     )
 
@@ -258,7 +258,7 @@ def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboards.catalog_tables(_tables(spark, sf_dir), _cases(spark, sf_dir))
+    return dashboards.catalog_tables(_tables(spark, sf_dir), _cases(spark, sf_dir), F.lit("2024-02-01").cast("timestamp"))
 
 
 @R.add(f"with {CATALOG} select * from cat")
@@ -268,11 +268,11 @@ def governance_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
-    flat = _cases(spark, sf_dir).select("case_fqn", (k * 3_600_000).alias("ts_ms"), F.when(k % 9 == 0, "Failed").otherwise("Success").alias("status"))
+    flat = _cases(spark, sf_dir).select("case_fqn", (k * 3_600_000).alias("ts_ms"), F.when(k % 9 == 0, "Failed").otherwise("Success").alias("status"), F.element_at(F.split("case_fqn", r"\."), -1).alias("case_name"), F.when(k % 2 == 0, "columnValuesToBeUnique").alias("definition"), F.when(k % 9 == 0, F.concat(F.lit("found "), k.cast("string"))).alias("message"))
     return dashboards.test_results(flat, _catalog_rows(spark, sf_dir))
 
 
-RESULTS = f"{CATALOG}, res as (select case_fqn, make_timestamp(pk * 3600000000) as ts, case when pk % 9 = 0 then 'Failed' else 'Success' end as status, schema_name, table_name, cases.fqn, domain from cases join cat using (fqn))"
+RESULTS = f"{CATALOG}, res as (select case_fqn, make_timestamp(pk * 3600000000) as ts, case when pk % 9 = 0 then 'Failed' else 'Success' end as status, schema_name, table_name, cases.fqn, domain, 'case' || pk as case_name, case when pk % 2 = 0 then 'columnValuesToBeUnique' else '' end as definition, case when pk % 9 = 0 then 'found ' || pk else '' end as message, 'c' || (pk % 3) as column_name from cases join cat using (fqn))"
 
 
 @R.add(f"with {RESULTS} select * from res")

@@ -13,6 +13,7 @@ from tidewater.sources.streams import file_stream
 from tidewater.streaming import fraud as fraud_streams, metrics as metric_streams, sinks
 
 R = Registry()
+DONE = "'completed'"
 QUERIES, ORACLES = R.queries, R.sql
 
 #: Windows that the watermark, five seconds behind the newest row, has closed.
@@ -38,7 +39,7 @@ def stream_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(run_once(metric_streams.cumulative_metric(transactions(spark, sf_dir), metrics.BREAKDOWN), "breakdown"))
 
 
-@R.add(f"with {TX}, w as ({cumulated('', f'count(*) as total_count, {VALUE} as total_value, {STATES}, cast(count(*) filter (where status = chr(99) || chr(111) || chr(109) || chr(112) || chr(108) || chr(101) || chr(116) || chr(101) || chr(100)) * 100.0 / nullif(count(*), 0) as decimal(5,2))::double as success_rate, count(distinct account_id) as active_users')}) select * from w where {CLOSED}")
+@R.add(f"with {TX}, w as ({cumulated('', f'count(*) as total_count, {VALUE} as total_value, {STATES}, cast(count(*) filter (where status = {DONE}) * 100.0 / nullif(count(*), 0) as decimal(5,2))::double as success_rate, count(distinct account_id) as active_users')}) select * from w where {CLOSED}")
 def stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(run_once(metric_streams.cumulative_metric(transactions(spark, sf_dir), metrics.KPI), "kpi"))
 
@@ -94,7 +95,18 @@ def stream_current_state_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = stream_of(spark, sf_dir, "orders").select(op.alias("op"), (F.unix_millis(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey")).alias("ts_ms"), F.when(F.col("o_orderkey") % 3 == 0, row).alias("before"), F.when(F.col("o_orderkey") % 9 != 0, row).alias("after"))
     for run in (1, 2):
         sinks.each_batch(cdc.unwrap(changes, ["account_id"], "none"), sinks.mirror(f"{where}/rows", ["account_id"]), f"{where}/checkpoint{run}", once=True).awaitTermination()
-    return spark.read.parquet(f"{where}/rows").drop("bucket")
+    return serving.current_rows(spark, f"{where}/rows")
+
+
+@R.add(f"select account_id, account_type, balance from (select o_custkey as account_id, o_orderpriority as account_type, cast(cast(o_totalprice as decimal(19,4)) as varchar) as balance, o_orderkey % 9 = 0 as gone, row_number() over (partition by o_custkey order by epoch_us(o_orderdate) // 1000 + o_orderkey desc, o_orderkey % 9 = 0 desc) as k from orders) where k = 1 and not gone")
+def upsert_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newer half of the changes first, then the older half: late changes undo nothing, deletes included."""
+    where = folder(spark, "upsert")
+    at = F.unix_millis(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey")
+    changes = roles.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("account_id"), F.col("o_orderpriority").alias("account_type"), F.col("o_totalprice").cast("decimal(19,4)").cast("string").alias("balance"), (F.col("o_orderkey") % 9 == 0).alias("__tombstone"), at.alias("ts_ms"), (F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).alias("newer"))
+    for newer in (True, False):
+        serving.upsert(spark, f"{where}/rows", changes.where(F.col("newer") == newer).drop("newer"), ["account_id"])
+    return serving.current_rows(spark, f"{where}/rows")
 
 
 @R.add("select event_id % 7 = 0 as bad, count(*) as n from events group by 1")

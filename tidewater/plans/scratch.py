@@ -1,7 +1,8 @@
-"""Folders for streams that run once: in the shared folder of the cluster, a temporary one where the session names none."""
+"""Folders for streams that run once: in the shared folder of the cluster, a temporary one only in a session of one machine that names none."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -12,7 +13,10 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def folder(spark: SparkSession, name: str) -> str:
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidewater-")
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    base = base or tempfile.mkdtemp(prefix="tidewater-")
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 

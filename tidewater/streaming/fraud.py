@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidewater.operators.windows import seconds
-from tidewater.plans.alerts import COOLDOWN_S, NOTIFIES, with_severity
+from tidewater.plans.alerts import COOLDOWN_S, NOTIFIES, account_key, with_severity
 
 STORM_SCHEMA = "alert_type string, severity string, account_id long, failure_count_window long, threshold long, window_minutes long, detected_at_ms long, recent_failures array<struct<ts_ms:bigint,tx_id:bigint,amount:string>>"
 
@@ -93,4 +93,4 @@ def route(alerts: DataFrame, cooldown_s: int = COOLDOWN_S) -> DataFrame:
     """Alerts (account_id, alert_type, severity, at_ms, ...) with their ``action``; the state holds one time per account."""
     rows = with_severity(alerts)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.groupBy("account_id").transformWithStateInPandas(Cooldown(cooldown_s, rows.columns), fields + ", action string", "Append", "None")
+    return rows.withColumn("__key", account_key()).groupBy("__key").transformWithStateInPandas(Cooldown(cooldown_s, rows.columns), fields + ", action string", "Append", "None")

@@ -48,19 +48,24 @@ def mirror(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
 
 
 def append_values(path: str) -> Callable[[DataFrame, int], None]:
-    """Append-only sink of a topic without a key; null values are skipped."""
-    return lambda batch, _: batch.where("value is not null").write.mode("append").parquet(path)
+    """Append-only sink of a topic without a key; null values are skipped. A batch that is retried replaces its own rows."""
+    return lambda batch, number: batch.where("value is not null").write.mode("overwrite").parquet(f"{path}/batch={number}")
 
 
 def quarantined(casts: dict[str, str], good_path: str, bad_path: str, connector: str, topic: str) -> Callable[[DataFrame, int], None]:
-    """Good rows to one table, bad ones as dead letters to another, from one read of the batch; the stream goes on."""
+    """Good rows to one table, bad ones as dead letters to another, from one read of the batch; the stream goes on.
 
-    def write(batch: DataFrame, _: int) -> None:
+    Each batch has a folder of its own, which a retry replaces; readers see its number as column ``batch``.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
         batch.persist()
-        good, letters = split_bad(batch, casts, connector, topic)
-        good.write.mode("append").parquet(good_path)
-        letters.write.mode("append").parquet(bad_path)
-        batch.unpersist()
+        try:
+            good, letters = split_bad(batch, casts, connector, topic)
+            good.write.mode("overwrite").parquet(f"{good_path}/batch={number}")
+            letters.write.mode("overwrite").parquet(f"{bad_path}/batch={number}")
+        finally:
+            batch.unpersist()
 
     return write
 
@@ -70,8 +75,10 @@ def fan_out(writes: list[Callable[[DataFrame, int], None]]) -> Callable[[DataFra
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
-        for w in writes:
-            w(batch, number)
-        batch.unpersist()
+        try:
+            for w in writes:
+                w(batch, number)
+        finally:
+            batch.unpersist()
 
     return write
