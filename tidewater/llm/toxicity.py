@@ -18,16 +18,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import lowered, slices, utf8
+from tidewater.llm.common import checkpointed, lowered, slices, utf8
 
 LEAD = bytes(range(1, 25))
 LEVEL = 19
 STEPS = range(2, 9)
 MEMO = 800_000
+FOLDS = 3
 EDGES = string.punctuation.encode()
 
 
@@ -74,9 +76,9 @@ class Gains:
         except KeyError:
             if len(memo) > MEMO:
                 memo.clear()
-            for w in set(words).difference(memo):
-                memo[w] = self.gain(w)
-            return list(map(memo.__getitem__, words))
+            own = {w: self.gain(w) for w in set(words).difference(memo)}
+            memo.update((w, g) for w, g in own.items() if len(w) <= 64)  # long ones would fill the memory
+            return [memo[w] if w in memo else own[w] for w in words]
 
 
 def evidence(gains: list[int]) -> np.ndarray:
@@ -126,28 +128,42 @@ def _evidence_rows(docs: DataFrame, toxic: bytes, ordinary: bytes, keep: list[st
     return docs.mapInArrow(run, f"{fields}, evidence array<double>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic_docs: int = 1200, ordinary_docs: int = 3000, toxic_bytes: int = 32768, ordinary_bytes: int = 200_000, toxic_least: int = 2, ordinary_least: int = 2) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", toxic_docs: int = 1200, ordinary_docs: int = 3000, toxic_bytes: int = 32768, ordinary_bytes: int = 200_000, toxic_least: int = 4, ordinary_least: int = 2, excess: float = 6.0) -> ToxicityModel:
     """Learn from a bounded sample of the labelled rows; ``labels`` must hold only rows one may learn from.
 
-    A word enters a dictionary if at least ``*_least`` of the sampled texts of its class hold it; the words of
-    most texts go in first, up to ``*_bytes``. Two thirds of the texts, by hash, make the dictionaries; the rest calibrate.
+    A word enters a dictionary if at least ``*_least`` of the sampled texts of its class hold it, the toxic one if its share of
+    toxic texts is also ``excess`` times its share of ordinary ones, else the ordinary one; the words of most texts go in first, up to ``*_bytes``. The calibration weighs each of
+    ``FOLDS`` parts of the texts, by hash, with dictionaries of the other parts.
     """
     marked = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y in (0, 1)")
     order = [F.xxhash64("__id"), F.col("__id")]
     sample = marked.where("__y = 1").orderBy(*order).limit(toxic_docs).unionByName(marked.where("__y = 0").orderBy(*order).limit(ordinary_docs))
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(sample), "__id")  # bounded by toxic_docs + ordinary_docs
-    third = F.pmod(F.xxhash64("__text", F.lit(3)), F.lit(3)) == 0
+    sampled = checkpointed(texts.select("__y", "__text").distinct().withColumn("__fold", F.pmod(F.xxhash64("__text", F.lit(3)), F.lit(FOLDS)).cast("int")))
+    sizes = {(r["__y"], r["__fold"]): r["count"] for r in sampled.groupBy("__y", "__fold").count().collect()}
 
     def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            for y, t in zip(batch.column("__y").to_pylist(), utf8(batch, "__text"), strict=True):
+            for y, fold, t in zip(batch.column("__y").to_pylist(), batch.column("__fold").to_pylist(), utf8(batch, "__text"), strict=True):
                 if own := sorted(set(windows(t))):
-                    yield pa.RecordBatch.from_arrays([pa.array([y] * len(own), pa.int32()), pa.array(own, pa.binary())], ["y", "word"])
-
-    uses = texts.where(~third).dropDuplicates(["__y", "__text"]).mapInArrow(used, "y int, word binary").groupBy("y", "word").count()
-    most = lambda y, least, size: [bytes(r.word) for r in uses.where((F.col("y") == y) & (F.col("count") >= least)).orderBy(F.desc("count"), "word").limit(size // 4).collect()]
-    toxic, ordinary = dictionary(most(1, toxic_least, toxic_bytes), toxic_bytes), dictionary(most(0, ordinary_least, ordinary_bytes), ordinary_bytes)
-    found = _evidence_rows(texts.where(third), toxic, ordinary, ["__y"]).toPandas()  # at most toxic_docs + ordinary_docs short rows
+                    yield pa.RecordBatch.from_arrays([pa.array([y] * len(own), pa.int32()), pa.array([fold] * len(own), pa.int32()), pa.array(own, pa.binary())], ["y", "fold", "word"])
+
+    words = sampled.select("__y", "__fold", "__text").mapInArrow(used, "y int, fold int, word binary")
+    uses = checkpointed(words.groupBy("word").agg(*[F.count_if((F.col("y") == y) & (F.col("fold") == k)).alias(f"n{y}{k}") for y in (0, 1) for k in range(FOLDS)]))
+
+    def dictionaries(without: int | None) -> tuple[bytes, bytes]:
+        """Both dictionaries, from all folds but one."""
+        folds = [k for k in range(FOLDS) if k != without]
+        ordinary, toxic = (sum(F.col(f"n{y}{k}") for k in folds) for y in (0, 1))
+        n = [sum(sizes.get((y, k), 0) for k in folds) for y in (0, 1)]
+        # a toxic text is mostly ordinary words; those that it shares with ordinary texts would fill the dictionary and tell nothing
+        rows = uses.select("word", ordinary.alias("ordinary"), toxic.alias("toxic")).withColumn("marks", F.col("toxic") * n[0] > excess * (F.col("ordinary") + 1) * n[1])
+        most = lambda own, c, least, size: [bytes(r.word) for r in own.where(F.col(c) >= least).orderBy(F.desc(c), "word").limit(size // 4).collect()]
+        return dictionary(most(rows.where("marks"), "toxic", toxic_least, toxic_bytes), toxic_bytes), dictionary(most(rows.where("not marks"), "ordinary", ordinary_least, ordinary_bytes), ordinary_bytes)
+
+    # each text is weighed by dictionaries that have not seen it; at most toxic_docs + ordinary_docs short rows
+    found = pd.concat([_evidence_rows(sampled.where(F.col("__fold") == k), *dictionaries(k), ["__y"]).toPandas() for k in range(FOLDS)])
+    toxic, ordinary = dictionaries(None)
     y = found["__y"].to_numpy(float)
     n = 2 * len(STEPS)
     if len(set(y)) < 2:
