@@ -82,7 +82,7 @@ def fit(docs: DataFrame, ratings: DataFrame, most: int = 4000, id_col: str = "do
     grades = sorted(set(found["grade"]))
     if len(grades) < 2:
         return OrdinalModel(tuple(grades) or (0.0,), np.zeros(DIMS), np.zeros(0))
-    x = np.array([np.frombuffer(b, np.float32) for b in found["x"]])
+    x = np.array([np.frombuffer(b, np.float32) for b in found["x"]], np.float64)  # once, not in each of the rounds' products
     w, t = descend(x, np.searchsorted(grades, found["grade"].to_numpy()), len(grades))
     return OrdinalModel(tuple(grades), w, t)
 
