@@ -1,7 +1,9 @@
 """The corpus pipeline: each stage is one of the training-data operators at its production settings.
 
-A stage takes (spark, docs, sf_dir) and gives the documents that it keeps, with their columns; the last one gives the
-mix. Stages are written as Parquet and read again, so each starts from files and a lost executor costs one stage's tasks.
+A stage takes (spark, docs, sf_dir) and gives the documents that it keeps, with their columns, whatever else these hold; the last one
+gives the documents of the mix and ``repeats``, how often each is read. Null and blank texts are not toxic, are one group of
+exact copies, are linked with nothing, hold no benchmark item, and have no words to mix, so the mix leaves them out. A null id is a value
+like any other. Repeated rows are exact copies, of which one stays. An empty table gives an empty one. Stages are written as Parquet and read again, so each starts from files and a lost executor costs one stage's tasks.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+    return mixing.mixed_documents(docs)
 
 
 STAGES = [

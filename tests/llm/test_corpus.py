@@ -270,7 +270,38 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
     rest = [i for i in once if classes[i][1] == i]
     items = [b.text.lower() for b in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     leaked = {i for i in rest if any(" ".join(t.split()) in " ".join(docs[i].lower().split()) for t in items)}
-    assert out == set(rest) - leaked and out
+    left = spark.read.parquet(f"{SF}/documents.parquet").where(F.col("doc_id").isin(sorted(set(rest) - leaked)))
+    assert out == {r.doc_id for r in mixing.mix(left).where("taken > 0").collect()} and out
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    rng = random.Random(2)
+    plain = [(i, spoken(rng, PLAIN, 30), "a" if i % 2 else None) for i in range(20)]
+    odd = [(None, "one text without an id here", "a"), (50, None, "a"), (51, "", None), (52, " ", "a"), (3, plain[3][1], "a"), (None, "one  text without an id here", "b")]
+    schema = "doc_id long, text string, source string, repeats2 string, key int"
+    rows = [(*r, "x", 1) for r in plain + odd]
+    for k, given in enumerate((rows, [])):
+        where = tmp_path / f"sf{k}"
+        spark.createDataFrame(given, schema).write.parquet(str(where / "documents.parquet"))
+        for name in ("labels", "benchmark"):
+            (where / f"{name}.parquet").symlink_to(tmp_path / f"{name}.parquet")
+        got = corpus_pipeline.run(spark, str(where))
+        assert got.columns == ["doc_id", "text", "source", "repeats2", "key", "repeats"]
+        ids = [r.doc_id for r in got.collect()]
+        assert len(ids) == len(set(ids)) and set(ids) <= {*range(20), None} and bool(ids) == bool(given)
+
+
+def test_mixed_documents_of_odd_rows(spark):
+    rows = [(None, "a b c", "s"), (None, "a b c", "s"), (1, "d e", "s"), (1, "f g h", "s"), (2, None, "s"), (3, "x y", None)]
+    docs = table(spark, rows)
+    got = mixing.mixed_documents(docs, share=1.5)
+    want = mixing.mix(docs, share=1.5).where("size > 0").agg(F.sum("taken")).first()[0]
+    sizes = got.select((F.size(F.split("text", " ")) * F.col("repeats")).alias("n")).agg(F.sum("n")).first()[0]
+    assert sizes == want and got.count() == 5 and {r.doc_id for r in got.collect()} == {None, 1, 3}
 
 
 def test_queries_cover_their_tables(spark):

@@ -21,6 +21,7 @@ from tidewater.llm.common import checkpointed
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLOTS = 4096
+LEAST_WEIGHT = 0.25
 
 
 def words(text: Column) -> Column:
@@ -31,7 +32,7 @@ def words(text: Column) -> Column:
 def quality(text: Column, size: Column) -> Column:
     """Weight of a document: 1 where its words are 2 to 12 characters long on average, a quarter elsewhere."""
     mean = F.length(text) / F.greatest(size, F.lit(1))
-    return F.when(mean.between(3, 13), 1.0).otherwise(0.25)
+    return F.when(mean.between(3, 13), 1.0).otherwise(LEAST_WEIGHT)
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -59,11 +60,21 @@ def sampling_key(id_col: Column, weight: Column, seed: int) -> Column:
     return 1 - F.pow(u, 1 / weight)
 
 
+def slot(key: Column) -> Column:
+    """Place of a key among ``SLOTS``: its own order, stretched where keys of the least weight crowd, so no slot holds more than some thousandth of them."""
+    return F.floor((1 - F.pow(1 - key, LEAST_WEIGHT)) * SLOTS)
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """Per row: id, ``size``, ``source``, ``source_size``, ``target`` and ``taken``, the words that the mix takes of it."""
+    return placed_rows(docs, weights, share, most, seed, id_col, source_col, text_col).select(F.col("id").alias(id_col), "size", F.col("source").alias(source_col), "source_size", "target", "taken")
+
+
+def placed_rows(docs: DataFrame, weights: tuple[float, ...], share: float, most: float, seed: int, id_col: str, source_col: str, text_col: str) -> DataFrame:
+    """Per row: ``id``, ``mark`` (a hash of the text), ``size``, ``source``, ``source_size``, ``target`` and ``taken``."""
     size = words(F.col(text_col))
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"), quality(F.col(text_col), size).alias("quality"))
-    rows = checkpointed(narrow.withColumn("key", sampling_key(F.col("id"), F.col("quality"), seed)).withColumn("slot", F.floor(F.col("key") * SLOTS)))
+    narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.col(source_col).cast("string").alias("source"), size.alias("size"), quality(F.col(text_col), size).alias("quality"))
+    rows = checkpointed(narrow.withColumn("key", sampling_key(F.col("id"), F.col("quality"), seed)).withColumn("slot", slot(F.col("key"))))
     slots = rows.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
     targets = source_targets(slots.groupBy("source").agg(F.sum("slot_size").alias("source_size")), weights, share, most)
     targets = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
@@ -76,10 +87,22 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     whole = placed.where("cut is null or slot <> cut.slot").withColumn("more", F.col("cut").isNull() | (F.col("slot") < F.col("cut.slot")))
     inside = F.sum("size").over(W.partitionBy("source").orderBy("key", F.col("id").asc_nulls_last(), "size").rowsBetween(W.unboundedPreceding, W.currentRow))
     edge = edge.withColumn("more", F.col("cut.before") + inside <= F.col("rest"))
-    return whole.unionByName(edge).select(F.col("id").alias(id_col), "size", F.col("source").alias(source_col), "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("more").cast("long"))).cast("long").alias("taken"))
-
-
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **settings) -> DataFrame:
-    """The documents of the mix with ``repeats``, how often each is read; ids must be unique here."""
-    taken = mix(docs, id_col=id_col, source_col=source_col, text_col=text_col, **settings).where("taken > 0").select(F.col(id_col).alias("__tw_id"), F.expr("cast(taken / size as int)").alias("repeats"))
-    return docs.join(taken, F.col(id_col) == F.col("__tw_id")).drop("__tw_id")
+    return whole.unionByName(edge).select("id", "mark", "size", "source", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("more").cast("long"))).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """The documents of the mix with ``repeats``, how often each is read. Rows are told apart by id, which may be null, source and text.
+
+    Of rows that are alike in these, which may get different numbers, those that come first by their other columns get more.
+    """
+    taken = placed_rows(docs, weights, share, most, seed, id_col, source_col, text_col).where("size > 0").select("id", "mark", "source", F.expr("cast(taken / size as int)").alias("times"))
+    rows = docs.withColumn("__tw_mark", F.xxhash64(text_col)).alias("d")
+    groups = taken.groupBy("id", "mark", "source").agg(F.sum("times").alias("__tw_times"), (F.count("*") > 1).alias("__tw_more")).where("__tw_times > 0").alias("g")
+    same = F.col(f"d.{id_col}").eqNullSafe(F.col("g.id")) & (F.col("d.__tw_mark") == F.col("g.mark")) & F.col(f"d.{source_col}").cast("string").eqNullSafe(F.col("g.source"))
+    found = rows.join(groups, same).select("d.*", "__tw_times", "__tw_more")
+    others = sorted(c for c in docs.columns if not docs.schema[c].dataType.simpleString().startswith("map"))
+    like = W.partitionBy(id_col, "__tw_mark", source_col)
+    numbered = found.where("__tw_more").withColumn("__tw_n", F.count("*").over(like)).withColumn("__tw_k", F.row_number().over(like.orderBy(*[F.col(c).asc_nulls_last() for c in others])))
+    share_of = F.floor(F.col("__tw_times") / F.col("__tw_n")) + (F.col("__tw_k") <= F.pmod("__tw_times", "__tw_n")).cast("int")
+    out = found.where("not __tw_more").withColumn("repeats", F.col("__tw_times").cast("int")).select(*docs.columns, "repeats")
+    return out.unionByName(numbered.withColumn("repeats", share_of.cast("int")).where("repeats > 0").select(*docs.columns, "repeats"))
