@@ -30,6 +30,21 @@ def test_article_without_furniture(spark):
     assert got == {1: "Head & more\nOne two three four. five\nNext\na\nb", 2: "", 3: "", 4: "cut &am", 5: "whole"}
 
 
+def test_names_within_an_article_decide_only_as_a_whole(spark):
+    kept = '<p class="notice-period">The notice period is a year.</p><section class="discussion">We discuss.</section><div class="search-results">Found.</div><blockquote class="comment-quote">Said.</blockquote>'
+    gone = '<div class="share-bar">tweet</div><div class="newsletter-signup-box">mail me</div><section class="comments">me too</section><ul class="related-links"><li>more</ul>'
+    page = f"<body><article><h1>Head</h1>{kept}{gone}</article></body>"
+    assert page_texts(spark, [(1, "http://h/1", page)]) == {1: "Head\nThe notice period is a year.\nWe discuss.\nFound.\nSaid."}
+
+
+def test_deep_pages_and_odd_columns(spark):
+    deep = "<div>" * 20_000 + "</b>" * 20_000 + "<article><p>text</p></article>"
+    long_ = "<article>" + "<p>many words in a page</p>" * 20_000 + "</article>"
+    df = spark.createDataFrame([(1, "http://h/1", deep, 5, "a"), (2, "http://h/2", long_, 6, "b")], "page_id long, url string, html string, n_chars int, text string")
+    got = {r.page_id: r for r in html_text.main_text(df).collect()}
+    assert got[1].text == "text" and got[2].n_chars == 20_000 * 21 - 1
+
+
 def test_repeats_across_a_host_are_boilerplate_and_unique_runs_stay(spark):
     shared = "<div>all rights are kept by the owner of this site</div>"
     rows = [(i, f"http://h/{i}", f"<body><div>unique {i} text {i} number {i} of {i} the {i} page</div>{shared}</body>") for i in range(5)] + [(9, "http://other/", f"<body>{shared}</body>")]

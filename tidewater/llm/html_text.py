@@ -2,7 +2,8 @@
 
 A page is read once into blocks. Markup puts each block in a zone: the article (``<article>`` or a container named so),
 the body (``<main>`` or a container named as content, outside an article), chrome (menus, headers, footers, sidebars,
-notices, adverts, forms, comments), or undecided. Article blocks stay and chrome goes.
+notices, adverts, forms, comments), or undecided. Within an article a name marks furniture only on a container and only as a whole:
+``share-bar`` does, ``notice-period`` or ``search-results`` do not. Article blocks stay and chrome goes.
 
 Body and undecided blocks are judged by the host's suffix array. The words of a page's blocks outside the article are its
 token stream. In the suffix array of all streams of a host, suffixes that share their first ``least_words`` words
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,6 +44,10 @@ CHROME_NAMES = {
     "overlay", "pager", "pagination", "popup", "promo", "promotion", "related", "recommended", "replies", "reply", "respond", "responses", "search", "share", "sharebar", "sharing", "sidebar", "signup", "skip", "social",
     "sponsor", "sponsored", "subscribe", "subscription", "tagcloud", "toolbar", "topbar", "widget", "widgets",
 }
+# within an article: words that a name of furniture may hold besides, tags that only hold text, and names that an article's own section may have
+NEUTRAL_NAMES = {"area", "bar", "block", "box", "button", "buttons", "container", "content", "form", "group", "inline", "inner", "item", "items", "link", "links", "list", "outer", "panel", "section", "wrap", "wrapper"}
+TEXT_TAGS = {"p", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "figure", "figcaption", "table", "tr", "tbody"} | INLINE
+ARTICLE_SECTIONS = {"discussion", "notice", "notices", "notification", "promotion", "recommended", "replies", "reply", "respond", "responses", "search", "copyright", "login"}
 HEAD_NAMES = {"header", "masthead", "topbar"}
 COMMENT_NAMES = {"comment", "comments", "replies", "reply", "responses", "discussion", "disqus"}
 ARTICLE_NAMES = {"articlebody", "article-body", "article-content", "article__body", "content", "content-body", "entry", "entry-content", "main", "main-content", "maincontent", "page-content", "post", "post-body", "post-content", "story", "story-body", "article"}
@@ -53,6 +59,19 @@ MAIN, UNDECIDED, CHROME, HEADLINE, BODY = 0, 1, 2, 3, 4
 JUDGED = {UNDECIDED, HEADLINE, BODY}
 
 
+def names_furniture(tag: str, names: list[str], within: bool) -> bool:
+    """Whether an element's names mark page furniture; within an article one word of a name is not enough, and text stays text."""
+    for name in names:
+        if re.match(r"(?i)(?:has|no|with|without|is)[-_]", name):
+            continue
+        parts = set(filter(None, re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower())))
+        if not within and parts & CHROME_NAMES:
+            return True
+        if within and tag not in TEXT_TAGS and parts & CHROME_NAMES and parts <= CHROME_NAMES | NEUTRAL_NAMES and not parts <= ARTICLE_SECTIONS | NEUTRAL_NAMES:
+            return True
+    return False
+
+
 def _zone(tag: str, attributes: str, above: int, in_article: bool) -> tuple[int, bool]:
     """Zone of an element from its own markup and the zone above it; whether it starts an article."""
     if tag in CHROME_TAGS or (tag == "header" and not in_article):
@@ -67,7 +86,7 @@ def _zone(tag: str, attributes: str, above: int, in_article: bool) -> tuple[int,
         if tag == "article" or tag == "main":
             if parts & COMMENT_NAMES and tag == "article":
                 return CHROME, in_article
-        elif tag not in ("html", "body") and (parts & CHROME_NAMES or (parts & HEAD_NAMES and not in_article)):
+        elif tag not in ("html", "body") and (names_furniture(tag, names, above == MAIN) or (parts & HEAD_NAMES and not in_article)):
             return CHROME, in_article
         found = ARTICLE_NAMES & {n.lower() for n in names}
         if tag in ("div", "section", "td") and (role in ("main", "article") or found):
@@ -83,17 +102,23 @@ def _zone(tag: str, attributes: str, above: int, in_article: bool) -> tuple[int,
 def blocks(page: str) -> list[tuple[int, str]]:
     """(zone, text) of each block in page order; the text's white space is settled."""
     out: list[tuple[int, str]] = []
-    stack: list[tuple[str, int, bool]] = [("", UNDECIDED, False)]
+    stack: list[tuple[str, int, bool, bool]] = [("", UNDECIDED, False, False)]  # tag, zone, within an article, within a headline
+    opened: Counter[str] = Counter()
     held: list[str] = []
     at, end = 0, len(page)
 
     def settle() -> None:
         if held:
             if text := " ".join(entities.unescape("".join(held)).split()):
-                zone = stack[-1][1]
-                out.append((HEADLINE if zone == UNDECIDED and any(s[0] == "h1" for s in stack) else zone, text))
+                _, zone, _, headline = stack[-1]
+                out.append((HEADLINE if zone == UNDECIDED and headline else zone, text))
             held.clear()
 
+    def shut(k: int) -> None:
+        for s in stack[k:]:
+            opened[s[0]] -= 1
+        del stack[k:]
+
     while at < end:
         found = TOKEN.search(page, at)
         if not found:
@@ -110,11 +135,11 @@ def blocks(page: str) -> list[tuple[int, str]]:
         if found[1]:
             if tag not in INLINE:
                 settle()
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[tag] > 0 else ():
                 if stack[k][0] == tag:
                     if any(s[0] not in INLINE for s in stack[k:]):
                         settle()
-                    del stack[k:]
+                    shut(k)
                     break
                 if stack[k][0] in ("article", "main", "body", "table") and tag in INLINE | {"p"}:
                     break
@@ -126,20 +151,21 @@ def blocks(page: str) -> list[tuple[int, str]]:
             continue
         if tag not in INLINE:
             settle()
-            shut = CLOSES.get(tag, {"p"})
+            closed = CLOSES.get(tag, {"p"})
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in shut:
-                    del stack[k:]
+                if stack[k][0] in closed:
+                    shut(k)
                     break
                 if stack[k][0] not in INLINE and stack[k][0] != "p":
                     break
         if tag in VOID:
             continue
-        _, above, in_article = stack[-1]
+        _, above, in_article, headline = stack[-1]
         zone, inside = (CHROME, in_article) if above == CHROME else _zone(tag, found[3], above, in_article)
         if zone != above and tag in INLINE:
             settle()
-        stack.append((tag, zone, inside))
+        opened[tag] += 1
+        stack.append((tag, zone, inside, headline or tag == "h1"))
     settle()
     return out
 
