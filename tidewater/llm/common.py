@@ -7,7 +7,7 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows that make a partition worth a task of its own, in tables of short rows.
+FEW_ROWS = 4096
+
+
+def compact(df: DataFrame, at_most: int | None = None) -> DataFrame:
+    """Checkpoint short rows and read them in fewer partitions where they turn out few; ``at_most`` is a bound known before. Never in more."""
+    if at_most is not None:
+        df = df.coalesce(max(4, at_most // FEW_ROWS + 1))
+    seen = Observation()
+    out = checkpointed(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return out.coalesce(max(4, seen.get["rows"] // FEW_ROWS + 1))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into short ones, so that long texts are held a few at a time."""
     for batch in batches:

@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import checkpointed, lookup, slices, utf8
+from tidewater.llm.common import checkpointed, compact, lookup, slices, utf8
 
 CHUNKS, WIDE = 12, 5
 SYMBOLS = CHUNKS * WIDE
@@ -151,11 +151,11 @@ def signed(docs: DataFrame, shingle: int) -> DataFrame:
 
 def sets_of(nodes: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """(node, own) of the nodes named; their texts are read again by id and told apart by the digest of their sets."""
-    needed = checkpointed(nodes.select("node").distinct().join(reps.select("node", "rep", "same"), "node"))
+    needed = compact(nodes.select("node").distinct().join(reps.select("node", "rep", "same"), "node"))
     few = needed.count() <= BROADCAST_IDS
     ids = needed.select(F.col("rep").alias("__id")).distinct()
     own = _sets(docs.join(F.broadcast(ids) if few else ids, "__id", "left_semi"), shingle)
-    return checkpointed(own.join(F.broadcast(needed) if few else needed, "same").select("node", "own").dropDuplicates(["node"]))
+    return compact(own.join(F.broadcast(needed) if few else needed, "same").select("node", "own").dropDuplicates(["node"]))
 
 
 def likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -170,7 +170,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     Nodes are dealt into blocks by hash and pairs into tiles, so a set goes once to each tile that needs it, whatever the number of its pairs.
     """
-    pairs = checkpointed(pairs)
+    pairs = compact(pairs)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     total = nodes.join(sets, "node").agg(F.sum(F.octet_length("own"))).first()[0] or 0
     blocks = max(6, total // TILE + 1)
@@ -193,7 +193,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                         found.append((i, j))
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return checkpointed(rows.repartition("at_a", "at_b").sortWithinPartitions("at_a", "at_b").mapInArrow(run, "a long, b long"))
+    return compact(rows.repartition("at_a", "at_b").sortWithinPartitions("at_a", "at_b").mapInArrow(run, "a long, b long"))
 
 
 def slot_counts(sets: DataFrame) -> np.ndarray:
@@ -237,7 +237,7 @@ def split_buckets(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *found])), pa.array(nodes, pa.int64())], ["key", "node"])
 
     long_ = reps.where(100 * F.col("n") > 80 * LONG).join(sets.select("node"), "node", "left_semi")
-    return checkpointed(sets.mapInArrow(run, "key long, node long").unionByName(long_.select(F.explode("keys").alias("key"), "node")))
+    return compact(sets.mapInArrow(run, "key long, node long").unionByName(long_.select(F.explode("keys").alias("key"), "node")))
 
 
 def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,7 +263,7 @@ def components(edges: DataFrame, alone: int = 200_000) -> DataFrame:
 
     At most ``alone`` edges, some MB, are joined up in one task, which gives the same without the rounds.
     """
-    held = checkpointed(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    held = compact(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     if held.count() <= alone:
         return checkpointed(held.coalesce(1).mapInArrow(forest, "id long, component long"))
     while True:
@@ -283,17 +283,17 @@ def components(edges: DataFrame, alone: int = 200_000) -> DataFrame:
 def to_hubs(held: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From (key, node): the members of keys of several nodes, and the pairs (a, b) of each with its key's least node."""
     hubs = held.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("hub")).where("members > 1")
-    members = checkpointed(held.join(hubs, "key"))
+    members = compact(held.join(hubs, "key"))
     return members, members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
     """Members, with their component, of keys of several components; ``top`` is the largest of these, ``outside`` the number of members not in it."""
     placed = members.select("key", "node", "members").join(groups, F.col("node") == F.col("id"), "left").select("key", "node", "members", F.coalesce("component", "node").alias("component"))
-    placed = checkpointed(placed)
+    placed = compact(placed)
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("key").agg(F.count("*").alias("components"), F.sum("size").alias("all"), F.max(F.struct("size", "component")).alias("t")).where("components > 1")
-    return checkpointed(placed.join(largest.select("key", F.col("t.component").alias("top"), (F.col("all") - F.col("t.size")).alias("outside")), "key"))
+    return compact(placed.join(largest.select("key", F.col("t.component").alias("top"), (F.col("all") - F.col("t.size")).alias("outside")), "key"))
 
 
 def to_draws(placed: DataFrame) -> DataFrame:
@@ -394,7 +394,7 @@ def classes(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     rows = checkpointed(signed(texts, shingle))
     # equal sets have equal sketches, so any of them will do; the number of a node is fixed by the checkpoint
     reps = rows.where("n > 0 and __id is not null").groupBy("same").agg(F.min("__id").alias("rep"), F.count("*").alias("copies"), *[F.any_value(c).alias(c) for c in ("n", "symbols", "keys")])
-    reps = checkpointed(reps.withColumn("node", F.monotonically_increasing_id()))
+    reps = compact(reps.withColumn("node", F.monotonically_increasing_id()))
     texts = texts.where(F.col("__id").isNotNull())
 
     members, pairs = to_hubs(reps.select(F.explode("keys").alias("key"), "node"))
@@ -405,22 +405,22 @@ def classes(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     joined = lambda groups, links: components(links.unionByName(groups.select(F.col("component").alias("a"), F.col("id").alias("b"))))
     groups = components(fit(pairs))
     placed = open_members(members, groups)
-    crowded = checkpointed(placed.where(F.col("members") > few).select("node").distinct())
+    crowded = compact(placed.where(F.col("members") > few).select("node").distinct())
     sketches = reps.select("node", F.col("symbols").alias("sketch"))
     groups = joined(groups, found(across(placed.where(F.col("members") <= few), sketches, reps, percent)))
     if not crowded.isEmpty():
-        own = checkpointed(sets.join(crowded, "node", "left_semi"))
+        own = compact(sets.join(crowded, "node", "left_semi"))
         members, pairs = to_hubs(split_buckets(own, reps, percent))
         groups = joined(groups, fit(pairs))
         groups = joined(groups, fit(to_draws(open_members(members, groups))))
-        groups = joined(groups, found(across(open_members(members, groups), checkpointed(wide_sketches(own)), reps, percent)))
+        groups = joined(groups, found(across(open_members(members, groups), compact(wide_sketches(own)), reps, percent)))
 
     all_ = groups.select("id", "component").union(groups.select("component", "component").distinct())
     named = all_.join(reps.select("node", "rep"), F.col("id") == F.col("node")).select("node", "component", "rep")
     named = named.select("node", F.col("component")).join(named.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select("node", "component_id")
     final = reps.select("same", "node", "rep", "copies").join(named, "node", "left").select("same", F.coalesce("component_id", "rep").alias("component_id"), "copies")
     linkable = F.col("__id").isNotNull() & (F.col("n") > 0)
-    with_class = lookup(rows.where(linkable).select("__id", "__mark", "n", "same"), checkpointed(final), "same", "copies")
+    with_class = lookup(rows.where(linkable).select("__id", "__mark", "n", "same"), compact(final), "same", "copies")
     alone = rows.where(~linkable).select("__id", "__mark", "n", F.col("__id").alias("component_id"))
     out = with_class.select("__id", "__mark", "n", "component_id").unionByName(alone)
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("__id"), F.lit(True)))
