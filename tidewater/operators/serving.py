@@ -28,6 +28,13 @@ def append_served(df: DataFrame, path: str, time_col: str, now: Column | None =
     df.withColumn("inserted_at", F.current_timestamp() if now is None else now).withColumn("__day", day_key(F.col(time_col))).write.mode("append").partitionBy("__day").parquet(path)
 
 
+def replace_rows(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """Empty a table and fill it again; readers see the old rows or the new ones, never none. Gives the table."""
+    held = Snapshots(spark, path)
+    held.commit(df)
+    return held.read()
+
+
 def upsert(spark: SparkSession, path: str, changes: DataFrame, keys: list[str], buckets: int = 16) -> None:
     """Apply changes (columns of the table, ``__tombstone``, ``ts_ms``) to a Parquet table cut in hash buckets; ``current_rows`` reads it.
 

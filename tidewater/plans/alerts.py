@@ -25,6 +25,19 @@ def describe(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("description", F.format_string("%s: account %s, %s transactions", "alert_type", F.col("account_id").cast("string"), F.coalesce(count.cast("string"), F.lit("N/A"))))
 
 
+def notification_events(routed: DataFrame, now: Column | None = None) -> DataFrame:
+    """Rows of the notification log, one per routed alert; what an alert does not tell is written as None."""
+    said = lambda c: F.coalesce(F.col(c).cast("string") if c in routed.columns else F.lit(None), F.lit("None"))
+    return routed.select(
+        (F.current_timestamp() if now is None else now).alias("detected_at"),
+        F.coalesce("alert_type", F.lit("")).alias("rule_type"),
+        account_key().alias("account_id"),
+        "severity",
+        "action",
+        F.format_string("Account %s: %s tx (threshold %s) in window", said("account_id"), said("tx_count"), said("threshold")).alias("description"),
+    )
+
+
 def account_key() -> Column:
     """The account by which the cooldown counts; alerts without one count as one account."""
     return F.coalesce(F.col("account_id").cast("string"), F.lit(""))

@@ -41,7 +41,10 @@ def metric_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(metrics.metric(roles.transactions(spark, sf_dir), metrics.BREAKDOWN))
 
 
-@R.add(f"with c as ({cumulated('account_id', f'count(*) as tx_count, {VALUE} as total_value')}), r as (select window_start, window_end, row_number() over (partition by window_start, window_end order by total_value desc, account_id) as rank_num, account_id, tx_count, total_value from c) select * from r where rank_num <= 10")
+TOPN = f"with c as ({cumulated('account_id', f'count(*) as tx_count, {VALUE} as total_value')}), r as (select window_start, window_end, row_number() over (partition by window_start, window_end order by total_value desc, account_id) as rank_num, account_id, tx_count, total_value from c) select * from r where rank_num <= 10"
+
+
+@R.add(TOPN)
 def metric_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(metrics.metric(roles.transactions(spark, sf_dir), metrics.TOPN))
 

@@ -9,6 +9,7 @@ from tidewater.operators import quality, serving
 from tidewater.plans import dashboards, medallion, metrics, roles
 from tidewater.plans.queries_batch import BRONZE, TX
 from tidewater.plans.registry import Registry, doubles
+from tidewater.plans.scratch import folder
 from tidewater.schema import Column
 from tidewater.streaming.sinks import bronze, json_values
 
@@ -280,6 +281,23 @@ def governance_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _results(spark, sf_dir)
 
 
+@R.add(f"with {CATALOG} select * from cat")
+def governance_snapshot_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog written over an older one."""
+    where, rows = folder(spark, "catalog"), _catalog_rows(spark, sf_dir)
+    serving.replace_rows(spark, where, rows.where("domain <> ''"))
+    return serving.replace_rows(spark, where, rows)
+
+
+@R.add(f"with {RESULTS} select * from res")
+def governance_results_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results appended twice, as a second run of the exporter does; the read keeps one of each case and time."""
+    where = f"{folder(spark, 'results')}/rows"
+    for _ in range(2):
+        serving.append_served(_results(spark, sf_dir), where, "ts")
+    return serving.last_version(spark.read.parquet(where).drop("__day"), ["case_fqn", "ts"]).drop("inserted_at")
+
+
 @R.add(f"with {RESULTS} select (select count(distinct case_fqn) from res) as n_cases, (select round(count(*) filter (where status = 'Success') * 100.0::double / count(*), 1) from res) as pass_percent, (select round(avg(has_description) * 100.0::double, 1) from cat) as described_percent")
 def governance_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(dashboards.governance_headline(_results(spark, sf_dir), _catalog_rows(spark, sf_dir)))

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewater import schema
+from tidewater.functions.scalars import cycled
 from tidewater.operators import cdc, serving
 from tidewater.plans import dlq, metrics, roles
-from tidewater.plans.queries_batch import ENVELOPE, LETTERS, STATES, STORM, TX, VALUE, _flat_storm, cumulated
+from tidewater.plans.alerts import notification_events
+from tidewater.plans.queries_batch import ENVELOPE, LETTERS, STATES, STORM, TOPN, TX, VALUE, _flat_storm, cumulated
 from tidewater.plans.registry import Registry, doubles
 from tidewater.plans.scratch import folder, run_once
 from tidewater.sources.streams import file_stream
@@ -44,6 +47,13 @@ def stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(run_once(metric_streams.cumulative_metric(transactions(spark, sf_dir), metrics.KPI), "kpi"))
 
 
+@R.add(f"with {TX}, w as ({TOPN}) select * from w where {CLOSED}")
+def stream_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows are ranked as they come: in append mode all groups of a window arrive in one batch."""
+    windows = metric_streams.cumulative_metric(transactions(spark, sf_dir), metrics.TOPN)
+    return doubles(run_once(windows, "topn", lambda batch: metric_streams.first_ranked(batch, metrics.TOPN)))
+
+
 @R.add(f"with {TX}, v as (select 'VELOCITY_FRAUD' as alert_type, 'MEDIUM' as severity, account_id, count(*) as tx_count, 2::bigint as threshold, date_trunc('hour', event_time) as s from tx group by account_id, s having count(*) > 2) select alert_type, severity, account_id, tx_count, threshold, epoch_ms(s) as window_start_ms, epoch_ms(s) + 3600000 as window_end_ms from v where s + interval 1 hour <= (select max(event_time) - interval 5 second from tx)")
 def stream_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_once(fraud_streams.velocity(transactions(spark, sf_dir), "1 HOUR", 2), "velocity")
@@ -54,6 +64,11 @@ def stream_failure_storm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_storm(run_once(fraud_streams.failure_storm(transactions(spark, sf_dir), 4320, 4), "storm"))
 
 
+def _alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("event_id") % 3 == 0, "LARGE_AMOUNT").when(F.col("event_id") % 3 == 1, "VELOCITY_FRAUD").otherwise("OTHER")
+    return stream_of(spark, sf_dir, "events").select(F.col("user_id").alias("account_id"), kind.alias("alert_type"), F.when(F.col("event_id") % 2 == 0, "").otherwise("LOW").alias("severity"), F.unix_millis(F.col("ts").cast("timestamp")).alias("at_ms"), "event_id")
+
+
 @R.add("""with recursive a as (select user_id as account_id, case when event_id % 3 = 0 then 'LARGE_AMOUNT' when event_id % 3 = 1 then 'VELOCITY_FRAUD' else 'OTHER' end as alert_type, case when event_id % 2 = 0 then '' else 'LOW' end as severity, epoch_us(ts) // 1000 as at_ms, event_id from events),
     s as (select *, case when severity <> '' then severity when alert_type = 'LARGE_AMOUNT' then 'HIGH' when alert_type = 'VELOCITY_FRAUD' then 'MEDIUM' else 'LOW' end as sev from a),
     o as (select *, row_number() over (partition by account_id order by at_ms, alert_type) as k from s where sev <> 'LOW'),
@@ -61,22 +76,41 @@ def stream_failure_storm(spark: SparkSession, sf_dir: str) -> DataFrame:
         union all select o.*, case when o.at_ms - f.sent >= 86400000 then o.at_ms else f.sent end, case when o.at_ms - f.sent >= 86400000 then 'EMAIL_SENT' else 'EMAIL_THROTTLED' end from fold f join o on o.account_id = f.account_id and o.k = f.k + 1)
     select event_id, account_id, sev as severity, action from fold union all select event_id, account_id, sev, 'LOGGED_ONLY' from s where sev = 'LOW'""")
 def stream_alert_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.when(F.col("event_id") % 3 == 0, "LARGE_AMOUNT").when(F.col("event_id") % 3 == 1, "VELOCITY_FRAUD").otherwise("OTHER")
-    alerts = stream_of(spark, sf_dir, "events").select(F.col("user_id").alias("account_id"), kind.alias("alert_type"), F.when(F.col("event_id") % 2 == 0, "").otherwise("LOW").alias("severity"), F.unix_millis(F.col("ts").cast("timestamp")).alias("at_ms"), "event_id")
+    alerts = _alert_stream(spark, sf_dir)
     return run_once(fraud_streams.route(alerts, 86400), "routing").select("event_id", "account_id", "severity", "action")
 
 
-@R.add(f"with {LETTERS} select dlq_offset, category, original_offset, message_key from d")
-def stream_dlq_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+@R.add(f"""select case when event_id % 3 = 0 then 'LARGE_AMOUNT' when event_id % 3 = 1 then 'VELOCITY_FRAUD' else 'OTHER' end as rule_type, cast(account_id as varchar) as account_id, severity, action,
+    'Account ' || account_id || ': ' || event_id % 50 || ' tx (threshold None) in window' as description from ({R.sql["stream_alert_routing"]}) as routed""")
+def stream_notification_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routed alerts in the notification log."""
+    where = folder(spark, "notifications")
+    counted = _alert_stream(spark, sf_dir).withColumn("tx_count", F.col("event_id") % 50)
+    sinks.each_batch(notification_events(fraud_streams.route(counted, 86400)), sinks.append_batches(f"{where}/rows"), f"{where}/checkpoint", once=True).awaitTermination()
+    return spark.read.parquet(f"{where}/rows").select("rule_type", "account_id", "severity", "action", "description")
+
+
+def _letter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = lambda k, v: F.struct(F.lit(dlq.PREFIX + k).alias("key"), v.cast("binary").alias("value"))
     n = F.col("event_id")
-    from tidewater.functions.scalars import cycled
-
     headers = F.array(h("offset", F.when(n % 5 == 0, "x").otherwise(n.cast("string"))), h("exception.class.name", cycled(roles.ERRORS, n)))
-    records = stream_of(spark, sf_dir, "events").where("event_type = 'error'").select(F.lit("dlq.sink-a").alias("topic"), F.lit(0).alias("partition"), n.alias("offset"), F.col("user_id").cast("string").cast("binary").alias("key"), F.col("props").cast("binary").alias("value"), F.when(n % 4 != 0, headers).alias("headers"))
+    return stream_of(spark, sf_dir, "events").where("event_type = 'error'").select(F.lit("dlq.sink-a").alias("topic"), F.lit(0).alias("partition"), n.alias("offset"), F.col("user_id").cast("string").cast("binary").alias("key"), F.col("props").cast("binary").alias("value"), F.when(n % 4 != 0, headers).alias("headers"))
+
+
+@R.add(f"with {LETTERS} select dlq_offset, category, original_offset, message_key from d")
+def stream_dlq_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = _letter_stream(spark, sf_dir)
     return run_once(dlq.dlq_events(records), "dlq").select("dlq_offset", "category", "original_offset", "message_key")
 
 
+@R.add(f"with {LETTERS} select dlq_topic, category, count(*) as n from d group by all")
+def stream_dlq_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running totals of dead letters by topic and category."""
+    where, by = folder(spark, "totals"), ["dlq_topic", "category"]
+    sinks.running_totals(dlq.dlq_events(_letter_stream(spark, sf_dir)), by, f"{where}/rows", f"{where}/checkpoint", once=True).awaitTermination()
+    return sinks.current_totals(spark.read.parquet(f"{where}/rows"), by)
+
+
 @R.add("select strftime(ts, '%Y')::int as year, strftime(ts, '%m')::int as month, strftime(ts, '%d')::int as day, strftime(ts, '%H')::int as hour, count(*) as n, sum(event_id)::bigint as ids from events group by all")
 def stream_bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     where = folder(spark, "bronze")
@@ -138,3 +172,15 @@ def snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     held.commit(accounts.where("account_status = 'F'"), at="2024-01-02")
     held.rollback(1, at="2024-01-03")
     return held.read(as_of="2024-01-02 12:00:00").groupBy(F.col("customer_id").alias("account_id")).agg(F.count("*").alias("n"))
+
+
+@R.add("select o_orderkey as account_id, o_orderstatus as account_status, case when o_orderkey % 2 = 0 then o_orderpriority end as priority from orders")
+def snapshot_old_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A version from before a column was renamed, one added and one dropped, beside a version of the present columns."""
+    where, orders = folder(spark, "columns"), roles.table(spark, sf_dir, "orders")
+    held = serving.Snapshots(spark, where)
+    held.commit(orders.where("o_orderkey % 2 = 1").select(F.col("o_orderkey").alias("account_id"), F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("opened_by")))
+    held.commit(orders.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("account_id"), F.col("o_orderstatus").alias("account_status"), F.col("o_orderpriority").alias("priority")))
+    columns = [schema.Column("account_id", "long", pk=True), schema.Column("account_status", "string"), schema.Column("priority", "string")]
+    old, new = (schema.evolved(held.read(version=v), columns, {"status": "account_status"}) for v in (1, 2))
+    return old.unionByName(new)

@@ -54,6 +54,12 @@ def conform(df: DataFrame, columns: list[Column]) -> DataFrame:
     return df.select([F.col(c.name).cast(spark_type(c.type)).alias(c.name, metadata={"pii": c.pii, "pk": c.pk}) for c in columns])
 
 
+def evolved(df: DataFrame, columns: list[Column], renamed: dict[str, str] | None = None) -> DataFrame:
+    """An older version of a table under its present columns: those renamed since (old name to new) are found by their old names, those added are null, those dropped are left out."""
+    df = df.withColumnsRenamed({old: new for old, new in (renamed or {}).items() if old in df.columns and new not in df.columns})
+    return conform(df.select([F.col(c.name) if c.name in df.columns else F.lit(None).alias(c.name) for c in columns]), columns)
+
+
 def without_pii(df: DataFrame) -> DataFrame:
     """Drop the columns that are tagged as personal data."""
     return df.drop(*[f.name for f in df.schema.fields if f.metadata.get("pii")])

@@ -32,8 +32,8 @@ def land(df: DataFrame, path: str, checkpoint: str, time: str = "event_time", on
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 minutes")).start()
 
 
-def each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False) -> StreamingQuery:
-    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+def each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False, mode: str = "append") -> StreamingQuery:
+    writer = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")).start()
 
 
@@ -47,9 +47,24 @@ def mirror(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
     return lambda batch, _: serving.upsert(batch.sparkSession, path, batch, keys)
 
 
+def append_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """Append-only log. A batch that is retried replaces its own rows; readers see its number as column ``batch``."""
+    return lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+
 def append_values(path: str) -> Callable[[DataFrame, int], None]:
-    """Append-only sink of a topic without a key; null values are skipped. A batch that is retried replaces its own rows."""
-    return lambda batch, number: batch.where("value is not null").write.mode("overwrite").parquet(f"{path}/batch={number}")
+    """Append-only sink of a topic without a key; null values are skipped."""
+    return lambda batch, number: append_batches(path)(batch.where("value is not null"), number)
+
+
+def running_totals(df: DataFrame, by: list[str], path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Counts of all rows so far by the columns: each batch writes the totals that it changes. ``current_totals`` reads them."""
+    return each_batch(df.groupBy(*by).agg(F.count("*").alias("n")), append_batches(path), checkpoint, once, "update")
+
+
+def current_totals(written: DataFrame, by: list[str]) -> DataFrame:
+    """The newest total of each class; a total only grows, so its batch tells which is newest."""
+    return serving.last_version(written, by, "batch").drop("batch")
 
 
 def quarantined(casts: dict[str, str], good_path: str, bad_path: str, connector: str, topic: str) -> Callable[[DataFrame, int], None]:
