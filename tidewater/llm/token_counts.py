@@ -25,11 +25,12 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 #: A run without white space and the one space before it, or the white space between such runs. The pre-tokenizer
 #: cuts these further, but never joins two of them.
 PIECE = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-MEMO = 300_000
+#: Code points of all pieces whose counts are held; some 100 MB with their entries.
+MEMO = 2_000_000
 
 
 class PrefixCounter:
-    """Counts tokens with a vocabulary of the tokenizers library; keeps the counts of short pieces."""
+    """Counts tokens with a vocabulary of the tokenizers library; keeps the counts of pieces, up to a bound of their code points."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
@@ -39,6 +40,7 @@ class PrefixCounter:
         self.tokenizer.no_padding()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, int] = {}
+        self.held = 0
 
     def pieces(self, text: str) -> list[str]:
         """The text in order; a special string is a piece of its own, as the library takes it by default."""
@@ -48,9 +50,11 @@ class PrefixCounter:
         return [p for k, part in enumerate(cut) for p in ([part] if k % 2 else PIECE.findall(part))]
 
     def learn(self, pieces: set[str]) -> None:
-        if len(self.memo) > MEMO:
+        if self.held > MEMO:
             self.memo.clear()
+            self.held = 0
         if new := list(pieces.difference(self.memo)):
+            self.held += sum(map(len, new))
             self.memo.update(zip(new, (len(e.ids) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
