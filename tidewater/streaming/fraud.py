@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import pandas as pd
@@ -31,11 +32,12 @@ class Storm(StatefulProcessor):
         self.held = handle.getListState("failures", "ts_ms long, tx_id long, amount string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        held = [tuple(r) for r in self.held.get()]
+        held = [tuple(r) for r in self.held.get()]  # in order, as put() left it
         new = sorted((int(r.ts_ms), int(r.transaction_id), r.amount) for frame in rows for r in frame.itertuples())
         alerts = []
         for failure in new:
-            held = sorted([*[h for h in held if h[0] >= failure[0] - self.span], failure])
+            del held[: bisect.bisect_left(held, (failure[0] - self.span,))]
+            bisect.insort(held, failure)
             if len(held) >= self.least:
                 recent = [{"ts_ms": t, "tx_id": i, "amount": a} for t, i, a in held[-self.least :]]
                 alerts.append(("FAILED_STORM", "HIGH", key[0], len(held), self.least, self.minutes, failure[0], recent))
