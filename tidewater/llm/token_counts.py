@@ -26,7 +26,7 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 #: cuts these further, but never joins two of them.
 PIECE = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Code points of all pieces whose counts are held; some 100 MB with their entries.
-MEMO = 2_000_000
+MEMO = 4_000_000
 
 
 class PrefixCounter:
