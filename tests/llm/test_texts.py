@@ -99,22 +99,40 @@ def counter():
     return token_counts.PrefixCounter(queries.vocabulary())
 
 
-SAMPLES = ["", " ", "a  b", "\n\n x", "it's we'll I'M  don't", "Ünïcödé  日本語 １２３  x y", "a\x1cb \x85c", "x <|endoftext|> y<|endoftext|>", "1234567 abc123!!!  ...", "tabs\t\tand\r\nlines \n", "é \U0001f600\U0001f468‍\U0001f469"]
+SAMPLES = ["", " ", "a  b", "\n\n x", "it's we'll I'M  don't", "Ünïcödé  日本語 １２３  x y", "a\x1cb \x85c", "\n\n\x1cb", "x <|endoftext|> y<|endoftext|>", "1234567 abc123!!!  ...", "tabs\t\tand\r\nlines \n", "é \U0001f600\U0001f468‍\U0001f469"]
+
+
+def of_library(counter, text):
+    return [len(counter.tokenizer.encode(text[: k + 1], add_special_tokens=False).ids) for k in range(len(text))]
 
 
 def test_counts_equal_the_library_on_every_prefix(counter):
-    for text in SAMPLES:
-        ends, tokens = counter.counts(text)
-        for end in range(len(text) + 1):
-            if "<|endoftext|>" in text and end < len(text):
-                continue
-            assert counter.at(text, end, ends, tokens) == len(counter.tokenizer.encode(text[:end], add_special_tokens=False).ids), (text, end)
+    runs = ["".join(random.Random(k).choice("ab c\n'é日1!-_aeiou") for _ in range(80)) for k in range(60)] + ["a" * 90, " " * 40 + "x" + " " * 40, "=" * 70 + "\n" * 20 + "y"]
+    for text in SAMPLES + runs:
+        want = of_library(counter, text)
+        assert counter.counts(text).tolist() == want, text
+        for limit in range(max(want, default=0)):
+            assert counter.within(text, limit, *counter.at_ends(text)) == max([0, *[e + 1 for e, n in enumerate(want) if n <= limit]]), (text, limit)
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_counts_equal_the_library(counter, text):
-    assert counter.total(text) == len(counter.tokenizer.encode(text, add_special_tokens=False).ids)
+    want = of_library(counter, text)
+    units, tokens = counter.at_ends(text)
+    assert counter.counts(text).tolist() == want and (tokens[-1] if units else 0) == (want or [0])[-1]
+    for limit in range(len(text)):
+        assert counter.within(text, limit, units, tokens) == max([0, *[e + 1 for e, n in enumerate(want) if n <= limit]])
+
+
+def test_longest_prefix_within_a_limit(spark):
+    """Spaces come in tokens of many, so a longer prefix may have fewer tokens."""
+    texts = ["x" + " " * 15 + "y", "a" * 3000, "internationalisation of words", "<|endoftext|> a <|endoftext|>", "é日" * 50]
+    df = spark.createDataFrame([(k, t, "s", "x") for k, t in enumerate(texts)], DOCS)
+    counter = token_counts.PrefixCounter(queries.vocabulary())
+    for limit in (0, 1, 2, 3, 30):
+        want = {k: max([0, *[e + 1 for e, n in enumerate(of_library(counter, t)) if n <= limit]]) for k, t in enumerate(texts)}
+        assert {r.doc_id: r.fit_chars for r in token_counts.token_counts(df, queries.vocabulary(), limit).collect()} == want
 
 
 def test_token_table(spark):
@@ -122,7 +140,7 @@ def test_token_table(spark):
     got = sorted((r.doc_id or 0, r.n_bytes, r.n_tokens, r.over_limit, r.fit_chars) for r in token_counts.token_counts(df, queries.vocabulary()).collect())
     assert got[:3] == [(0, 2, 1, False, 2), (1, 0, 0, False, 0), (2, 0, 0, False, 0)]
     assert got[3] == got[4] == (3, 3000, 601, True, 512 * 5 - 1)
-    prefixes = token_counts.prefix_counts(df, queries.vocabulary()).withColumn("cut", token_counts.budget_cut("ends", "tokens", 512))
+    prefixes = token_counts.prefix_counts(df, queries.vocabulary()).withColumn("cut", token_counts.budget_cut("tokens", 512))
     assert {r.doc_id: r.cut for r in prefixes.collect()} == {1: 0, 2: 0, 3: 512 * 5 - 1, None: 2}
     assert token_counts.token_counts(df.limit(0), queries.vocabulary()).count() == 0
 

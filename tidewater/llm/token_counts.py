@@ -1,18 +1,21 @@
-"""Exact token counts of every prefix of a text, by dynamic programming over its pieces.
+"""Exact token counts of every prefix of a text, by dynamic programming over code points.
 
-The byte-level vocabulary never merges across the pieces that its pre-tokenizer cuts, so
-``tokens(prefix k) = tokens(prefix k - 1) + tokens(piece k)``. The running counts are kept at each piece's
-end. A prefix that ends inside a piece needs only the two pieces around its end, never the whole text.
+The byte-level vocabulary never merges across the words that its pre-tokenizer cuts, so a prefix that ends in a word has the tokens
+up to the word and those of the word's own prefix. Within a word, ``tokens(prefix) = tokens(prefix without its last token) + 1``, where the last token is
+the one token at its end that the merges leave beside the last token of what stands before. A text is cut into units, white space and the
+run after it; a prefix that ends in white space belongs to the same unit, so the counts of equal units are equal wherever they stand and are held.
+``prefix_counts`` stores the count of every prefix. ``token_counts`` keeps those at the ends of units and goes through the prefixes of the one unit where the limit is passed.
 
-Null text counts as empty: no pieces, no tokens. Empty tables give empty results. Rows are counted one by one,
+Null text counts as empty: no tokens and no prefixes. Empty tables give empty results. Rows are counted one by one,
 so repeated ids or rows each give a row. Other input columns are left alone and not read.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -22,90 +25,162 @@ from tidewater.llm.common import slices
 
 #: Unicode white space as the vocabulary's own pre-tokenizer takes it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: A run without white space and the one space before it, or the white space between such runs. The pre-tokenizer
-#: cuts these further, but never joins two of them.
-PIECE = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: Code points of all pieces whose counts are held; some 100 MB with their entries.
-MEMO = 4_000_000
+#: White space and the run without it that follows. The pre-tokenizer cuts these further, but never joins two of them.
+UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+LEAD = re.compile(f"[{SPACE}]*")
+#: Code points of all units whose counts are held; some 100 MB with their entries.
+HELD = 4_000_000
+#: Pairs of tokens known to stand or not to stand side by side.
+PAIRS = 500_000
 
 
 class PrefixCounter:
-    """Counts tokens with a vocabulary of the tokenizers library; keeps the counts of pieces, up to a bound of their code points."""
+    """Counts tokens of all prefixes with a byte-level vocabulary of the tokenizers library; keeps the counts of units, up to a bound of their code points."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.tokens = set(self.tokenizer.get_vocab(with_added_tokens=False))
+        endings: dict[str, set[int]] = defaultdict(set)
+        for t in self.tokens:
+            endings[t[-3:]].add(len(t))
+        #: by the last three bytes, the lengths that tokens with this end have, longest first
+        self.lengths = {e: sorted(n | {1, 2}, reverse=True) for e, n in endings.items()}
         self.memo: dict[str, int] = {}
-        self.held = 0
-
-    def pieces(self, text: str) -> list[str]:
-        """The text in order; a special string is a piece of its own, as the library takes it by default."""
-        if not any(s in text for s in self.specials):
-            return PIECE.findall(text)
-        cut = re.split("(" + "|".join(map(re.escape, self.specials)) + ")", text)
-        return [p for k, part in enumerate(cut) for p in ([part] if k % 2 else PIECE.findall(part))]
-
-    def learn(self, pieces: set[str]) -> None:
-        if self.held > MEMO:
-            self.memo.clear()
-            self.held = 0
-        if new := list(pieces.difference(self.memo)):
-            self.held += sum(map(len, new))
-            self.memo.update(zip(new, (len(e.ids) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-
-    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """For each piece of the text: the code points up to its end and the tokens up to its end."""
-        pieces = self.pieces(text)
+        self.words: dict[str, list[int]] = {}
+        self.held = self.held_words = 0
+        self.stands: dict[tuple[str, str], bool] = {}
+
+    def beside(self, last: str, token: str) -> bool:
+        """Whether the merges keep ``last`` and ``token`` apart and whole; ``last`` is empty at a word's start."""
+        pair = (last, token)
+        if pair not in self.stands:
+            if len(self.stands) > PAIRS:
+                self.stands.clear()
+            self.stands[pair] = [t.value for t in self.tokenizer.model.tokenize(last + token)] == [t for t in pair if t]
+        return self.stands[pair]
+
+    def word(self, mapped: str) -> list[int]:
+        """Tokens of each prefix of one word of the pre-tokenizer, which is written with a character for each byte."""
+        if mapped in self.words:
+            return self.words[mapped]
+        tokens, stands, lengths = self.tokens, self.stands, self.lengths
+        last, counts = [""], [0]
+        for end in range(1, len(mapped) + 1):
+            for n in lengths.get(mapped[end - 3 : end], (2, 1)) if end > 2 else range(end, 0, -1):
+                if n > end or (token := mapped[end - n : end]) not in tokens:
+                    continue
+                fits = stands.get((last[end - n], token))
+                if self.beside(last[end - n], token) if fits is None else fits:
+                    last.append(token)
+                    counts.append(counts[end - n] + 1)
+                    break
+        if self.held_words > HELD:
+            self.words.clear()
+            self.held_words = 0
+        self.words[mapped] = counts[1:]
+        self.held_words += len(mapped)
+        return counts[1:]
+
+    def unit(self, text: str) -> bytes:
+        """Tokens up to each code point of a unit, as int32."""
+        words = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+        out, before = [], 0
+        for mapped, (start, end) in words:
+            counts = self.word(mapped)
+            if len(mapped) == end - start:
+                out += [before + n for n in counts]
+            else:
+                out += [before + counts[b - 1] for b in accumulate(len(c.encode()) for c in text[start:end])]
+            before += counts[-1]
+        # the last white space before a run is a word of its own or the run's, but ends the prefix as part of all white space before
+        space = LEAD.match(text).end() if len(words) > 1 else 0
+        if 1 < space < len(text):
+            out[space - 1] = np.frombuffer(self.unit(text[:space]), np.int32)[-1]
+        return np.array(out, np.int32).tobytes()
+
+    def parts(self, text: str) -> list[str]:
+        """The text cut at special strings, which stand at the odd places."""
+        return re.split("(" + "|".join(map(re.escape, self.specials)) + ")", text) if any(s in text for s in self.specials) else [text]
+
+    def totals(self, units: list[str]) -> list[int]:
+        """Tokens of whole units; the library counts those that are not held."""
+        memo = self.memo
         try:
-            sizes = list(map(self.memo.__getitem__, pieces))
+            return list(map(memo.__getitem__, units))
         except KeyError:
-            self.learn(set(pieces))
-            sizes = list(map(self.memo.__getitem__, pieces))
-        return np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))), np.cumsum(np.array(sizes, np.int64))
-
-    def total(self, text: str) -> int:
-        _, tokens = self.counts(text)
-        return int(tokens[-1]) if len(tokens) else 0
-
-    def at(self, text: str, end: int, ends: np.ndarray, tokens: np.ndarray) -> int:
-        """Tokens of ``text[:end]`` from the stored counts; only the pieces around ``end`` are read."""
-        k = bisect_right(ends, end)
-        if k and ends[k - 1] == end and (end == len(text) or not text[end - 1].isspace()):
-            return int(tokens[k - 1])
-        back = max(0, k - 2)
-        start = int(ends[back - 1]) if back else 0
-        tail = len(self.tokenizer.encode(text[start:end], add_special_tokens=False).ids) if end > start else 0
-        return (int(tokens[back - 1]) if back else 0) + tail
+            if self.held > HELD:
+                memo.clear()
+                self.held = 0
+            new = list(set(units).difference(memo))
+            memo.update(zip(new, (len(e.ids) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+            self.held += sum(map(len, new))
+            return list(map(memo.__getitem__, units))
+
+    def at_ends(self, text: str) -> tuple[list[str], np.ndarray]:
+        """The units of a text, special strings among them, and the tokens up to the end of each."""
+        units = [u for k, part in enumerate(self.parts(text)) for u in ([part] if k % 2 else UNIT.findall(part))]
+        return units, np.cumsum(np.array(self.totals(units), np.int64))
+
+    def within(self, text: str, limit: int, units: list[str], tokens: np.ndarray) -> int:
+        """Code points of the longest prefix of at most ``limit`` tokens, from ``at_ends``: it ends in the first unit that passes the limit.
+
+        Prefixes of later units have more tokens than that unit's end. Where a special string is near, the prefixes of the text up to it are counted.
+        """
+        k = int(np.searchsorted(tokens, limit, side="right"))
+        if k == len(units):
+            return len(text)
+        first = max(0, k - 1) if units[k] in self.specials else k
+        after = k + 2 if k + 1 < len(units) and units[k + 1] in self.specials else k + 1
+        own = self.counts("".join(units[first:after])) + (int(tokens[first - 1]) if first else 0)
+        fits = np.flatnonzero(own <= limit)
+        return sum(map(len, units[:first])) + (int(fits[-1]) + 1 if len(fits) else 0)
+
+    def counts(self, text: str) -> np.ndarray:
+        """Tokens of ``text[:k]`` for each k from 1 on. A special string is one token where it is whole, as the library takes it by default, else plain text."""
+        out, before, last, start = [np.zeros(0, np.int32)], 0, "", 0
+        for k, part in enumerate(self.parts(text)):
+            if k % 2:  # all but its end is plain text that lengthens the unit before it
+                own = np.frombuffer(self.unit(last + part[:-1]), np.int32)[len(last) :] + start
+                out.append(np.append(own, before + 1).astype(np.int32))
+                before, last, start = before + 1, "", before + 1
+            elif part:
+                units = UNIT.findall(part)
+                found = list(map(self.unit, units))
+                sizes = np.fromiter(map(len, units), np.int64, len(units))
+                own = np.frombuffer(b"".join(found), np.int32)
+                ups = np.cumsum(own[np.cumsum(sizes) - 1])
+                out.append((own + np.repeat(np.concatenate([[0], ups[:-1]]), sizes) + before).astype(np.int32))
+                last, start = units[-1], before + (int(ups[-2]) if len(ups) > 1 else 0)
+                before += int(ups[-1])
+        return np.concatenate(out) if len(out) != 2 else out[1]
 
 
 def prefix_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id, ``ends array<int>`` and ``tokens array<int>``, the counts at each piece's end."""
+    """Per row: the id and ``tokens array<int>``, whose k-th entry is the tokens of the first k code points."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PrefixCounter(vocabulary)
-        for batch in slices(batches):
+        for batch in slices(batches, 64):
             found = [counter.counts(t or "") for t in batch.column(1).to_pylist()]
-            lists = [pa.array([f[k].astype(np.int32) for f in found], pa.list_(pa.int32())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], ["__id", "ends", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["__id", "tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, f"__id {kind}, ends array<int>, tokens array<int>")
+    out = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, f"__id {kind}, tokens array<int>")
     return out.withColumnRenamed("__id", id_col)
 
 
-def budget_cut(ends: str, tokens: str, budget: int):
-    """Column: code points of the longest stored prefix of at most ``budget`` tokens, from the stored arrays."""
-    return F.coalesce(F.array_max(F.filter(F.transform(F.arrays_zip(ends, tokens), lambda p: F.when(p[tokens] <= budget, p[ends])), lambda p: p.isNotNull())), F.lit(0))
+def budget_cut(tokens: str, budget: int):
+    """Column: code points of the longest prefix of at most ``budget`` tokens, from the stored counts."""
+    return F.coalesce(F.array_max(F.transform(tokens, lambda n, k: F.when(n <= budget, k + 1))), F.lit(0))
 
 
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, ``n_bytes``, ``n_tokens``, ``over_limit`` and ``fit_chars``, the code points of the longest stored prefix within the limit.
+    """Per row: id, ``n_bytes``, ``n_tokens``, ``over_limit`` and ``fit_chars``, the code points of the longest prefix within the limit.
 
-    The prefix counts of a text are answered in the task that makes them, so that arrays as long as the corpus
+    The counts of a text are asked in the task that makes them, so that arrays as long as the corpus
     are not written only to be read once.
     """
 
@@ -114,11 +189,11 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
         for batch in slices(batches):
             n_tokens, fit, n_bytes = [], [], []
             for text in batch.column(1).to_pylist():
-                ends, tokens = counter.counts(text or "")
-                n_bytes.append(len((text or "").encode()))
-                n_tokens.append(int(tokens[-1]) if len(tokens) else 0)
-                k = int(np.searchsorted(tokens, limit, side="right"))
-                fit.append(int(ends[k - 1]) if k else 0)
+                text = text or ""
+                units, tokens = counter.at_ends(text)
+                n_bytes.append(len(text.encode()))
+                n_tokens.append(int(tokens[-1]) if units else 0)
+                fit.append(counter.within(text, limit, units, tokens))
             arrays = [pa.array(x, pa.int64()) for x in (n_bytes, n_tokens, fit)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["__id", "n_bytes", "n_tokens", "fit_chars"])
 
