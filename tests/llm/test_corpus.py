@@ -246,6 +246,13 @@ def test_mix(spark, spread):
     assert set(kept.columns) == {*docs.columns, "repeats"} and {r.repeats for r in kept.collect()} <= {1, 2}
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_texts_that_fit_fill_what_a_long_one_leaves_open(spark, seed):
+    rows = [(i, "word " * 10, "s") for i in range(100)] + [(200 + i, "word " * 300, "s") for i in range(2)] + [(300, "word " * 5000, "t")]
+    got = mixing.mix(table(spark, rows), weights=(650, 5000), share=5650 / 6600, seed=seed).where("source = 's'").collect()
+    assert 0 <= got[0].target - sum(r.taken for r in got) < 10 and got[0].target == pytest.approx(650)
+
+
 def test_better_documents_come_first_more_often(spark):
     rows = [(i, ("word " * 10) if i % 2 else ("w " * 10), "s") for i in range(2000)] + [(5000 + i, "word " * 10, "t") for i in range(600)]
     got = {r.doc_id: r.taken for r in mixing.mix(table(spark, rows), weights=(1, 9), share=0.5).where("source = 's'").collect()}

@@ -6,7 +6,8 @@ That is ``least(most * size, level * weight)`` with one level for all, found fro
 
 Selection: each source first gives as many complete epochs as its target holds. The rest of the target is filled
 in the order of exponential keys ``-ln(u) / quality`` (least first), u a hash of the id, until the running sum of
-sizes would pass it. The running sum is taken in two steps: sums per slot of the key's range, then, only in the one
+sizes would pass it; texts larger than what is left are passed over. What that text leaves open is filled in the same way by the texts
+after it that still fit, ``ROUNDS`` times in all. The running sum is taken in two steps: sums per slot of the key's range, then, only in the one
 slot where a source's budget ends, row by row. So no task holds a whole source.
 
 Null and blank texts have size 0 and take nothing. Rows that are equal throughout are told apart by nothing, so
@@ -22,6 +23,7 @@ from tidewater.llm.common import checkpointed
 WORD = r"[^\x20\x09-\x0D]+"
 SLOTS = 4096
 LEAST_WEIGHT = 0.25
+ROUNDS = 3
 
 
 def words(text: Column) -> Column:
@@ -78,16 +80,34 @@ def placed_rows(docs: DataFrame, weights: tuple[float, ...], share: float, most:
     slots = rows.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
     targets = source_targets(slots.groupBy("source").agg(F.sum("slot_size").alias("source_size")), weights, share, most)
     targets = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
+    left = checkpointed(targets.withColumn("left", F.col("rest")).withColumnRenamed("source", "plan_source"))
+    rows = rows.withColumn("more", F.lit(False))
+    for _ in range(ROUNDS):
+        rows, left = filled(rows, left)
+    placed = rows.join(left, F.col("source").eqNullSafe(F.col("plan_source")), "inner")
+    return placed.select("id", "mark", "size", "source", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("more").cast("long"))).cast("long").alias("taken"))
+
+
+def filled(rows: DataFrame, left: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One round: rows with ``more`` set for those that fill what is left of their source's budget, and what then is left.
+
+    ``left`` has a row per source (``plan_source``, ``left`` and columns that stay). Both are checkpointed.
+    """
+    own = F.col("source").eqNullSafe(F.col("plan_source"))
+    open_ = ~F.col("more") & (F.col("size") > 0) & (F.col("size") <= F.col("left"))
+    slots = rows.join(left, own, "inner").where(open_).groupBy("source", "slot").agg(F.sum("size").alias("slot_size"), F.first("left").alias("left"))
     before = F.coalesce(F.sum("slot_size").over(W.partitionBy("source").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    running = slots.withColumn("before", before)
-    cut = running.join(targets.select("source", "rest"), running["source"].eqNullSafe(targets["source"]), "inner").where("before + slot_size > rest").groupBy(running["source"]).agg(F.min(F.struct("slot", "before")).alias("cut"))
-    plan = checkpointed(targets.join(cut.withColumnRenamed("source", "cut_source"), F.col("source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source").withColumnRenamed("source", "plan_source"))
-    placed = rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source")), "inner")
+    cut = slots.withColumn("before", before).where("before + slot_size > left").groupBy("source").agg(F.min(F.struct("slot", "before")).alias("cut"))
+    cuts = checkpointed(left.join(cut, own, "left").select("plan_source", "left", "cut"))
+    placed = rows.join(cuts, own, "inner")
     edge = placed.where("slot = cut.slot")
-    whole = placed.where("cut is null or slot <> cut.slot").withColumn("more", F.col("cut").isNull() | (F.col("slot") < F.col("cut.slot")))
-    inside = F.sum("size").over(W.partitionBy("source").orderBy("key", F.col("id").asc_nulls_last(), "size").rowsBetween(W.unboundedPreceding, W.currentRow))
-    edge = edge.withColumn("more", F.col("cut.before") + inside <= F.col("rest"))
-    return whole.unionByName(edge).select("id", "mark", "size", "source", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("more").cast("long"))).cast("long").alias("taken"))
+    whole = placed.where("cut is null or slot <> cut.slot").withColumn("now", open_ & (F.col("cut").isNull() | (F.col("slot") < F.col("cut.slot"))))
+    inside = F.sum(F.when(open_, F.col("size"))).over(W.partitionBy("source").orderBy("key", F.col("id").asc_nulls_last(), "size").rowsBetween(W.unboundedPreceding, W.currentRow))
+    edge = edge.withColumn("now", open_ & (F.col("cut.before") + inside <= F.col("left")))
+    both = checkpointed(whole.unionByName(edge).select(*[c for c in rows.columns if c != "more"], (F.col("more") | F.col("now")).alias("more"), "now"))
+    given = both.where("now").groupBy("source").agg(F.sum("size").alias("given"))
+    after = left.join(given, own, "left").withColumn("left", F.col("left") - F.coalesce("given", F.lit(0))).drop("source", "given")
+    return both.drop("now"), checkpointed(after)
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:

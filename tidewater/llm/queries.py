@@ -128,12 +128,18 @@ ORACLES = {
                 else arg_min((budget - caps) / nullif(weights - capped, 0), caps) filter (where nxt is not null and (budget - caps) / nullif(weights - capped, 0) <= nxt) end as level from k),
         t as (select source, source_size, case when level is null then cap else least(cap, level * weight) end as target from k, l),
         e as (select *, case when source_size > 0 then floor(target / source_size) else 0 end as epochs from t),
-        r as (select d.doc_id, d.size, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size as rest,
-                sum(d.size) over (partition by d.source order by
-                    1 - pow((('0x' || substr(md5('17-' || d.doc_id), 1, 12))::bigint::double + 0.5) / 281474976710656.0, 1 / case when d.chars / greatest(d.size, 1)::double between 3 and 13 then 1.0 else 0.25 end),
-                    d.doc_id rows between unbounded preceding and current row) as upto
-            from d join e on d.source is not distinct from e.source)
-        select doc_id, size, source_size, target, (size * (epochs + case when upto <= rest then 1 else 0 end))::bigint as taken from r""",
+        r0 as (select d.doc_id, d.source, d.size, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size as "left", false as more,
+                1 - pow((('0x' || substr(md5('17-' || d.doc_id), 1, 12))::bigint::double + 0.5) / 281474976710656.0, 1 / case when d.chars / greatest(d.size, 1)::double between 3 and 13 then 1.0 else 0.25 end) as key
+            from d join e on d.source is not distinct from e.source),
+        o1 as (select *, not more and size > 0 and size <= "left" as fits from r0),
+        u1 as (select *, fits and sum(case when fits then size end) over (partition by source order by key, doc_id rows between unbounded preceding and current row) <= "left" as now from o1),
+        r1 as (select * exclude (fits, now) replace (more or now as more, "left" - coalesce(sum(size) filter (where now) over (partition by source), 0) as "left") from u1),
+        o2 as (select *, not more and size > 0 and size <= "left" as fits from r1),
+        u2 as (select *, fits and sum(case when fits then size end) over (partition by source order by key, doc_id rows between unbounded preceding and current row) <= "left" as now from o2),
+        r2 as (select * exclude (fits, now) replace (more or now as more, "left" - coalesce(sum(size) filter (where now) over (partition by source), 0) as "left") from u2),
+        o3 as (select *, not more and size > 0 and size <= "left" as fits from r2),
+        u3 as (select *, fits and sum(case when fits then size end) over (partition by source order by key, doc_id rows between unbounded preceding and current row) <= "left" as now from o3)
+        select doc_id, size, source_size, target, (size * (epochs + case when more or now then 1 else 0 end))::bigint as taken from u3""",
     "op8_exact_dedup": r"""
         with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
         select doc_id, min(doc_id) over g as keep_id, count(*) over g as group_size, doc_id = min(doc_id) over g as kept, sha256(t) as text_sha256
