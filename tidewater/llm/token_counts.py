@@ -28,8 +28,8 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 #: White space and the run without it that follows. The pre-tokenizer cuts these further, but never joins two of them.
 UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 LEAD = re.compile(f"[{SPACE}]*")
-#: Code points of all units whose counts are held; some 100 MB with their entries.
-HELD = 4_000_000
+#: Code points of all units whose counts are held; some 200 MB with their entries.
+HELD = 8_000_000
 #: Pairs of tokens known to stand or not to stand side by side.
 PAIRS = 500_000
 
@@ -121,7 +121,8 @@ class PrefixCounter:
 
     def at_ends(self, text: str) -> tuple[list[str], np.ndarray]:
         """The units of a text, special strings among them, and the tokens up to the end of each."""
-        units = [u for k, part in enumerate(self.parts(text)) for u in ([part] if k % 2 else UNIT.findall(part))]
+        parts = self.parts(text)
+        units = UNIT.findall(text) if len(parts) == 1 else [u for k, part in enumerate(parts) for u in ([part] if k % 2 else UNIT.findall(part))]
         return units, np.cumsum(np.array(self.totals(units), np.int64))
 
     def within(self, text: str, limit: int, units: list[str], tokens: np.ndarray) -> int:
