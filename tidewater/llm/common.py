@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,6 +32,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table as Parquet in the shared folder, read again: a checkpoint of columns, for wide rows."""
+    path = f"{checkpoint_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Rows that make a partition worth a task of its own, in tables of short rows.
 FEW_ROWS = 4096
 

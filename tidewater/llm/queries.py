@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewater.llm import decontamination, exact_dedup, html_text, mixing, near_dedup, preferences, quality, secrets, token_counts, toxicity
+from tidewater.llm import decontamination, exact_dedup, fill_middle, html_text, line_dedup, mixing, near_dedup, preferences, quality, secrets, token_counts, toxicity, vector_codes
 from tidewater.llm.common import checkpointed, table
 
 
@@ -74,6 +74,42 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    restored = fill_middle.restored(F.col("output"), F.col("form"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lines = line_dedup.document_lines(docs)
+    cleaned = line_dedup.dedup_lines(docs, lines, line_dedup.build(lines))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Each round's full search and update as tables of their own; a distance and an index are one number."""
+    steps = [
+        f"""v as materialized (select vec_id, label, [floor(1024 * x::double) for x in embedding] as e from embeddings where embedding is not null and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0),
+        p as materialized (select vec_id, label, part, e[part * (len(e) // {parts}) + 1:(part + 1) * (len(e) // {parts})] as x from v, range({parts}) t(part)),
+        b0 as materialized (select part, entry, x as c from (select *, row_number() over (partition by part order by vec_id) - 1 as entry from p) where entry < {entries})"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"a{r} as materialized (select p.vec_id, p.label, p.part, p.x, min((list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c)) * {entries} + entry)::bigint as best from p join b{r} using (part) group by all)")
+        if r < rounds:
+            steps.append(f"""m{r} as (select part, entry, list(mean order by pos) as c from (select part, best % {entries} as entry, pos, floor(sum(y) / count(*)) as mean from (select part, best, unnest(x) as y, generate_subscripts(x, 1) as pos from a{r}) group by all) group by all),
+        b{r + 1} as materialized (select part, entry, coalesce(m{r}.c, b{r}.c) as c from b{r} left join m{r} using (part, entry))""")
+    steps.append(f"""k as (select string_agg(array_to_string([y::bigint for y in c], ','), ',' order by part, entry) as books from b{rounds}),
+        f as (select vec_id, any_value(label) as label, string_agg(printf('%02x', best % {entries}), '' order by part) as code, sum(best // {entries})::bigint as error from a{rounds} group by vec_id)
+        select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, sha256(books) as codebooks_sha256 from f, k""")
+    return "with " + ",\n        ".join(steps)
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_secret_scan": op2_secret_scan,
@@ -85,6 +121,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_benchmark_leaks": op9_benchmark_leaks,
     "op10_toxicity": op10_toxicity,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 ORACLES = {
@@ -144,4 +183,20 @@ ORACLES = {
         with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
         select doc_id, min(doc_id) over g as keep_id, count(*) over g as group_size, doc_id = min(doc_id) over g as kept, sha256(t) as text_sha256
         from n window g as (partition by t)""",
+    "op11_fill_middle": r"""
+        with u as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u, sha256('42:' || doc_id) as h from documents),
+        d as (select *, len(u)::bigint as n, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2, ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from u),
+        c as (select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+            case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50 then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end as form from d),
+        s as (select *, coalesce(array_to_string(u[1:a], ''), '') as p, coalesce(array_to_string(u[a + 1:b], ''), '') as m, coalesce(array_to_string(u[b + 1:], ''), '') as s from c)
+        select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
+            sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256, sha256(text) as restored_sha256 from s""",
+    "op12_vector_codes": _codes_sql(),
+    "op13_line_dedup": r"""
+        with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+        l as (select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as k from d),
+        n as (select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+        r as (select key, max(doc_id) as owner from n where length(key) >= 20 group by key having count(distinct doc_id) >= 3),
+        g as (select n.*, owner is not null and owner <> doc_id as gone from n left join r using (key))
+        select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped, sha256(coalesce(string_agg(line, chr(10) order by k) filter (where not gone), '')) as kept_sha256 from g group by doc_id""",
 }
