@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tidewater.operators import slices
+
 # fixed values: severity of an alert type that comes without one, and the severities that notify
 SEVERITY = {"VELOCITY_FRAUD": "MEDIUM", "VELOCITY_ATTACK": "HIGH", "FAILED_STORM": "MEDIUM", "LARGE_AMOUNT": "HIGH"}
 NOTIFIES = ["HIGH", "MEDIUM"]
@@ -43,42 +42,20 @@ def account_key() -> Column:
     return F.coalesce(F.col("account_id").cast("string"), F.lit(""))
 
 
-def fold(cooldown_s: int):
-    """For mapInArrow over rows in order of key, session, time: (__key, at, kind) of the alerts that are sent; holds one sent time."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, last = None, 0
-        for batch in batches:
-            sent = []
-            for account, session, at in zip(*(batch.column(c).to_pylist() for c in ("__key", "session", "at")), strict=True):
-                due = (account, session) != now or at - last >= cooldown_s * 1000
-                now, last = (account, session), at if due else last
-                sent.append(due)
-            yield batch.filter(pa.array(sent, pa.bool_())).select(["__key", "at", "kind"])
-
-    return run
-
-
 def route(alerts: DataFrame, cooldown_s: int = COOLDOWN_S, at: str = "at_ms") -> DataFrame:
     """Add ``action``: LOGGED_ONLY, EMAIL_SENT, or EMAIL_THROTTLED within the cooldown after the account's last sent alert.
 
-    Which alerts are sent depends on the last one sent, which no window frame tells. An alert that comes a cooldown or more
-    after the one before it is always sent, so an account falls into sessions that are folded apart, each as a stream of
-    sorted rows that holds one sent time. Alerts of one time and account share a place in the order: the first by type is sent,
+    Which alerts are sent depends on the last one sent, which no window frame tells; it is carried along slices of time, so an
+    account with many alerts is many groups. Alerts of one time and account share a place in the order: the first by type is sent,
     and of equal ones only one. Alerts without an account are one account of their own, those without a time are throttled.
     """
-    rows = with_severity(alerts).withColumn("__key", account_key())
+    rows = with_severity(alerts).withColumns({"__key": account_key(), "__at": F.col(at).cast("bigint")})
     notifying = F.col("severity").isin(NOTIFIES)
-    places = rows.where(notifying & F.col(at).isNotNull()).groupBy("__key", F.col(at).cast("bigint").alias("at")).agg(F.min("alert_type").alias("kind"))
-    order = W.partitionBy("__key").orderBy("at")
-    begins = F.when(F.coalesce(F.col("at") - F.lag("at").over(order) >= cooldown_s * 1000, F.lit(True)), F.col("at"))
-    sessions = places.withColumn("session", F.max(begins).over(order.rowsBetween(W.unboundedPreceding, 0)))
-    sorted_ = sessions.repartition("__key", "session").sortWithinPartitions("__key", "session", "at")
-    kinds = {f.name: f.dataType.simpleString() for f in places.schema.fields}
-    sent = sorted_.mapInArrow(fold(cooldown_s), ", ".join(f"{k} {v}" for k, v in kinds.items()))
-    sent = sent.select(F.col("__key").alias("__sent_key"), F.col("at").alias("__at"), F.col("kind").alias("__kind"))
-    joined = rows.join(sent, notifying & (F.col("__key") == F.col("__sent_key")) & (F.col(at).cast("bigint") == F.col("__at")) & F.col("alert_type").eqNullSafe(F.col("__kind")), "left")
+    places = rows.where(notifying & F.col("__at").isNotNull()).groupBy("__key", "__at").agg(F.min("alert_type").alias("__kind"))
+    sent = slices.let_through(places, "__key", "__at", cooldown_s * 1000).join(places, ["__key", "__at"]).withColumn("__sent", F.lit(True))
+    joined = rows.join(sent, ["__key", "__at"], "left")
     others = sorted(c for c in alerts.columns if not alerts.schema[c].dataType.simpleString().startswith("map"))
-    place = F.row_number().over(W.partitionBy("__key", F.col(at), "alert_type", notifying).orderBy(*[F.col(c).asc_nulls_last() for c in others]))
-    action = F.when(~notifying, "LOGGED_ONLY").when(F.col("__at").isNotNull() & (F.col("__place") == 1), "EMAIL_SENT").otherwise("EMAIL_THROTTLED")
-    return joined.withColumn("__place", place).withColumn("action", action).drop("__key", "__sent_key", "__at", "__kind", "__place")
+    place = F.row_number().over(W.partitionBy("__key", "__at", "alert_type", notifying).orderBy(*[F.col(c).asc_nulls_last() for c in others]))
+    due = F.col("__sent") & F.col("alert_type").eqNullSafe(F.col("__kind")) & (F.col("__place") == 1)
+    action = F.when(~notifying, "LOGGED_ONLY").when(due, "EMAIL_SENT").otherwise("EMAIL_THROTTLED")
+    return joined.withColumn("__place", place).withColumn("action", action).drop("__key", "__at", "__kind", "__sent", "__place")

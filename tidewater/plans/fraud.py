@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tidewater.operators import windows
+from tidewater.operators import slices, windows
 
 
 def velocity(rows: DataFrame, size: str = "1 MINUTE", above: int = 5, time: str = "event_time") -> DataFrame:
@@ -19,16 +19,18 @@ def failure_storm(rows: DataFrame, minutes: int = 5, least: int = 15) -> DataFra
     """An alert on every failed transaction that is at least the ``least``-th of its account in the trailing minutes.
 
     The range frame also holds later rows of the same millisecond; their number is taken off. ``recent_failures``
-    are the last ``least`` ones, in order of time and id.
+    are the last ``least`` ones, in order of time and id. An account is cut into slices of time, each with the trailing minutes before
+    it, so the rows of one account are many groups.
     """
     failed = rows.where("status = 'failed'").select("account_id", "ts_ms", F.col("transaction_id").alias("tx_id"), "amount")
-    order = W.partitionBy("account_id").orderBy("ts_ms")
-    trailing = order.rangeBetween(-minutes * 60_000, 0)
-    peers = W.partitionBy("account_id", "ts_ms")
+    group = ["account_id", "__slice"]
+    trailing = W.partitionBy(*group).orderBy("ts_ms").rangeBetween(-minutes * 60_000, 0)
+    peers = W.partitionBy(*group, "ts_ms")
     later = F.count("*").over(peers) - F.row_number().over(peers.orderBy("tx_id"))
-    last = W.partitionBy("account_id").orderBy("ts_ms", "tx_id").rowsBetween(1 - least, 0)  # at least so many are in the span, so these are
-    counted = failed.where("account_id is not null and ts_ms is not null").withColumn("failures", F.count("*").over(trailing) - later)
-    recent = counted.withColumn("recent_failures", F.collect_list(F.struct("ts_ms", "tx_id", "amount")).over(last)).where(F.col("failures") >= least)
+    last = W.partitionBy(*group).orderBy("ts_ms", "tx_id").rowsBetween(1 - least, 0)  # at least so many are in the span, so these are
+    cut = slices.with_tails(failed.where("account_id is not null and ts_ms is not null"), "ts_ms", minutes * 60_000)
+    counted = cut.withColumn("failures", F.count("*").over(trailing) - later)
+    recent = counted.withColumn("recent_failures", F.collect_list(F.struct("ts_ms", "tx_id", "amount")).over(last)).where((F.col("failures") >= least) & ~F.col("__tail"))
     return recent.select(
         F.lit("FAILED_STORM").alias("alert_type"), F.lit("HIGH").alias("severity"), "account_id", F.col("failures").alias("failure_count_window"), F.lit(least).cast("long").alias("threshold"), F.lit(minutes).cast("long").alias("window_minutes"), F.col("ts_ms").alias("detected_at_ms"), "recent_failures"
     )

@@ -1,7 +1,7 @@
 """Windowed metrics from a declared spec.
 
 A spec is a dict: ``name``, ``filter`` (SQL text), ``window`` (``type`` tumble or cumulate, ``time_col``, ``size``,
-``step``), ``dimensions`` and ``aggregations`` (``as`` and ``expr``), and ``rank`` (``as``, ``order_by``, ``keep``, and ``partition_by``, the window if it is left out). Columns come out
+``step``), ``dimensions`` and ``aggregations`` (``as`` and ``expr``), and ``rank`` (``as``, ``order_by``, ``keep``, ``partition_by``, the window if it is left out, and ``grows``, which streams need: the order can only grow along the day). Columns come out
 as window_start, window_end, the rank, the dimensions, the aggregations.
 
 An aggregation's ``expr`` is SQL text. In cumulative windows, rows are first summed by pane and the sums run along the
@@ -42,7 +42,7 @@ KPI = {
     "aggregations": [counted("total_count"), summed("total_value"), counted_if("success_count", "status = 'completed'"), counted_if("failed_count", "status = 'failed'"), {"as": "success_rate", "expr": "cast(count_if(status = 'completed') * 100.0 / nullif(count(*), 0) as decimal(5,2))", "kind": "ratio", "of": "status = 'completed'"}, {"as": "active_users", "expr": "count(distinct account_id)", "kind": "count_distinct", "of": "account_id"}],
 }
 BREAKDOWN = {"name": "breakdown", "filter": "op = 'c'", "window": DAY, "dimensions": [{"as": "tx_type", "expr": "transaction_type"}], "aggregations": [counted("tx_count"), summed("total_value"), counted_if("success_count", "status = 'completed'"), counted_if("failed_count", "status = 'failed'")]}
-TOPN = {"name": "topn", "filter": "op = 'c'", "window": DAY, "dimensions": [{"as": "account_id", "expr": "account_id"}], "aggregations": [counted("tx_count"), summed("total_value")], "rank": {"as": "rank_num", "order_by": "total_value desc", "keep": 10}}
+TOPN = {"name": "topn", "filter": "op = 'c'", "window": DAY, "dimensions": [{"as": "account_id", "expr": "account_id"}], "aggregations": [counted("tx_count"), summed("total_value")], "rank": {"as": "rank_num", "order_by": "total_value desc", "keep": 10, "grows": True}}
 
 
 def output_columns(spec: dict) -> list[str]:
@@ -65,8 +65,8 @@ def metric(df: DataFrame, spec: dict, contract: list[str] | None = None) -> Data
     keys, win = [d["as"] for d in spec["dimensions"]], spec["window"]
     if win["type"] == "tumble":
         out = windows.tumbling(rows, win["time_col"], win["size"]).groupBy("window_start", "window_end", *keys).agg(*[settled(F.expr(a["expr"]), a.get("kind")).alias(a["as"]) for a in spec["aggregations"]])
-    elif win["type"] == "cumulate" and (grows := growing(spec, rows)) is not None:
-        return leaders(windows.panes(rows, win["time_col"], win["step"], win["size"]), keys, win, spec, grows).select(*names)
+    elif win["type"] == "cumulate" and (by := growing(spec)) is not None:
+        return first_of_windows(windows.panes(rows, win["time_col"], win["step"], win["size"]), keys, win, spec, by).select(*names)
     elif win["type"] == "cumulate":
         out = cumulative(windows.panes(rows, win["time_col"], win["step"], win["size"]), keys, win, spec["aggregations"])
     else:
@@ -74,43 +74,56 @@ def metric(df: DataFrame, spec: dict, contract: list[str] | None = None) -> Data
     return ranked(out, spec["rank"], keys).select(*names) if spec.get("rank") else out.select(*names)
 
 
+def summed_panes(rows: DataFrame, keys: list[str], aggregations: list[dict], *more: Column) -> DataFrame:
+    """The parts of each pane: counts and sums of the aggregations that have them, and ``__rows``."""
+    part = {"sum": lambda a: F.sum(F.expr(a["of"])), "count": lambda a: F.count("*"), "count_if": lambda a: F.count_if(F.expr(a["of"])), "ratio": lambda a: F.count_if(F.expr(a["of"]))}
+    return rows.groupBy("window_start", "pane_end", *keys).agg(*[part[a["kind"]](a).alias(a["as"]) for a in aggregations if a["kind"] in part], F.count("*").alias("__rows"), *more)
+
+
 def cumulative(rows: DataFrame, keys: list[str], win: dict, aggregations: list[dict]) -> DataFrame:
     if not all(a.get("kind") for a in aggregations):
         wide = windows.every_window(rows, win["step"], win["size"])
         return wide.groupBy("window_start", "window_end", *keys).agg(*[settled(F.expr(a["expr"]), a.get("kind")).alias(a["as"]) for a in aggregations])
-    parts: dict[str, Column] = {}
-    for a in aggregations:
-        if a["kind"] == "sum":
-            parts[a["as"]] = F.sum(F.expr(a["of"]))
-        elif a["kind"] in ("count_if", "ratio"):
-            parts[a["as"]] = F.count_if(F.expr(a["of"]))
-        elif a["kind"] == "count":
-            parts[a["as"]] = F.count("*")
-    parts["__rows"] = F.count("*")
-    held = rows.groupBy("window_start", "pane_end", *keys).agg(*[v.alias(k) for k, v in parts.items()])
+    held = summed_panes(rows, keys, aggregations)
     for a in (a for a in aggregations if a["kind"] == "count_distinct"):
         first = rows.where(F.expr(a["of"]).isNotNull()).groupBy("window_start", *keys, F.expr(a["of"]).alias("__v")).agg(F.min("pane_end").alias("pane_end"))
         new = first.groupBy("window_start", "pane_end", *keys).agg(F.count("*").alias(a["as"]))
         held = joined_on(held, new, ["window_start", "pane_end", *keys])
-        parts[a["as"]] = F.lit(0)
+    return along_the_day(held, keys, win, aggregations)
+
+
+def along_the_day(held: DataFrame, keys: list[str], win: dict, aggregations: list[dict]) -> DataFrame:
+    """Sums of panes as running sums at every window end from a group's first pane on."""
     spine = windows.every_window(held.groupBy("window_start", *keys).agg(F.min("pane_end").alias("pane_end")), win["step"], win["size"])
-    out = windows.running(joined_on(spine, held.withColumnRenamed("pane_end", "window_end"), ["window_start", "window_end", *keys]), keys, list(parts))
+    out = windows.running(joined_on(spine, held.withColumnRenamed("pane_end", "window_end"), ["window_start", "window_end", *keys]), keys, [*[a["as"] for a in aggregations], "__rows"])
     return settle(out, aggregations)
 
 
-def growing(spec: dict, rows: DataFrame) -> str | None:
-    """The aggregation by which a cumulative rank is ordered, largest first, if it can only grow along the day: a count, or a sum of which no part is negative."""
+def growing(spec: dict) -> str | None:
+    """The aggregation by which a cumulative rank is ordered, largest first, if it is a count or a sum, which only grows along a day without negative parts."""
     rank = spec.get("rank") or {}
     found = re.fullmatch(r"\s*(\w+)\s+desc\s*", rank.get("order_by", ""), re.I)
     by = next((a for a in spec["aggregations"] if found and a["as"] == found[1]), None)
     if by is None or rank.get("partition_by", WINDOW) != WINDOW or not all(a.get("kind") in ("count", "sum", "count_if", "ratio") for a in spec["aggregations"]):
         return None
-    if by["kind"] == "sum":
-        return None if rows.where(F.expr(by["of"]) < 0).limit(1).count() else by["as"]
     return by["as"] if by["kind"] != "ratio" else None
 
 
-def leaders(rows: DataFrame, keys: list[str], win: dict, spec: dict, by: str) -> DataFrame:
+def first_of_windows(rows: DataFrame, keys: list[str], win: dict, spec: dict, by: str) -> DataFrame:
+    """The first rows of each cumulative window. Rows are summed by pane once, which also tells the days on which a sum falls somewhere: those are ranked over all keys, the others by their leaders."""
+    of = next(a for a in spec["aggregations"] if a["as"] == by)
+    least = F.min(F.expr(of["of"])) if of["kind"] == "sum" else F.lit(0)
+    panes = summed_panes(rows, keys, spec["aggregations"], least.alias("__least"))
+    if of["kind"] != "sum":
+        return leaders(panes.drop("__least"), keys, win, spec, by)
+    falls = panes.where("__least < 0").select(F.col("window_start").alias("__day")).distinct()
+    days = F.col("window_start") == F.col("__day")
+    grow, fall = (panes.drop("__least").join(falls, days, how) for how in ("left_anti", "left_semi"))
+    every = ranked(along_the_day(fall, keys, win, spec["aggregations"]), spec["rank"], keys)
+    return leaders(grow, keys, win, spec, by).unionByName(every)
+
+
+def leaders(panes: DataFrame, keys: list[str], win: dict, spec: dict, by: str) -> DataFrame:
     """The first ``keep`` of each cumulative window, where the order can only grow.
 
     Totals change only in panes with rows. A key that is not among the first of the keys that change in its pane is behind
@@ -118,9 +131,7 @@ def leaders(rows: DataFrame, keys: list[str], win: dict, spec: dict, by: str) ->
     number of keys, and only these stand in the windows up to their next change.
     """
     rank, ends = spec["rank"], F.col("window_start") + F.expr(f"interval {windows.seconds(win['size'])} seconds")
-    parts = {a["as"]: F.sum(F.expr(a["of"])) if a["kind"] == "sum" else F.count("*") if a["kind"] == "count" else F.count_if(F.expr(a["of"])) for a in spec["aggregations"]} | {"__rows": F.count("*")}
-    panes = rows.groupBy("window_start", F.col("pane_end").alias("window_end"), *keys).agg(*[v.alias(k) for k, v in parts.items()])
-    totals = settle(windows.running(panes, keys, list(parts)), spec["aggregations"])
+    totals = settle(windows.running(panes.withColumnRenamed("pane_end", "window_end"), keys, [*[a["as"] for a in spec["aggregations"]], "__rows"]), spec["aggregations"])
     first = [F.col(by).desc_nulls_last(), *keys]
     told = totals.withColumn("__k", F.row_number().over(W.partitionBy(*WINDOW).orderBy(*first))).where(F.col("__k") <= rank["keep"]).drop("__k")
     until = F.coalesce(F.lead("window_end").over(W.partitionBy("window_start", *keys).orderBy("window_end")) - F.expr(f"interval {windows.seconds(win['step'])} seconds"), ends)

@@ -12,7 +12,7 @@ from tidewater.plans.alerts import notification_events
 from tidewater.plans.queries_batch import ENVELOPE, LETTERS, STATES, STORM, TOPN, TX, VALUE, _flat_storm, cumulated
 from tidewater.plans.registry import Registry, doubles
 from tidewater.plans.scratch import folder, run_once
-from tidewater.sources.streams import file_stream
+from tidewater.sources.streams import file_stream, snapshot_then_stream
 from tidewater.streaming import fraud as fraud_streams, metrics as metric_streams, sinks
 
 R = Registry()
@@ -49,9 +49,8 @@ def stream_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.add(f"with {TX}, w as ({TOPN}) select * from w where {CLOSED}")
 def stream_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Closed windows are ranked as they come: in append mode all groups of a window arrive in one batch."""
-    windows = metric_streams.cumulative_metric(transactions(spark, sf_dir), metrics.TOPN)
-    return doubles(run_once(windows, "topn", lambda batch: metric_streams.first_ranked(batch, metrics.TOPN)))
+    """The first ten of the day are held as state, from the first ten of the accounts that change in each pane."""
+    return doubles(run_once(metric_streams.leaders_metric(transactions(spark, sf_dir), metrics.TOPN), "topn"))
 
 
 @R.add(f"with {TX}, v as (select 'VELOCITY_FRAUD' as alert_type, 'MEDIUM' as severity, account_id, count(*) as tx_count, 2::bigint as threshold, date_trunc('hour', event_time) as s from tx group by account_id, s having count(*) > 2) select alert_type, severity, account_id, tx_count, threshold, epoch_ms(s) as window_start_ms, epoch_ms(s) + 3600000 as window_end_ms from v where s + interval 1 hour <= (select max(event_time) - interval 5 second from tx)")
@@ -64,6 +63,49 @@ def stream_failure_storm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_storm(run_once(fraud_streams.failure_storm(transactions(spark, sf_dir), 4320, 4), "storm"))
 
 
+@R.add(STORM)
+def stream_late_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third transaction comes in a second run, far behind the watermark of the first; the state of the checkpoint takes it in, and the last counts are those of batch."""
+    where, rows = folder(spark, "late"), roles.transactions(spark, sf_dir)
+    for late in (False, True):
+        rows.where((F.col("transaction_id") % 3 == 0) == late).write.mode("append").parquet(f"{where}/in")
+        alerts = fraud_streams.failure_storm(file_stream(spark, f"{where}/in", rows.schema).withWatermark("event_time", "5 seconds"), 4320, 4, late=64800)
+        out = run_once(alerts, "late", where=where)
+    return _flat_storm(fraud_streams.last_counts(out))
+
+
+@R.add(f"""with {TX}, f as (select account_id, ts_ms, transaction_id from tx where status = 'failed'), c as (select account_id, max(ts_ms) as clock from f group by 1)
+    select account_id, clock, count(*) as held from f join c using (account_id) where ts_ms >= clock - 86400000 and clock + 86400001 > (select max(ts_ms) - 5000 from f) group by all""")
+def stream_storm_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the storm detector holds after its timers: accounts that failed within the span, and of these the failures within it."""
+    where = folder(spark, "storm-state")
+    run_once(fraud_streams.failure_storm(transactions(spark, sf_dir), 1440, 4, late=0), "storm-state", where=where)
+    held = spark.read.format("statestore").option("path", f"{where}/checkpoint").option("stateVarName", "failures").load()
+    return held.select("key.account_id", "list_element.ts_ms").groupBy("account_id").agg(F.max("ts_ms").alias("clock"), F.count("*").alias("held"))
+
+
+#: A snapshot of accounts as of the start of 1996, and the changes since the middle of 1995.
+TAKEN, OVERLAP = "1996-01-01", "1995-07-01"
+
+
+@R.add(f"""with s as (select o_custkey as account_id, 'r' as op, o_totalprice::double as balance, epoch_ms(timestamp '{TAKEN}') as ts_ms from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as k from orders where o_orderdate < '{TAKEN}') where k = 1),
+    c as (select o_custkey as account_id, case when o_orderkey % 9 = 0 then 'd' else 'u' end as op, case when o_orderkey % 9 <> 0 then o_totalprice end as balance, epoch_ms(o_orderdate) + o_orderkey % 1000 * 60000 as ts_ms from orders where o_orderdate >= '{OVERLAP}'),
+    a as (select * from c union all select * from s where not exists (select 1 from c where c.account_id = s.account_id and c.ts_ms > s.ts_ms))
+    select account_id, op, balance, ts_ms from a""")
+def stream_snapshot_then_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot ahead of a change stream that starts before it was taken, in one job; snapshot rows that a newer change has overtaken are not there."""
+    where, orders = folder(spark, "overlap"), roles.table(spark, sf_dir, "orders")
+    taken = F.unix_millis(F.lit(TAKEN).cast("timestamp"))
+    held = cdc.latest(orders.where(F.col("o_orderdate") < F.lit(TAKEN).cast("timestamp_ntz")), ["o_custkey"], "o_orderdate", ["o_orderkey"])
+    held.select(F.col("o_custkey").alias("account_id"), F.col("o_totalprice").alias("balance"), taken.alias("ts_ms")).write.parquet(f"{where}/snapshot")
+    snapshot = file_stream(spark, f"{where}/snapshot", spark.read.parquet(f"{where}/snapshot").schema)
+    gone = F.col("o_orderkey") % 9 == 0
+    at = F.unix_millis(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 1000 * 60000
+    since = stream_of(spark, sf_dir, "orders").where(F.col("o_orderdate") >= F.lit(OVERLAP).cast("timestamp_ntz"))
+    changes = since.select(F.col("o_custkey").alias("account_id"), F.when(~gone, F.col("o_totalprice")).alias("balance"), at.alias("ts_ms"), F.when(gone, "d").otherwise("u").alias("op"))
+    return run_once(snapshot_then_stream(snapshot, changes, ["account_id"]), "overlap", where=where).select("account_id", "op", "balance", "ts_ms")
+
+
 def _alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("event_id") % 3 == 0, "LARGE_AMOUNT").when(F.col("event_id") % 3 == 1, "VELOCITY_FRAUD").otherwise("OTHER")
     return stream_of(spark, sf_dir, "events").select(F.col("user_id").alias("account_id"), kind.alias("alert_type"), F.when(F.col("event_id") % 2 == 0, "").otherwise("LOW").alias("severity"), F.unix_millis(F.col("ts").cast("timestamp")).alias("at_ms"), "event_id")

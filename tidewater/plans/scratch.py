@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from tidewater.streaming.state import stateful
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -20,22 +20,13 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def run_once(stream: DataFrame, name: str, each: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Run a stream over all there is, with RocksDB state and its checkpoint, append its rows to a table and read that."""
-    spark = stream.sparkSession
-    where = folder(spark, name)
-    held = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    try:
-        writer = stream.writeStream.option("checkpointLocation", f"{where}/checkpoint").trigger(availableNow=True)
-        if each is None:
-            query = writer.format("parquet").option("path", f"{where}/rows").start()
-        else:
-            query = writer.foreachBatch(lambda batch, _: each(batch).write.mode("append").parquet(f"{where}/rows")).start()
-        query.awaitTermination()
-    finally:
-        if held is None:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
-        else:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", held)
-    return spark.read.parquet(f"{where}/rows")
+def run_once(stream: DataFrame, name: str, each: Callable[[DataFrame], DataFrame] | None = None, where: str | None = None) -> DataFrame:
+    """Run a stream over all there is, append its rows to a table and read that; ``where`` holds the table and the checkpoint."""
+    where = where or folder(stream.sparkSession, name)
+    writer = stateful(stream).option("checkpointLocation", f"{where}/checkpoint").trigger(availableNow=True)
+    if each is None:
+        query = writer.format("parquet").option("path", f"{where}/rows").start()
+    else:
+        query = writer.foreachBatch(lambda batch, _: each(batch).write.mode("append").parquet(f"{where}/rows")).start()
+    query.awaitTermination()
+    return stream.sparkSession.read.parquet(f"{where}/rows")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 #: A registry's wire format puts a magic byte and a four-byte schema id before the Avro body.
 AVRO_HEADER = 5
@@ -43,9 +46,45 @@ def with_event_time(envelopes: DataFrame, delay: str | None = "5 seconds") -> Da
     return out.withWatermark("event_time", delay) if delay else out
 
 
-def snapshot_then_stream(snapshot: DataFrame, stream: DataFrame) -> DataFrame:
-    """A bounded snapshot, marked ``op = 'r'``, ahead of the change stream."""
-    return snapshot.withColumn("op", F.lit("r")).unionByName(stream, allowMissingColumns=True)
+class Overlap(StatefulProcessor):
+    """The time of a key's newest change; a snapshot row that is older than it is left out."""
+
+    def __init__(self, columns: list[str]):
+        self.columns, self.row = columns, Row(*columns)
+
+    def given(self, r: Row) -> Row:
+        return self.row(*[r[c] for c in self.columns])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "at long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        newest, snapshot = self.seen.get()[0] if self.seen.exists() else None, []
+        for r in rows:
+            if r.op == "r":
+                snapshot.append(r)
+                continue
+            newest = r.ts_ms if newest is None or (r.ts_ms is not None and r.ts_ms > newest) else newest
+            yield self.given(r)
+        yield from (self.given(r) for r in snapshot if newest is None or (r.ts_ms is not None and r.ts_ms >= newest))
+        if newest is not None:
+            self.seen.update((newest,))
+
+    def close(self) -> None:
+        pass
+
+
+def snapshot_then_stream(snapshot: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """A bounded snapshot and the change stream as one stream of changes.
+
+    Both are streams of the table's columns with ``ts_ms``: the snapshot is read as a source of its own, its rows marked ``op = 'r'`` and timed when it was taken,
+    so one job reads both and goes on with the changes when it is done. Reads overlap: the change stream starts before the
+    snapshot ends. A snapshot row that meets a newer change of its key is dropped, whichever comes first, so nothing newer is ever overwritten. A key holds one number.
+    """
+    marked = snapshot.withColumn("op", F.lit("r")).unionByName(changes, allowMissingColumns=True)
+    by = [f"__key{k}" for k in range(len(keys))]
+    keyed = marked.select(*[F.col(c).alias(n) for c, n in zip(keys, by)], *marked.columns)
+    return keyed.groupBy(*by).transformWithState(Overlap(marked.columns), marked.schema, "Append", "None")
 
 
 def app_json(messages: DataFrame, schema: T.StructType, keep_corrupt: bool = True) -> DataFrame:

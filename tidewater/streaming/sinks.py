@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewater.operators import serving
 from tidewater.plans.dlq import split_bad
+from tidewater.streaming.state import stateful
 
 
 def json_values(df: DataFrame, *keys: str) -> DataFrame:
@@ -18,7 +19,7 @@ def json_values(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def to_topic(df: DataFrame, servers: str, topic: str, checkpoint: str, sink: str = "kafka", trigger: str = "30 seconds") -> StreamingQuery:
-    return json_values(df).writeStream.format(sink).option("kafka.bootstrap.servers", servers).option("topic", topic).option("checkpointLocation", checkpoint).trigger(processingTime=trigger).start()
+    return stateful(json_values(df)).format(sink).option("kafka.bootstrap.servers", servers).option("topic", topic).option("checkpointLocation", checkpoint).trigger(processingTime=trigger).start()
 
 
 def bronze(df: DataFrame, time: str = "event_time") -> DataFrame:
@@ -28,12 +29,12 @@ def bronze(df: DataFrame, time: str = "event_time") -> DataFrame:
 
 def land(df: DataFrame, path: str, checkpoint: str, time: str = "event_time", once: bool = False) -> StreamingQuery:
     """Parquet by hour; a new file per partition at most every five minutes."""
-    writer = bronze(df, time).writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("year", "month", "day", "hour")
+    writer = stateful(bronze(df, time)).format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("year", "month", "day", "hour")
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 minutes")).start()
 
 
 def each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False, mode: str = "append") -> StreamingQuery:
-    writer = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = stateful(df).outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")).start()
 
 
