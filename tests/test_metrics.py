@@ -104,7 +104,7 @@ def test_leaders_equal_the_rank_over_all_windows(spark):
     for odd in ([], [(1_704_067_200_000, 1, "-5")]):  # with a negative amount, totals may fall
         df = spark.createDataFrame(rows + odd, "ts_ms long, account_id long, amount string").selectExpr("*", "timestamp_millis(ts_ms) as event_time", "'c' as op")
         spec = {**metrics.TOPN, "rank": {**metrics.TOPN["rank"], "keep": 3}}
-        assert (metrics.growing(spec, df) is None) == bool(odd)
+        assert metrics.growing(spec) == "total_value"
         plain = {**spec, "aggregations": [{k: v for k, v in a.items() if k != "kind"} for a in spec["aggregations"]]}
         got, want = (sorted(tuple(map(str, r)) for r in metrics.metric(df, s).select("window_start", "window_end", "rank_num", "account_id", "tx_count", metrics.F.col("total_value").cast("double")).collect()) for s in (spec, plain))
         assert got == want and got
