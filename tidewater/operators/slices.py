@@ -8,11 +8,13 @@ carries the state along, and each slice then knows what came in (``let_through``
 from __future__ import annotations
 
 import bisect
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: Length of a slice in spans or waits.
 SLICE = 16
@@ -37,19 +39,45 @@ def chain(times: np.ndarray, wait: int) -> tuple[np.ndarray, np.ndarray]:
     return after, last
 
 
+def sorted_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarray]]:
+    """((k, s, came), times) of rows in order of key, slice and time; holds the times of one slice, which are distinct and so bounded by its length."""
+    now, held = None, []
+    for batch in batches:
+        rows = list(zip(batch.column("k").to_pylist(), batch.column("s").to_pylist(), batch.column("came").to_pylist()))
+        times, at = batch.column("t").to_numpy(), 0
+        while at < len(rows):
+            end = bisect.bisect_right(rows, rows[at][:2], lo=at, key=lambda r: r[:2])
+            if rows[at] != now:
+                if held:
+                    yield now, np.concatenate(held)
+                now, held = rows[at], []
+            held.append(times[at:end])
+            at = end
+    if held:
+        yield now, np.concatenate(held)
+
+
+def in_batches(groups: Iterator, size: int = 1000) -> Iterator[list]:
+    while found := list(itertools.islice(groups, size)):
+        yield found
+
+
 def let_through(events: DataFrame, key: str, at: str, wait: int, slices: int = SLICE) -> DataFrame:
     """The events (key, at, distinct; neither null) that come ``wait`` or more after the last one of the key that was let through; the first always is."""
     long = max(wait, 1) * slices
     kind = events.schema[key].dataType.simpleString()
     cut = events.select(F.col(key).alias("k"), F.floor(F.col(at) / F.lit(long)).cast("long").alias("s"), F.col(at).cast("long").alias("t"))
 
-    def told(table: pa.Table) -> pa.Table:
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each time from which an event may go through, up to the first that nothing before the slice can hold back: the last time of the slice's chain."""
-        times = np.sort(table.column("t").to_numpy())
-        _, last = chain(times, wait)
-        reach = min(int(np.searchsorted(times, table.column("s")[0].as_py() * long - 1 + wait)), len(times) - 1) + 1
-        ends = np.append(last[: reach - 1] != last[1:reach], True)  # of equal outcomes the latest
-        return pa.table({"k": table.column("k").slice(0, 1), "s": table.column("s").slice(0, 1), "upto": pa.array([times[:reach][ends]], pa.list_(pa.int64())), "out": pa.array([last[:reach][ends]], pa.list_(pa.int64()))})
+        for found in in_batches(sorted_groups(batches)):
+            rows = []
+            for (k, s, _), times in found:
+                _, last = chain(times, wait)
+                reach = min(int(np.searchsorted(times, s * long - 1 + wait)), len(times) - 1) + 1
+                ends = np.append(last[: reach - 1] != last[1:reach], True)  # of equal outcomes the latest
+                rows.append((k, s, times[:reach][ends], last[:reach][ends]))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (key_type, pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())))], ["k", "s", "upto", "out"])
 
     def carried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, last = None, None
@@ -62,15 +90,18 @@ def let_through(events: DataFrame, key: str, at: str, wait: int, slices: int = S
                 last = out[at_] if at_ < len(out) else last
             yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("s"), pa.array(came, pa.int64())], ["k", "s", "came"])
 
-    def passed(table: pa.Table) -> pa.Table:
-        times = np.sort(table.column("t").to_numpy())
-        came, (after, _) = table.column("came")[0].as_py(), chain(times, wait)
-        chosen, k = [], 0 if came is None else int(np.searchsorted(times, came + wait))
-        while k < len(times):
-            chosen.append(times[k])
-            k = int(after[k])
-        return pa.table({"k": pa.array([table.column("k")[0].as_py()] * len(chosen), table.schema.field("k").type), "t": pa.array(chosen, pa.int64())})
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in in_batches(sorted_groups(batches)):
+            keys, chosen = [], []
+            for (k, _, came), times in found:
+                (after, _), at_ = chain(times, wait), 0 if came is None else int(np.searchsorted(times, came + wait))
+                while at_ < len(times):
+                    keys.append(k)
+                    chosen.append(times[at_])
+                    at_ = int(after[at_])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), pa.array(chosen, pa.int64())], ["k", "t"])
 
-    pieces = cut.groupBy("k", "s").applyInArrow(told, f"k {kind}, s long, upto array<long>, out array<long>")
+    key_type = to_arrow_type(events.schema[key].dataType)
+    pieces = cut.withColumn("came", F.lit(None).cast("long")).repartition("k", "s").sortWithinPartitions("k", "s", "t").mapInArrow(told, f"k {kind}, s long, upto array<long>, out array<long>")
     states = pieces.repartition("k").sortWithinPartitions("k", "s").mapInArrow(carried, f"k {kind}, s long, came long")
-    return cut.join(states, ["k", "s"]).groupBy("k", "s").applyInArrow(passed, f"k {kind}, t long").select(F.col("k").alias(key), F.col("t").alias(at))
+    return cut.join(states, ["k", "s"]).repartition("k", "s").sortWithinPartitions("k", "s", "t").mapInArrow(passed, f"k {kind}, t long").select(F.col("k").alias(key), F.col("t").alias(at))

@@ -13,7 +13,9 @@ count runs too: a value counts from the pane of the day in which it is first see
 from __future__ import annotations
 
 import re
+from datetime import datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewater.functions.scalars import MONEY
@@ -128,15 +130,39 @@ def leaders(panes: DataFrame, keys: list[str], win: dict, spec: dict, by: str) -
 
     Totals change only in panes with rows. A key that is not among the first of the keys that change in its pane is behind
     as many keys whose totals never fall, so it can't lead before it changes again. So the candidates are the first of each pane, whatever the
-    number of keys, and only these stand in the windows up to their next change.
+    number of keys; a day's candidates, ``keep`` a pane, are merged in one group.
     """
-    rank, ends = spec["rank"], F.col("window_start") + F.expr(f"interval {windows.seconds(win['size'])} seconds")
+    rank = spec["rank"]
     totals = settle(windows.running(panes.withColumnRenamed("pane_end", "window_end"), keys, [*[a["as"] for a in spec["aggregations"]], "__rows"]), spec["aggregations"])
     first = [F.col(by).desc_nulls_last(), *keys]
     told = totals.withColumn("__k", F.row_number().over(W.partitionBy(*WINDOW).orderBy(*first))).where(F.col("__k") <= rank["keep"]).drop("__k")
-    until = F.coalesce(F.lead("window_end").over(W.partitionBy("window_start", *keys).orderBy("window_end")) - F.expr(f"interval {windows.seconds(win['step'])} seconds"), ends)
-    spread = told.withColumn("__until", until).withColumn("__end", F.explode(F.sequence("window_end", "__until", F.expr(f"interval {windows.seconds(win['step'])} seconds")))).drop("window_end", "__until").withColumnRenamed("__end", "window_end")
-    return ranked(spread, rank, keys)
+    own = [c for c in told.columns if c not in WINDOW]
+    order, step, size = in_order(own.index(by), [own.index(k) for k in keys]), *(timedelta(seconds=windows.seconds(win[n])) for n in ("step", "size"))
+    n_keys, keep = [own.index(k) for k in keys], rank["keep"]
+
+    def run(table: pa.Table) -> pa.Table:
+        """The day's first rows at each window's end, from the first rows of each pane: at most ``keep`` a window in and out."""
+        panes: dict[datetime, list[tuple]] = {}
+        for end, *row in zip(*(table.column(c).to_pylist() for c in ("window_end", *own))):
+            panes.setdefault(end, []).append(tuple(row))
+        start, end, held, out = table.column("window_start")[0].as_py(), min(panes), {}, []
+        while end <= start + size:
+            if end in panes:
+                held |= {tuple(r[k] for k in n_keys): r for r in panes[end]}
+                held = {tuple(r[k] for k in n_keys): r for r in sorted(held.values(), key=order)[:keep]}
+            out += [(start, end, place, *r) for place, r in enumerate(held.values(), 1)]
+            end += step
+        types = [table.schema.field(c).type for c in WINDOW] + [pa.int64()] + [table.schema.field(c).type for c in own]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names=[*WINDOW, rank["as"], *own])
+
+    kinds = {f.name: f.dataType.simpleString() for f in told.schema.fields}
+    given = ", ".join([*(f"{c} {kinds[c]}" for c in WINDOW), f"{rank['as']} long", *(f"{c} {kinds[c]}" for c in own)])
+    return told.groupBy("window_start").applyInArrow(run, given)
+
+
+def in_order(by: int, keys: list[int]):
+    """Sort key of rows: by one column, largest first and nulls last, then by the keys, nulls first."""
+    return lambda r: (r[by] is None, -(r[by] or 0), *[(r[k] is not None, r[k] if r[k] is not None else 0) for k in keys])
 
 
 def settle(out: DataFrame, aggregations: list[dict]) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidewater.functions.scalars import MONEY
 from tidewater.operators.distinct import WHOLE, place
 from tidewater.operators.windows import floor_to, seconds
-from tidewater.plans.metrics import output_columns, ranked
+from tidewater.plans.metrics import in_order, output_columns, ranked
 
 #: Buckets of a set of values that are not whole numbers, and of the keys of a rank.
 SET_BUCKETS, KEY_BUCKETS = 64, 16
@@ -176,11 +176,6 @@ def first_ranked(batch: DataFrame, spec: dict) -> DataFrame:
     return ranked(batch, spec["rank"], [d["as"] for d in spec["dimensions"]]).select(*output_columns(spec))
 
 
-def in_order(by: int, keys: list[int]):
-    """Sort key of rows: by the part, largest first and nulls last, then by the keys, nulls first."""
-    return lambda r: (r[by] is None, -(r[by] or 0), *[(r[k] is not None, r[k] if r[k] is not None else 0) for k in keys])
-
-
 class BucketLeaders(StatefulProcessor):
     """Totals of the keys of one bucket of a day; gives the first of those that change in a pane."""
 
