@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column as C, DataFrame, functions as F
+from pyspark.sql import Column as C, DataFrame, Observation, functions as F
 
 from tidewater.schema import Column, spark_type, wire_type
 
@@ -75,6 +76,30 @@ def gate(results: DataFrame) -> int:
     return len(found)
 
 
+def write_checked(df: DataFrame, table: str, rules: list[Rule], path: str, folder: str) -> DataFrame:
+    """Write a batch to ``path/folder`` only if it keeps the rules; (case_name, violations), and ``published`` tells what became of it.
+
+    The rules of rows are counted by the writing job itself, so the source is read once; ``unique`` is counted from the key column of what was
+    written. The batch is staged under a name that readers skip, and is renamed or removed when the counts are known.
+    A batch that is written again replaces its folder.
+    """
+    spark, rows = df.sparkSession, [r for r in rules if r.kind != "unique"]
+    staged, seen = f"{path}/_staged-{uuid.uuid4().hex}", Observation()
+    watched = df.observe(seen, *[F.count_if(broken(r)).alias(r.case(table)) for r in rows]) if rows else df
+    watched.write.parquet(staged)
+    found = {r.case(table): seen.get[r.case(table)] for r in rows}
+    if keys := [r for r in rules if r.kind == "unique"]:
+        found |= {r.case_name: r.violations for r in check_table(spark.read.schema(df.schema).parquet(staged), table, keys).collect()}  # one row a rule
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs, good = Path(path).getFileSystem(spark._jsc.hadoopConfiguration()), not any(found.values())
+    if good:
+        fs.delete(Path(f"{path}/{folder}"), True)
+        fs.rename(Path(staged), Path(f"{path}/{folder}"))
+    else:
+        fs.delete(Path(staged), True)
+    return spark.createDataFrame([(c, v, good) for c, v in found.items()], "case_name string, violations long, published boolean")
+
+
 def result_series(results: DataFrame, now: C | None = None) -> DataFrame:
     """(ts, case_name, status, message) to append to the series of results."""
     ok = F.col("violations") == 0

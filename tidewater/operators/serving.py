@@ -20,7 +20,23 @@ def last_version(df: DataFrame, keys: list[str], version: str = "inserted_at") -
 
 
 def within_retention(df: DataFrame, time_col: str, days: int, now: Column | None = None) -> DataFrame:
-    return df.where(F.col(time_col) + F.expr(f"interval {days} days") > (F.current_timestamp() if now is None else now))
+    """Rows younger than ``days``. The bound is one constant, so it reaches the scan; of a table in day folders, only those it leaves are read."""
+    least = (F.current_timestamp() if now is None else now) - F.expr(f"interval {days} days")
+    kept = df.where(F.col(time_col) > least)
+    return kept.where(F.col("__day") >= day_key(least).cast(df.schema["__day"].dataType)) if "__day" in df.columns else kept
+
+
+def drop_expired(spark: SparkSession, path: str, days: int, now: str | None = None) -> list[str]:
+    """Remove the day folders of a served table that hold only rows older than ``days``; gives their names. ``now`` is a time as text."""
+    at = F.lit(now).cast("timestamp") if now else F.current_timestamp()
+    least = spark.range(1).select(day_key(at - F.expr(f"interval {days} days")).cast("string")).first()[0]
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(Path(path))]
+    gone = sorted(n for n in names if n.startswith("__day=") and n.removeprefix("__day=") < least)
+    for name in gone:
+        fs.delete(Path(f"{path}/{name}"), True)
+    return gone
 
 
 def append_served(df: DataFrame, path: str, time_col: str, now: Column | None = None) -> None:

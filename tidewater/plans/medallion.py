@@ -7,6 +7,7 @@ from pyspark.sql import Column as C, DataFrame, SparkSession, functions as F
 from tidewater.functions.scalars import MONEY
 from tidewater.operators.cdc import latest
 from tidewater.schema import Column, conform
+from tidewater.sources.tables import create_or_replace
 
 SILVER = [
     Column("transaction_id", "long"), Column("transaction_type", "string"), Column("amount", "string"), Column("currency", "string"), Column("status", "string"), Column("posted_at", "timestamp"),
@@ -86,3 +87,11 @@ def run_all(spark: SparkSession, bronze: str, lake: str) -> None:
     write_table(daily_summary(silver), f"{lake}/gold/daily_transaction_summary", partition_by=days)
     write_table(lifetime_metrics(silver), f"{lake}/gold/customer_lifetime_metrics")
     write_table(high_risk(silver), f"{lake}/gold/high_risk_transactions", partition_by=days)
+
+
+def run_tables(bronze: dict[str, DataFrame], namespaces: dict[str, str], kind: str = "parquet", location: str | None = None) -> dict[str, DataFrame]:
+    """The chain as tables of a catalog, created or replaced, with the table format as a parameter: ``namespaces`` says where silver and gold are. Each step reads the table before it."""
+    put = lambda df, layer, name: create_or_replace(df, f"{namespaces[layer]}.{name}", kind, f"{location}/{layer}" if location else None)
+    silver = put(silver_enriched(bronze["transactions"], bronze["accounts"], bronze["customers"]), "silver", "enriched_transactions")
+    gold = {"daily_transaction_summary": daily_summary, "customer_lifetime_metrics": lifetime_metrics, "high_risk_transactions": high_risk}
+    return {"enriched_transactions": silver} | {name: put(make(silver), "gold", name) for name, make in gold.items()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewater.operators import serving
+from tidewater.operators import quality, serving
 from tidewater.plans.dlq import split_bad
 from tidewater.streaming.state import stateful
 
@@ -86,6 +86,11 @@ def quarantined(casts: dict[str, str], good_path: str, bad_path: str, connector:
     return write
 
 
+def checked(path: str, results: str, table: str, rules: list[quality.Rule]) -> Callable[[DataFrame, int], None]:
+    """Publish each batch that keeps the rules as a folder of its own, and write what was found of every batch; a bad batch is held back and the stream goes on."""
+    return lambda batch, number: append_batches(results)(quality.write_checked(batch, table, rules, path, f"batch={number}"), number)
+
+
 def fan_out(writes: list[Callable[[DataFrame, int], None]]) -> Callable[[DataFrame, int], None]:
     """Several sinks of one read."""
 
