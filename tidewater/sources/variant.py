@@ -13,7 +13,7 @@ def schemaless(messages: DataFrame, column: str = "value") -> DataFrame:
 
 
 def fields(rows: DataFrame, variant: str = "v") -> DataFrame:
-    """One row per field of the outer object: ``key``, ``type`` as it stands in that message, and its ``value``, in place of columns of those names. Messages without fields keep a row."""
+    """One row per field of the outer object: ``key``, ``type`` as it stands in that message, and its ``value``, in place of columns of those names. Elements of an array have no key; messages without fields keep a row."""
     found = rows.alias("m").lateralJoin(rows.sparkSession.tvf.variant_explode_outer(F.col(f"m.{variant}").outer()).alias("f"))
     kept = [F.col(f"m.{c}") for c in rows.columns if c not in ("key", "type", "value")]
     return found.select(*kept, "f.key", F.schema_of_variant("f.value").alias("type"), "f.value")
