@@ -112,17 +112,16 @@ def test_counts_equal_the_library_on_every_prefix(counter):
         want = of_library(counter, text)
         assert counter.counts(text).tolist() == want, text
         for limit in range(max(want, default=0)):
-            assert counter.within(text, limit, *counter.at_ends(text)) == max([0, *[e + 1 for e, n in enumerate(want) if n <= limit]]), (text, limit)
+            assert token_counts.fitting(counter.counts(text), limit) == max([0, *[e + 1 for e, n in enumerate(want) if n <= limit]]), (text, limit)
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_counts_equal_the_library(counter, text):
     want = of_library(counter, text)
-    units, tokens = counter.at_ends(text)
-    assert counter.counts(text).tolist() == want and (tokens[-1] if units else 0) == (want or [0])[-1]
+    assert counter.counts(text).tolist() == want
     for limit in range(len(text)):
-        assert counter.within(text, limit, units, tokens) == max([0, *[e + 1 for e, n in enumerate(want) if n <= limit]])
+        assert token_counts.fitting(counter.counts(text), limit) == max([0, *[e + 1 for e, n in enumerate(want) if n <= limit]])
 
 
 def test_longest_prefix_within_a_limit(spark):
@@ -135,13 +134,33 @@ def test_longest_prefix_within_a_limit(spark):
         assert {r.doc_id: r.fit_chars for r in token_counts.token_counts(df, queries.vocabulary(), limit).collect()} == want
 
 
+def test_what_is_held_is_bounded(counter):
+    """With room for a few entries only, the counts are the same."""
+    small = token_counts.PrefixCounter(queries.vocabulary(), units=3, words=3, pairs=5)
+    rng = random.Random(9)
+    for _ in range(40):
+        text = " ".join("".join(rng.choice("abcdetion'é.,1") for _ in range(rng.randrange(1, 14))) for _ in range(12))
+        assert small.counts(text).tolist() == counter.counts(text).tolist() == of_library(counter, text)
+    for memo in (small.units, small.words, small.stands):
+        assert len(memo.young) + len(memo.old) <= 10
+
+
+def test_very_long_texts_and_clashing_columns(spark):
+    """A run of a megabyte without white space, words of every kind, and columns of the results' names."""
+    texts = ["ab1é" * 60_000, "word, " * 100_000, " " * 5000 + "x"]
+    df = spark.createDataFrame([(i, t, 7, "clash", b"x") for i, t in enumerate(texts)], "doc_id long, text string, n_tokens int, __id string, steps binary")
+    vocabulary = token_counts.PrefixCounter(queries.vocabulary())
+    want = {i: len(vocabulary.tokenizer.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(df, queries.vocabulary()).collect()} == want
+
+
 def test_token_table(spark):
     df = spark.createDataFrame([(1, None, "s", "x"), (2, "", "s", "x"), (3, "word " * 600, "s", "x"), (3, "word " * 600, "s", "x"), (None, "hi", "s", "x")], DOCS)
     got = sorted((r.doc_id or 0, r.n_bytes, r.n_tokens, r.over_limit, r.fit_chars) for r in token_counts.token_counts(df, queries.vocabulary()).collect())
     assert got[:3] == [(0, 2, 1, False, 2), (1, 0, 0, False, 0), (2, 0, 0, False, 0)]
     assert got[3] == got[4] == (3, 3000, 601, True, 512 * 5 - 1)
-    prefixes = token_counts.prefix_counts(df, queries.vocabulary()).withColumn("cut", token_counts.budget_cut("tokens", 512))
-    assert {r.doc_id: r.cut for r in prefixes.collect()} == {1: 0, 2: 0, 3: 512 * 5 - 1, None: 2}
+    stored = token_counts.prefix_table(df, queries.vocabulary())  # once counted, any number of budgets is asked of the table
+    assert {r.doc_id: r.fit_chars for r in token_counts.asked(stored, [512, 1, 0]).collect()} == {1: [0, 0, 0], 2: [0, 0, 0], 3: [512 * 5 - 1, 5 - 1, 0], None: [2, 2, 0]}
     assert token_counts.token_counts(df.limit(0), queries.vocabulary()).count() == 0
 
 

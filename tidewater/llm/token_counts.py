@@ -1,43 +1,69 @@
-"""Exact token counts of every prefix of a text, by dynamic programming over code points.
+"""Exact token counts of every prefix of a text, by dynamic programming over code points, stored and asked.
 
 The byte-level vocabulary never merges across the words that its pre-tokenizer cuts, so a prefix that ends in a word has the tokens
 up to the word and those of the word's own prefix. Within a word, ``tokens(prefix) = tokens(prefix without its last token) + 1``, where the last token is
 the one token at its end that the merges leave beside the last token of what stands before. A text is cut into units, white space and the
-run after it; a prefix that ends in white space belongs to the same unit, so the counts of equal units are equal wherever they stand and are held.
-``prefix_counts`` stores the count of every prefix. ``token_counts`` keeps those at the ends of units and goes through the prefixes of the one unit where the limit is passed.
+run after it; a prefix that ends in white space belongs to the same unit, so the counts of equal units are equal wherever they stand.
+
+``prefix_table`` stores each text's counts as the steps from one prefix to the next, two bytes a code point, which compress well; all else is asked of that
+table: the whole count, whether a budget is passed, and where a text is to be cut, for any number of budgets, without the vocabulary.
+What is held of units, word prefixes and pairs of tokens is bounded by numbers of short entries, some 250 MB a worker.
 
 Null text counts as empty: no tokens and no prefixes. Empty tables give empty results. Rows are counted one by one,
-so repeated ids or rows each give a row. Other input columns are left alone and not read.
+so repeated ids or rows each give a row. Other input columns are left alone and not read. Texts of megabytes are counted in the same way; long runs are not held.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import accumulate
+from operator import sub
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import slices
+from tidewater.llm.common import slices, written
 
 #: Unicode white space as the vocabulary's own pre-tokenizer takes it.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: White space and the run without it that follows. The pre-tokenizer cuts these further, but never joins two of them.
 UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 LEAD = re.compile(f"[{SPACE}]*")
-#: Code points of all units whose counts are held; some 200 MB with their entries.
-HELD = 8_000_000
-#: Pairs of tokens known to stand or not to stand side by side.
-PAIRS = 500_000
+#: A step is at most as large as the longest token, so far under this.
+STEP = np.int16
+#: Entries of each generation of what is held, and code points of the longest unit or word that is.
+UNITS, WORDS, PAIRS, LONGEST = 250_000, 30_000, 200_000, 40
+#: Letters behind at most one space, and then signs that are no letters, digits or apostrophes: the byte-level pre-tokenizer's own expression cuts these in two.
+PLAIN = re.compile(r"( ?[A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+class Memo:
+    """A bounded map in two generations: what was asked since the last change of generation stays, the rest goes."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
 
 
 class PrefixCounter:
-    """Counts tokens of all prefixes with a byte-level vocabulary of the tokenizers library; keeps the counts of units, up to a bound of their code points."""
+    """Counts tokens of all prefixes with a byte-level vocabulary of the tokenizers library."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, units: int = UNITS, words: int = WORDS, pairs: int = PAIRS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
@@ -48,156 +74,150 @@ class PrefixCounter:
             endings[t[-3:]].add(len(t))
         #: by the last three bytes, the lengths that tokens with this end have, longest first
         self.lengths = {e: sorted(n | {1, 2}, reverse=True) for e, n in endings.items()}
-        self.memo: dict[str, int] = {}
-        self.words: dict[str, list[int]] = {}
-        self.held = self.held_words = 0
-        self.stands: dict[tuple[str, str], bool] = {}
+        self.units, self.words, self.stands = Memo(units), Memo(words), Memo(pairs)
+        kind = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
+        self.plain = PLAIN if kind.get("type") == "ByteLevel" and kind.get("use_regex") and not kind.get("add_prefix_space") else None
 
     def beside(self, last: str, token: str) -> bool:
         """Whether the merges keep ``last`` and ``token`` apart and whole; ``last`` is empty at a word's start."""
         pair = (last, token)
-        if pair not in self.stands:
-            if len(self.stands) > PAIRS:
-                self.stands.clear()
-            self.stands[pair] = [t.value for t in self.tokenizer.model.tokenize(last + token)] == [t for t in pair if t]
-        return self.stands[pair]
-
-    def word(self, mapped: str) -> list[int]:
-        """Tokens of each prefix of one word of the pre-tokenizer, which is written with a character for each byte."""
-        if mapped in self.words:
-            return self.words[mapped]
-        tokens, stands, lengths = self.tokens, self.stands, self.lengths
-        last, counts = [""], [0]
-        for end in range(1, len(mapped) + 1):
-            for n in lengths.get(mapped[end - 3 : end], (2, 1)) if end > 2 else range(end, 0, -1):
-                if n > end or (token := mapped[end - n : end]) not in tokens:
-                    continue
-                fits = stands.get((last[end - n], token))
-                if self.beside(last[end - n], token) if fits is None else fits:
-                    last.append(token)
-                    counts.append(counts[end - n] + 1)
-                    break
-        if self.held_words > HELD:
-            self.words.clear()
-            self.held_words = 0
-        self.words[mapped] = counts[1:]
-        self.held_words += len(mapped)
-        return counts[1:]
+        if (found := self.stands.get(pair)) is None:
+            found = [t.value for t in self.tokenizer.model.tokenize(last + token)] == [t for t in pair if t]
+            self.stands.put(pair, found)
+        return found
 
-    def unit(self, text: str) -> bytes:
-        """Tokens up to each code point of a unit, as int32."""
-        words = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+    def word(self, mapped: str) -> tuple[list[str], list[int]]:
+        """Last token and number of tokens of each prefix of one word of the pre-tokenizer, from the empty one on; the word is written with a character for each byte.
+
+        What is known of the longest beginning that is held is taken over, so words that begin alike share it.
+        """
+        held = self.words
+        if (found := held.get(mapped)) is not None:
+            return found
+        tokens, lengths, stands = self.tokens, self.lengths, self.stands.young
+        start = min(len(mapped), LONGEST) - 1
+        while start > 2 and (found := held.get(mapped[:start])) is None:
+            start -= 1
+        last, counts = (found[0][:], found[1][:]) if start > 2 and found else ([""], [0])
+        for end in range(len(counts), len(mapped) + 1):
+            for n in lengths.get(mapped[end - 3 : end], (2, 1)) if end > 2 else range(end, 0, -1):
+                if n <= end and (token := mapped[end - n : end]) in tokens:
+                    before = last[end - n]
+                    fits = stands.get((before, token))
+                    if self.beside(before, token) if fits is None else fits:
+                        last.append(token)
+                        counts.append(counts[end - n] + 1)
+                        break
+        if len(mapped) <= LONGEST:
+            held.put(mapped, (last, counts))
+        return last, counts
+
+    def split(self, text: str) -> list[tuple[str, tuple[int, int]]]:
+        """The pre-tokenizer's words of a unit with their places; letters behind at most one space are one word, which needs no call."""
+        if self.plain and (found := self.plain.fullmatch(text)):
+            at = found.end(1)
+            return [(text[:at].replace(" ", "\u0120"), (0, at)), (text[at:], (at, len(text)))] if at < len(text) else [(text.replace(" ", "\u0120"), (0, at))]
+        return self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+
+    def unit_counts(self, text: str) -> list[int]:
+        """Tokens up to each code point of a unit."""
+        words = self.split(text)
         out, before = [], 0
         for mapped, (start, end) in words:
-            counts = self.word(mapped)
+            counts = self.word(mapped)[1]
             if len(mapped) == end - start:
-                out += [before + n for n in counts]
+                out += [before + n for n in counts[1:]] if before else counts[1:]
             else:
-                out += [before + counts[b - 1] for b in accumulate(len(c.encode()) for c in text[start:end])]
+                out += [before + counts[b] for b in accumulate(len(c.encode()) for c in text[start:end])]
             before += counts[-1]
         # the last white space before a run is a word of its own or the run's, but ends the prefix as part of all white space before
         space = LEAD.match(text).end() if len(words) > 1 else 0
         if 1 < space < len(text):
-            out[space - 1] = np.frombuffer(self.unit(text[:space]), np.int32)[-1]
-        return np.array(out, np.int32).tobytes()
+            out[space - 1] = self.unit_counts(text[:space])[-1]
+        return out
+
+    def unit(self, text: str) -> bytes:
+        """The steps of a unit's counts."""
+        if (found := self.units.get(text)) is None:
+            counts = self.unit_counts(text)
+            found = array("h", map(sub, counts, [0, *counts])).tobytes()
+            if len(text) <= LONGEST:
+                self.units.put(text, found)
+        return found
 
     def parts(self, text: str) -> list[str]:
         """The text cut at special strings, which stand at the odd places."""
         return re.split("(" + "|".join(map(re.escape, self.specials)) + ")", text) if any(s in text for s in self.specials) else [text]
 
-    def totals(self, units: list[str]) -> list[int]:
-        """Tokens of whole units; the library counts those that are not held."""
-        memo = self.memo
-        try:
-            return list(map(memo.__getitem__, units))
-        except KeyError:
-            if self.held > HELD:
-                memo.clear()
-                self.held = 0
-            new = list(set(units).difference(memo))
-            memo.update(zip(new, (len(e.ids) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-            self.held += sum(map(len, new))
-            return list(map(memo.__getitem__, units))
-
-    def at_ends(self, text: str) -> tuple[list[str], np.ndarray]:
-        """The units of a text, special strings among them, and the tokens up to the end of each."""
+    def steps(self, text: str) -> bytes:
+        """How many tokens more each prefix of the text has than the one before. A special string is one token where it is whole, as the library takes it by default, else plain text."""
         parts = self.parts(text)
-        units = UNIT.findall(text) if len(parts) == 1 else [u for k, part in enumerate(parts) for u in ([part] if k % 2 else UNIT.findall(part))]
-        return units, np.cumsum(np.array(self.totals(units), np.int64))
+        if len(parts) == 1:
+            units = UNIT.findall(text)
+            found = list(map(self.units.young.get, units))
+            return b"".join([self.unit(u) if f is None else f for u, f in zip(units, found)])
+        out, before, last, start = [], 0, "", 0
+        for k, part in enumerate(parts):
+            if k % 2:  # all but its end is plain text that lengthens the unit before it
+                own = [start + n for n in self.unit_counts(last + part[:-1])[len(last) :]]
+                out += [*own, before + 1]
+                before, last, start = before + 1, "", before + 1
+            else:
+                for unit in UNIT.findall(part):
+                    own = self.unit_counts(unit)
+                    out += [before + n for n in own]
+                    last, start, before = unit, before, before + own[-1]
+        return np.diff(np.array(out, np.int64), prepend=0).astype(STEP).tobytes()
 
-    def within(self, text: str, limit: int, units: list[str], tokens: np.ndarray) -> int:
-        """Code points of the longest prefix of at most ``limit`` tokens, from ``at_ends``: it ends in the first unit that passes the limit.
+    def counts(self, text: str) -> np.ndarray:
+        """Tokens of ``text[:k]`` for each k from 1 on."""
+        return counts_of(self.steps(text))
 
-        Prefixes of later units have more tokens than that unit's end. Where a special string is near, the prefixes of the text up to it are counted.
-        """
-        k = int(np.searchsorted(tokens, limit, side="right"))
-        if k == len(units):
-            return len(text)
-        first = max(0, k - 1) if units[k] in self.specials else k
-        after = k + 2 if k + 1 < len(units) and units[k + 1] in self.specials else k + 1
-        own = self.counts("".join(units[first:after])) + (int(tokens[first - 1]) if first else 0)
-        fits = np.flatnonzero(own <= limit)
-        return sum(map(len, units[:first])) + (int(fits[-1]) + 1 if len(fits) else 0)
 
-    def counts(self, text: str) -> np.ndarray:
-        """Tokens of ``text[:k]`` for each k from 1 on. A special string is one token where it is whole, as the library takes it by default, else plain text."""
-        out, before, last, start = [np.zeros(0, np.int32)], 0, "", 0
-        for k, part in enumerate(self.parts(text)):
-            if k % 2:  # all but its end is plain text that lengthens the unit before it
-                own = np.frombuffer(self.unit(last + part[:-1]), np.int32)[len(last) :] + start
-                out.append(np.append(own, before + 1).astype(np.int32))
-                before, last, start = before + 1, "", before + 1
-            elif part:
-                units = UNIT.findall(part)
-                found = list(map(self.unit, units))
-                sizes = np.fromiter(map(len, units), np.int64, len(units))
-                own = np.frombuffer(b"".join(found), np.int32)
-                ups = np.cumsum(own[np.cumsum(sizes) - 1])
-                out.append((own + np.repeat(np.concatenate([[0], ups[:-1]]), sizes) + before).astype(np.int32))
-                last, start = units[-1], before + (int(ups[-2]) if len(ups) > 1 else 0)
-                before += int(ups[-1])
-        return np.concatenate(out) if len(out) != 2 else out[1]
+def counts_of(steps: bytes) -> np.ndarray:
+    """The counts of all prefixes from their steps."""
+    return np.cumsum(np.frombuffer(steps, STEP), dtype=np.int32)
+
 
+def fitting(counts: np.ndarray, budget: int) -> int:
+    """Code points of the longest prefix of at most ``budget`` tokens; a longer prefix may have fewer tokens."""
+    fits = np.flatnonzero(counts <= budget)
+    return int(fits[-1]) + 1 if len(fits) else 0
 
-def prefix_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id and ``tokens array<int>``, whose k-th entry is the tokens of the first k code points."""
+
+def prefix_table(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: the id, ``n_bytes`` of the text in UTF-8, and ``steps``, whose k-th entry is what the prefix of k code points has more than that of k - 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PrefixCounter(vocabulary)
         for batch in slices(batches, 64):
-            found = [counter.counts(t or "") for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["__id", "tokens"])
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            found = [counter.steps(t) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(found, pa.binary())], ["__id", "n_bytes", "steps"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, f"__id {kind}, tokens array<int>")
+    out = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, f"__id {kind}, n_bytes long, steps binary")
     return out.withColumnRenamed("__id", id_col)
 
 
-def budget_cut(tokens: str, budget: int):
-    """Column: code points of the longest prefix of at most ``budget`` tokens, from the stored counts."""
-    return F.coalesce(F.array_max(F.transform(tokens, lambda n, k: F.when(n <= budget, k + 1))), F.lit(0))
-
+def asked(stored: DataFrame, budgets: list[int], id_col: str = "doc_id") -> DataFrame:
+    """Per row of a prefix table: the id, ``n_bytes``, ``n_tokens`` and ``fit_chars array<long>``, for each budget the code points of the longest prefix within it."""
 
-def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, ``n_bytes``, ``n_tokens``, ``over_limit`` and ``fit_chars``, the code points of the longest prefix within the limit.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            n_tokens, fit = [], []
+            for steps in batch.column("steps").to_pylist():
+                counts = counts_of(steps)
+                n_tokens.append(int(counts[-1]) if len(counts) else 0)
+                fit.append([fitting(counts, b) for b in budgets])
+            yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("n_bytes"), pa.array(n_tokens, pa.int64()), pa.array(fit, pa.list_(pa.int64()))], ["__id", "n_bytes", "n_tokens", "fit_chars"])
 
-    The counts of a text are asked in the task that makes them, so that arrays as long as the corpus
-    are not written only to be read once.
-    """
+    kind = stored.schema[id_col].dataType.simpleString()
+    rows = stored.select(F.col(id_col).alias("__id"), "n_bytes", "steps")
+    return rows.mapInArrow(run, f"__id {kind}, n_bytes long, n_tokens long, fit_chars array<long>").withColumnRenamed("__id", id_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(vocabulary)
-        for batch in slices(batches):
-            n_tokens, fit, n_bytes = [], [], []
-            for text in batch.column(1).to_pylist():
-                text = text or ""
-                units, tokens = counter.at_ends(text)
-                n_bytes.append(len(text.encode()))
-                n_tokens.append(int(tokens[-1]) if units else 0)
-                fit.append(counter.within(text, limit, units, tokens))
-            arrays = [pa.array(x, pa.int64()) for x in (n_bytes, n_tokens, fit)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["__id", "n_bytes", "n_tokens", "fit_chars"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    out = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, f"__id {kind}, n_bytes long, n_tokens long, fit_chars long")
-    return out.select(F.col("__id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "fit_chars")
+def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, ``n_bytes``, ``n_tokens``, ``over_limit`` and ``fit_chars``, the code points of the longest prefix within the limit; the prefix table is written once and asked."""
+    found = asked(written(prefix_table(docs, vocabulary, id_col, text_col), "prefix-counts"), [limit], id_col)
+    return found.select(id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), F.col("fit_chars")[0].alias("fit_chars"))
