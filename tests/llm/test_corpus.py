@@ -253,6 +253,24 @@ def test_texts_that_fit_fill_what_a_long_one_leaves_open(spark, seed):
     assert 0 <= got[0].target - sum(r.taken for r in got) < 10 and got[0].target == pytest.approx(650)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_no_text_that_fits_is_left(spark, seed):
+    """What a source leaves open is less than each text that it leaves, and it takes its texts in order, each that fits."""
+    rng = random.Random(seed)
+    rows = [(i, "word " * rng.choice([1, 2, 3, 5, 8, 40, 90, 200]), rng.choice(["s", "t", None])) for i in range(500)]
+    got = collections.defaultdict(list)
+    for r in mixing.mix(table(spark, rows), seed=seed, share=0.7).collect():
+        got[r.source].append(r)
+    keys = {r.id: r.key for r in table(spark, rows).select(F.col("doc_id").alias("id"), mixing.sampling_key(F.col("doc_id"), F.lit(1.0), seed).alias("key")).collect()}
+    for own in got.values():
+        left = own[0].target - own[0].source_size * int(own[0].target / own[0].source_size)
+        first = {}
+        for r in sorted(own, key=lambda r: (keys[r.doc_id], r.doc_id)):
+            first[r.doc_id] = r["size"] <= left
+            left -= r["size"] * first[r.doc_id]
+        assert {r.doc_id: r.taken > r["size"] * int(r.target / r.source_size) for r in own} == first
+
+
 def test_better_documents_come_first_more_often(spark):
     rows = [(i, ("word " * 10) if i % 2 else ("w " * 10), "s") for i in range(2000)] + [(5000 + i, "word " * 10, "t") for i in range(600)]
     got = {r.doc_id: r.taken for r in mixing.mix(table(spark, rows), weights=(1, 9), share=0.5).where("source = 's'").collect()}

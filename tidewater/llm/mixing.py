@@ -6,12 +6,13 @@ That is ``least(most * size, level * weight)`` with one level for all, found fro
 
 Selection: each source first gives as many complete epochs as its target holds. The rest of the target is filled
 in the order of exponential keys ``-ln(u) / quality`` (least first), u a hash of the id, until the running sum of
-sizes would pass it; texts larger than what is left are passed over. What that text leaves open is filled in the same way by the texts
-after it that still fit, ``ROUNDS`` times in all. The running sum is taken in two steps: sums per slot of the key's range, then, only in the one
-slot where a source's budget ends, row by row. So no task holds a whole source.
+sizes would pass it; texts larger than what is left are passed over. What that text leaves open is filled by the texts
+after it, in order, each that fits into what is then left, until none does. The running sum is taken in two steps: sums per slot of the key's range, then, only in the one
+slot where a source's budget ends, row by row. So no task holds a whole source. Of the texts after it, those of one size can fill what is left only in their
+order, so the first ``left / size`` of each size are enough: fewer than left * (ln left + 1) rows a source, where left is under one text's size.
 
 Null and blank texts have size 0 and take nothing. Rows that are equal throughout are told apart by nothing, so
-which of them is taken makes no difference. Equal keys are ordered by id. Empty tables give empty results.
+which of them is taken makes no difference. Equal keys are ordered by id. Empty tables give empty results. A column ``repeats`` of the input is replaced.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from tidewater.llm.common import checkpointed
 WORD = r"[^\x20\x09-\x0D]+"
 SLOTS = 4096
 LEAST_WEIGHT = 0.25
-ROUNDS = 3
 
 
 def words(text: Column) -> Column:
@@ -76,38 +76,56 @@ def placed_rows(docs: DataFrame, weights: tuple[float, ...], share: float, most:
     """Per row: ``id``, ``mark`` (a hash of the text), ``size``, ``source``, ``source_size``, ``target`` and ``taken``."""
     size = words(F.col(text_col))
     narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"), F.col(source_col).cast("string").alias("source"), size.alias("size"), quality(F.col(text_col), size).alias("quality"))
-    rows = checkpointed(narrow.withColumn("key", sampling_key(F.col("id"), F.col("quality"), seed)).withColumn("slot", slot(F.col("key"))))
+    rows = checkpointed(narrow.withColumn("key", sampling_key(F.col("id"), F.col("quality"), seed)).withColumns({"slot": slot(F.col("key")), "n": F.monotonically_increasing_id()}))
     slots = rows.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
     targets = source_targets(slots.groupBy("source").agg(F.sum("slot_size").alias("source_size")), weights, share, most)
     targets = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
     left = checkpointed(targets.withColumn("left", F.col("rest")).withColumnRenamed("source", "plan_source"))
-    rows = rows.withColumn("more", F.lit(False))
-    for _ in range(ROUNDS):
-        rows, left = filled(rows, left)
-    placed = rows.join(left, F.col("source").eqNullSafe(F.col("plan_source")), "inner")
-    return placed.select("id", "mark", "size", "source", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("more").cast("long"))).cast("long").alias("taken"))
+    rows, left = filled(rows, left)
+    own = F.col("source").eqNullSafe(F.col("plan_source"))
+    late = still_fitting(rows.where("not more and size > 0").join(left.select("plan_source", "left"), own, "inner").where("size <= left"))
+    placed = rows.join(left, own, "inner").join(late, "n", "left")
+    return placed.select("id", "mark", "size", "source", "source_size", "target", (F.col("size") * (F.col("epochs") + (F.col("more") | F.col("late").isNotNull()).cast("long"))).cast("long").alias("taken"))
 
 
 def filled(rows: DataFrame, left: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One round: rows with ``more`` set for those that fill what is left of their source's budget, and what then is left.
+    """Rows with ``more``, set for those that fill their source's budget up to the first that would pass it, and what then is left.
 
     ``left`` has a row per source (``plan_source``, ``left`` and columns that stay). Both are checkpointed.
     """
     own = F.col("source").eqNullSafe(F.col("plan_source"))
-    open_ = ~F.col("more") & (F.col("size") > 0) & (F.col("size") <= F.col("left"))
+    open_ = (F.col("size") > 0) & (F.col("size") <= F.col("left"))
     slots = rows.join(left, own, "inner").where(open_).groupBy("source", "slot").agg(F.sum("size").alias("slot_size"), F.first("left").alias("left"))
     before = F.coalesce(F.sum("slot_size").over(W.partitionBy("source").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     cut = slots.withColumn("before", before).where("before + slot_size > left").groupBy("source").agg(F.min(F.struct("slot", "before")).alias("cut"))
     cuts = checkpointed(left.join(cut, own, "left").select("plan_source", "left", "cut"))
     placed = rows.join(cuts, own, "inner")
     edge = placed.where("slot = cut.slot")
-    whole = placed.where("cut is null or slot <> cut.slot").withColumn("now", open_ & (F.col("cut").isNull() | (F.col("slot") < F.col("cut.slot"))))
+    whole = placed.where("cut is null or slot <> cut.slot").withColumn("more", open_ & (F.col("cut").isNull() | (F.col("slot") < F.col("cut.slot"))))
     inside = F.sum(F.when(open_, F.col("size"))).over(W.partitionBy("source").orderBy("key", F.col("id").asc_nulls_last(), "size").rowsBetween(W.unboundedPreceding, W.currentRow))
-    edge = edge.withColumn("now", open_ & (F.col("cut.before") + inside <= F.col("left")))
-    both = checkpointed(whole.unionByName(edge).select(*[c for c in rows.columns if c != "more"], (F.col("more") | F.col("now")).alias("more"), "now"))
-    given = both.where("now").groupBy("source").agg(F.sum("size").alias("given"))
+    edge = edge.withColumn("more", open_ & (F.col("cut.before") + inside <= F.col("left")))
+    both = checkpointed(whole.unionByName(edge).select(*rows.columns, "more"))
+    given = both.where("more").groupBy("source").agg(F.sum("size").alias("given"))
     after = left.join(given, own, "left").withColumn("left", F.col("left") - F.coalesce("given", F.lit(0))).drop("source", "given")
-    return both.drop("now"), checkpointed(after)
+    return both, checkpointed(after)
+
+
+def still_fitting(rows: DataFrame) -> DataFrame:
+    """``n`` (and ``late``) of the rows that go into what is ``left`` of their source, taken in order where they fit. All rows come after the one that did not fit.
+
+    Of one size only the first ``left / size`` can be taken, found by counts of slots and then by rank; a source folds these in order.
+    """
+    room, sizes = F.floor(F.col("left") / F.col("size")), ["source", "size"]
+    slots = rows.groupBy(*sizes, "slot").agg(F.count("*").alias("held"), F.first("left").alias("left"))
+    before = F.coalesce(F.sum("held").over(W.partitionBy(*sizes).orderBy("slot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    first = slots.withColumn("before", before).where(F.col("before") < room).select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("slot").alias("t"))
+    near = rows.join(first, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("slot") == F.col("t")), "left_semi")
+    rank = F.row_number().over(W.partitionBy(*sizes).orderBy("key", F.col("id").asc_nulls_last()))
+    order = F.struct("key", F.col("id").isNull().alias("none"), "id", "size", "n")
+    lists = near.withColumn("rank", rank).where(F.col("rank") <= room).groupBy("source").agg(F.array_sort(F.collect_list(order)).alias("rows"), F.first("left").alias("left"))
+    start = F.struct(F.col("left").alias("left"), F.array().cast("array<bigint>").alias("taken"))
+    step = lambda a, r: F.when(r["size"] <= a["left"], F.struct((a["left"] - r["size"]).alias("left"), F.concat(a["taken"], F.array(r["n"])).alias("taken"))).otherwise(a)
+    return lists.select(F.explode(F.aggregate("rows", start, step)["taken"]).alias("n"), F.lit(True).alias("late"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -115,6 +133,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
 
     Of rows that are alike in these, which may get different numbers, those that come first by their other columns get more.
     """
+    docs = docs.drop("repeats")
     taken = placed_rows(docs, weights, share, most, seed, id_col, source_col, text_col).where("size > 0").select("id", "mark", "source", F.expr("cast(taken / size as int)").alias("times"))
     rows = docs.withColumn("__tw_mark", F.xxhash64(text_col)).alias("d")
     groups = taken.groupBy("id", "mark", "source").agg(F.sum("times").alias("__tw_times"), (F.count("*") > 1).alias("__tw_more")).where("__tw_times > 0").alias("g")

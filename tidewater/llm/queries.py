@@ -154,7 +154,7 @@ ORACLES = {
         m as (select id, min(seen) as component_id from r group by id)
         select d.doc_id, coalesce(n.n, 0) as n_shingles, m.component_id, d.doc_id = m.component_id as kept from documents d join m on m.id = d.doc_id left join n on n.doc_id = d.doc_id""",
     "op6_source_mix": r"""
-        with d as (
+        with recursive d as (
             select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size, coalesce(length(text), 0) as chars
             from documents),
         s as (select source, sum(size)::bigint as source_size from d group by source),
@@ -173,12 +173,10 @@ ORACLES = {
         o1 as (select *, not more and size > 0 and size <= "left" as fits from r0),
         u1 as (select *, fits and sum(case when fits then size end) over (partition by source order by key, doc_id rows between unbounded preceding and current row) <= "left" as now from o1),
         r1 as (select * exclude (fits, now) replace (more or now as more, "left" - coalesce(sum(size) filter (where now) over (partition by source), 0) as "left") from u1),
-        o2 as (select *, not more and size > 0 and size <= "left" as fits from r1),
-        u2 as (select *, fits and sum(case when fits then size end) over (partition by source order by key, doc_id rows between unbounded preceding and current row) <= "left" as now from o2),
-        r2 as (select * exclude (fits, now) replace (more or now as more, "left" - coalesce(sum(size) filter (where now) over (partition by source), 0) as "left") from u2),
-        o3 as (select *, not more and size > 0 and size <= "left" as fits from r2),
-        u3 as (select *, fits and sum(case when fits then size end) over (partition by source order by key, doc_id rows between unbounded preceding and current row) <= "left" as now from o3)
-        select doc_id, size, source_size, target, (size * (epochs + case when more or now then 1 else 0 end))::bigint as taken from u3""",
+        g(source, key, doc_id, "left") as (select source, -1.0::double, -1::bigint, max("left") from r1 group by source
+            union all select source, key, doc_id, "left" from (select r.source, r.key, r.doc_id, g."left" - r.size as "left", row_number() over (partition by r.source order by r.key, r.doc_id) as k
+                from g join r1 r on r.source is not distinct from g.source and not r.more and r.size > 0 and r.size <= g."left" and (r.key > g.key or r.key = g.key and r.doc_id > g.doc_id)) where k = 1)
+        select doc_id, size, source_size, target, (size * (epochs + case when more or doc_id in (select doc_id from g) then 1 else 0 end))::bigint as taken from r1""",
     "op8_exact_dedup": r"""
         with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
         select doc_id, min(doc_id) over g as keep_id, count(*) over g as group_size, doc_id = min(doc_id) over g as kept, sha256(t) as text_sha256
