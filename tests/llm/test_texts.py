@@ -37,6 +37,22 @@ def test_names_within_an_article_decide_only_as_a_whole(spark):
     assert page_texts(spark, [(1, "http://h/1", page)]) == {1: "Head\nThe notice period is a year.\nWe discuss.\nFound.\nSaid."}
 
 
+def test_an_article_below_a_wrapper_with_a_furniture_word(spark):
+    text = "<p>One sentence of the article.</p><p>And one more of it.</p>"
+    wraps = ["content-sidebar-wrap", "layout sidebar-right", "main-menu-page", "related-stories-layout", "notice-board"]
+    pages = [(i, "http://h/", f'<body><div class="{w}"><nav>menu</nav><p>beside</p><article>{text}<div class="notice">We use cookies</div></article><div class="widget">more</div></div></body>') for i, w in enumerate(wraps)]
+    pages += [(20 + i, "http://h/", f'<body><main class="content">{text}</main><div class="{w}"><article>short teaser</article></div></body>') for i, w in enumerate(("related-stories", "sidebar"))]
+    pages += [(30, "http://h/", f'<body><article>{text}</article><div class="comments"><article>{"me too " * 40}</article></div></body>')]
+    got = page_texts(spark, pages)
+    assert set(got.values()) == {"One sentence of the article.\nAnd one more of it."} and len(got) == 8
+
+
+def test_furniture_and_text_within_an_article(spark):
+    gone = "".join(f'<div class="{n}">gone</div>' for n in ("notice", "notice-box", "search-box", "replies", "responses"))
+    kept = "<p>Press <label>the key</label> and <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</p><p>cut &am<b>p; here</b></p>"
+    assert page_texts(spark, [(1, "http://h/1", f"<article>{gone}{kept}</article>")]) == {1: "Press the key and x=1 holds.\ncut &amp; here"}
+
+
 def test_deep_pages_and_odd_columns(spark):
     deep = "<div>" * 20_000 + "</b>" * 20_000 + "<article><p>text</p></article>"
     long_ = "<article>" + "<p>many words in a page</p>" * 20_000 + "</article>"

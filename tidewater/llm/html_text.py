@@ -3,7 +3,9 @@
 A page is read once into blocks. Markup puts each block in a zone: the article (``<article>`` or a container named so),
 the body (``<main>`` or a container named as content, outside an article), chrome (menus, headers, footers, sidebars,
 notices, adverts, forms, comments), or undecided. Within an article a name marks furniture only on a container and only as a whole:
-``share-bar`` does, ``notice-period`` or ``search-results`` do not. Article blocks stay and chrome goes.
+``share-bar`` does, ``notice-period`` or ``search-results`` do not. Article blocks stay and chrome goes. A name says less than an element: an ``<article>``
+or ``<main>`` below a container that only its name makes furniture, as ``content-sidebar-wrap``, is the article after all where it holds more words than what is one otherwise;
+containers of comments are not asked.
 
 Body and undecided blocks are judged by the host's suffix array. The words of a page's blocks outside the article are its
 token stream. In the suffix array of all streams of a host, suffixes that share their first ``least_words`` words
@@ -33,10 +35,10 @@ from pyspark.sql import DataFrame, functions as F
 from tidewater.llm.common import checkpointed, slices
 
 # fixed values: element names of HTML by role, and the names by which authors mark page furniture
-RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "xmp", "noembed", "noframes", "template", "svg", "math", "object", "audio", "video", "canvas", "select"}
+RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "xmp", "noembed", "noframes", "template", "svg", "object", "audio", "video", "canvas", "select"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br"}
-CHROME_TAGS = {"nav", "footer", "aside", "form", "button", "fieldset", "menu", "dialog", "head", "label"}
+INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br", "label", "math", "mfrac", "mi", "mn", "mo", "mroot", "mrow", "ms", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtext", "munder", "mover", "semantics"}
+CHROME_TAGS = {"nav", "footer", "aside", "form", "button", "fieldset", "menu", "dialog", "head"}
 CHROME_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar", "toolbar"}
 CHROME_NAMES = {
     "ad", "ads", "adbox", "adslot", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "byline", "comment", "comments", "consent", "cookie", "cookiebar",
@@ -47,7 +49,7 @@ CHROME_NAMES = {
 # within an article: words that a name of furniture may hold besides, tags that only hold text, and names that an article's own section may have
 NEUTRAL_NAMES = {"area", "bar", "block", "box", "button", "buttons", "container", "content", "form", "group", "inline", "inner", "item", "items", "link", "links", "list", "outer", "panel", "section", "wrap", "wrapper"}
 TEXT_TAGS = {"p", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "figure", "figcaption", "table", "tr", "tbody"} | INLINE
-ARTICLE_SECTIONS = {"discussion", "notice", "notices", "notification", "promotion", "recommended", "replies", "reply", "respond", "responses", "search", "copyright", "login"}
+ARTICLE_SECTIONS = {"discussion", "promotion", "recommended", "copyright", "login"}
 HEAD_NAMES = {"header", "masthead", "topbar"}
 COMMENT_NAMES = {"comment", "comments", "replies", "reply", "responses", "discussion", "disqus"}
 ARTICLE_NAMES = {"articlebody", "article-body", "article-content", "article__body", "content", "content-body", "entry", "entry-content", "main", "main-content", "maincontent", "page-content", "post", "post-body", "post-content", "story", "story-body", "article"}
@@ -55,7 +57,9 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-MAIN, UNDECIDED, CHROME, HEADLINE, BODY = 0, 1, 2, 3, 4
+#: NAMED is chrome by its container's name, RESCUED an article within it.
+MAIN, UNDECIDED, CHROME, HEADLINE, BODY, NAMED, RESCUED = range(7)
+ARTICLE = {MAIN, RESCUED}
 JUDGED = {UNDECIDED, HEADLINE, BODY}
 
 
@@ -76,6 +80,8 @@ def _zone(tag: str, attributes: str, above: int, in_article: bool) -> tuple[int,
     """Zone of an element from its own markup and the zone above it; whether it starts an article."""
     if tag in CHROME_TAGS or (tag == "header" and not in_article):
         return CHROME, in_article
+    if above == NAMED and tag not in ("article", "main"):
+        return NAMED, in_article
     own = {k.lower(): (a or b or c) for k, a, b, c in ATTRIBUTE.findall(attributes)} if "=" in attributes or "hidden" in attributes else {}
     if own:
         role = own.get("role", "").lower()
@@ -86,16 +92,16 @@ def _zone(tag: str, attributes: str, above: int, in_article: bool) -> tuple[int,
         if tag == "article" or tag == "main":
             if parts & COMMENT_NAMES and tag == "article":
                 return CHROME, in_article
-        elif tag not in ("html", "body") and (names_furniture(tag, names, above == MAIN) or (parts & HEAD_NAMES and not in_article)):
-            return CHROME, in_article
+        elif tag not in ("html", "body") and (names_furniture(tag, names, above in ARTICLE) or (parts & HEAD_NAMES and not in_article)):
+            return CHROME if in_article or parts & COMMENT_NAMES else NAMED, in_article
         found = ARTICLE_NAMES & {n.lower() for n in names}
         if tag in ("div", "section", "td") and (role in ("main", "article") or found):
-            real = above == MAIN or role == "article" or any(n.startswith("article") for n in found)
-            return MAIN if real else BODY, True
+            real = above in ARTICLE or role == "article" or any(n.startswith("article") for n in found)
+            return (above if above in ARTICLE else MAIN) if real else BODY, True
     if tag == "article":
-        return MAIN, True
+        return RESCUED if above in (NAMED, RESCUED) else MAIN, True
     if tag == "main":
-        return MAIN if above == MAIN else BODY, True
+        return RESCUED if above in (NAMED, RESCUED) else MAIN if above == MAIN else BODY, True
     return above, in_article
 
 
@@ -109,7 +115,7 @@ def blocks(page: str) -> list[tuple[int, str]]:
 
     def settle() -> None:
         if held:
-            if text := " ".join(entities.unescape("".join(held)).split()):
+            if text := " ".join("".join(held).split()):
                 _, zone, _, headline = stack[-1]
                 out.append((HEADLINE if zone == UNDECIDED and headline else zone, text))
             held.clear()
@@ -122,10 +128,10 @@ def blocks(page: str) -> list[tuple[int, str]]:
     while at < end:
         found = TOKEN.search(page, at)
         if not found:
-            held.append(page[at:])
+            held.append(entities.unescape(page[at:]))
             break
         if found.start() > at:
-            held.append(page[at : found.start()])
+            held.append(entities.unescape(page[at : found.start()]))
         at = found.end()
         tag = (found[2] or "").lower()
         if not tag:
@@ -167,7 +173,9 @@ def blocks(page: str) -> list[tuple[int, str]]:
         opened[tag] += 1
         stack.append((tag, zone, inside, headline or tag == "h1"))
     settle()
-    return out
+    told = {z: sum(len(t.split(" ")) for zone, t in out if zone in z) for z in ((RESCUED,), (MAIN, BODY))}
+    rescued = MAIN if told[RESCUED,] > told[MAIN, BODY] else CHROME
+    return [(rescued if z == RESCUED else CHROME if z == NAMED else z, t) for z, t in out]
 
 
 def host_of(url: str | None) -> str:
