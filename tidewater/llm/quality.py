@@ -2,7 +2,8 @@
 
 P(grade >= k) = sigmoid(w x - t_k) with t_1 <= t_2 <= ...: a cumulative-link model. x holds the logs of one plus the
 counts of the text's byte trigrams, hashed to ``DIMS`` places and brought to length 1. It gives a text's expected grade and
-the tail probability of the grade one selects from. It is learnt from at most ``most`` rated documents of least hash.
+the tail probability of the grade one selects from. It is learnt from at most ``most`` rated documents of least hash. The tail probability from which a
+document is selected is set so that ``keep`` of the rated documents of that grade or more are selected, each weighed by a fit to the half that does not hold it.
 
 Null and empty texts have x = 0. Ratings that are null or have no document are not used. Without two grades the expected
 grade is the one rating, or 0. Repeated rows each give a row. Empty tables give empty results.
@@ -36,6 +37,7 @@ class OrdinalModel:
     grades: tuple[float, ...]
     weights: np.ndarray
     thresholds: np.ndarray
+    least: float = 0.5
 
     def tails(self, x: np.ndarray) -> np.ndarray:
         """P(grade >= grades[k]) for k = 1, 2, ..., of each row of x."""
@@ -68,27 +70,37 @@ def descend(x: np.ndarray, y: np.ndarray, n: int, rounds: int = 400, ridge: floa
     return w, free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))])
 
 
-def fit(docs: DataFrame, ratings: DataFrame, most: int = 4000, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade") -> OrdinalModel:
-    """``ratings`` has the id and a numeric grade. At most ``most`` rows of features reach the driver, 8 KB each."""
+def fit(docs: DataFrame, ratings: DataFrame, most: int = 4000, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", select_from: float | None = None, keep: float = 0.98) -> OrdinalModel:
+    """``ratings`` has the id and a numeric grade; ``select_from`` is the grade for which the model's ``least`` is set. At most ``most`` rows of features reach the driver, 8 KB each."""
     rated = ratings.select(F.col(id_col).alias("__id"), F.col(grade_col).cast("double").alias("grade")).where("__id is not null and grade is not null")
     sample = rated.orderBy(F.xxhash64("__id"), "__id").limit(most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array([features(t).tobytes() for t in utf8(batch, "__text")], pa.binary())], ["grade", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("grade"), pa.array([features(t).tobytes() for t in utf8(batch, "__text")], pa.binary())], ["hash", "grade", "x"])
 
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(sample), "__id")  # at most ``most`` rows
-    found = texts.mapInArrow(run, "grade double, x binary").toPandas()
+    found = texts.withColumn("hash", F.xxhash64("__id")).mapInArrow(run, "hash long, grade double, x binary").toPandas().sort_values(["hash", "grade"])
     grades = sorted(set(found["grade"]))
     if len(grades) < 2:
         return OrdinalModel(tuple(grades) or (0.0,), np.zeros(DIMS), np.zeros(0))
     x = np.array([np.frombuffer(b, np.float32) for b in found["x"]], np.float64)  # once, not in each of the rounds' products
-    w, t = descend(x, np.searchsorted(grades, found["grade"].to_numpy()), len(grades))
-    return OrdinalModel(tuple(grades), w, t)
-
-
-def grade_documents(docs: DataFrame, model: OrdinalModel, select_from: float, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, ``expected_grade``, ``tail_probability`` of a grade of ``select_from`` or more, and ``kept``."""
+    y = np.searchsorted(grades, found["grade"].to_numpy())
+    w, t = descend(x, y, len(grades))
+    k = int(np.searchsorted(grades, select_from)) if select_from is not None else 0
+    if not 0 < k < len(grades):
+        return OrdinalModel(tuple(grades), w, t)
+    tails, half = np.zeros(len(y)), np.arange(len(y)) % 2 == 0
+    for own in (half, ~half):
+        if len(set(y[~own])) == len(grades):
+            tails[own] = OrdinalModel(tuple(grades), *descend(x[~own], y[~own], len(grades))).tails(x[own])[:, k - 1]
+        else:
+            tails[own] = 0.5
+    return OrdinalModel(tuple(grades), w, t, float(np.quantile(tails[y >= k], 1 - keep)))
+
+
+def grade_documents(docs: DataFrame, model: OrdinalModel, select_from: float, least: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, ``expected_grade``, ``tail_probability`` of a grade of ``select_from`` or more, and ``kept``, from ``least`` on, the model's own if left out."""
     steps, k = np.diff(model.grades), int(np.searchsorted(model.grades, select_from)) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,4 +112,4 @@ def grade_documents(docs: DataFrame, model: OrdinalModel, select_from: float, le
 
     kind = docs.schema[id_col].dataType.simpleString()
     out = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).mapInArrow(run, f"__id {kind}, expected_grade double, tail_probability double")
-    return out.select(F.col("__id").alias(id_col), "expected_grade", "tail_probability", (F.col("tail_probability") >= least).alias("kept"))
+    return out.select(F.col("__id").alias(id_col), "expected_grade", "tail_probability", (F.col("tail_probability") >= (model.least if least is None else least)).alias("kept"))

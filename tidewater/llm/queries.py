@@ -46,11 +46,10 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grades: 0 for low quality, 1 for good but toxic, 2 for good; a document is kept if a grade of 1 or more is likelier."""
+    """Grades are the ratings of quality, 0 and 1; a document is kept where the tail probability of 1 is such that 98 % of the good ones learnt from are kept."""
     docs = table(spark, sf_dir, "documents")
-    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
-    model = quality.fit(docs, learnable(table(spark, sf_dir, "labels")).select("doc_id", grade.alias("grade")))
-    return quality.grade_documents(docs, model, select_from=1)
+    ratings = learnable(table(spark, sf_dir, "labels")).select("doc_id", F.col("quality").alias("grade"))
+    return quality.grade_documents(docs, quality.fit(docs, ratings, select_from=1), select_from=1)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
