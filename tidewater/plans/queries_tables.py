@@ -126,7 +126,7 @@ def stream_checked_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     f as (select 'k' as key, case event_id % 4 when 0 then 'BIGINT' when 1 then 'STRING' when 2 then 'DECIMAL' else 'OBJECT' end as type, case event_id % 4 when 0 then (props::json->>'k')::double when 1 then event_id when 2 then event_id + 0.5 end as number, case when event_id % 4 = 3 then event_id end as nested from events where event_id % 50 <> 0
         union all select 'extra', case event_id % 4 when 2 then 'BOOLEAN' else 'ARRAY' end, null, null from events where event_id % 50 <> 0 and event_id % 4 >= 2
         union all select null, 'broken', null, null from events where event_id % 50 = 0)
-    select key, type, count(*) as n, sum(case when key = 'k' then number end) as numbers, sum(nested)::bigint as nested from f join (select 1) on true group by all""")
+    select key, type, count(*) as n, sum(case when key = 'k' then number end) as numbers, coalesce(sum(nested), 0)::bigint as nested from f join (select 1) on true group by all""")
 def schemaless_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages whose fields change type from one to the next: which fields they have, of which types, and what reads as a number."""
     n = F.col("event_id")
@@ -136,7 +136,7 @@ def schemaless_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = variant.fields(rows)
     kind = F.when(F.col("_corrupt").isNotNull(), "broken").otherwise(F.regexp_extract("type", "^[A-Z]+", 0))
     mine = lambda c: F.when(F.col("key") == "k", F.col(c))
-    return found.groupBy("key", kind.alias("type")).agg(F.count("*").alias("n"), F.sum(mine("number")).alias("numbers"), F.sum(mine("nested")).alias("nested"))
+    return found.groupBy("key", kind.alias("type")).agg(F.count("*").alias("n"), F.sum(mine("number")).alias("numbers"), F.coalesce(F.sum(mine("nested")), F.lit(0)).alias("nested"))
 
 
 NOW = "2024-01-25 12:00:00"
