@@ -102,8 +102,22 @@ def test_leaks(spark):
     assert {r.doc_id for r in kept} == set(range(60)) | {300, 301, 302, 304, None} and [r.text for r in kept if r.doc_id in (302, None)] == ["of one id", "too long"]
     assert decontamination.leaks(docs, bench.limit(0)).where("contaminated").count() == 0
     assert decontamination.leaks(docs.limit(0), bench).count() == 0
-    blocks = decontamination.leaks(docs, bench, block=12)
-    assert blocks.where("contaminated").count() == 64 and blocks.count() == docs.count()
+    for settings in ({"block": 12}, {"block_bytes": 700}):  # the same in several blocks
+        blocks = decontamination.leaks(docs, bench, **settings)
+        assert blocks.where("contaminated").count() == 64 and blocks.count() == docs.count()
+        assert sorted(((r.doc_id, [x.item for x in r["items"]]) for r in blocks.where("contaminated").collect()), key=repr) == sorted(got, key=repr)
+
+
+def test_leaks_of_odd_columns_and_long_texts(spark):
+    """Columns of the results' names, equal item texts, and a text of many thousand words that holds an item at its end."""
+    rng = random.Random(8)
+    said = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    item = said(20)
+    docs = spark.createDataFrame([(1, said(60_000) + " " + item, "x", False), (2, said(50), "y", True)], "doc_id long, text string, items string, contaminated boolean")
+    bench = spark.createDataFrame([(1, item, "x"), (2, item, "y")], "item_id long, text string, items string")
+    got = {r.doc_id: [x.item for x in r["items"]] for r in decontamination.leaks(docs, bench).collect()}
+    assert got == {1: [1, 2], 2: []}
+    assert [tuple(r)[2:] for r in decontamination.drop_contaminated(docs, bench).collect()] == [("y", True)]
 
 
 def test_leaks_of_a_large_benchmark_equal_brute_force(spark):
@@ -329,6 +343,21 @@ def test_mixed_documents_of_odd_rows(spark):
     assert sizes == want and got.count() == 5 and {r.doc_id for r in got.collect()} == {None, 1, 3}
 
 
+def test_quality_selects_on_rows_it_has_not_seen(spark):
+    """Of the rated rows that are not learnt from, nearly all good ones are kept and few of low quality."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    kept = queries.op7_quality(spark, sf).join(labels.join(queries.learnable(labels), "doc_id", "left_anti"), "doc_id")
+    share = {r.quality: r.share for r in kept.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert share[1] >= 0.96 and share[0] <= 0.1, share
+
+
+def test_mixed_documents_replace_a_column_of_the_result(spark):
+    docs = spark.createDataFrame([(1, "a b c", "s", 9), (2, "d e f", "s", 9)], "doc_id long, text string, source string, repeats int")
+    got = mixing.mixed_documents(docs)
+    assert got.columns == ["doc_id", "text", "source", "repeats"] and {r.repeats for r in got.collect()} <= {1, 2}
+
+
 def test_queries_cover_their_tables(spark):
     for name in ("op1_html_text", "op2_secret_scan", "op3_token_counts", "op7_quality", "op9_benchmark_leaks"):
         out = queries.QUERIES[name](spark, SF)

@@ -18,8 +18,8 @@ their norms, and they are added where that bound leaves a pair open, so the cosi
 Items of fewer than ``least`` words match where a text holds their words in a row. Null and empty texts and items without words
 match nothing. Rows are told apart by id and text: repeated rows, and rows of one id or none, each give their own row. Items with
 equal text are each reported, items without id are not read. Long texts are read whole, some thousand words at a time. Columns
-of other names are not read. Empty tables give empty results. The items, at most ``most_bytes`` of text, are taken in blocks of ``block``,
-each against all documents, so a task's share of the index is bounded.
+of other names are not read. Empty tables give empty results. The items are read by the driver in blocks of at most ``block`` items and ``block_bytes`` of
+text (or one longer item), each searched in all documents and its finds written before the next is read, so the index is bounded on the driver and in a task, whatever the benchmark's size.
 """
 
 from __future__ import annotations
@@ -170,16 +170,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **setti
     return found_items(docs, benchmark, id_col=id_col, **settings).select(F.col("__id").alias(id_col), "items", "contaminated")
 
 
-def found_items(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float = 0.3, sure: float = 0.8, likely: float = 0.6, least: int = 5, block: int = 20_000, held: float = 0.99, most_bytes: int = 1 << 28, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def found_items(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine: float = 0.3, sure: float = 0.8, likely: float = 0.6, least: int = 5, block: int = 20_000, held: float = 0.99, block_bytes: int = 1 << 26, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Per row: ``__id``, ``__mark``, ``items`` and ``contaminated``."""
     spark = docs.sparkSession
     known = Vocabulary()
     given = benchmark.select(F.col(item_col), F.col(item_text_col)).where(F.col(item_col).isNotNull())
-    if (given.agg(F.sum(F.octet_length(item_text_col))).first()[0] or 0) > most_bytes:
-        raise ValueError(f"a benchmark of more than {most_bytes} bytes of text; split it")
-    items = [(r[0], known.words((r[1] or "").encode())) for r in given.toLocalIterator()]
-    short = [(i, w) for i, w in items if 0 < len(w) < least]
-    items = [(i, w) for i, w in items if len(w) >= least]
     texts = checkpointed(hashed(docs, id_col, text_col))
     n, df = document_frequencies(texts)
     idf = np.maximum(np.log((n + 1) / (df + 1)), 0.05).astype(np.float32)
@@ -188,9 +183,12 @@ def found_items(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine:
     id_kind = docs.schema[id_col].dataType.simpleString()
     kind = found if item_kind.typeName() in ("long", "string") else found.replace(item_kind.simpleString(), "bigint", 1)
     arrow_item = pa.int64() if item_kind.typeName() in ("long", "integer") else pa.string()
-    out = None
-    for at in range(0, max(1, len(items)), block):
-        part = items[at : at + block]
+    blocks = in_blocks(given, known, block, block_bytes)
+    out, several, after = None, False, next(blocks, [])
+    while after is not None:
+        part, after = after, next(blocks, None)
+        several = several or after is not None
+        short, part = [(i, w) for i, w in part if len(w) < least], [(i, w) for i, w in part if len(w) >= least]
         rows = []
         for _, words in part:
             own, counts = np.unique(terms_of(words), return_counts=True)
@@ -212,7 +210,7 @@ def found_items(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine:
         common = [{t: w * float(idf[t]) for t, w in zip(*rows[j], strict=True) if not told[t]} for j in order]
         norms = np.array([sum((w / float(idf[t])) ** 2 for t, w in c.items()) ** 0.5 for c in common])
         wanted = [(i, w.tolist(), word_bits(w.tolist()), word_bits(w.tolist()[-ANSWER:])) for i, w in (part[j] for j in order)]
-        shared = spark.sparkContext.broadcast((scaled @ index.T if few else scaled, used, idf, None if few else index, lists, limits, wanted, (common, norms), short if at == 0 else []))  # terms in use x rank
+        shared = spark.sparkContext.broadcast((scaled @ index.T if few else scaled, used, idf, None if few else index, lists, limits, wanted, (common, norms), short))  # terms in use x rank
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             table, own, weight, index, lists, limits, wanted, common, short = shared.value
@@ -226,12 +224,31 @@ def found_items(docs: DataFrame, benchmark: DataFrame, rank: int = 200, cosine:
                 yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(hits, pa.list_(pa.struct([("item", arrow_item), ("cosine", pa.float64()), ("words", pa.float64()), ("answer", pa.float64())])))], ["__row", "__id", "__mark", "items"])
 
         own = texts.mapInArrow(run, f"__row long, __id {id_kind}, __mark long, items {kind}")
+        if several:
+            own = checkpointed(own.where(F.size("items") > 0).select("__row", "items"))
+            shared.destroy()
         out = own if out is None else out.unionByName(own)
-    if len(items) > block:
-        out = out.groupBy("__row").agg(F.any_value("__id").alias("__id"), F.any_value("__mark").alias("__mark"), F.flatten(F.collect_list("items")).alias("items"))
+    if several:
+        out = texts.drop("words").join(out.groupBy("__row").agg(F.flatten(F.collect_list("items")).alias("items")), "__row", "left").withColumn("items", F.coalesce("items", F.array().cast(kind)))
     return out.select("__id", "__mark", "items", (F.size("items") > 0).alias("contaminated"))
 
 
+def in_blocks(given: DataFrame, known: Vocabulary, block: int, block_bytes: int) -> Iterator[list[tuple]]:
+    """The items that have words, with these, as the driver comes to them."""
+    held, size = [], 0
+    for item, text in given.toLocalIterator():
+        data = (text or "").encode()
+        words = known.words(data)
+        if len(words):
+            held.append((item, words))
+            size += len(data)
+        if len(held) >= block or size >= block_bytes:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def in_a_row(words: np.ndarray, short: list) -> list[dict]:
     """The short items whose words stand in a row in the text."""
     found = []
