@@ -6,7 +6,7 @@ import re
 
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from tidewater.llm import exact_dedup, html_text, preferences, queries, secrets, token_counts
 
@@ -226,6 +226,8 @@ def test_chunks_move_with_their_content():
 
 
 def test_secret_scan(spark):
+    seen = Observation()
+    assert spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).count() == 3 and seen.get["n"] == 3  # a session that has observed something
     token = "9f" * 20
     rows = [(i, f"some text {'token = ' if i % 2 else 'number '}\"{hashlib.sha1(str(i).encode()).hexdigest() if i % 2 else str(10**15 + i)}\" and more", "src/a", "k") for i in range(80)]
     df = spark.createDataFrame([*rows, (100, None, None, None), (101, "", None, None), (102, f"password={token} x password={token}", None, None)], DOCS)
@@ -234,10 +236,22 @@ def test_secret_scan(spark):
     got = secrets.scan(found, model)
     assert {r.id for r in got.where("secret").collect()} == {i for i in range(80) if i % 2} | {102}
     assert [r.word_no for r in got.where("id = 102").orderBy("word_no").collect()] == [0, 2]
-    none = secrets.with_features(secrets.candidates(df.limit(0)), [])
+    none = secrets.with_features(secrets.candidates(df.limit(0)), None)
     assert secrets.scan(none, secrets.fit(secrets.rule_labels(none))).count() == 0
 
 
+def test_the_dictionary_is_whole(spark):
+    """Thousands of words, in documents with and without an id; the covered share is that of all of them, and repeated rows and other columns change nothing."""
+    words = ["".join(chr(97 + k // 26**j % 26) for j in range(3)) + "word" for k in range(3000)]
+    rows = [(None if i % 2 else i, " ".join(words), "src", "k") for i in range(5)] + [(10, f"x {words[7]}-{words[2900]}-12345678-unknownrun y", "a/b", "k")] * 2
+    df = spark.createDataFrame(rows, DOCS).withColumn("f_covered", F.lit("clash")).withColumn("word", F.lit("clash"))
+    held = secrets.dictionary_of(df)
+    assert held.count() == 3000
+    got = secrets.with_features(secrets.candidates(df), held)
+    want = (len(words[7]) + len(words[2900])) / len(f"{words[7]}-{words[2900]}-12345678-unknownrun")
+    assert [round(r.f_covered, 9) for r in got.collect()] == [round(want, 9)] * 2
+
+
 def test_all_runs_of_a_word_are_candidates(spark):
     one, two = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "ghp_16C7e42F292c6912E7710c838347Ae178B4a"
     texts = [f'aws_secret_access_key="{one}"', f'{{"service_account_key":"{one}","n":1}}', f"https://internal.example.org?token={two}", f'a{{"token":"{one}","id":"{two}"}}', f"{one}|{one}", "no_digits_in_this_run:1"]
@@ -245,7 +259,7 @@ def test_all_runs_of_a_word_are_candidates(spark):
     rows = secrets.candidates(df)
     got = sorted((r.id, r.run_no, r.candidate) for r in rows.collect())
     assert got == [(0, 1, one), (1, 1, one), (2, 1, f"token={two}"), (3, 0, one), (3, 1, two), (4, 0, one), (4, 1, one)]
-    marked = {(r.id, r.run_no): (r.label, r.f_named, r.f_assigned) for r in secrets.rule_labels(secrets.with_features(rows, [])).collect()}
+    marked = {(r.id, r.run_no): (r.label, r.f_named, r.f_assigned) for r in secrets.rule_labels(secrets.with_features(rows, None)).collect()}
     assert marked[0, 1][1:] == marked[3, 0][1:] == (1.0, 1.0)
     assert marked[2, 1] == (1.0, 1.0, 1.0) and marked[3, 1][:2] == (0.0, 0.0)  # the other secret's name is not its own
     minified = spark.createDataFrame([(1, ",".join(f'"k{i}":"{hashlib.sha1(str(i).encode()).hexdigest()}"' for i in range(3000)), "s", "k")], DOCS)
@@ -256,7 +270,7 @@ def test_all_runs_of_a_word_are_candidates(spark):
 def test_dictionary_counts_all_texts(spark):
     words = [a + b for a in ("ban", "ter", "oli", "mak") for b in ("abcdefghij" * 2)[:10]]
     rows = [(i, f"common {words[i % 50] if i % 50 < 40 and i < 250 else ''}", "s", "k") for i in range(3000)]
-    assert set(secrets.dictionary_of(spark.createDataFrame(rows, DOCS))) == {"common", *words}
+    assert {r.word for r in secrets.dictionary_of(spark.createDataFrame(rows, DOCS)).collect()} == {"common", *words}
 
 
 # --- preferences

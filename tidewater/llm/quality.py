@@ -70,7 +70,7 @@ def descend(x: np.ndarray, y: np.ndarray, n: int, rounds: int = 400, ridge: floa
     return w, free[0] + np.concatenate([[0.0], np.cumsum(np.exp(free[1:]))])
 
 
-def fit(docs: DataFrame, ratings: DataFrame, most: int = 4000, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", select_from: float | None = None, keep: float = 0.98) -> OrdinalModel:
+def fit(docs: DataFrame, ratings: DataFrame, most: int = 4000, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", select_from: float | None = None, keep: float = 0.97) -> OrdinalModel:
     """``ratings`` has the id and a numeric grade; ``select_from`` is the grade for which the model's ``least`` is set. At most ``most`` rows of features reach the driver, 8 KB each."""
     rated = ratings.select(F.col(id_col).alias("__id"), F.col(grade_col).cast("double").alias("grade")).where("__id is not null and grade is not null")
     sample = rated.orderBy(F.xxhash64("__id"), "__id").limit(most)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewater.llm import decontamination, exact_dedup, fill_middle, html_text, line_dedup, mixing, near_dedup, preferences, quality, secrets, token_counts, toxicity, vector_codes
-from tidewater.llm.common import checkpointed, table
+from tidewater.llm.common import table
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -21,7 +21,7 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings of all documents; the forest learns from findings that a rule labels, as no table holds labelled ones."""
     docs = table(spark, sf_dir, "documents")
-    found = secrets.with_features(checkpointed(secrets.candidates(docs)), secrets.dictionary_of(docs))
+    found = secrets.with_features(secrets.candidates(docs), secrets.dictionary_of(docs))
     model = secrets.fit(secrets.rule_labels(found))
     return secrets.scan(found, model).select(F.col("id").alias("doc_id"), "word_no", "run_no", F.sha2("candidate", 256).alias("candidate_sha256"), F.length("candidate").cast("long").alias("n_chars"), "probability", "secret")
 
@@ -46,7 +46,7 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grades are the ratings of quality, 0 and 1; a document is kept where the tail probability of 1 is such that 98 % of the good ones learnt from are kept."""
+    """Grades are the ratings of quality, 0 and 1; a document is kept where the tail probability of 1 is such that 97 % of the good ones learnt from are kept."""
     docs = table(spark, sf_dir, "documents")
     ratings = learnable(table(spark, sf_dir, "labels")).select("doc_id", F.col("quality").alias("grade"))
     return quality.grade_documents(docs, quality.fit(docs, ratings, select_from=1), select_from=1)

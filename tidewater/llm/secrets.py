@@ -6,7 +6,7 @@ digits, share of its letter runs that the dictionary covers, a hash of the path'
 the words before it name a credential or assign, and the length of its neighbours. The forest learns from labelled
 findings, any table of candidates with a ``label``; ``fit`` takes at most ``most`` of them, those of least hash.
 
-Null and empty texts have no candidates. Several equal candidates in one text are reported each, with their word number
+The dictionary is that of all texts, whole. Null and empty texts have no candidates; a null id is a value like any other. Several equal candidates in one text are reported each, with their word number
 and the run's number in the word. A null path counts as empty. Repeated rows give repeated findings. Empty tables give empty results, and with findings of
 one label only, no forest is fitted and the label decides.
 """
@@ -18,6 +18,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidewater.llm.common import checkpointed, lookup
+
 SPACE = r"[\x20\x09-\x0D]+"
 NAMES = r"(?i)(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer)"
 #: Characters of a neighbouring word in which a name is looked for.
@@ -48,13 +50,19 @@ def candidates(docs: DataFrame, least: int = 16, id_col: str = "doc_id", text_co
     return own.select("*", F.col("r.candidate").alias("candidate"), lead.alias("lead"), F.concat(lead, "r.candidate", "r.trail").alias("word")).drop("r").withColumn("run_no", F.col("run_no").cast("long"))
 
 
-def with_features(found: DataFrame, dictionary: list[str]) -> DataFrame:
+def with_features(found: DataFrame, dictionary: DataFrame | None) -> DataFrame:
+    """Candidates with the forest's features. ``dictionary`` (word, docs) may be of any size: the letter runs of candidates are looked up in it by a join. Checkpointed."""
     c = F.col("candidate")
+    found = checkpointed(found.withColumn("__c", F.monotonically_increasing_id()))
+    if dictionary is None:
+        found = found.withColumn("__covered", F.lit(0))
+    else:
+        runs = found.select("__c", F.explode(F.regexp_extract_all(F.lower(c), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
+        held = lookup(runs, dictionary.select("word", "docs"), "word", "docs").where("docs is not null").groupBy("__c").agg(F.sum(F.length("word")).alias("__covered"))
+        found = found.join(held, "__c", "left")
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "0")
     changes = F.regexp_count(classes, F.lit("(?<=a)[^a]|(?<=A)[^A]|(?<=0)[^0]|(?<=[^aA0])[aA0]"))
     size = F.length(c).cast("double")
-    runs = F.regexp_extract_all(F.lower(c), F.lit("[a-z]{3,}"), F.lit(0))
-    covered = F.aggregate(F.filter(runs, lambda r: F.array_contains(F.array(*map(F.lit, dictionary)).cast("array<string>"), r)), F.lit(0), lambda t, r: t + F.length(r)) if dictionary else F.lit(0)
     own = F.concat("lead", "candidate")
     context = F.concat_ws(" ", "before2", "before", "lead", F.regexp_replace(own, r"[+/_=.-]?[A-Za-z0-9+/_.-]{16,}.*$", ""), F.regexp_extract(own, r"^(.*?)=", 1))
     share = lambda p: F.regexp_count(c, F.lit(p)) / size
@@ -66,7 +74,7 @@ def with_features(found: DataFrame, dictionary: list[str]) -> DataFrame:
         "f_hex": share("[0-9a-fA-F]"),
         "f_digits": share("[0-9]"),
         "f_upper": share("[A-Z]"),
-        "f_covered": covered / size,
+        "f_covered": F.coalesce("__covered", F.lit(0)) / size,
         "f_test_path": F.col("path").rlike("(?i)test|example|sample|fixture|docs?/").cast("int"),
         "f_folder": F.pmod(F.xxhash64(F.regexp_replace("path", "/[^/]*$", "")), F.lit(16)),
         "f_named": context.rlike(NAMES).cast("int"),
@@ -75,7 +83,7 @@ def with_features(found: DataFrame, dictionary: list[str]) -> DataFrame:
         "f_before": F.col("n_before"),
         "f_after": F.col("n_after"),
     }
-    return found.withColumns({k: v.cast("double") for k, v in values.items()})
+    return found.withColumns({k: v.cast("double") for k, v in values.items()}).drop("__c", "__covered")
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
@@ -85,11 +93,10 @@ def rule_labels(found: DataFrame) -> DataFrame:
     return found.withColumn("label", (named & mixed).cast("double"))
 
 
-def dictionary_of(docs: DataFrame, least: int = 5, size: int = 1500, id_col: str = "doc_id", text_col: str = "text") -> list[str]:
-    """The words of three letters or more that most documents hold, ``least`` at least; at most ``size``. All texts are counted."""
-    texts = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_col), F.lit("[a-z]{3,}"), F.lit(0)))).alias("word"))
-    return [r.word for r in words.groupBy("word").count().where(F.col("count") >= least).orderBy(F.desc("count"), "word").limit(size).collect()]
+def dictionary_of(docs: DataFrame, least: int = 5, text_col: str = "text") -> DataFrame:
+    """(word, docs): every word of three letters or more that ``least`` documents or more hold. All texts are counted, those of null id too."""
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_col), F.lit("[a-z]{3,}"), F.lit(0)))).alias("word"))
+    return checkpointed(words.groupBy("word").agg(F.count("*").alias("docs")).where(F.col("docs") >= least))
 
 
 def fit(labelled: DataFrame, most: int = 4000, trees: int = 20, depth: int = 6) -> RandomForestClassificationModel | float:
@@ -100,7 +107,7 @@ def fit(labelled: DataFrame, most: int = 4000, trees: int = 20, depth: int = 6)
     kinds = [r.label for r in rows.select("label").distinct().collect()]
     if len(kinds) < 2:
         return kinds[0] if kinds else 0.0
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, maxBins=32).fit(rows)
+    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, maxBins=32).fit(rows).copy()  # a copy has no training summary, which holds the session and does not go to executors
 
 
 def scan(found: DataFrame, model: RandomForestClassificationModel | float, threshold: float = 0.5) -> DataFrame:
