@@ -81,6 +81,7 @@ def test_repeats_decide_beside_articles_and_within_main(spark):
     quoted = [(30 + i, f"http://d/{i}", f"<main><article><p>{text(i)}</p>{shared}</article></main><div>one more word {i}</div>") for i in range(5)]
     copied = [(40 + i, f"http://e/{i}", f"<main><p>one page that stands here under many numbers</p></main><nav>{i}</nav>") for i in range(5)]
     got = page_texts(spark, beside + within + named + quoted + copied)
+    assert got == page_texts(spark, beside + within + named + quoted + copied, broadcast_rows=0)  # repeats by shuffle give the same
     for i in range(5):
         assert got[i].split("\n") == [text(i), "read our other story"]
         assert got[10 + i] == got[20 + i] == text(i)
@@ -152,13 +153,14 @@ def test_longest_prefix_within_a_limit(spark):
 
 def test_what_is_held_is_bounded(counter):
     """With room for a few entries only, the counts are the same."""
-    small = token_counts.PrefixCounter(queries.vocabulary(), units=3, words=3, pairs=5)
+    small = token_counts.PrefixCounter(queries.vocabulary(), units=3, nodes=20, pairs=5)
     rng = random.Random(9)
     for _ in range(40):
         text = " ".join("".join(rng.choice("abcdetion'é.,1") for _ in range(rng.randrange(1, 14))) for _ in range(12))
         assert small.counts(text).tolist() == counter.counts(text).tolist() == of_library(counter, text)
-    for memo in (small.units, small.words, small.stands):
+    for memo in (small.units, small.stands):
         assert len(memo.young) + len(memo.old) <= 10
+    assert small.nodes <= 20
 
 
 def test_very_long_texts_and_clashing_columns(spark):

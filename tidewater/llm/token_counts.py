@@ -7,7 +7,7 @@ run after it; a prefix that ends in white space belongs to the same unit, so the
 
 ``prefix_table`` stores each text's counts as the steps from one prefix to the next, two bytes a code point, which compress well; all else is asked of that
 table: the whole count, whether a budget is passed, and where a text is to be cut, for any number of budgets, without the vocabulary.
-What is held of units, word prefixes and pairs of tokens is bounded by numbers of short entries, some 250 MB a worker.
+What is held of units, beginnings of words and pairs of tokens is bounded by numbers of short entries, some 250 MB a worker.
 
 Null text counts as empty: no tokens and no prefixes. Empty tables give empty results. Rows are counted one by one,
 so repeated ids or rows each give a row. Other input columns are left alone and not read. Texts of megabytes are counted in the same way; long runs are not held.
@@ -36,8 +36,8 @@ UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 LEAD = re.compile(f"[{SPACE}]*")
 #: A step is at most as large as the longest token, so far under this.
 STEP = np.int16
-#: Entries of each generation of what is held, and code points of the longest unit or word that is.
-UNITS, WORDS, PAIRS, LONGEST = 250_000, 30_000, 200_000, 40
+#: Entries of each generation of units and pairs, nodes of the tree of words; code points of the longest unit that is held, and of the beginnings that words share.
+UNITS, NODES, PAIRS, LONGEST, BEGINNING = 250_000, 200_000, 200_000, 40, 8
 #: Letters behind at most one space, and then signs that are no letters, digits or apostrophes: the byte-level pre-tokenizer's own expression cuts these in two.
 PLAIN = re.compile(r"( ?[A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -63,7 +63,7 @@ class Memo:
 class PrefixCounter:
     """Counts tokens of all prefixes with a byte-level vocabulary of the tokenizers library."""
 
-    def __init__(self, vocabulary: str, units: int = UNITS, words: int = WORDS, pairs: int = PAIRS):
+    def __init__(self, vocabulary: str, units: int = UNITS, nodes: int = NODES, pairs: int = PAIRS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
@@ -74,7 +74,8 @@ class PrefixCounter:
             endings[t[-3:]].add(len(t))
         #: by the last three bytes, the lengths that tokens with this end have, longest first
         self.lengths = {e: sorted(n | {1, 2}, reverse=True) for e, n in endings.items()}
-        self.units, self.words, self.stands = Memo(units), Memo(words), Memo(pairs)
+        self.units, self.stands = Memo(units), Memo(pairs)
+        self.tree, self.nodes, self.most = ("", 0, {}), 0, nodes
         kind = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
         self.plain = PLAIN if kind.get("type") == "ByteLevel" and kind.get("use_regex") and not kind.get("add_prefix_space") else None
 
@@ -86,31 +87,39 @@ class PrefixCounter:
             self.stands.put(pair, found)
         return found
 
-    def word(self, mapped: str) -> tuple[list[str], list[int]]:
-        """Last token and number of tokens of each prefix of one word of the pre-tokenizer, from the empty one on; the word is written with a character for each byte.
+    def word(self, mapped: str) -> list[int]:
+        """Number of tokens of each prefix of one word of the pre-tokenizer, from the empty one on; the word is written with a character for each byte.
 
-        What is known of the longest beginning that is held is taken over, so words that begin alike share it.
+        Words that begin alike share what is known of their beginning, in a tree by characters; a node has the last token and the number of tokens.
         """
-        held = self.words
-        if (found := held.get(mapped)) is not None:
-            return found
+        last, counts = [""], [0]
+        node = self.tree
+        for char in mapped:
+            child = node[2].get(char)
+            if child is None:
+                break
+            last.append(child[0])
+            counts.append(child[1])
+            node = child
+        if len(counts) > len(mapped):
+            return counts
         tokens, lengths, stands = self.tokens, self.lengths, self.stands.young
-        start = min(len(mapped), LONGEST) - 1
-        while start > 2 and (found := held.get(mapped[:start])) is None:
-            start -= 1
-        last, counts = (found[0][:], found[1][:]) if start > 2 and found else ([""], [0])
         for end in range(len(counts), len(mapped) + 1):
             for n in lengths.get(mapped[end - 3 : end], (2, 1)) if end > 2 else range(end, 0, -1):
                 if n <= end and (token := mapped[end - n : end]) in tokens:
                     before = last[end - n]
                     fits = stands.get((before, token))
                     if self.beside(before, token) if fits is None else fits:
+                        count = counts[end - n] + 1
                         last.append(token)
-                        counts.append(counts[end - n] + 1)
+                        counts.append(count)
+                        if end <= BEGINNING:
+                            node[2][mapped[end - 1]] = node = (token, count, {})
+                            self.nodes += 1
                         break
-        if len(mapped) <= LONGEST:
-            held.put(mapped, (last, counts))
-        return last, counts
+        if self.nodes > self.most:
+            self.tree, self.nodes = ("", 0, {}), 0
+        return counts
 
     def split(self, text: str) -> list[tuple[str, tuple[int, int]]]:
         """The pre-tokenizer's words of a unit with their places; letters behind at most one space are one word, which needs no call."""
@@ -124,7 +133,7 @@ class PrefixCounter:
         words = self.split(text)
         out, before = [], 0
         for mapped, (start, end) in words:
-            counts = self.word(mapped)[1]
+            counts = self.word(mapped)
             if len(mapped) == end - start:
                 out += [before + n for n in counts[1:]] if before else counts[1:]
             else:
