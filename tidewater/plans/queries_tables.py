@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import re
 import uuid
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidewater.operators import bucketed, cdc, quality, serving
-from tidewater.plans import medallion, roles
-from tidewater.plans.queries_batch import BRONZE
-from tidewater.plans.registry import Registry
+from tidewater.plans import dashboards, fraud, medallion, metrics, queries_batch, roles
+from tidewater.plans.queries_batch import BRONZE, TX
+from tidewater.plans.queries_streams import stream_of
+from tidewater.plans.registry import Registry, doubles
 from tidewater.plans.scratch import folder
 from tidewater.sources import tables, variant
-from tidewater.streaming import sinks
+from tidewater.sources.streams import app_json, file_stream
+from tidewater.streaming import fraud as fraud_streams, sinks
 
 R = Registry()
 QUERIES, ORACLES = R.queries, R.sql
@@ -111,8 +114,6 @@ def checked_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 @R.add("select count(*) as n, count(*) filter (where event_id % 4 <> 3) as n_other from events where event_id % 4 <> 3 or event_type <> 'error'")
 def stream_checked_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same while a stream writes: a run whose batch is bad publishes nothing, the next one does."""
-    from tidewater.sources.streams import file_stream
-
     where, rows = folder(spark, "checked-stream"), roles.transactions(spark, sf_dir)
     write = sinks.checked(f"{where}/rows", f"{where}/results", "transactions", CHECKED)
     good = rows.where("transaction_id % 4 <> 3 or status <> 'failed'")
@@ -151,3 +152,92 @@ def serving_expired_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = spark.read.parquet(where)
     young = serving.within_retention(held, "ts", 10, now).groupBy("__day").agg(F.count("*").alias("young"))
     return held.groupBy("__day").agg(F.count("*").alias("n")).join(young, "__day", "left").select(F.col("__day").alias("day"), "n", F.coalesce("young", F.lit(0)).cast("long").alias("young"))
+
+
+@R.add("select c_nationkey, count(*) as n, max(c_custkey) as newest from customer group by 1")
+def store_read_in_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the store read by ranges of its key, each range a task of its own."""
+    catalog, space = store(spark), f"ranges_{uuid.uuid4().hex[:8]}"
+    tables.create_or_replace(roles.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), f"{catalog}.{space}.customer", kind=None)
+    url, driver = (spark.conf.get(f"spark.sql.catalog.{catalog}.{k}", None) for k in ("url", "driver"))
+    last = roles.table(spark, sf_dir, "customer").agg(F.max("c_custkey")).first()[0] or 0
+    rows = tables.jdbc_table(spark, url, f'"{space}"."customer"', split="c_custkey", bounds=(0, last + 1), parts=4, **({"driver": driver} if driver else {}))
+    return rows.groupBy("c_nationkey").agg(F.count("*").alias("n"), F.max("c_custkey").alias("newest"))
+
+
+@R.add("""select event_id % 5 = 0 as broken, count(*) as n, count(case when event_id % 5 <> 0 then user_id end) as users, sum(case when event_id % 5 <> 0 then user_id else 0 end)::bigint as total from events group by 1""")
+def broken_messages_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of a declared schema; those that do not parse keep their text instead of ending the job or going unseen."""
+    text = F.to_json(F.struct("event_id", "user_id"))
+    messages = roles.table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 5 == 0, F.expr("substr(to_json(struct(event_id, user_id)), 1, 12)")).otherwise(text).alias("value"))
+    rows = app_json(messages, T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType())]))
+    kept = F.when(F.col("_corrupt").isNull(), F.col("user_id"))
+    return rows.groupBy(F.col("_corrupt").isNotNull().alias("broken")).agg(F.count("*").alias("n"), F.count(kept).alias("users"), F.coalesce(F.sum(kept), F.lit(0)).alias("total"))
+
+
+@R.add("select 'nulls skipped' as kind, count(*) as n from events where event_id % 3 = 0 union all select 'both', 2 * count(*) from events where event_id % 3 <> 0")
+def stream_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One read of a stream feeds an append-only log, which skips null values, and a table of all rows."""
+    where, rows = folder(spark, "sinks"), stream_of(spark, sf_dir, "events")
+    values = sinks.json_values(rows.select("event_id", "user_id"), "event_id").withColumn("value", F.when(F.col("key").cast("long") % 3 != 0, F.col("value")))
+    both = sinks.fan_out([sinks.append_values(f"{where}/log"), sinks.append_batches(f"{where}/all")])
+    sinks.each_batch(values, both, f"{where}/checkpoint", once=True).awaitTermination()
+    held = spark.read.parquet(f"{where}/log").select("key").unionAll(spark.read.parquet(f"{where}/all").select("key"))
+    kind = F.when(F.col("key").cast("long") % 3 == 0, "nulls skipped").otherwise("both")
+    return held.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+@R.add(f"with {TX}, v as (select account_id, count(*) as tx_count, epoch_ms(date_trunc('hour', event_time)) as window_start_ms from tx group by account_id, date_trunc('hour', event_time) having count(*) > 1) select account_id, tx_count, window_start_ms from v where window_start_ms + 3600000 <= (select max(ts_ms) - 5000 from tx)")
+def stream_alert_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of a stream as JSON messages in an append-only log, read back by a consumer."""
+    where = folder(spark, "alerts")
+    found = fraud_streams.velocity(roles.as_transactions(stream_of(spark, sf_dir, "events")).withWatermark("event_time", "5 seconds"), "1 HOUR", 1)
+    sinks.each_batch(fraud.alert_json(found), sinks.append_values(f"{where}/log"), f"{where}/checkpoint", once=True).awaitTermination()
+    read = variant.typed(variant.schemaless(spark.read.parquet(f"{where}/log")), {c: (f"$.{c}", "long") for c in ("account_id", "tx_count", "window_start_ms")})
+    return read.select("account_id", "tx_count", "window_start_ms")
+
+
+@R.add("select o_orderstatus as status, year(o_orderdate)::int as year, count(*) as n from orders where o_orderkey % 2 = 0 group by all")
+def partitions_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned table written twice: the second write leaves nothing of the first."""
+    where, rows = folder(spark, "refreshed"), roles.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.year("o_orderdate").alias("year"))
+    for part in (rows, rows.where("o_orderkey % 2 = 0")):
+        medallion.write_table(part, f"{where}/rows", partition_by=["status", "year"])
+    return spark.read.parquet(f"{where}/rows").groupBy("status", "year").agg(F.count("*").alias("n"))
+
+
+@R.add("select * from nation")
+def table_passed_through(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of one table as another table of the catalog."""
+    where = folder(spark, "through")
+    return tables.create_or_replace(roles.table(spark, sf_dir, "nation"), f"through_{uuid.uuid4().hex[:8]}.nation", location=where)
+
+
+@R.add("select 'kept' as rules, 'passed' as outcome, 2::bigint as n from (select 1) union all select 'broken', 'violated', count(*) from customer where c_custkey * 7 % 101 > 50 having count(*) > 0 union all select 'unreachable', 'aborted', 0")
+def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over kept rules, over a broken one, and over a source that cannot be read, which is no pass."""
+    rows, told = roles.customers(spark, sf_dir), []
+    missing = roles.table(spark, sf_dir, "customer").select(F.raise_error(F.lit("unreachable")).cast("long").alias("customer_id"))
+    checks = {"kept": (rows, [quality.Rule("not_null", "customer_id"), quality.Rule("unique", "customer_id")]), "broken": (rows, [quality.Rule("range", "risk_score", 0, 50)]), "unreachable": (missing, [quality.Rule("range", "customer_id", 0)])}
+    for name, (source, rules) in checks.items():
+        try:
+            told.append((name, "passed", quality.gate(quality.check_table(source, "customers", rules))))
+        except quality.Violated as bad:
+            told.append((name, "violated", int(str(bad).rsplit(": ", 1)[1])))
+        except quality.Aborted:
+            told.append((name, "aborted", 0))
+    return spark.createDataFrame(told, "rules string, outcome string, n long")
+
+
+@R.add("select count(*) as n, count(*) as stamped, 1::bigint as versions from events")
+def served_rows_are_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows get the time at which their batch was written as their version."""
+    where, began = folder(spark, "stamped"), F.lit(datetime.now())
+    serving.append_served(roles.table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_id"), where, "ts")
+    return spark.read.parquet(where).agg(F.count("*").alias("n"), F.count_if(F.col("inserted_at").between(began - F.expr("interval 1 day"), F.current_timestamp() + F.expr("interval 1 day"))).alias("stamped"), F.count_distinct("inserted_at").alias("versions"))
+
+
+@R.add(f"with k as ({queries_batch.ORACLES['metric_kpi']}) select * from k order by window_end desc limit 1")
+def newest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of the day as of the newest window; a sort that keeps one row a task."""
+    return doubles(dashboards.newest(metrics.metric(roles.transactions(spark, sf_dir), metrics.KPI), "window_end", 1))
