@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.llm import decontamination, mixing, near_dedup, quality, queries, toxicity
+from tidewater.llm.common import lookup
 
 DOCS = "doc_id long, text string, source string, size string"
 SF = "/root/testdata/sf0.001"
@@ -59,6 +60,28 @@ def test_near_copies_equal_brute_force(spark):
         assert got == near_classes(rows, 4, 80)
 
 
+@pytest.mark.parametrize("name, value", [("LONG", 40), ("LONG", 10**6), ("BROADCAST_IDS", 0), ("BROADCAST_IDS", 10**6)])
+def test_near_copies_on_both_sides_of_each_switch(spark, monkeypatch, name, value):
+    """Sets on both sides of the length at which the keys change, and sets fetched by broadcast and by shuffle."""
+    rng = random.Random(12)
+    base = [[f"w{rng.randrange(900)}" for _ in range(n)] for n in (30, 44, 52, 160)]
+    rows = [(i, noisy(rng, base[i % 4], 0.006 * (i % 7))) for i in range(70)] + [(200 + i, " ".join(f"u{rng.randrange(10**6)}" for _ in range(60))) for i in range(10)]
+    monkeypatch.setattr(near_dedup, name, value)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(table(spark, [(i, t, "s") for i, t in rows]), 4, 80, few=4).collect()}
+    assert got == near_classes(rows, 4, 80)
+
+
+@pytest.mark.parametrize("hot", [0, 5000])
+def test_lookup_of_hot_and_cold_keys(spark, hot):
+    """Keys that are broadcast and keys that are joined give what one join gives; rows without a value keep null."""
+    keys = ["hot"] * hot + [f"k{i % 40}" for i in range(400)] + ["none"] * 3
+    rows = spark.createDataFrame(list(enumerate(keys)), "n long, key string")
+    values = rows.where("key <> 'none'").groupBy("key").agg(F.count("*").alias("uses"), F.max("n").alias("last"))
+    got = lookup(rows, values, "key", "uses")
+    want = rows.join(values, "key", "left").select(*got.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and got.count() == len(keys)
+
+
 def test_near_copies_of_odd_tables(spark):
     df = table(spark, [(5, "a b c d e f", "s"), (5, "a b c d e f", "s"), (None, "a b c d e f", "s"), (6, "A b c d e f", "s")])
     got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in near_dedup.near_duplicates(df, 4, 80).collect())

@@ -217,8 +217,8 @@ def suffix_runs(pages: DataFrame, least_words: int, least_pages: int, url_col: s
     return suffixes.where("asked").join(runs, ["host", "prefix"]).groupBy("host", "print").agg(F.collect_list("prefix").alias("repeated"))
 
 
-def main_text(pages: DataFrame, least_words: int = 6, least_pages: int = 3, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Per row: id, url, ``text`` and ``n_chars``."""
+def main_text(pages: DataFrame, least_words: int = 6, least_pages: int = 3, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_rows: int = 2000) -> DataFrame:
+    """Per row: id, url, ``text`` and ``n_chars``. Repeats of at most ``broadcast_rows`` short streams are broadcast, more are joined by shuffle."""
     repeats = checkpointed(suffix_runs(pages, least_words, least_pages, url_col, html_col))
     kind = pages.schema[id_col].dataType.simpleString()
 
@@ -243,7 +243,7 @@ def main_text(pages: DataFrame, least_words: int = 6, least_pages: int = 3, id_c
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["id", "url", "text"])
 
     parsed = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(read, f"id {kind}, url string, host string, print string, text string, open array<struct<zone:int,text:string>>")
-    few = repeats.limit(2001).count() <= 2000 and repeats.where(F.size("repeated") > 5000).isEmpty()  # so at most 80 MB
+    few = repeats.limit(broadcast_rows + 1).count() <= broadcast_rows and repeats.where(F.size("repeated") > 5000).isEmpty()  # so at most 80 MB
     joined = parsed.join(F.broadcast(repeats) if few else repeats, ["host", "print"], "left")
     out = joined.select("id", "url", "text", "open", "repeated").mapInArrow(judge, f"id {kind}, url string, text string")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))
