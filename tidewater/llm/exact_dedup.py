@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import checkpointed, slices, utf8
+from tidewater.llm.common import checkpointed, lookup, slices, utf8
 
 LEAST, MOST, MASK = 1024, 16384, np.uint32(0x0FFF)
 GEAR = np.random.default_rng(2024).integers(0, 2**32, 256, dtype=np.uint32)
@@ -105,7 +105,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = checkpointed(recipes(checkpointed(chunked(docs, id_col, text_col))))
     best = F.min(F.struct(F.col("__id").isNull().alias("null"), F.col("__id").alias("id"), F.col("__row").alias("row")))
     groups = checkpointed(rows.groupBy("__recipe").agg(best.alias("__best"), F.count("*").alias("__n")).where("__n > 1"))
-    out = rows.join(groups, "__recipe", "left")
+    out = lookup(rows, groups, "__recipe", "__n")  # blank texts may be a third of all rows
     return out.select(
         "__row",
         F.col("__id").alias(id_col),
