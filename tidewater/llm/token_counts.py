@@ -39,7 +39,9 @@ STEP = np.int16
 #: Entries of each generation of units and pairs, nodes of the tree of words; code points of the longest unit that is held, and of the beginnings that words share.
 UNITS, NODES, PAIRS, LONGEST, BEGINNING = 250_000, 200_000, 200_000, 40, 8
 #: Letters behind at most one space, and then signs that are no letters, digits or apostrophes: the byte-level pre-tokenizer's own expression cuts these in two.
-PLAIN = re.compile(r"( ?[A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
+PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
+#: The characters that stand for bytes which print as none: they follow U+0100 in order.
+BYTES = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
 class Memo:
@@ -77,7 +79,7 @@ class PrefixCounter:
         self.units, self.stands = Memo(units), Memo(pairs)
         self.tree, self.nodes, self.most = ("", 0, {}), 0, nodes
         kind = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
-        self.plain = PLAIN if kind.get("type") == "ByteLevel" and kind.get("use_regex") and not kind.get("add_prefix_space") else None
+        self.plain = PLAIN.fullmatch if kind.get("type") == "ByteLevel" and kind.get("use_regex") and not kind.get("add_prefix_space") else None
 
     def beside(self, last: str, token: str) -> bool:
         """Whether the merges keep ``last`` and ``token`` apart and whole; ``last`` is empty at a word's start."""
@@ -121,16 +123,23 @@ class PrefixCounter:
             self.tree, self.nodes = ("", 0, {}), 0
         return counts
 
-    def split(self, text: str) -> list[tuple[str, tuple[int, int]]]:
-        """The pre-tokenizer's words of a unit with their places; letters behind at most one space are one word, which needs no call."""
-        if self.plain and (found := self.plain.fullmatch(text)):
-            at = found.end(1)
-            return [(text[:at].replace(" ", "\u0120"), (0, at)), (text[at:], (at, len(text)))] if at < len(text) else [(text.replace(" ", "\u0120"), (0, at))]
-        return self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+    def plain_steps(self, letters: str, signs: str) -> bytes:
+        """The steps of a unit that is one word of letters and one of signs at most; each word begins anew, so their steps stand side by side."""
+        if letters.isascii():
+            counts = self.word(letters.replace(" ", "\u0120"))
+            steps = array("h", map(sub, counts[1:], counts))
+        else:
+            counts = self.word(letters.encode().decode("latin-1").translate(BYTES))
+            ends = [counts[k] for k in accumulate(1 if c < "\x80" else 2 for c in letters)]
+            steps = array("h", map(sub, ends, [0, *ends]))
+        if signs:
+            counts = self.word(signs)
+            steps.extend(map(sub, counts[1:], counts))
+        return steps.tobytes()
 
     def unit_counts(self, text: str) -> list[int]:
         """Tokens up to each code point of a unit."""
-        words = self.split(text)
+        words = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
         out, before = [], 0
         for mapped, (start, end) in words:
             counts = self.word(mapped)
@@ -148,8 +157,11 @@ class PrefixCounter:
     def unit(self, text: str) -> bytes:
         """The steps of a unit's counts."""
         if (found := self.units.get(text)) is None:
-            counts = self.unit_counts(text)
-            found = array("h", map(sub, counts, [0, *counts])).tobytes()
+            if self.plain and (plain := self.plain(text)):
+                found = self.plain_steps(*plain.groups())
+            else:
+                counts = self.unit_counts(text)
+                found = array("h", map(sub, counts, [0, *counts])).tobytes()
             if len(text) <= LONGEST:
                 self.units.put(text, found)
         return found
