@@ -160,6 +160,21 @@ def test_let_through_in_slices(spark, wait):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_let_through_where_the_join_becomes_a_broadcast(spark):
+    """The join of slices and states is planned as a sorted one and found small enough to broadcast as it runs; a slice still stays in one piece."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "100k", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "7"}
+    held = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        events = spark.range(40_000, numPartitions=6).select(F.format_string("hot%d", F.floor(F.col("id") / 40_000)).alias("key"), (F.pmod(F.col("id") * 7919, F.lit(40_000)) * 7).alias("at"))
+        got = sorted(r.at for r in slices.let_through(events, "key", "at", 1000).collect())
+    finally:
+        for k, v in held.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == list(range(0, 280_000, 1001))
+
+
 def test_one_huge_account_is_many_tasks(spark):
     """All rows in one account: storms and routing give the same rows, and more than one task has rows."""
     rows = [(i, 1, "a", "1", "failed", "c", T0 + timedelta(seconds=7 * i)) for i in range(3000)]

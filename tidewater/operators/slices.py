@@ -62,6 +62,12 @@ def in_batches(groups: Iterator, size: int = 1000) -> Iterator[list]:
         yield found
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows of equal keys in one partition. They are dealt by a hash of the keys: a shuffle by the keys themselves is left out of the plan where a join on them stands before,
+    and once that join turns out to be a broadcast, its side is read piece by piece and no longer by key."""
+    return rows.repartition(F.xxhash64(*keys))
+
+
 def let_through(events: DataFrame, key: str, at: str, wait: int, slices: int = SLICE) -> DataFrame:
     """The events (key, at, distinct; neither null) that come ``wait`` or more after the last one of the key that was let through; the first always is."""
     long = max(wait, 1) * slices
@@ -102,6 +108,6 @@ def let_through(events: DataFrame, key: str, at: str, wait: int, slices: int = S
             yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), pa.array(chosen, pa.int64())], ["k", "t"])
 
     key_type = to_arrow_type(events.schema[key].dataType)
-    pieces = cut.withColumn("came", F.lit(None).cast("long")).repartition("k", "s").sortWithinPartitions("k", "s", "t").mapInArrow(told, f"k {kind}, s long, upto array<long>, out array<long>")
-    states = pieces.repartition("k").sortWithinPartitions("k", "s").mapInArrow(carried, f"k {kind}, s long, came long")
-    return cut.join(states, ["k", "s"]).repartition("k", "s").sortWithinPartitions("k", "s", "t").mapInArrow(passed, f"k {kind}, t long").select(F.col("k").alias(key), F.col("t").alias(at))
+    pieces = dealt(cut.withColumn("came", F.lit(None).cast("long")), "k", "s").sortWithinPartitions("k", "s", "t").mapInArrow(told, f"k {kind}, s long, upto array<long>, out array<long>")
+    states = dealt(pieces, "k").sortWithinPartitions("k", "s").mapInArrow(carried, f"k {kind}, s long, came long")
+    return dealt(cut.join(states, ["k", "s"]), "k", "s").sortWithinPartitions("k", "s", "t").mapInArrow(passed, f"k {kind}, t long").select(F.col("k").alias(key), F.col("t").alias(at))
