@@ -115,6 +115,16 @@ def test_retention_reaches_the_scan_and_days_are_dropped(spark, tmp_path):
     assert serving.within_retention(rows, "ts", 10_000).count() == 20
 
 
+def test_served_tables_get_few_files(spark, tmp_path):
+    """Rows of a day stand together in one file, wherever they come from; a table without a time column has no folders at all."""
+    rows = spark.range(0, 240, 1, 6).select(F.timestamp_seconds(F.lit(1_709_251_200) + (F.col("id") % 12) * 86_400).alias("ts"), "id")
+    serving.append_served(rows, f"{tmp_path}/days", "ts")
+    serving.append_served(rows, f"{tmp_path}/whole", None)
+    days, whole = spark.read.parquet(f"{tmp_path}/days"), spark.read.parquet(f"{tmp_path}/whole")
+    assert len(days.inputFiles()) == 12 and days.count() == 240 == days.select("id").distinct().count()
+    assert len(whole.inputFiles()) == 6 and whole.columns == ["ts", "id", "inserted_at"] and whole.count() == 240
+
+
 def test_topics_by_other_sources_and_sinks(spark, tmp_path):
     """The topic source and sink are Spark's own with a name and options; here other built-in ones stand in for the broker."""
     live = streams.topic_stream(spark, {"rowsPerSecond": "50"}, source="rate")

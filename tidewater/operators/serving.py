@@ -39,9 +39,14 @@ def drop_expired(spark: SparkSession, path: str, days: int, now: str | None = No
     return gone
 
 
-def append_served(df: DataFrame, path: str, time_col: str, now: Column | None = None) -> None:
-    """Append with a version and a partition per day."""
-    df.withColumn("inserted_at", F.current_timestamp() if now is None else now).withColumn("__day", day_key(F.col(time_col))).write.mode("append").partitionBy("__day").parquet(path)
+def append_served(df: DataFrame, path: str, time_col: str | None, now: Column | None = None) -> None:
+    """Append with a version and a partition per day, whose rows are brought together first, so that it gets few files. Without a time column the table has no
+    partitions: that is for tables of few rows a day, whose folders would be more work than their rows."""
+    rows = df.withColumn("inserted_at", F.current_timestamp() if now is None else now)
+    if time_col is None:
+        rows.write.mode("append").parquet(path)
+    else:
+        rows.withColumn("__day", day_key(F.col(time_col))).hint("rebalance", F.col("__day")).write.mode("append").partitionBy("__day").parquet(path)
 
 
 def replace_rows(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
