@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidewater.operators import bucketed, cdc, quality, serving
-from tidewater.plans import roles
+from tidewater.plans import queries_tables, roles
 from tidewater.plans.queries_tables import in_store, store
 from tidewater.sources import streams, tables, variant
 from tidewater.streaming import sinks
@@ -115,6 +115,17 @@ def test_retention_reaches_the_scan_and_days_are_dropped(spark, tmp_path):
     assert serving.within_retention(rows, "ts", 10_000).count() == 20
 
 
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    """The query's tables get as many buckets as keep one at a bounded number of rows."""
+    assert bucketed.buckets(spark.range(100), spark.range(1001), rows=100) == 11 and bucketed.buckets(spark.range(0)) == 8
+    made, save = [], bucketed.save
+    monkeypatch.setattr(bucketed.buckets, "__kwdefaults__", {"rows": 500, "least": 8})
+    monkeypatch.setattr(bucketed, "save", lambda df, table, keys, n, path: made.append((n, df.count())) or save(df, table, keys, n, path))
+    got = queries_tables.bucketed_versions_joined(spark, SF)
+    assert len({n for n, _ in made}) == 1 and max(rows for _, rows in made) <= 500 * made[0][0] and made[0][0] > 8
+    assert got.agg(F.sum("n")).first()[0] == roles.bronze_transactions(spark, SF).count() and "Exchange" not in plan(got)
+
+
 def test_served_tables_get_few_files(spark, tmp_path):
     """Rows of a day stand together in one file, wherever they come from; a table without a time column has no folders at all."""
     rows = spark.range(0, 240, 1, 6).select(F.timestamp_seconds(F.lit(1_709_251_200) + (F.col("id") % 12) * 86_400).alias("ts"), "id")
