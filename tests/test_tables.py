@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidewater.operators import bucketed, cdc, quality, serving
-from tidewater.plans import queries_tables, roles
+from tidewater.plans import medallion, queries_batch, queries_tables, roles, scratch
 from tidewater.plans.queries_tables import in_store, store
 from tidewater.sources import streams, tables, variant
 from tidewater.streaming import sinks
@@ -126,6 +126,17 @@ def test_buckets_grow_with_the_rows(spark, monkeypatch):
     assert got.agg(F.sum("n")).first()[0] == roles.bronze_transactions(spark, SF).count() and "Exchange" not in plan(got)
 
 
+def test_gold_is_made_in_partitions_by_size(spark, monkeypatch):
+    """Partitions grow with the transactions while gold is made, the session has its own again afterwards, and the rows are those of the plan without."""
+    seen, write, session = [], medallion.write_table, spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr(scratch.small_partitions.__wrapped__, "__defaults__", (700, "16m"))
+    monkeypatch.setattr(medallion, "write_table", lambda df, path: seen.append(int(spark.conf.get("spark.sql.shuffle.partitions"))) or write(df, path))
+    for query, make in ((queries_batch.gold_daily_transaction_summary, medallion.daily_summary), (queries_batch.gold_customer_lifetime_metrics, medallion.lifetime_metrics)):
+        got, want = query(spark, SF), make(queries_batch._silver(spark, SF))
+        assert got.dtypes == want.dtypes and got.count() == want.count() and got.exceptAll(want).count() == 0
+    assert seen == [-(-roles.table(spark, SF, "lineitem").count() // 700)] * 2 and seen[0] > int(session) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_served_tables_get_few_files(spark, tmp_path):
     """Rows of a day stand together in one file, wherever they come from; a table without a time column has no folders at all."""
     rows = spark.range(0, 240, 1, 6).select(F.timestamp_seconds(F.lit(1_709_251_200) + (F.col("id") % 12) * 86_400).alias("ts"), "id")

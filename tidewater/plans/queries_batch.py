@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewater.operators import cdc, distinct, windows
 from tidewater.plans import alerts, dlq, fraud, medallion, metrics, roles
 from tidewater.plans.registry import Registry, doubles
+from tidewater.plans.scratch import folder, small_partitions
 
 R = Registry()
 QUERIES, ORACLES = R.queries, R.sql
@@ -74,6 +77,14 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.silver_enriched(roles.bronze_transactions(spark, sf_dir), roles.bronze_accounts(spark, sf_dir), roles.customers(spark, sf_dir))
 
 
+def _gold(spark: SparkSession, sf_dir: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A gold table made of silver, written and read; its shuffles have partitions by the number of transactions."""
+    where = f"{folder(spark, 'gold')}/rows"
+    with small_partitions(spark, roles.table(spark, sf_dir, "lineitem").count()):
+        medallion.write_table(make(_silver(spark, sf_dir)), where)
+    return spark.read.parquet(where)
+
+
 @R.add(f"with {BRONZE} select * from silver")
 def silver_enriched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir)
@@ -81,12 +92,12 @@ def silver_enriched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.add(f"with {BRONZE} select year, month, day, country_code, transaction_type, count(transaction_id) as txn_count, sum(amount::decimal(19,4))::double as total_volume, sum(amount::decimal(19,4))::double / count(amount) as avg_amount, count(distinct customer_id) as unique_customers, sum(case when status = 'failed' then 1 else 0 end)::bigint as failed_count from silver group by year, month, day, country_code, transaction_type")
 def gold_daily_transaction_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return medallion.daily_summary(_silver(spark, sf_dir))
+    return _gold(spark, sf_dir, medallion.daily_summary)
 
 
 @R.add(f"with {BRONZE} select customer_id, customer_name, country_code, kyc_status, risk_score, count(transaction_id) as total_txn_count, sum(amount::decimal(19,4))::double as lifetime_value, sum(amount::decimal(19,4))::double / count(amount) as avg_txn_amount, max(posted_at) as last_activity, min(posted_at) as first_activity, count(distinct account_id) as account_count from silver group by all")
 def gold_customer_lifetime_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return medallion.lifetime_metrics(_silver(spark, sf_dir))
+    return _gold(spark, sf_dir, medallion.lifetime_metrics)
 
 
 @R.add(f"with {BRONZE} select transaction_id, posted_at, amount, currency, transaction_type, status, customer_id, customer_name, country_code, risk_score, account_id, account_type, year, month, day from silver where risk_score > 60")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,20 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_partitions(spark: SparkSession, rows: int, per: int = 500_000, size: str = "16m") -> Iterator[None]:
+    """Jobs that run within deal ``rows`` into shuffle partitions of some ``per``, and never fewer than the session's, so that a task's memory does not grow with the input; those that are small are merged up to ``size``."""
+    settings = {"spark.sql.shuffle.partitions": str(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per))), "spark.sql.adaptive.advisoryPartitionSizeInBytes": size}
+    held = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in held.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def run_once(stream: DataFrame, name: str, each: Callable[[DataFrame], DataFrame] | None = None, where: str | None = None) -> DataFrame:
     """Run a stream over all there is, append its rows to a table and read that; ``where`` holds the table and the checkpoint."""
     where = where or folder(stream.sparkSession, name)
