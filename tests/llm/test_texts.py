@@ -163,6 +163,21 @@ def test_what_is_held_is_bounded(counter):
     assert small.nodes <= 20
 
 
+def test_plain_words_are_counted_side_by_side(counter):
+    """No word of letters and signs is walked through by itself, also with room for one pair; all prefixes are the library's."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdetionßéñ") for _ in range(rng.randrange(1, 15))) + rng.choice(["", "", ",", ".***", "!&&"])
+    texts = [rng.choice([" ", "\n", "\t"]).join(word() for _ in range(30)) for _ in range(20)] + ["", "x", "\na", "the <|endoftext|> end", "a\n b  c"]
+    want = [of_library(counter, t) for t in texts]
+    for pairs in (1, 200_000):
+        own = token_counts.PrefixCounter(queries.vocabulary(), pairs=pairs)
+        walked, walk = [], own.word
+        own.word = lambda mapped, walked=walked, walk=walk: walked.append(mapped) or walk(mapped)
+        assert [token_counts.counts_of(s).tolist() for s in own.all_steps(texts[:23])] == want[:23]
+        assert not walked
+        assert [token_counts.counts_of(s).tolist() for s in own.all_steps(texts)] == want
+
+
 def test_very_long_texts_and_clashing_columns(spark):
     """A run of a megabyte without white space, words of every kind, and columns of the results' names."""
     texts = ["ab1é" * 60_000, "word, " * 100_000, " " * 5000 + "x"]

@@ -7,7 +7,8 @@ run after it; a prefix that ends in white space belongs to the same unit, so the
 
 ``prefix_table`` stores each text's counts as the steps from one prefix to the next, two bytes a code point, which compress well; all else is asked of that
 table: the whole count, whether a budget is passed, and where a text is to be cut, for any number of budgets, without the vocabulary.
-What is held of units, beginnings of words and pairs of tokens is bounded by numbers of short entries, some 250 MB a worker.
+Units of one word and signs, nearly all, are counted side by side for many texts: their tokens come from the vocabulary's tree, a byte deeper at a time, and all
+prefixes of one length get their last token together. What is held of units, beginnings of words and pairs of tokens is bounded by numbers of short entries, some 250 MB a worker.
 
 Null text counts as empty: no tokens and no prefixes. Empty tables give empty results. Rows are counted one by one,
 so repeated ids or rows each give a row. Other input columns are left alone and not read. Texts of megabytes are counted in the same way; long runs are not held.
@@ -20,7 +21,7 @@ import re
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, pairwise
 from operator import sub
 
 import numpy as np
@@ -38,10 +39,13 @@ LEAD = re.compile(f"[{SPACE}]*")
 STEP = np.int16
 #: Entries of each generation of units and pairs, nodes of the tree of words; code points of the longest unit that is held, and of the beginnings that words share.
 UNITS, NODES, PAIRS, LONGEST, BEGINNING = 250_000, 200_000, 200_000, 40, 8
-#: Letters behind at most one space, and then signs that are no letters, digits or apostrophes: the byte-level pre-tokenizer's own expression cuts these in two.
-PLAIN = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
-#: The characters that stand for bytes which print as none: they follow U+0100 in order.
-BYTES = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}
+#: At most a line's end or a tab, letters behind at most one space, and then signs that are no letters, digits or apostrophes: the byte-level pre-tokenizer's own expression cuts these apart.
+PLAIN = re.compile(r"([\t\n\r](?! ))?( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
+#: The bytes for which characters stand: those that print as none are written as characters from U+0100 on, in order.
+BYTE_OF = {chr(256 + k): b for k, b in enumerate([*range(33), *range(127, 161), 173])}
+BYTE_OF |= {chr(b): b for b in range(256) if b not in set(BYTE_OF.values())}
+#: Units that are counted together, and code points of texts that share a count of units.
+PIECE, ROOM = 50_000, 1_000_000
 
 
 class Memo:
@@ -56,12 +60,70 @@ class Memo:
             self.put(key, found)
         return found
 
+    def held(self, keys: set) -> dict:
+        """What is held of the keys."""
+        young, old = self.young, self.old
+        found = {k: young[k] for k in keys if k in young}
+        for k in [k for k in keys.difference(found) if k in old] if old else []:
+            found[k] = old[k]
+            self.put(k, old[k])
+        return found
+
     def put(self, key, value) -> None:
         if len(self.young) >= self.size:
             self.old, self.young = self.young, {}
         self.young[key] = value
 
 
+def spread(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Places for numbers in a table of 2 ** bits."""
+    return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class Edges:
+    """A map of distinct whole numbers from 0 on to others from 1 on, asked for many at once; 0 is for what it does not hold."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(3, (4 * len(keys)).bit_length())
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int64)
+        at = spread(keys, self.bits)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]
+            here = self.keys[at] == keys
+            self.values[at[here]] = values[here]
+            keys, values, at = keys[~here], values[~here], (at[~here] + 1) % len(self.keys)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        at = spread(keys, self.bits)
+        held = self.keys[at]
+        out = np.where(held == keys, self.values[at], 0)
+        left = np.flatnonzero((held != keys) & (held >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) % len(self.keys)
+            held = self.keys[at[left]]
+            here = held == keys[left]
+            out[left[here]] = self.values[at[left[here]]]
+            left = left[~here & (held >= 0)]
+        return out
+
+
+def tree_of(tokens: list[bytes]) -> tuple[Edges, np.ndarray]:
+    """The tree of all beginnings of tokens: from 256 times a node plus a byte to the next node, and the number of the token that each node is, or -1. The root is 0."""
+    sizes = np.array(list(map(len, tokens)), np.int64)
+    data, starts = np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(sizes) - sizes
+    state, at, nodes, keys = np.zeros(len(tokens), np.int64), np.arange(len(tokens)), 1, [np.empty(0, np.int64)]
+    for k in range(sizes.max(initial=0)):
+        at = at[sizes[at] > k]
+        own, place = np.unique(state[at] << 8 | data[starts[at] + k], return_inverse=True)
+        state[at] = nodes + place
+        nodes += len(own)
+        keys.append(own)
+    token_at = np.full(nodes, -1, np.int64)
+    token_at[state] = np.arange(len(tokens))
+    return Edges(np.concatenate(keys), np.arange(1, nodes)), token_at
+
+
 class PrefixCounter:
     """Counts tokens of all prefixes with a byte-level vocabulary of the tokenizers library."""
 
@@ -79,7 +141,15 @@ class PrefixCounter:
         self.units, self.stands = Memo(units), Memo(pairs)
         self.tree, self.nodes, self.most = ("", 0, {}), 0, nodes
         kind = json.loads(self.tokenizer.to_str())["pre_tokenizer"] or {}
-        self.plain = PLAIN.fullmatch if kind.get("type") == "ByteLevel" and kind.get("use_regex") and not kind.get("add_prefix_space") else None
+        #: the tokens by number, at the end the empty one; the tree of their bytes, and the token that each of its nodes is
+        self.names = [*sorted(t for t in self.tokens if all(c in BYTE_OF for c in t)), ""]
+        written_out = [bytes(map(BYTE_OF.__getitem__, t)) for t in self.names[:-1]]
+        self.edges, self.token_at = tree_of(written_out)
+        #: pairs of numbers that were asked last, twice the pair and 1 if it stands
+        self.bits = max(3, (8 * pairs).bit_length())
+        self.held = np.full(1 << self.bits, -1, np.int64)
+        whole = sum(len(t) == 1 for t in written_out) == 256
+        self.plain = PLAIN.fullmatch if whole and kind.get("type") == "ByteLevel" and kind.get("use_regex") and not kind.get("add_prefix_space") else None
 
     def beside(self, last: str, token: str) -> bool:
         """Whether the merges keep ``last`` and ``token`` apart and whole; ``last`` is empty at a word's start."""
@@ -123,19 +193,70 @@ class PrefixCounter:
             self.tree, self.nodes = ("", 0, {}), 0
         return counts
 
-    def plain_steps(self, letters: str, signs: str) -> bytes:
-        """The steps of a unit that is one word of letters and one of signs at most; each word begins anew, so their steps stand side by side."""
-        if letters.isascii():
-            counts = self.word(letters.replace(" ", "\u0120"))
-            steps = array("h", map(sub, counts[1:], counts))
-        else:
-            counts = self.word(letters.encode().decode("latin-1").translate(BYTES))
-            ends = [counts[k] for k in accumulate(1 if c < "\x80" else 2 for c in letters)]
-            steps = array("h", map(sub, ends, [0, *ends]))
-        if signs:
-            counts = self.word(signs)
-            steps.extend(map(sub, counts[1:], counts))
-        return steps.tobytes()
+    def byte_steps(self, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """The steps at each byte of words that stand side by side, all words at once; ``begins`` has the place where each begins.
+
+        All tokens at all places come from the vocabulary's tree, one byte deeper at a time. Then ends of prefixes get their last token, the shortest prefixes first
+        and of one length the longest tokens first, as what stands before a token must be known.
+        """
+        sizes = np.diff(begins, append=len(data))
+        begin, end_of = np.repeat(begins, sizes), np.repeat(begins + sizes, sizes)
+        at, state, size, found = np.arange(len(data)), np.zeros(len(data), np.int64), 0, []
+        while len(at):
+            state = self.edges.get(state << 8 | data[at + size])
+            at, state, size = at[state > 0], state[state > 0], size + 1
+            token = self.token_at[state]
+            own = np.flatnonzero(token >= 0)
+            found.append((at[own], token[own], np.full(len(own), size)))
+            more = at + size < end_of[at]
+            at, state = at[more], state[more]
+        start, token, size = map(np.concatenate, zip(*found))
+        rank = (start + size - begin[start]) * 256 - size
+        order = np.argsort(rank.astype(np.int16) if rank.max(initial=0) < 32768 else rank, kind="stable")
+        start, token, end, rank = start[order], token[order], (start + size)[order] - 1, rank[order]
+        alone = start == begin[start]
+        last, counts = np.full(len(data), -1), np.zeros(len(data), np.int64)
+        edges = [0, *(np.flatnonzero(np.diff(rank)) + 1).tolist(), len(rank)]
+        for i, j in pairwise(edges):
+            k = i + np.flatnonzero(last[end[i:j]] < 0)
+            before = np.where(alone[k], len(self.names) - 1, last[start[k] - 1])
+            fits = self.side_by_side(before, token[k])
+            k = k[fits]
+            last[end[k]] = token[k]
+            counts[end[k]] = 1 + np.where(alone[k], 0, counts[start[k] - 1])
+        steps = np.diff(counts, prepend=0)
+        steps[begins] = counts[begins]
+        return steps
+
+    def side_by_side(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """``beside`` for many pairs of numbers of tokens; a pair that is not where it would be held is asked of the library and takes the place."""
+        pairs = before * len(self.names) + token
+        places = spread(pairs, self.bits)
+        held = self.held[places]
+        fits, new = (held & 1).astype(bool), np.flatnonzero(held >> 1 != pairs)
+        if len(new):
+            asked, place = np.unique(pairs[new], return_inverse=True)
+            names, model = self.names, self.tokenizer.model
+            told = []
+            for a, b in zip(*(x.tolist() for x in divmod(asked, len(names)))):
+                apart = model.tokenize(names[a] + names[b])
+                told.append(len(apart) == 1 + (a < len(names) - 1) and apart[-1].value == names[b])
+            told = np.array(told)
+            self.held[spread(asked, self.bits)] = asked << 1 | told
+            fits[new] = told[place]
+        return fits
+
+    def plain_steps(self, units: list[str], cuts: list[tuple[int, int]]) -> list[bytes]:
+        """The steps of plain units, from where their letters and their signs begin; each word begins anew, so all words stand side by side."""
+        data = np.frombuffer("".join(units).encode(), np.uint8)
+        sizes = np.array(list(map(len, units)))
+        ends = np.cumsum(sizes)
+        begins = np.column_stack([ends - sizes, (ends - sizes)[:, None] + np.array(cuts)])
+        begins = np.unique(begins[begins < ends[:, None]])
+        chars = np.flatnonzero((data & 0xC0) != 0x80)
+        steps = np.add.reduceat(self.byte_steps(data, chars[begins]), chars).astype(STEP).tobytes()
+        edges = [0, *(ends * np.dtype(STEP).itemsize).tolist()]
+        return [steps[i:j] for i, j in pairwise(edges)]
 
     def unit_counts(self, text: str) -> list[int]:
         """Tokens up to each code point of a unit."""
@@ -154,16 +275,22 @@ class PrefixCounter:
             out[space - 1] = self.unit_counts(text[:space])[-1]
         return out
 
-    def unit(self, text: str) -> bytes:
-        """The steps of a unit's counts."""
-        if (found := self.units.get(text)) is None:
-            if self.plain and (plain := self.plain(text)):
-                found = self.plain_steps(*plain.groups())
+    def units_steps(self, units: set[str]) -> dict[str, bytes]:
+        """The steps of each unit's counts; plain ones that are not held are counted together."""
+        found, plain, cuts = self.units.held(units), [], []
+        for unit in units.difference(found):
+            if self.plain and len(unit) <= LONGEST and (cut := self.plain(unit)):
+                plain.append(unit)
+                cuts.append((cut.start(2), cut.end(2)))
             else:
-                counts = self.unit_counts(text)
-                found = array("h", map(sub, counts, [0, *counts])).tobytes()
-            if len(text) <= LONGEST:
-                self.units.put(text, found)
+                counts = self.unit_counts(unit)
+                found[unit] = array("h", map(sub, counts, [0, *counts])).tobytes()
+                if len(unit) <= LONGEST:
+                    self.units.put(unit, found[unit])
+        for k in range(0, len(plain), PIECE):
+            for unit, steps in zip(plain[k : k + PIECE], self.plain_steps(plain[k : k + PIECE], cuts[k : k + PIECE]), strict=True):
+                found[unit] = steps
+                self.units.put(unit, steps)
         return found
 
     def parts(self, text: str) -> list[str]:
@@ -175,8 +302,8 @@ class PrefixCounter:
         parts = self.parts(text)
         if len(parts) == 1:
             units = UNIT.findall(text)
-            found = list(map(self.units.young.get, units))
-            return b"".join([self.unit(u) if f is None else f for u, f in zip(units, found)])
+            pieces = [units[k : k + PIECE] for k in range(0, len(units), PIECE)]
+            return b"".join(b"".join(map(self.units_steps(set(p)).__getitem__, p)) for p in pieces)
         out, before, last, start = [], 0, "", 0
         for k, part in enumerate(parts):
             if k % 2:  # all but its end is plain text that lengthens the unit before it
@@ -190,6 +317,19 @@ class PrefixCounter:
                     last, start, before = unit, before, before + own[-1]
         return np.diff(np.array(out, np.int64), prepend=0).astype(STEP).tobytes()
 
+    def all_steps(self, texts: list[str]) -> list[bytes]:
+        """The steps of several texts; what texts of ``ROOM`` code points together have in common is counted once."""
+        out, at = [], 0
+        while at < len(texts):
+            end, room = at + 1, ROOM - len(texts[at])
+            while end < len(texts) and (room := room - len(texts[end])) >= 0:
+                end += 1
+            cut = [UNIT.findall(t) if len(t) <= ROOM and not any(s in t for s in self.specials) else None for t in texts[at:end]]
+            found = self.units_steps(set().union(*(c for c in cut if c)))
+            out += [self.steps(t) if c is None else b"".join(map(found.__getitem__, c)) for t, c in zip(texts[at:end], cut, strict=True)]
+            at = end
+        return out
+
     def counts(self, text: str) -> np.ndarray:
         """Tokens of ``text[:k]`` for each k from 1 on."""
         return counts_of(self.steps(text))
@@ -211,9 +351,9 @@ def prefix_table(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PrefixCounter(vocabulary)
-        for batch in slices(batches, 64):
+        for batch in slices(batches, 256):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            found = [counter.steps(t) for t in texts]
+            found = counter.all_steps(texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(found, pa.binary())], ["__id", "n_bytes", "steps"])
 
     kind = docs.schema[id_col].dataType.simpleString()
