@@ -389,3 +389,15 @@ def test_queries_cover_their_tables(spark):
     tokens = queries.op3_token_counts(spark, SF).agg(F.sum("n_tokens")).first()[0]
     counter = __import__("tidewater.llm.token_counts", fromlist=["x"]).PrefixCounter(queries.vocabulary())
     assert tokens == sum(len(counter.tokenizer.encode(r.text, add_special_tokens=False).ids) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+
+
+def test_growing_joins_of_near_copies_are_not_broadcast(spark):
+    """Also where a side is small: each broadcast would stay with the driver for a while, and there are dozens."""
+    reps = spark.createDataFrame([(k, 10, [k] * 24) for k in range(4)], "node long, n long, symbols array<long>")
+    pairs = spark.createDataFrame([(0, 1), (1, 2)], "a long, b long")
+    members, hubs = near_dedup.to_hubs(spark.createDataFrame([(7, 0), (7, 1), (8, 2)], "key long, node long"))
+    assert sorted(map(tuple, hubs.collect())) == [(0, 1)]
+    for out in (near_dedup.likely(pairs, reps, 80), near_dedup.to_draws(members.selectExpr("key", "node", "node as component", "0L as top"))):
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -64,6 +64,14 @@ LEFT_OUT = DRAWN.integers(0, 2**63, (CHUNKS, WIDE), dtype=np.uint64)
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
+def grown(rows: DataFrame) -> DataFrame:
+    """A join's side that grows with the input: shuffled at any size.
+
+    The many joins here would each turn into a broadcast where the input is small, after their shuffles, and each of these leaves megabytes with the driver.
+    """
+    return rows.hint("merge")
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * MIX
     return x ^ (x >> np.uint64(29))
@@ -151,7 +159,7 @@ def signed(docs: DataFrame, shingle: int) -> DataFrame:
 
 def sets_of(nodes: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """(node, own) of the nodes named; their texts are read again by id and told apart by the digest of their sets."""
-    needed = compact(nodes.select("node").distinct().join(reps.select("node", "rep", "same"), "node"))
+    needed = compact(nodes.select("node").distinct().join(grown(reps.select("node", "rep", "same")), "node"))
     few = needed.count() <= BROADCAST_IDS
     ids = needed.select(F.col("rep").alias("__id")).distinct()
     own = _sets(docs.join(F.broadcast(ids) if few else ids, "__id", "left_semi"), shingle)
@@ -162,7 +170,7 @@ def likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that sizes and sketches do not rule out."""
     a = reps.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("symbols").alias("s_a"))
     b = reps.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("symbols").alias("s_b"))
-    return pairs.join(a, "a").join(b, "b").where(alike(percent)).select("a", "b")
+    return pairs.join(grown(a), "a").join(grown(b), "b").where(alike(percent)).select("a", "b")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -172,13 +180,13 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     pairs = compact(pairs)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    total = nodes.join(sets, "node").agg(F.sum(F.octet_length("own"))).first()[0] or 0
+    total = nodes.join(grown(sets), "node").agg(F.sum(F.octet_length("own"))).first()[0] or 0
     blocks = max(6, total // TILE + 1)
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
     pairs = pairs.select(block("a").alias("at_a"), block("b").alias("at_b"), "a", "b")
     uses = pairs.select("at_a", "at_b", F.col("a").alias("node")).union(pairs.select("at_a", "at_b", F.col("b").alias("node"))).distinct()
     nothing = F.lit(None)
-    rows = pairs.select("at_a", "at_b", "a", "b", nothing.cast("binary").alias("own")).unionByName(uses.join(sets, "node").select("at_a", "at_b", F.col("node").alias("a"), nothing.cast("long").alias("b"), "own"))
+    rows = pairs.select("at_a", "at_b", "a", "b", nothing.cast("binary").alias("own")).unionByName(uses.join(grown(sets), "node").select("at_a", "at_b", F.col("node").alias("a"), nothing.cast("long").alias("b"), "own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in runs(batches, ["at_a", "at_b"]):
@@ -236,7 +244,7 @@ def split_buckets(sets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             nodes = np.repeat(batch.column("node").to_numpy(), list(map(len, found)))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *found])), pa.array(nodes, pa.int64())], ["key", "node"])
 
-    long_ = reps.where(100 * F.col("n") > 80 * LONG).join(sets.select("node"), "node", "left_semi")
+    long_ = reps.where(100 * F.col("n") > 80 * LONG).join(grown(sets.select("node")), "node", "left_semi")
     return compact(sets.mapInArrow(run, "key long, node long").unionByName(long_.select(F.explode("keys").alias("key"), "node")))
 
 
@@ -283,17 +291,17 @@ def components(edges: DataFrame, alone: int = 200_000) -> DataFrame:
 def to_hubs(held: DataFrame) -> tuple[DataFrame, DataFrame]:
     """From (key, node): the members of keys of several nodes, and the pairs (a, b) of each with its key's least node."""
     hubs = held.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("hub")).where("members > 1")
-    members = compact(held.join(hubs, "key"))
+    members = compact(held.join(grown(hubs), "key"))
     return members, members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
     """Members, with their component, of keys of several components; ``top`` is the largest of these, ``outside`` the number of members not in it."""
-    placed = members.select("key", "node", "members").join(groups, F.col("node") == F.col("id"), "left").select("key", "node", "members", F.coalesce("component", "node").alias("component"))
+    placed = members.select("key", "node", "members").join(grown(groups), F.col("node") == F.col("id"), "left").select("key", "node", "members", F.coalesce("component", "node").alias("component"))
     placed = compact(placed)
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("key").agg(F.count("*").alias("components"), F.sum("size").alias("all"), F.max(F.struct("size", "component")).alias("t")).where("components > 1")
-    return compact(placed.join(largest.select("key", F.col("t.component").alias("top"), (F.col("all") - F.col("t.size")).alias("outside")), "key"))
+    return compact(placed.join(grown(largest.select("key", F.col("t.component").alias("top"), (F.col("all") - F.col("t.size")).alias("outside"))), "key"))
 
 
 def to_draws(placed: DataFrame) -> DataFrame:
@@ -301,7 +309,7 @@ def to_draws(placed: DataFrame) -> DataFrame:
     order = F.struct(F.xxhash64("key", "node").alias("draw"), "node")
     drawn = placed.where("component = top").groupBy("key").agg(*[F.min(F.when(F.pmod(F.xxhash64("node", F.lit(9)), F.lit(DRAWS)) == k, order)).alias(f"d{k}") for k in range(DRAWS)])
     drawn = drawn.select("key", F.explode(F.filter(F.array(*[F.col(f"d{k}") for k in range(DRAWS)]), lambda d: d.isNotNull())).alias("d")).select("key", F.col("d.node").alias("a"))
-    return placed.where("component <> top").select("key", F.col("node").alias("b")).join(drawn, "key").select("a", "b").distinct()
+    return placed.where("component <> top").select("key", F.col("node").alias("b")).join(grown(drawn), "key").select("a", "b").distinct()
 
 
 def wide_sketches(sets: DataFrame) -> DataFrame:
@@ -317,7 +325,7 @@ def wide_sketches(sets: DataFrame) -> DataFrame:
 
 def across(placed: DataFrame, sketches: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs of members outside a key's largest component with all members of other components that size and sketch do not rule out."""
-    own = placed.join(placed.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("held")), "node").join(sketches, "node").join(reps.select("node", "n"), "node")
+    own = placed.join(grown(placed.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("held"))), "node").join(grown(sketches), "node").join(grown(reps.select("node", "n")), "node")
     own = own.withColumn("blocks_a", F.ceil(F.col("outside") / BLOCK).cast("int")).withColumn("blocks_b", F.ceil(F.col("members") / (8 * BLOCK)).cast("int"))
     block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -409,16 +417,16 @@ def classes(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     sketches = reps.select("node", F.col("symbols").alias("sketch"))
     groups = joined(groups, found(across(placed.where(F.col("members") <= few), sketches, reps, percent)))
     if not crowded.isEmpty():
-        own = compact(sets.join(crowded, "node", "left_semi"))
+        own = compact(sets.join(grown(crowded), "node", "left_semi"))
         members, pairs = to_hubs(split_buckets(own, reps, percent))
         groups = joined(groups, fit(pairs))
         groups = joined(groups, fit(to_draws(open_members(members, groups))))
         groups = joined(groups, found(across(open_members(members, groups), compact(wide_sketches(own)), reps, percent)))
 
     all_ = groups.select("id", "component").union(groups.select("component", "component").distinct())
-    named = all_.join(reps.select("node", "rep"), F.col("id") == F.col("node")).select("node", "component", "rep")
-    named = named.select("node", F.col("component")).join(named.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select("node", "component_id")
-    final = reps.select("same", "node", "rep", "copies").join(named, "node", "left").select("same", F.coalesce("component_id", "rep").alias("component_id"), "copies")
+    named = all_.join(grown(reps.select("node", "rep")), F.col("id") == F.col("node")).select("node", "component", "rep")
+    named = named.select("node", F.col("component")).join(grown(named.groupBy("component").agg(F.min("rep").alias("component_id"))), "component").select("node", "component_id")
+    final = reps.select("same", "node", "rep", "copies").join(grown(named), "node", "left").select("same", F.coalesce("component_id", "rep").alias("component_id"), "copies")
     linkable = F.col("__id").isNotNull() & (F.col("n") > 0)
     with_class = lookup(rows.where(linkable).select("__id", "__mark", "n", "same"), compact(final), "same", "copies")
     alone = rows.where(~linkable).select("__id", "__mark", "n", F.col("__id").alias("component_id"))
