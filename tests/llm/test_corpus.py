@@ -401,3 +401,16 @@ def test_growing_joins_of_near_copies_are_not_broadcast(spark):
         out.collect()
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_near_copies_run_few_jobs(spark):
+    """Steps count as they write, and none follows one that linked nothing: each job leaves threads and plans with the driver for a while."""
+    words = [f"w{k}" for k in range(40)]
+    rows = [(k, " ".join([*words[: 40 - k % 2], "x" * (k // 2 + 1)])) for k in range(4)] + [(9, " ".join(reversed(words)))]
+    spark.sparkContext.setJobGroup("few-jobs", "near copies")
+    try:
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(table(spark, [(i, t, "s") for i, t in rows]), 4, 80).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == near_classes(rows, 4, 80) and {c for _, c in got.values()} == {0, 9}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-jobs")) <= 50

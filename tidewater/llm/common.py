@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,13 +43,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
 FEW_ROWS = 4096
 
 
-def compact(df: DataFrame, at_most: int | None = None) -> DataFrame:
-    """Checkpoint short rows and read them in fewer partitions where they turn out few; ``at_most`` is a bound known before. Never in more."""
+def counted(df: DataFrame, at_most: int | None = None, **sums: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``compact``, and what the job that writes the rows saw: their number as ``rows``, and sums over them by name. No job of its own counts."""
     if at_most is not None:
         df = df.coalesce(max(4, at_most // FEW_ROWS + 1))
     seen = Observation()
-    out = checkpointed(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return out.coalesce(max(4, seen.get["rows"] // FEW_ROWS + 1))
+    out = checkpointed(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(k) for k, c in sums.items()]))
+    found = {k: v or 0 for k, v in seen.get.items()}
+    return out.coalesce(max(4, found["rows"] // FEW_ROWS + 1)), found
+
+
+def compact(df: DataFrame, at_most: int | None = None) -> DataFrame:
+    """Checkpoint short rows and read them in fewer partitions where they turn out few; ``at_most`` is a bound known before. Never in more."""
+    return counted(df, at_most)[0]
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
@@ -69,12 +75,13 @@ def lowered(data: bytes) -> bytes:
     return data.lower() if data.isascii() else data.decode().lower().encode()
 
 
-def lookup(rows: DataFrame, values: DataFrame, key: str, uses: str) -> DataFrame:
-    """``rows`` with the columns of ``values``, which has each ``key`` once and in ``uses`` how many rows hold it.
+def lookup(rows: DataFrame, values: DataFrame, key: str, uses: str, total: int | None = None) -> DataFrame:
+    """``rows`` with the columns of ``values``, which has each ``key`` once and in ``uses`` how many rows hold it; ``total`` is the sum of these, where it is known.
 
     Keys of more than a thousandth of all rows, so under a thousand of them, are broadcast, as a shuffle would send each to one task.
     """
-    total = values.agg(F.sum(uses)).first()[0] or 0
+    if total is None:
+        total = values.agg(F.sum(uses)).first()[0] or 0
     hot = F.broadcast(values.where(F.col(uses) > total / 1000 + 100))
     cold = rows.join(hot.select(key), key, "left_anti").join(values, key, "left")
     return rows.join(hot, key).select(*cold.columns).unionByName(cold)

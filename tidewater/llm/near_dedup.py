@@ -34,7 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.common import checkpointed, compact, lookup, slices, utf8
+from tidewater.llm.common import checkpointed, compact, counted, lookup, slices, utf8
 
 CHUNKS, WIDE = 12, 5
 SYMBOLS = CHUNKS * WIDE
@@ -159,28 +159,31 @@ def signed(docs: DataFrame, shingle: int) -> DataFrame:
 
 def sets_of(nodes: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """(node, own) of the nodes named; their texts are read again by id and told apart by the digest of their sets."""
-    needed = compact(nodes.select("node").distinct().join(grown(reps.select("node", "rep", "same")), "node"))
-    few = needed.count() <= BROADCAST_IDS
+    needed, seen = counted(nodes.select("node").distinct().join(grown(reps.select("node", "rep", "same")), "node"))
+    few = seen["rows"] <= BROADCAST_IDS
     ids = needed.select(F.col("rep").alias("__id")).distinct()
     own = _sets(docs.join(F.broadcast(ids) if few else ids, "__id", "left_semi"), shingle)
     return compact(own.join(F.broadcast(needed) if few else needed, "same").select("node", "own").dropDuplicates(["node"]))
 
 
 def likely(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that sizes and sketches do not rule out."""
+    """The pairs (a, b) of nodes that sizes and sketches do not rule out, with their sizes n_a and n_b."""
     a = reps.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("symbols").alias("s_a"))
     b = reps.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("symbols").alias("s_b"))
-    return pairs.join(grown(a), "a").join(grown(b), "b").where(alike(percent)).select("a", "b")
+    return pairs.join(grown(a), "a").join(grown(b), "b").where(alike(percent)).select("a", "b", "n_a", "n_b")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b) of nodes, those whose full sets are alike.
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, int]:
+    """Of the pairs (a, b) of nodes, of sizes n_a and n_b, those whose full sets are alike, and their number.
 
     Nodes are dealt into blocks by hash and pairs into tiles, so a set goes once to each tile that needs it, whatever the number of its pairs.
     """
-    pairs = compact(pairs)
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    total = nodes.join(grown(sets), "node").agg(F.sum(F.octet_length("own"))).first()[0] or 0
+    pairs, seen = counted(pairs, total=8 * (F.col("n_a") + F.col("n_b")))  # a set has 8 bytes a shingle
+    if not seen["rows"]:
+        return pairs.select("a", "b"), 0
+    total = seen["total"]
+    if total // TILE >= 6:  # a set counts once, whatever the number of its pairs
+        total = pairs.select("a", "n_a").union(pairs.select("b", "n_b")).distinct().agg(F.sum(8 * F.col("n_a"))).first()[0]
     blocks = max(6, total // TILE + 1)
     block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
     pairs = pairs.select(block("a").alias("at_a"), block("b").alias("at_b"), "a", "b")
@@ -201,7 +204,8 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                         found.append((i, j))
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return compact(rows.repartition("at_a", "at_b").sortWithinPartitions("at_a", "at_b").mapInArrow(run, "a long, b long"))
+    links, seen = counted(rows.repartition("at_a", "at_b").sortWithinPartitions("at_a", "at_b").mapInArrow(run, "a long, b long"))
+    return links, seen["rows"]
 
 
 def slot_counts(sets: DataFrame) -> np.ndarray:
@@ -266,18 +270,27 @@ def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["id", "component"])
 
 
-def components(edges: DataFrame, alone: int = 200_000) -> DataFrame:
+def components(edges: DataFrame, alone: int = 200_000, most: int | None = None) -> DataFrame:
     """From edges (a, b): (id, component), the least id that each node reaches; large star and small star until all are stars.
 
-    At most ``alone`` edges, some MB, are joined up in one task, which gives the same without the rounds.
+    At most ``alone`` edges, some MB, are joined up in one task, which gives the same without the rounds. ``most`` is a bound of the edges' number, where one is known.
     """
-    held = compact(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    if held.count() <= alone:
-        return checkpointed(held.coalesce(1).mapInArrow(forest, "id long, component long"))
+    return bounded_components(edges, alone, most)[0]
+
+
+def bounded_components(edges: DataFrame, alone: int = 200_000, most: int | None = None) -> tuple[DataFrame, int]:
+    """``components``, and a bound of their rows' number."""
+    held = edges
+    if most is None or most > alone:
+        held, seen = counted(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        most = seen["rows"]
+    if most <= alone:
+        found, seen = counted(held.coalesce(1).mapInArrow(forest, "id long, component long"))
+        return found, seen["rows"]
     while True:
         roles = held.select(F.col("a").alias("id"), F.lit(0).alias("leaf")).union(held.select(F.col("b").alias("id"), F.lit(1).alias("leaf")))
         if roles.groupBy("id").agg(F.sum("leaf").alias("leaf"), F.min("leaf").alias("least")).where("leaf > 1 or (leaf = 1 and least = 0)").isEmpty():
-            return held.select(F.col("b").alias("id"), F.col("a").alias("component"))
+            return held.select(F.col("b").alias("id"), F.col("a").alias("component")), most
         # large star: each node points its larger neighbours at the least node around it
         ways = held.unionByName(held.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = ways.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
@@ -295,13 +308,14 @@ def to_hubs(held: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def open_members(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members, with their component, of keys of several components; ``top`` is the largest of these, ``outside`` the number of members not in it."""
+def open_members(members: DataFrame, groups: DataFrame) -> DataFrame | None:
+    """Members, with their component, of keys of several components, if there are any; ``top`` is the largest of these, ``outside`` the number of members not in it."""
     placed = members.select("key", "node", "members").join(grown(groups), F.col("node") == F.col("id"), "left").select("key", "node", "members", F.coalesce("component", "node").alias("component"))
     placed = compact(placed)
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
     largest = sizes.groupBy("key").agg(F.count("*").alias("components"), F.sum("size").alias("all"), F.max(F.struct("size", "component")).alias("t")).where("components > 1")
-    return compact(placed.join(grown(largest.select("key", F.col("t.component").alias("top"), (F.col("all") - F.col("t.size")).alias("outside"))), "key"))
+    placed, seen = counted(placed.join(grown(largest.select("key", F.col("t.component").alias("top"), (F.col("all") - F.col("t.size")).alias("outside"))), "key"))
+    return placed if seen["rows"] else None
 
 
 def to_draws(placed: DataFrame) -> DataFrame:
@@ -324,7 +338,7 @@ def wide_sketches(sets: DataFrame) -> DataFrame:
 
 
 def across(placed: DataFrame, sketches: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members outside a key's largest component with all members of other components that size and sketch do not rule out."""
+    """Pairs, with their sizes, of members outside a key's largest component with all members of other components that size and sketch do not rule out."""
     own = placed.join(grown(placed.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("held"))), "node").join(grown(sketches), "node").join(grown(reps.select("node", "n")), "node")
     own = own.withColumn("blocks_a", F.ceil(F.col("outside") / BLOCK).cast("int")).withColumn("blocks_b", F.ceil(F.col("members") / (8 * BLOCK)).cast("int"))
     block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
@@ -337,9 +351,9 @@ def across(placed: DataFrame, sketches: DataFrame, reps: DataFrame, percent: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in runs(batches, cells):
             a, b = likely_pairs(cell, percent)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(cell.column(c).to_numpy()[k], pa.int64()) for c in ("node", "n") for k in (a, b)], ["a", "b", "n_a", "n_b"])
 
-    return left.unionByName(right).repartition(*cells).sortWithinPartitions(*cells).mapInArrow(run, "a long, b long")
+    return left.unionByName(right).repartition(*cells).sortWithinPartitions(*cells).mapInArrow(run, "a long, b long, n_a long, n_b long")
 
 
 def runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
@@ -360,15 +374,15 @@ def runs(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]
 
 
 def likely_pairs(cell: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of a tile, the pairs of left and right members that may be alike and whose least shared key this is."""
+    """Of a tile, the pairs of rows, left and right members, that may be alike and whose least shared key this is."""
     cell = cell.combine_chunks()
-    side, node, component, n, top = (cell.column(c).to_numpy() for c in ("side", "node", "component", "n", "in_top"))
+    side, component, n, top = (cell.column(c).to_numpy() for c in ("side", "component", "n", "in_top"))
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     # of two members outside the largest component, the one with the lesser component is on the left
     open_ = (component[left, None] < component[None, right]) | ((component[left, None] != component[None, right]) & top[None, right])
     open_ &= 100 * np.minimum(n[left, None], n[None, right]) >= percent * np.maximum(n[left, None], n[None, right])
     if not open_.any():
-        return node[:0], node[:0]
+        return left[:0], left[:0]
     lists = cell.column("held").chunk(0)
     keys, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
     owner = np.repeat(np.arange(len(side)), sizes)
@@ -388,7 +402,7 @@ def likely_pairs(cell: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
     for at in range(0, len(i), 8192):
         k = slice(at, at + 8192)
         fits[k] = (symbols[i[k]] == symbols[j[k]]).sum(axis=1) >= least
-    return node[i[fits]], node[j[fits]]
+    return i[fits], j[fits]
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", few: int = 32) -> DataFrame:
@@ -410,25 +424,36 @@ def classes(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col:
     sets = sets_of(members.select("node"), reps, texts, shingle)
     found = lambda pairs: linked(pairs, sets, percent)
     fit = lambda pairs: found(likely(pairs, reps, percent))
-    joined = lambda groups, links: components(links.unionByName(groups.select(F.col("component").alias("a"), F.col("id").alias("b"))))
-    groups = components(fit(pairs))
-    placed = open_members(members, groups)
-    crowded = compact(placed.where(F.col("members") > few).select("node").distinct())
-    sketches = reps.select("node", F.col("symbols").alias("sketch"))
-    groups = joined(groups, found(across(placed.where(F.col("members") <= few), sketches, reps, percent)))
-    if not crowded.isEmpty():
+
+    def joined(groups: DataFrame, size: int, links: DataFrame, number: int) -> tuple[DataFrame, int]:
+        if not number:
+            return groups, size
+        return bounded_components(links.unionByName(groups.select(F.col("component").alias("a"), F.col("id").alias("b"))), most=size + number)
+
+    links, number = fit(pairs)
+    groups, size = bounded_components(links, most=number)
+    crowded, seen = None, {"rows": 0}
+    if (placed := open_members(members, groups)) is not None:
+        crowded, seen = counted(placed.where(F.col("members") > few).select("node").distinct())
+        sketches = reps.select("node", F.col("symbols").alias("sketch"))
+        groups, size = joined(groups, size, *found(across(placed.where(F.col("members") <= few), sketches, reps, percent)))
+    if seen["rows"]:
         own = compact(sets.join(grown(crowded), "node", "left_semi"))
         members, pairs = to_hubs(split_buckets(own, reps, percent))
-        groups = joined(groups, fit(pairs))
-        groups = joined(groups, fit(to_draws(open_members(members, groups))))
-        groups = joined(groups, found(across(open_members(members, groups), compact(wide_sketches(own)), reps, percent)))
-
-    all_ = groups.select("id", "component").union(groups.select("component", "component").distinct())
-    named = all_.join(grown(reps.select("node", "rep")), F.col("id") == F.col("node")).select("node", "component", "rep")
-    named = named.select("node", F.col("component")).join(grown(named.groupBy("component").agg(F.min("rep").alias("component_id"))), "component").select("node", "component_id")
-    final = reps.select("same", "node", "rep", "copies").join(grown(named), "node", "left").select("same", F.coalesce("component_id", "rep").alias("component_id"), "copies")
+        groups, size = joined(groups, size, *fit(pairs))
+        if (placed := open_members(members, groups)) is not None:
+            links, number = fit(to_draws(placed))
+            if number:
+                groups, size = joined(groups, size, links, number)
+                placed = open_members(members, groups)
+        if placed is not None:
+            groups, size = joined(groups, size, *found(across(placed, compact(wide_sketches(own)), reps, percent)))
+
+    named = reps.select("same", "node", "rep", "copies").join(grown(groups), F.col("node") == F.col("id"), "left").select("same", "rep", "copies", F.coalesce("component", "node").alias("component"))
+    final = named.join(grown(named.groupBy("component").agg(F.min("rep").alias("component_id"))), "component").select("same", "component_id", "copies")
     linkable = F.col("__id").isNotNull() & (F.col("n") > 0)
-    with_class = lookup(rows.where(linkable).select("__id", "__mark", "n", "same"), compact(final), "same", "copies")
+    final, seen = counted(final, copies=F.col("copies"))
+    with_class = lookup(rows.where(linkable).select("__id", "__mark", "n", "same"), final, "same", "copies", seen["copies"])
     alone = rows.where(~linkable).select("__id", "__mark", "n", F.col("__id").alias("component_id"))
     out = with_class.select("__id", "__mark", "n", "component_id").unionByName(alone)
     return out.withColumn("kept", F.coalesce(F.col("component_id") == F.col("__id"), F.lit(True)))
